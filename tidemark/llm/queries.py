@@ -9,6 +9,9 @@ from .common import read
 from .exact_dedup import exact_dedup
 from .language_id import dictionaries, held_out, identify
 from .mixing import mix
+from .near_dedup import near_dedup
+from .substring_dedup import substring_dedup
+from .suffix_dedup import suffix_dedup
 from .url_filter import url_filter
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -41,12 +44,27 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents")).drop("row")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(read(spark, sf_dir, "documents"), with_kept_text=False).drop("kept_text")
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(read(spark, sf_dir, "documents"), with_kept_bytes=False).drop("kept_bytes")
+
+
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_url_filter": op3_url_filter,
     "op4_mixing": op4_mixing,
     "op5_chat_format": op5_chat_format,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 ORACLE = {
