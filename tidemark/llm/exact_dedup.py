@@ -25,19 +25,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import stage
+from .common import bounded, stage
 
 DROPPED = "[\\x20\\x09-\\x0D]+"
 CHECKS = ["text_sha256", "check", "n"]
 
 
 def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", runs: int = 64, fan_in: int = 8) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256, row (an id of the row itself); one row for each of docs."""
+    """doc_id, keep_id, group_size, kept, text_sha256, row_key (a hash of doc_id and text); one row for each of docs."""
     plain = F.coalesce(F.col(text), F.lit(""))
     digests = docs.select(
-        F.col(doc_id).alias("doc_id"), F.length(plain).alias("chars"), F.regexp_replace(plain, DROPPED, "").alias("t"), F.monotonically_increasing_id().alias("row"),
+        F.col(doc_id).alias("doc_id"), F.length(plain).alias("chars"), F.regexp_replace(plain, DROPPED, "").alias("t"), F.monotonically_increasing_id().alias("row"), F.xxhash64(doc_id, text).alias("row_key"),
     ).select(
-        "doc_id", "chars", "row", F.sha2("t", 256).alias("text_sha256"), F.xxhash64("t").alias("check"), F.length("t").alias("n"), F.pmod(F.xxhash64("row"), F.lit(runs)).cast("int").alias("run0"),
+        "doc_id", "chars", "row", "row_key", F.sha2("t", 256).alias("text_sha256"), F.xxhash64("t").alias("check"), F.length("t").alias("n"), F.pmod(F.xxhash64("row"), F.lit(runs)).cast("int").alias("run0"),
     )
     digests = stage(digests, "digests")
     # Smallest first: most characters, then doc_id with null last, then the row as tie-break.
@@ -50,5 +50,15 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", run
     root = level.select(*CHECKS, F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("keep_row"), F.col("size").alias("group_size"))
     answers = leaves.select(F.col("run").alias("run0"), *CHECKS).join(root, CHECKS)
     return digests.join(answers, ["run0", *CHECKS]).select(
-        "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256", "row",
+        "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256", "row_key",
     )
+
+
+def drop_copies(docs: DataFrame, ids_to_broadcast: int = 1_000_000) -> DataFrame:
+    """The rows of docs (doc_id, text, ..) that stay; of rows equal in doc_id and text, one."""
+    keys = exact_dedup(docs).groupBy("row_key").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    keys = stage(keys.where("not kept or n > 1"), "copies")
+    gone, repeated = (bounded(keys.where(c).select("row_key"), ids_to_broadcast) for c in ("not kept", "kept"))
+    keyed = docs.withColumn("row_key", F.xxhash64("doc_id", "text")) if "row_key" not in docs.columns else docs.drop("row_key").withColumn("row_key", F.xxhash64("doc_id", "text"))
+    once = keyed.join(repeated, "row_key", "left_semi").dropDuplicates(["row_key"])
+    return keyed.join(gone, "row_key", "left_anti").join(repeated, "row_key", "left_anti").unionByName(once).select(*docs.columns)

@@ -57,10 +57,10 @@ def plain_lines(text: str) -> str:
     return re.sub(r"[^.\n\w]|[\d_]", " ", text.lower())
 
 
-def identify(docs: DataFrame, dicts: dict[str, bytes], margin: float = 0.001, block: int = 2048, level: int = 6, sharpness: float = 40.0) -> DataFrame:
-    """docs with columns lang_pred, score, lang_margin, lang_rejected (dropped first if docs has them)."""
+def identify(docs: DataFrame, dicts: dict[str, bytes], margin: float = 0.001, block: int = 2048, level: int = 6, sharpness: float = 40.0, prefix: str = "") -> DataFrame:
+    """docs with columns lang_pred, score, lang_margin, lang_rejected, after `prefix` (these replace columns of the same names)."""
     names = sorted(k for k, v in dicts.items() if len(v) >= 8)  # the least that a dictionary can hold
-    added = ["lang_pred", "score", "lang_margin", "lang_rejected"]
+    added = [prefix + c for c in ("lang_pred", "score", "lang_margin", "lang_rejected")]
     docs = docs.drop(*[c for c in docs.columns if c.lower() in added])
     place = [c.lower() for c in docs.columns].index("text")
     shared = docs.sparkSession.sparkContext.broadcast(dicts)
@@ -92,7 +92,12 @@ def identify(docs: DataFrame, dicts: dict[str, bytes], margin: float = 0.001, bl
             yield pa.RecordBatch.from_arrays(arrays, [*b.schema.names, *added])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(predict, f"{fields}, lang_pred string, score double, lang_margin double, lang_rejected boolean")
+    return docs.mapInArrow(predict, f"{fields}, {', '.join(f'`{c}` {kind}' for c, kind in zip(added, ('string', 'double', 'double', 'boolean'), strict=True))}")
+
+
+def recognised(docs: DataFrame, dicts: dict[str, bytes]) -> DataFrame:
+    """The rows of docs that are not rejected, with the columns of docs."""
+    return identify(docs, dicts, prefix="_found_").where("not _found_lang_rejected").select(*docs.columns)
 
 
 def held_out(remainder: int, modulus: int) -> Column:

@@ -303,7 +303,7 @@ def near_dedup(
     return every.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"), F.coalesce("links", F.lit(0)).alias("links"))
 
 
-def keep_one(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Those rows of docs whose doc_id is that of their class; of rows with equal doc_id all, rows with null doc_id too."""
-    gone = classes.where("doc_id <> class_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+def keep_one(docs: DataFrame, classes: DataFrame, ids_to_broadcast: int = 1_000_000) -> DataFrame:
+    """The rows of docs whose doc_id is that of their class; of rows with equal doc_id all, and those with null doc_id."""
+    gone = stage(classes.where("doc_id <> class_id").select("doc_id").distinct(), "near-copies")
+    return docs.join(bounded(gone, ids_to_broadcast), "doc_id", "left_anti").select(*docs.columns)

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .chat_format import format_chats, log_of, read_back
 from .common import read
+from .decontaminate import contained
 from .exact_dedup import exact_dedup
 from .language_id import dictionaries, held_out, identify
 from .mixing import mix
 from .near_dedup import near_dedup
+from .quality import quality
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
 from .url_filter import url_filter
@@ -17,6 +19,10 @@ from .url_filter import url_filter
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     test = held_out(2, 4)
@@ -40,8 +46,14 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_chats(log_of(conversations)))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    test = held_out(1, 3)
+    labels = read(spark, sf_dir, "labels").where(~test).select("doc_id", F.col("quality").alias("label"))
+    return quality(read(spark, sf_dir, "documents").select("doc_id", "text"), labels).select("doc_id", test.alias("held_out"), "score", "predicted")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(read(spark, sf_dir, "documents")).drop("row")
+    return exact_dedup(read(spark, sf_dir, "documents")).drop("row_key")
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,14 +65,23 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup(read(spark, sf_dir, "documents"))
+    return near_dedup(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {
+    "pipeline": pipeline,
+    "op1_decontaminate": op1_decontaminate,
     "op2_language_id": op2_language_id,
     "op3_url_filter": op3_url_filter,
     "op4_mixing": op4_mixing,
     "op5_chat_format": op5_chat_format,
+    "op6_quality": op6_quality,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
@@ -68,6 +89,31 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_decontaminate": r"""
+        WITH t AS (
+            SELECT true AS is_item, item_id AS id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS ws FROM benchmark
+            UNION ALL SELECT false, doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') FROM documents),
+        s AS (SELECT DISTINCT is_item, id, array_to_string(ws[i:i + 4], ' ') AS shingle FROM (SELECT is_item, id, ws, unnest(range(1, len(ws) - 3)) AS i FROM t)),
+        q AS (SELECT id AS item_id, count(*) AS item_shingles FROM s WHERE is_item GROUP BY 1),
+        h AS (SELECT d.id AS doc_id, b.id AS item_id, count(*) AS hits FROM s b JOIN s d ON b.shingle = d.shingle AND b.is_item AND NOT d.is_item GROUP BY 1, 2)
+        SELECT doc_id, item_id, item_shingles, hits, hits / item_shingles AS containment FROM h JOIN q USING (item_id) WHERE hits >= ceil(0.8 * item_shingles - 1e-9)""",
+    "op8_substring_dedup": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        k AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS window_text FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)),
+        f AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY window_text) AS first_doc FROM k),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM f WHERE first_doc < doc_id),
+        words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w),
+        kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY 1)
+        SELECT w.doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)""",
+    "op10_near_dedup": r"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS shingle FROM (SELECT doc_id, ws, unnest(range(1, greatest(1, len(ws) - 4) + 1)) AS i FROM w WHERE len(ws) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS joint FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        links AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE joint >= 0.8 * (x.n + y.n - joint)),
+        reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+        c AS (SELECT d.doc_id, least(d.doc_id, coalesce(min(r.b), d.doc_id)) AS class_id FROM documents d LEFT JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id)
+        SELECT doc_id, class_id, count(*) OVER (PARTITION BY class_id) AS class_size FROM c""",
     "op3_url_filter": """
         WITH r AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
         p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
