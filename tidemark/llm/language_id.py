@@ -37,12 +37,12 @@ def plain(text: str) -> str:
 
 def dictionaries(labelled: DataFrame, sample_docs: int = 300, sample_chars: int = 1600) -> dict[str, bytes]:
     """Dictionary bytes by language, from rows (doc_id, text, lang); at most sample_docs * sample_chars characters for each."""
-    first = W.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(2)), "doc_id")
+    first = W.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(2)), "doc_id", "piece")
     middle = F.lit(1) + F.greatest(F.lit(0), F.floor((F.length("text") - sample_chars) / 2)).cast("int")
     rows = (
         labelled.where("lang is not null and length(text) > 0")
-        .select("lang", "doc_id", "text", F.row_number().over(first).alias("k")).where(F.col("k") <= sample_docs)
-        .select("lang", "k", F.substring("text", middle, F.lit(sample_chars)).alias("piece")).orderBy("lang", "k").collect()
+        .select("lang", "doc_id", F.substring("text", middle, F.lit(sample_chars)).alias("piece"))
+        .select("lang", "piece", F.row_number().over(first).alias("k")).where(F.col("k") <= sample_docs).orderBy("lang", "k").collect()
     )
     sentences = [(r["lang"], dict.fromkeys(x.strip() for x in re.split(r"[.\n]", plain_lines(r["piece"])) if x.strip())) for r in rows]
     seen = Counter(x for _, of in sentences for x in of)
