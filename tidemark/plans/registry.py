@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from . import series_queries
+
+PARTS = [series_queries]
+QUERIES = {name: query for part in PARTS for name, query in part.QUERIES.items()}
+ORACLE = {name: sql for part in PARTS for name, sql in part.ORACLE.items()}
 
 
 def flagship(spark, sf_dir):
-    raise NotImplementedError
+    """Latest value, changes, trend and display cells of each series."""
+    return series_queries.QUERIES["f3_latest_readings"](spark, sf_dir)
