@@ -16,10 +16,12 @@ links (exact similarity >= `threshold`) join documents to groups, and buckets
 whose members are in one group are done. Further rounds take other centres.
 What is then still apart in a bucket is compared in full, by signature in
 blocks within tasks (buckets are salted by size), and exactly where the
-signature leaves a chance; so there is no cap on members, pairs or candidates.
+signature leaves a chance (4 standard deviations); so there is no cap on
+members, pairs or candidates, and only links leave the tasks.
 
 Answer: one row for each document, with class_id (smallest doc_id of its
-group), class_size and links (verified links of its class to other classes).
+group), class_size and links (verified links that joined its class to others;
+enough of them to span each group, not all pairs).
 Texts without words (null too) and rows with null doc_id stay alone. Rows with
 equal doc_id and different texts are as many documents under one id: if one is
 linked, all rows of that id are. An empty table gives an empty result.
@@ -205,7 +207,7 @@ def apart(members: DataFrame, labels: DataFrame) -> DataFrame:
     """members (bucket, doc) with label, of buckets with more than one label; a document without links is its own label."""
     named = members.join(labels, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
     mixed = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket")
-    return stage(named.join(mixed, "bucket").select("bucket", "doc", "label"), "apart")
+    return stage(named.join(mixed, "bucket").select("bucket", "band", "doc", "label"), "apart")
 
 
 def starred(members: DataFrame, turn: int) -> DataFrame:
@@ -215,51 +217,61 @@ def starred(members: DataFrame, turn: int) -> DataFrame:
     return members.join(centre, "bucket").where("label <> its").select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")).distinct()
 
 
-def in_full(members: DataFrame, signed: DataFrame, threshold: float, coordinates: int, block: int = 512, rows_per_salt: int = 20_000) -> DataFrame:
-    """(a, b): pairs of a bucket in different groups that their signatures leave a chance; all others of the bucket are compared too.
+def in_full(members: DataFrame, signed: DataFrame, sets: DataFrame, threshold: float, bands: int, rows: int, block: int = 512, rows_per_salt: int = 20_000) -> DataFrame:
+    """(a, b, similarity): links between the groups that share a bucket, after comparing all its members across groups.
 
-    The largest group of a bucket is dealt over salts, each of which gets all members of the smaller groups.
+    The largest group of a bucket is dealt over salts, each of which gets all
+    members of the smaller groups. Signatures rule out what is surely apart;
+    the rest is compared exactly, each pair in the first band that it shares.
+    Of a document's links to one other group the first is enough.
     """
     per = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
     main = per.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("m"), F.sum("n").alias("all"))
     main = main.select("bucket", F.col("m.label").alias("main"), F.ceil(F.col("all") / rows_per_salt).cast("int").alias("salts"))
-    dealt = members.join(main, "bucket").join(signed.select(F.col("doc_id").alias("doc"), "sign"), "doc").select(
-        "bucket", "doc", "label", (F.col("label") == F.col("main")).alias("main"), "sign",
+    of_doc = signed.select(F.col("doc_id").alias("doc"), "sign").join(sets.select(F.col("doc_id").alias("doc"), "keys", "counts"), "doc")
+    dealt = members.join(main, "bucket").join(of_doc, "doc").select(
+        "bucket", "band", "doc", "label", (F.col("label") == F.col("main")).alias("main"), "sign", "keys", "counts",
         F.explode(F.when(F.col("label") == F.col("main"), F.array(F.pmod(F.xxhash64("doc"), F.col("salts")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("salts") - 1))).alias("salt"),
     )
-    enough = threshold - 5 * math.sqrt(threshold * (1 - threshold) / coordinates)
+    enough = threshold - 4 * math.sqrt(threshold * (1 - threshold) / (bands * rows))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, []
+        at, band, held = None, 0, []
 
         def close() -> pa.RecordBatch:
-            docs, labels, main = (np.array(x) for x in ([h[0] for h in held], [h[1] for h in held], [h[2] for h in held]))
+            docs, labels, main = (np.array([h[k] for h in held]) for k in range(3))
             signs = np.frombuffer(b"".join(h[3] for h in held), np.uint8).reshape(len(held), -1)
+            out = []
+            for lo in range(0, len(docs), 64):
+                mine = np.arange(lo, min(lo + 64, len(docs)))
+                mine = mine[~main[mine]]
+                joined: set[tuple[int, int]] = set()
+                for x in range(0, len(docs), block) if len(mine) else ():
+                    same = signs[mine][:, None, :] == signs[None, x : x + block, :]
+                    maybe = (same.mean(axis=2) >= enough) & (labels[mine][:, None] != labels[None, x : x + block])
+                    maybe &= main[None, x : x + block] | (docs[mine][:, None] < docs[None, x : x + block])
+                    i, j = np.nonzero(maybe)
+                    first = same[i, j].reshape(len(i), bands, rows).all(axis=2).argmax(axis=1) == band
+                    for p, q in zip(mine[i[first]].tolist(), (x + j[first]).tolist(), strict=True):
+                        if (p, labels[q]) not in joined:
+                            sim = jaccard(held[p][4], held[q][4], held[p][5], held[q][5])
+                            if sim >= threshold:
+                                joined.add((p, labels[q]))
+                                out.append((min(docs[p], docs[q]), max(docs[p], docs[q]), sim))
             held.clear()
-            side = np.flatnonzero(~main)
-            a, b = [], []
-            for lo in range(0, len(side), 64):
-                mine = side[lo : lo + 64]
-                for x in range(0, len(docs), block):
-                    agree = (signs[mine][:, None, :] == signs[None, x : x + block, :]).mean(axis=2) >= enough
-                    agree &= labels[mine][:, None] != labels[None, x : x + block]
-                    i, j = np.nonzero(agree)
-                    a.append(docs[mine[i]]), b.append(docs[x + j])
-            a, b = np.concatenate(a or [np.zeros(0, np.int64)]), np.concatenate(b or [np.zeros(0, np.int64)])
-            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1) if len(a) else np.zeros((2, 0), np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.float64())], ["a", "b", "similarity"])
 
         for batch in batches:
-            for bucket, salt, *rest in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+            for bucket, salt, number, *rest in zip(*(batch.column(i).to_pylist() for i in range(9)), strict=True):
                 if (bucket, salt) != at and held:
                     yield close()
-                at = (bucket, salt)
+                at, band = (bucket, salt), number
                 held.append(rest)
         if held:
             yield close()
 
     ordered = dealt.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt")
-    return ordered.select("bucket", "salt", "doc", "label", "main", "sign").mapInArrow(work, "a long, b long").distinct()
+    return ordered.select("bucket", "salt", "band", "doc", "label", "main", "sign", "keys", "counts").mapInArrow(work, "a long, b long, similarity double").distinct()
 
 
 def near_dedup(
@@ -273,9 +285,9 @@ def near_dedup(
     of_class = stage(usable.select("doc_id", "n", "k1", "k2").join(classes, ["n", "k1", "k2"]).select("doc_id", "rep"), "classes")
     reps = usable.join(classes.select("n", "k1", "k2", F.col("rep").alias("doc_id")), ["n", "k1", "k2", "doc_id"], "left_semi").dropDuplicates(["doc_id", "n", "k1", "k2"])
     reps = stage(reps.select("doc_id", "bands", "sign"), "representatives")
-    banded = reps.select(F.col("doc_id").alias("doc"), F.explode("bands").alias("bucket"))
+    banded = reps.select(F.col("doc_id").alias("doc"), F.posexplode("bands").alias("band", "bucket"))
     several = banded.groupBy("bucket").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("bucket")
-    members = stage(banded.join(several, "bucket").select("bucket", "doc").distinct(), "members")
+    members = stage(banded.join(several, "bucket").select("bucket", "band", "doc").distinct(), "members")
 
     ids = bounded(members.select(F.col("doc").alias("doc_id")).distinct(), ids_to_broadcast)
     sets = stage(sets_of(docs.join(ids, "doc_id", "left_semi").select("doc_id", "text"), gram, weights).dropDuplicates(["doc_id"]), "sets")
@@ -283,15 +295,16 @@ def near_dedup(
     left = members.withColumn("label", F.col("doc"))
     for turn in range(rounds + 1):
         last = turn == rounds
-        pairs = in_full(left, reps, threshold, bands * rows) if last else starred(left, turn)
-        if links is not None:
-            pairs = pairs.join(links, ["a", "b"], "left_anti")
-        new = verified(pairs, sets, threshold)
+        if last:
+            new = in_full(left, reps, sets, threshold, bands, rows)
+        else:
+            pairs = starred(left, turn)
+            new = verified(pairs if links is None else pairs.join(links, ["a", "b"], "left_anti"), sets, threshold)
         links = stage(new if links is None else links.unionByName(new), "links")
         labels = components(links)
         if last:
             break
-        left = apart(left.select("bucket", "doc"), labels)
+        left = apart(left.select("bucket", "band", "doc"), labels)
         if not left.limit(1).count():
             break
     named = of_class.distinct().join(labels.select(F.col("doc").alias("rep"), "label"), "rep", "left").select("doc_id", "rep", F.coalesce("label", "rep").alias("class_id"))
