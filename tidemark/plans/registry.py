@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import corpus_queries, ledger_queries, series_queries, transcript_queries
+from . import corpus_queries, extract_queries, ledger_queries, series_queries, transcript_queries
 
-PARTS = [series_queries, ledger_queries, transcript_queries, corpus_queries]
+PARTS = [series_queries, ledger_queries, transcript_queries, corpus_queries, extract_queries]
 QUERIES = {name: query for part in PARTS for name, query in part.QUERIES.items()}
 ORACLE = {name: sql for part in PARTS for name, sql in part.ORACLE.items()}
 
