@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import corpus
-from ..sources.tables import table
-from ..streaming.intake import shared
+from ..sources.tables import shared, table
 from .transcript_queries import VERSIONS, analyze_attempts, versions
 
 NOW = "2024-02-01 00:00:00"

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import claim_queries, corpus_queries, extract_queries, ledger_queries, series_queries, transcript_queries
+from . import backfill_queries, claim_queries, corpus_queries, extract_queries, ledger_queries, pack_queries, series_queries, transcript_queries
 
-PARTS = [series_queries, ledger_queries, transcript_queries, corpus_queries, extract_queries, claim_queries]
+PARTS = [series_queries, ledger_queries, transcript_queries, corpus_queries, extract_queries, claim_queries, pack_queries, backfill_queries]
 QUERIES = {name: query for part in PARTS for name, query in part.QUERIES.items()}
 ORACLE = {name: sql for part in PARTS for name, sql in part.ORACLE.items()}
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -9,6 +12,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared(spark: SparkSession, name: str) -> str:
+    """A new folder where driver and executors can both write; a local one only where none is configured."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        base = tempfile.mkdtemp(prefix="spark-shared-")
+        spark.sparkContext.setCheckpointDir(base)
+    return f"{base.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
+
+
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in the shared folder, for plans that would otherwise compute it several times."""
+    path = shared(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly order totals by priority, and quarterly quantities by return flag, as (source, series, period, value)."""
     orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")

@@ -2,23 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-
-def shared(spark: SparkSession, name: str) -> str:
-    """A new folder where driver and executors can both write; a local one only where none is configured."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        import tempfile
-
-        base = tempfile.mkdtemp(prefix="spark-shared-")
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
+from ..sources.tables import shared
 
 
 REPLAYED = "source string, series string, period string, digest string, seq long, class string"
