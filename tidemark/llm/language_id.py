@@ -2,10 +2,10 @@
 
 Fitting takes a bounded sample: of each language's labelled rows the
 `sample_docs` with the smallest hash of doc_id, and of each up to
-`sample_chars` characters from its middle. Sentences that two sampled documents
-share (licences, boilerplate) tell no language and go; what is left, in lower
-case and with runs of other characters than letters as one space, is the
-language's raw-content dictionary. Prediction brings every whole text to the
+`sample_chars` characters from its middle. Sentences that the samples
+of two languages share (licences, boilerplate) tell no language and go; what is
+left, once each, in lower case and with runs of other characters than letters as
+one space, is the language's raw-content dictionary. Prediction brings every whole text to the
 same form and compresses it, in blocks of `block` bytes, with each dictionary;
 the smallest total wins. A prediction is
 rejected when the text is null or has no letter (`und`), or when the best total
@@ -45,11 +45,11 @@ def dictionaries(labelled: DataFrame, sample_docs: int = 300, sample_chars: int
         .select("lang", "piece", F.row_number().over(first).alias("k")).where(F.col("k") <= sample_docs).orderBy("lang", "k").collect()
     )
     sentences = [(r["lang"], dict.fromkeys(x.strip() for x in re.split(r"[.\n]", plain_lines(r["piece"])) if x.strip())) for r in rows]
-    seen = Counter(x for _, of in sentences for x in of)
-    out: dict[str, list[str]] = {}
+    out: dict[str, dict[str, None]] = {}
     for lang, of in sentences:
-        out.setdefault(lang, []).extend(x for x in of if seen[x] == 1)
-    return {lang: " ".join(x).encode() for lang, x in sorted(out.items())}
+        out.setdefault(lang, {}).update(of)
+    spoken_in = Counter(x for of in out.values() for x in of)
+    return {lang: " ".join(x for x in of if spoken_in[x] == 1).encode() for lang, of in sorted(out.items())}
 
 
 def plain_lines(text: str) -> str:

@@ -44,9 +44,9 @@ def apportion(parties: DataFrame, seats: Column, keys: list[str], vote: str = "v
     low = F.col("v_") / (F.col("seats_") + F.col("s_") / 2 + 1)
     sized = sized.withColumn("sure_", F.when(F.col("seats_") - F.col("s_") / 2 - 1 > 0, seats_at(high)).otherwise(F.lit(0).cast("long"))).withColumn("most_", F.greatest(F.col("sure_"), seats_at(low)))
     sized = sized.withColumn("open_", F.col("seats_") - F.sum("sure_").over(group))
-    seat = sized.where("most_ > sure_").select(*within, *keys, "open_", F.explode(F.sequence(F.col("sure_") + 1, F.col("most_"))).alias("k"), vote)
-    rank = F.row_number().over((W.partitionBy(*within) if within else W.partitionBy(F.lit(0))).orderBy(F.desc(F.col(vote) / (2 * F.col("k") - 1)), *keys, "k"))
-    won = seat.withColumn("r", rank).where("r <= open_").groupBy(*within, *keys).agg(F.count(F.lit(1)).alias("won_"))
+    seat = sized.where("most_ > sure_").select(*within, *keys, "open_", F.explode(F.sequence(F.col("sure_") + 1, F.col("most_"))).alias("seat_"), vote)
+    rank = F.row_number().over((W.partitionBy(*within) if within else W.partitionBy(F.lit(0))).orderBy(F.desc(F.col(vote) / (2 * F.col("seat_") - 1)), *keys, "seat_"))
+    won = seat.withColumn("rank_", rank).where("rank_ <= open_").groupBy(*within, *keys).agg(F.count(F.lit(1)).alias("won_"))
     won = won.select("won_", *[F.col(c).alias(f"{c}_won_") for c in [*within, *keys]])
     joined = sized.join(won, [F.col(c).eqNullSafe(F.col(f"{c}_won_")) for c in [*within, *keys]], "left")
     return joined.select(*parties.columns, (F.col("sure_") + F.coalesce("won_", F.lit(0))).alias("quota"))
@@ -64,7 +64,8 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...], max_repeat: int)
     before, after = by_ratio.rowsBetween(W.unboundedPreceding, -1), by_ratio.rowsBetween(0, W.unboundedFollowing)
     level = (F.sum("source_size").over(one) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("w").over(after)
     sources = sources.withColumn("level", level)
-    water = F.min(F.when(F.col("level") * F.col("w") <= F.col("cap"), F.col("level"))).over(one)
+    # Levels fall from the first that keeps under its cap on, and that first one is the water level.
+    water = F.max(F.when(F.col("level") * F.col("w") <= F.col("cap"), F.col("level"))).over(one)
     return sources.withColumn("water", water).select("source", "source_size", F.when(F.col("water").isNull(), F.col("cap")).otherwise(F.least("cap", F.col("water") * F.col("w"))).alias("target"))
 
 

@@ -156,7 +156,7 @@ def train(stats: DataFrame, labels: DataFrame, sample: int = 20_000) -> Forest:
     chosen = labels.where("label is not null and doc_id is not null").orderBy(F.xxhash64("doc_id", F.lit(6)), "doc_id").limit(sample)
     rows = stats.join(bounded(chosen, sample), "doc_id").orderBy("doc_id", "label").limit(2 * sample).select("stats", "label").toArrow()
     y = rows.column("label").to_numpy().astype(float)
-    x = np.array(rows.column("stats").to_pylist(), np.float32).reshape(len(y), -1)
+    x = np.array(rows.column("stats").to_pylist(), np.float32).reshape(len(y), -1) if len(y) else np.zeros((0, 1), np.float32)
     return fit(x, y)
 
 
