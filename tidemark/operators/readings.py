@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
+
+from .rules import fixed
 
 KEY = ["source", "series"]
 
@@ -19,18 +21,16 @@ def gaps(config: DataFrame, cache: DataFrame, stats: DataFrame) -> DataFrame:
 
 def shown_value(value: Column, yoy: Column) -> Column:
     """Thousands without decimals from 1000 on, else two decimals; without a value, the reported change."""
-    large, small = F.format_number(value, 0), F.format_string("%.2f", value)
-    return F.when(value.isNotNull(), F.when(F.abs(value) >= 1000, large).otherwise(small)).when(yoy.isNotNull(), F.format_string("%.2f%% 同比", yoy)).otherwise("—")
+    large, small = F.format_number(value, 0), fixed(value, 2)
+    return F.when(value.isNotNull(), F.when(F.abs(value) >= 1000, large).otherwise(small)).when(yoy.isNotNull(), F.concat(fixed(yoy, 2), F.lit("% 同比"))).otherwise("—")
 
 
 def shown_pct(pct: Column) -> Column:
-    return F.when(pct.isNull(), "—").otherwise(F.format_string("%.2f", pct))
+    return F.when(pct.isNull(), "—").otherwise(fixed(pct, 2))
 
 
 def report(readings: DataFrame) -> DataFrame:
     """Display rows in order of economy (us, cn, others), then name; `place` is that order."""
-    from pyspark.sql import Window as W
-
     rank = F.when(F.col("economy") == "us", 0).when(F.col("economy") == "cn", 1).otherwise(9)
     # The report is one line a series, so its single ordered group is as small as the configuration.
     place = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(rank, "name", "source", "series"))

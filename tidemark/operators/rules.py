@@ -11,6 +11,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 FIELDS = ("value", "prev", "mom_pct", "yoy_pct")
 
 
+def fixed(x: Column, digits: int) -> Column:
+    """x with so many decimals, rounded by its exact binary value (half to even), without separators."""
+    return F.replace(F.format_number(x, digits), F.lit(","), F.lit(""))
+
+
 def field_of(name: str, prefix: str = "") -> Column:
     """The statistic that column `name` of a rule asks for; null for an unknown one."""
     pick = F.lit(None).cast("double")
@@ -28,7 +33,7 @@ def single_rules(updates: DataFrame, rules: DataFrame) -> DataFrame:
         F.when(F.col("op") == "gt", F.col("reading") > F.col("lo")).when(F.col("op") == "lt", F.col("reading") < F.col("lo")).when(F.col("op") == "eq", F.col("reading") == F.col("lo"))
         .when(F.col("op") == "range", F.col("reading").between(F.col("lo"), F.col("hi")) != F.coalesce("invert", F.lit(False))).otherwise(False)
     )
-    said = F.format_string("**%s** — %s（%s=%.2f）", "flag", F.coalesce("note", F.lit("")), "field", "reading")
+    said = F.format_string("**%s** — %s（%s=%s）", "flag", F.coalesce("note", F.lit("")), "field", fixed(F.col("reading"), 2))
     return rules.join(updates, ["source", "series"]).withColumn("reading", field_of("field")).where(F.col("reading").isNotNull() & hit).select("rule_id", "source", "series", "field", "reading", said.alias("text"))
 
 
@@ -44,5 +49,6 @@ def cross_rules(readings: DataFrame, rules: DataFrame, updated: DataFrame) -> Da
     both = both.withColumns({"va": field_of("a_field", "a_"), "vb": field_of("b_field", "b_")}).where("va is not null and vb is not null")
     computed = F.when(F.col("how") == "minus", F.col("va") - F.col("vb")).when(F.col("how") == "ratio", F.try_divide("va", "vb"))
     hit = F.when(F.col("op") == "gt", F.col("computed") > F.col("threshold")).when(F.col("op") == "lt", F.col("computed") < F.col("threshold")).otherwise(False)
-    said = F.format_string("**%s** — %s（%s(%.1f) %s %s(%.1f) = %.1f）", "flag", F.coalesce("note", F.lit("")), "a_series", "va", "how", "b_series", "vb", "computed")
+    tenths = lambda c: fixed(F.col(c), 1)
+    said = F.format_string("**%s** — %s（%s(%s) %s %s(%s) = %s）", "flag", F.coalesce("note", F.lit("")), "a_series", tenths("va"), "how", "b_series", tenths("vb"), tenths("computed"))
     return both.withColumn("computed", computed).where(F.col("computed").isNotNull() & hit).select("rule_id", "va", "vb", "computed", said.alias("text"))

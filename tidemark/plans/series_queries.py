@@ -155,7 +155,7 @@ def cross_sql(fresh: str) -> str:
 
 
 CHARTS_SQL = f"c(indicator, economy, source, series) AS (VALUES {sql_rows(CHARTS)})"
-SHOWN = "CASE WHEN value IS NOT NULL THEN CASE WHEN abs(value) >= 1000 THEN format('{:,}', round(value)::BIGINT) ELSE printf('%.2f', value) END WHEN yoy_pct IS NOT NULL THEN printf('%.2f%% 同比', yoy_pct) ELSE '—' END"
+SHOWN = "CASE WHEN value IS NOT NULL THEN CASE WHEN abs(value) >= 1000 THEN format('{:,}', round_even(value, 0)::BIGINT) ELSE printf('%.2f', value) END WHEN yoy_pct IS NOT NULL THEN printf('%.2f%% 同比', yoy_pct) ELSE '—' END"
 CACHE = f"{stats_sql('(SELECT * FROM obs WHERE period < {q}2000-01{q})')}, cache AS (SELECT * FROM s WHERE series <> '3-MEDIUM' QUALIFY row_number() OVER (PARTITION BY source, series ORDER BY period DESC) = 1)".replace("{q}", "'")
 NOW = "now AS (SELECT * FROM (WITH " + stats_sql("obs") + " SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY source, series ORDER BY period DESC) = 1))"
 
