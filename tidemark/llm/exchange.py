@@ -138,7 +138,7 @@ def shared_keys(docs: DataFrame, doc: str, text: str, keys_of: Callable, buckets
         if held[0] and (out := close()):
             yield batch(out, NAMES, TYPES)
 
-    sent = docs.select(doc, text).mapInArrow(send, PACK).repartition(buckets, "part").sortWithinPartitions("part")
+    sent = docs.select(doc, text).mapInArrow(send, PACK).repartitionById(buckets, "part").sortWithinPartitions("part")
     return sent.mapInArrow(meet, PACK)
 
 
@@ -190,7 +190,7 @@ def with_texts(packs: DataFrame, docs: DataFrame, groups: int, work: Callable, s
 
     texts = docs.mapInArrow(squeeze, TEXTS)
     none = packs.withColumns({"doc": F.lit(None).cast("long"), "tag": F.lit(None).cast("long"), "z": F.lit(None).cast("binary")})
-    return none.unionByName(texts).repartition(groups, "part").sortWithinPartitions("part", F.col("found").asc_nulls_last()).mapInArrow(merge, schema)
+    return none.unionByName(texts).repartitionById(groups, "part").sortWithinPartitions("part", F.col("found").asc_nulls_last()).mapInArrow(merge, schema)
 
 
 class Flagged:

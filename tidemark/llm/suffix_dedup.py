@@ -267,5 +267,5 @@ def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
     packs = shared_keys(docs, "doc", "text", keys_of, n, n, later_only=False, chunk=CHUNK // 2)
     cuts = with_texts(packs, docs, n, cut, STRETCHES)
     # Settled intervals already carry their group of documents as their part and pass through.
-    found = cuts.repartition(n, "part").sortWithinPartitions("part").mapInArrow(meet, PACK)
+    found = cuts.repartitionById(n, "part").sortWithinPartitions("part").mapInArrow(meet, PACK)
     return with_texts(found, docs, n, remove, RESULT).drop("row")
