@@ -27,6 +27,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from .common import bounded
+
 LETTER = re.compile(r"[^\W\d_]")
 OTHERS = re.compile(r"[\W\d_]+")
 
@@ -37,11 +39,15 @@ def plain(text: str) -> str:
 
 def dictionaries(labelled: DataFrame, sample_docs: int = 300, sample_chars: int = 1600) -> dict[str, bytes]:
     """Dictionary bytes by language, from rows (doc_id, text, lang); at most sample_docs * sample_chars characters for each."""
-    first = W.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(2)), "doc_id", "piece")
+    labelled = labelled.where("lang is not null").withColumn("h", F.xxhash64("doc_id", F.lit(2)))
+    # Hashes above four times the share that is wanted cannot be among the smallest; they go before anything is shuffled.
+    sizes = bounded(labelled.groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n")), 10_000)
+    share = F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53))
+    low = labelled.join(sizes, F.col("lang") == F.col("of")).where((share * F.col("n") < 4 * sample_docs) & (F.length("text") > 0))
+    first = W.partitionBy("lang").orderBy(share, "doc_id", "piece")
     middle = F.lit(1) + F.greatest(F.lit(0), F.floor((F.length("text") - sample_chars) / 2)).cast("int")
     rows = (
-        labelled.where("lang is not null and length(text) > 0")
-        .select("lang", "doc_id", F.substring("text", middle, F.lit(sample_chars)).alias("piece"))
+        low.select("lang", "doc_id", "h", F.substring("text", middle, F.lit(sample_chars)).alias("piece"))
         .select("lang", "piece", F.row_number().over(first).alias("k")).where(F.col("k") <= sample_docs).orderBy("lang", "k").collect()
     )
     sentences = [(r["lang"], dict.fromkeys(x.strip() for x in re.split(r"[.\n]", plain_lines(r["piece"])) if x.strip())) for r in rows]

@@ -69,7 +69,7 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...], max_repeat: int)
     return sources.withColumn("water", water).select("source", "source_size", F.when(F.col("water").isNull(), F.col("cap")).otherwise(F.least("cap", F.col("water") * F.col("w"))).alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_repeat: int = 3, block: int = 4, shard_words: int = 4_000_000, seed: int = 20, sources_to_broadcast: int = 10_000) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_repeat: int = 3, block: int = 4, shard_words: int = 1_000_000, seed: int = 20, sources_to_broadcast: int = 10_000) -> DataFrame:
     """doc_id, size, source_size, target, taken; one row for each of docs."""
     sized = stage(docs.select("doc_id", "source", F.when(F.col("text").isNull(), 0).otherwise(F.regexp_count("text", F.lit(WORD))).cast("long").alias("size")), "sizes")
     targets = source_targets(sized, weights, max_repeat).withColumn("votes", F.col("target"))
