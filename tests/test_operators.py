@@ -190,10 +190,10 @@ def test_display_values(spark):
 
 
 def test_redaction_and_exit_classes(spark):
-    df = spark.createDataFrame([("see https://a.b/c?d=1 Bearer abc.def api_key=xyz in /home/u/f.txt",)], "t string")
-    assert one(df.select(corpus.redact(F.col("t")))) == [("see [url] [token] api_key=[secret] in [path]",)]
+    df = spark.createDataFrame([("see https://a.b/c?d=1 Bearer abc.defgh api_key=xyz12345 in /home/u/f.txt, token=short",)], "t string")
+    assert one(df.select(corpus.redact(F.col("t")))) == [("see <redacted-url> <redacted> api_key=<redacted> in <redacted-path> token=short",)]
     codes = spark.createDataFrame([("Sign in to continue", 1), ("Private video", 1), ("", 0), ("", 101), ("boom", 2)], "e string, c int")
-    assert [r[0] for r in codes.select(corpus.exit_class(F.col("e"), F.col("c"))).collect()] == ["auth_required", "unavailable", "ok", "cancelled", "tool_error"]
+    assert [r[0] for r in codes.select(corpus.exit_class(F.col("e"), F.col("c"))).collect()] == ["auth_required", "unavailable", "success", "retryable", "tool_error"]
 
 
 def test_shape_of_documents_that_are_no_objects(spark):

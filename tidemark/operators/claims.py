@@ -14,7 +14,7 @@ REQUIRED = ("claim_text", "claim_type", "layer", "transcript_version_id", "segme
 COUPLING_CN = "(因为|所以|然而|但是|尽管|虽然|并且|同时|此外)"
 COUPLING_EN = "(?i)\\b(because|therefore|however|but|although|though|and also|additionally|furthermore|moreover)\\b"
 NO_SPEAKER = ("", "unknown", "none", "n/a")
-RELATIONS = ("defines", "supports", "contradicts", "mentions")
+RELATIONS = ("defines", "uses", "exemplifies", "qualifies", "relates")
 
 
 def missing_fields(fields: tuple[str, ...] = REQUIRED) -> Column:

@@ -6,10 +6,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-#: The states of a video, and the freeze outcomes that may be tried again.
-STATES = ("pending", "frozen", "no_caption", "auth_required", "unavailable", "retryable", "tool_error", "rejected", "skipped")
+#: The states of a video, the freeze outcomes that may be tried again, those that end all candidates, and the preferred tracks.
+STATES = ("frozen", "pending", "missing", "auth_required", "unavailable", "retryable", "tool_error", "permanent_error", "raw_integrity_error")
 RETRIED = ("retryable", "tool_error")
-GLOBAL_ERRORS = ("auth_required", "rate_limited")
+GLOBAL_ERRORS = ("tool_missing", "auth_required", "unavailable", "timeout")
+KINDS = ("manual", "auto")
+LANGUAGES = ("zh-Hans", "zh-CN", "zh", "zh-Hant", "zh-TW")
+FORMATS = ("json3", "vtt", "srv3", "srv2", "srv1", "ttml")
 
 
 def content_kind(url: Column, live_status: Column, was_live: Column) -> Column:
@@ -41,14 +44,14 @@ TRACKS = "map<string,array<struct<ext:string>>>"
 def flatten_tracks(inventories: DataFrame) -> DataFrame:
     """inventories (video_id, manual, automatic: JSON of language -> [{ext}]) to rows (video_id, kind, language, format)."""
     one = lambda col, kind: inventories.select("video_id", F.lit(kind).alias("kind"), F.explode(F.from_json(col, TRACKS)).alias("language", "exts")).select("video_id", "kind", "language", F.explode("exts").alias("e")).select("video_id", "kind", "language", F.col("e.ext").alias("format"))
-    return one("manual", "manual").unionByName(one("automatic", "automatic"))
+    return one("manual", "manual").unionByName(one("automatic", "auto"))
 
 
-def rank_tracks(tracks: DataFrame, kinds: list[str], languages: list[str], formats: list[str]) -> DataFrame:
-    """Tracks in preferred languages with their rank (1 is chosen) by kind, then language, then format."""
-    place = lambda c, order: F.array_position(F.array(*map(F.lit, order)), F.col(c))
-    rows = tracks.withColumns({"k": place("kind", kinds), "l": place("language", languages), "f": place("format", formats)}).where("k > 0 and l > 0 and f > 0")
-    return rows.select("video_id", "kind", "language", "format", F.row_number().over(W.partitionBy("video_id").orderBy("k", "l", "f")).alias("rank"))
+def rank_tracks(tracks: DataFrame, languages: tuple[str, ...] = LANGUAGES, kinds: tuple[str, ...] = KINDS, formats: tuple[str, ...] = FORMATS) -> DataFrame:
+    """Tracks in preferred languages with their rank (1 is chosen) by kind, then language, then format; other kinds and formats come last."""
+    place = lambda c, order: F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, order)), F.col(c)), F.lit(0)), F.lit(100))
+    rows = tracks.where(F.col("language").isin(*languages)).withColumns({"k": place("kind", kinds), "l": place("language", languages), "f": place("format", formats)})
+    return rows.select("video_id", "kind", "language", "format", F.row_number().over(W.partitionBy("video_id").orderBy("k", "l", "f", "kind", "format")).alias("rank"))
 
 
 def cue_counts(captions: DataFrame, kind: str) -> DataFrame:
@@ -65,20 +68,25 @@ def cue_counts(captions: DataFrame, kind: str) -> DataFrame:
 
 
 #: Phrases in a tool's error output, by class.
-AUTH_PHRASES = ("sign in", "login required", "cookies")
-GONE_PHRASES = ("video unavailable", "private video", "has been removed")
+AUTH_PHRASES = ("sign in", "cookie", "authentication")
+GONE_PHRASES = ("video unavailable", "private video", "removed")
 
 
 def exit_class(stderr: Column, code: Column) -> Column:
     text = F.lower(stderr)
     has = lambda phrases: reduce(lambda a, b: a | b, [text.contains(p) for p in phrases])
-    return F.when(has(AUTH_PHRASES), "auth_required").when(has(GONE_PHRASES), "unavailable").when(code == 0, "ok").when(code == 101, "cancelled").otherwise("tool_error")
+    return F.when(has(AUTH_PHRASES), "auth_required").when(has(GONE_PHRASES), "unavailable").when(code == 0, "success").when(code == 101, "retryable").otherwise("tool_error")
 
 
-def redact(text: Column, most: int = 500) -> Column:
+#: Fixed value: what a secret looks like.
+SECRET = "[A-Za-z0-9._~+/=%-]{8,}"
+
+
+def redact(text: Column, most: int = 4096) -> Column:
     """URLs, bearer tokens, secret assignments and absolute paths replaced; then cut to `most` characters."""
     for pattern, by in (
-        ("https?://[^\\s\"']+", "[url]"), ("(?i)bearer +[A-Za-z0-9._~+/=-]+", "[token]"), ("(?i)(api_?key|token|secret|password)( *[=:] *)[^\\s,;]+", "$1$2[secret]"), ("(^|[\\s\"'(=])/(?:[A-Za-z0-9._-]+/)+[A-Za-z0-9._-]*", "$1[path]"),
+        ("https?://[^\\s\"'<>]+", "<redacted-url>"), (f"(?i)\\bbearer\\s+{SECRET}", "<redacted>"), (f"(?i)\\b(authorization|token|cookie|signature|sig|api[_-]?key|secret|access[_-]?key)\\s*[:=]\\s*{SECRET}", "$1=<redacted>"),
+        ("(?:/Users|/home|/root|/private|/var|/tmp)/[^\\s\"'<>]+", "<redacted-path>"),
     ):
         text = F.regexp_replace(text, pattern, by)
     return F.substring(text, 1, most)
@@ -108,7 +116,7 @@ def frozen_audit(files: DataFrame, manifest: DataFrame) -> DataFrame:
 def fall_through(attempts: DataFrame) -> DataFrame:
     """attempts (video_id, place, outcome) of ranked candidates: the first success up to the first global error, else the last outcome up to it."""
     w = W.partitionBy("video_id").orderBy("place").rowsBetween(W.unboundedPreceding, -1)
-    stops = F.col("outcome").isin(*GLOBAL_ERRORS, "ok")
+    stops = F.col("outcome").isin(*GLOBAL_ERRORS, "success")
     tried = attempts.withColumn("stopped", F.coalesce(F.max(stops).over(w), F.lit(False))).where("not stopped")
     return tried.groupBy("video_id").agg(F.max_by("outcome", "place").alias("outcome"), F.max("place").alias("place"), F.count(F.lit(1)).alias("tried"))
 
@@ -118,9 +126,9 @@ def uncataloged(requested: DataFrame, videos: DataFrame) -> DataFrame:
 
 
 def zero_filled(counts: DataFrame, column: str, values: tuple[str, ...]) -> DataFrame:
-    """counts (column, n) with a row of 0 for each value that is absent."""
+    """counts (column, n) with a row of 0 for each value that is absent; other values stay."""
     all_values = counts.sparkSession.createDataFrame([(v,) for v in values], f"{column} string")
-    return all_values.join(counts, column, "left").select(column, F.coalesce("n", F.lit(0)).alias("n"))
+    return all_values.join(counts, column, "full").select(column, F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def count_by(df: DataFrame, column: str) -> DataFrame:
@@ -149,7 +157,7 @@ def scope_counts(versions: DataFrame, analyzed: DataFrame, normalizer: str) -> D
 
 def top_errors(attempts: DataFrame, n: int = 10) -> DataFrame:
     """The n most frequent error classes of failed freezes; null counts as unknown."""
-    failed = attempts.where("stage = 'freeze' and outcome <> 'ok'").groupBy(F.coalesce("error_class", F.lit("unknown")).alias("error_class")).agg(F.count(F.lit(1)).alias("n"))
+    failed = attempts.where("stage = 'freeze' and outcome <> 'success'").groupBy(F.coalesce("error_class", F.lit("unknown")).alias("error_class")).agg(F.count(F.lit(1)).alias("n"))
     return failed.orderBy(F.desc("n"), "error_class").limit(n)
 
 

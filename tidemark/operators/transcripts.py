@@ -148,7 +148,7 @@ def normalize_scope(captions: DataFrame, versions: DataFrame, normalizer: str) -
 def analyze_scope(versions: DataFrame, attempts: DataFrame, runs: DataFrame, normalizer: str) -> DataFrame:
     """Videos whose newest version is ok and that no successful run has analysed with success."""
     newest = versions.where(F.col("normalizer") == normalizer).groupBy("video_id").agg(F.max_by(F.struct("version_id", "status"), F.struct("created_at", "version_id")).alias("v"))
-    good = attempts.where("stage = 'analyze' and outcome = 'ok'").join(runs.where("status = 'ok'").select("run_id"), "run_id", "left_semi").select("video_id").distinct()
+    good = attempts.where("stage = 'analyze' and outcome = 'success'").join(runs.where("status = 'success'").select("run_id"), "run_id", "left_semi").select("video_id").distinct()
     return newest.where("v.status = 'ok'").select("video_id", "v.version_id").join(good, "video_id", "left_anti")
 
 

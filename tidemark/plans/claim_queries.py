@@ -116,10 +116,10 @@ R9 = "(o_orderstatus = 'P' OR (o_totalprice <= 300000 AND o_totalprice >= 200000
 
 def links(spark, d):
     o = table(spark, d, "lineitem")
-    return o.select((F.col("l_partkey") % 1000).alias("candidate"), F.concat_ws("-", "l_returnflag", "l_linestatus", F.col("l_linenumber")).alias("name"), F.element_at(F.array(*map(F.lit, ("defines", "supports", "bogus", "mentions"))), (F.col("l_suppkey") % 4 + 1).cast("int")).alias("relation"))
+    return o.select((F.col("l_partkey") % 1000).alias("candidate"), F.concat_ws("-", "l_returnflag", "l_linestatus", F.col("l_linenumber")).alias("name"), F.element_at(F.array(*map(F.lit, ("defines", "uses", "bogus", "relates"))), (F.col("l_suppkey") % 4 + 1).cast("int")).alias("relation"))
 
 
-LINKS = "ln AS (SELECT DISTINCT l_partkey % 1000 AS candidate, l_returnflag || '-' || l_linestatus || '-' || l_linenumber AS name, ['defines', 'supports', 'bogus', 'mentions'][l_suppkey % 4 + 1] AS relation FROM lineitem), good AS (SELECT candidate, name, min(relation) AS relation FROM ln WHERE relation <> 'bogus' AND candidate IN (SELECT candidate FROM v WHERE rule_id IS NULL) GROUP BY ALL)"
+LINKS = "ln AS (SELECT DISTINCT l_partkey % 1000 AS candidate, l_returnflag || '-' || l_linestatus || '-' || l_linenumber AS name, ['defines', 'uses', 'bogus', 'relates'][l_suppkey % 4 + 1] AS relation FROM lineitem), good AS (SELECT candidate, name, min(relation) AS relation FROM ln WHERE relation <> 'bogus' AND candidate IN (SELECT candidate FROM v WHERE rule_id IS NULL) GROUP BY ALL)"
 
 
 def known_names(spark, d):

@@ -10,8 +10,8 @@ from .transcript_queries import VERSIONS, analyze_attempts, versions
 
 NOW = "2024-02-01 00:00:00"
 #: Outcome that an event of a type stands for.
-OUTCOMES = {"view": "ok", "click": "retryable", "signup": "no_caption", "purchase": "tool_error", "error": "unavailable"}
-OUT = "CASE event_type WHEN 'view' THEN 'ok' WHEN 'click' THEN 'retryable' WHEN 'signup' THEN 'no_caption' WHEN 'purchase' THEN 'tool_error' ELSE 'unavailable' END"
+OUTCOMES = {"view": "success", "click": "retryable", "signup": "missing", "purchase": "tool_error", "error": "unavailable"}
+OUT = "CASE event_type WHEN 'view' THEN 'success' WHEN 'click' THEN 'retryable' WHEN 'signup' THEN 'missing' WHEN 'purchase' THEN 'tool_error' ELSE 'unavailable' END"
 VID = "vid AS (SELECT c_custkey AS video_id, TIMESTAMP '2023-01-01' + to_days(CAST(c_nationkey * 7 + c_custkey % 5 AS INTEGER)) AS discovered_at, CASE WHEN c_acctbal < 0 THEN NULL WHEN c_acctbal < 3000 THEN 'unlisted' ELSE 'public' END AS availability, c_mktsegment AS collection_id FROM customer)"
 CAP = "cap AS (SELECT DISTINCT o_custkey AS video_id FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F')"
 ATT = f"att AS (SELECT event_id AS attempt_id, user_id AS video_id, CASE WHEN event_type = 'view' AND value > 20 THEN 'normalize' ELSE 'freeze' END AS stage, {OUT} AS outcome, CASE WHEN value < 30 THEN 'E' || (event_id % 13) END AS error_class, ts AS attempted_at FROM events)"
@@ -71,8 +71,8 @@ def inventories(spark, d) -> DataFrame:
 
 
 TRACK = """f0 AS (SELECT p_partkey AS video_id, lower(left(p_type, 2)) AS lang, p_retailprice > 1000 AS manual, CASE p_size % 3 WHEN 0 THEN ['vtt'] WHEN 1 THEN ['json3', 'vtt'] ELSE ['srv1', 'json3'] END AS exts FROM part),
-    tr AS (SELECT video_id, 'manual' AS kind, lang AS language, unnest(exts) AS format FROM f0 WHERE manual UNION ALL SELECT video_id, 'automatic', lang, unnest(exts) FROM f0 UNION ALL SELECT video_id, 'automatic', 'en', 'json3' FROM f0)"""
-RANKS = (["manual", "automatic"], ["ec", "en", "la"], ["json3", "vtt"])
+    tr AS (SELECT video_id, 'manual' AS kind, lang AS language, unnest(exts) AS format FROM f0 WHERE manual UNION ALL SELECT video_id, 'auto', lang, unnest(exts) FROM f0 UNION ALL SELECT video_id, 'auto', 'en', 'json3' FROM f0)"""
+PREFERRED = ("ec", "en", "la")
 
 
 def k8(spark, d):
@@ -84,7 +84,7 @@ def k8(spark, d):
 
 def k9(spark, d):
     n = F.coalesce(F.length("text"), F.lit(0))
-    said = F.concat(F.lit("open /home/user/data/file.txt at https://x.example/a?b=1 with Bearer abc.def-123 and api_key = s3cret; "), F.coalesce("text", F.lit("")), F.lit(" password:hunter2 done"))
+    said = F.concat(F.lit("open /home/user/data/file.txt at https://x.example/a?b=1 with Bearer abc.def-123 and api_key = s3cret-value; "), F.coalesce("text", F.lit("")), F.lit(" secret:hunter2hunter2 done"))
     return table(spark, d, "documents").select("doc_id", F.sha2(corpus.redact(said, 100_000_000), 256).alias("redacted_sha256"), corpus.redact(said, 120).alias("head"), n.alias("n"))
 
 
@@ -103,7 +103,7 @@ def k13(spark, d):
     e = table(spark, d, "events")
     from pyspark.sql import Window as W
 
-    outcome = F.when((F.col("event_type") == "view") & (F.col("value") < 5), "ok").when((F.col("event_type") == "error") & (F.col("value") > 40), "auth_required").otherwise(F.col("event_type"))
+    outcome = F.when((F.col("event_type") == "view") & (F.col("value") < 5), "success").when((F.col("event_type") == "error") & (F.col("value") > 40), "auth_required").otherwise(F.col("event_type"))
     return corpus.fall_through(e.select(F.col("user_id").alias("video_id"), F.row_number().over(W.partitionBy("user_id").orderBy("ts", "event_id")).alias("place"), outcome.alias("outcome")))
 
 
@@ -114,11 +114,11 @@ def runs(spark, d):
 
 def analyzed(spark, d):
     a, r = analyze_attempts(spark, d)
-    return a.where("stage = 'analyze' and outcome = 'ok'").join(r.where("status = 'ok'").select("run_id"), "run_id", "left_semi").select("video_id").distinct()
+    return a.where("stage = 'analyze' and outcome = 'success'").join(r.where("status = 'success'").select("run_id"), "run_id", "left_semi").select("video_id").distinct()
 
 
 def claims(spark, d):
-    status = F.when(F.col("toxic") == 1, "rejected").when(F.col("quality") == 1, "accepted").otherwise("candidate")
+    status = F.when(F.col("toxic") == 1, "rejected").when(F.col("quality") == 1, "accepted").otherwise("proposed")
     return table(spark, d, "labels").select(F.col("doc_id").alias("claim_id"), status.alias("status"))
 
 
@@ -135,12 +135,12 @@ def n2(s, d):
 
 
 def n3(s, d):
-    return corpus.zero_filled(claims(s, d).groupBy("status").agg(F.count(F.lit(1)).alias("n")), "status", ("candidate", "accepted", "rejected", "superseded"))
+    return corpus.zero_filled(claims(s, d).groupBy("status").agg(F.count(F.lit(1)).alias("n")), "status", ("accepted", "needs_review", "rejected", "proposed"))
 
 
 def n4(s, d):
     seeds = table(s, d, "region").agg(F.lit("seed").alias("status"), F.count(F.lit(1)).alias("n"))
-    return concepts(s, d).groupBy("status").agg(F.count(F.lit(1)).alias("n")).unionByName(seeds)
+    return corpus.zero_filled(concepts(s, d).groupBy("status").agg(F.count(F.lit(1)).alias("n")).unionByName(seeds), "status", ("seed", "proposed", "canonical", "deprecated"))
 
 
 def n5(s, d):
@@ -174,7 +174,7 @@ QUERIES = {
     "k3_metadata_fingerprint": lambda s, d: table(s, d, "customer").select("c_custkey", corpus.metadata_fingerprint(title="c_name", channel="c_mktsegment", nation="c_nationkey", note=F.lit(None).cast("string")).alias("fingerprint")),
     "k4_membership": k4,
     "k5_track_flatten": lambda s, d: corpus.flatten_tracks(inventories(s, d)),
-    "k6_track_selection": lambda s, d: corpus.rank_tracks(corpus.flatten_tracks(inventories(s, d)).distinct(), *RANKS),
+    "k6_track_selection": lambda s, d: corpus.rank_tracks(corpus.flatten_tracks(inventories(s, d)).distinct(), PREFERRED),
     "k8_exit_classification": k8,
     "k9_secret_redaction": k9,
     "k10_video_state": states,
@@ -197,16 +197,16 @@ QUERIES = {
     "n13_analyzed_videos": lambda s, d: analyzed(s, d).agg(F.count_distinct("video_id").alias("videos")),
 }
 
-REDACTED = "'open [path] at [url] with [token] and api_key = [secret]; ' || {x} || ' password:[secret] done'"
-REDACT = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace({x}, 'https?://[^\s\"'']+', '[url]', 'g'), '(?i)bearer +[A-Za-z0-9._~+/=-]+', '[token]', 'g'), '(?i)(api_?key|token|secret|password)( *[=:] *)[^\s,;]+', '\1\2[secret]', 'g'), '(^|[\s\"''(=])/(?:[A-Za-z0-9._-]+/)+[A-Za-z0-9._-]*', '\1[path]', 'g')"
-SAID = "'open /home/user/data/file.txt at https://x.example/a?b=1 with Bearer abc.def-123 and api_key = s3cret; ' || coalesce(text, '') || ' password:hunter2 done'"
+SECRET = "[A-Za-z0-9._~+/=%-]{8,}"
+REDACT = rf"""regexp_replace(regexp_replace(regexp_replace(regexp_replace({{x}}, 'https?://[^\s"''<>]+', '<redacted-url>', 'g'), '(?i)\bbearer\s+{SECRET.replace('{8,}', '{{8,}}')}', '<redacted>', 'g'), '(?i)\b(authorization|token|cookie|signature|sig|api[_-]?key|secret|access[_-]?key)\s*[:=]\s*{SECRET.replace('{8,}', '{{8,}}')}', '\1=<redacted>', 'g'), '(?:/Users|/home|/root|/private|/var|/tmp)/[^\s"''<>]+', '<redacted-path>', 'g')""".replace("{{8,}}", "{8,}")
+SAID = "'open /home/user/data/file.txt at https://x.example/a?b=1 with Bearer abc.def-123 and api_key = s3cret-value; ' || coalesce(text, '') || ' secret:hunter2hunter2 done'"
 DONE = "done AS (SELECT DISTINCT user_id AS video_id FROM events WHERE event_type <> 'view' AND value > 15 AND event_id % 60 % 4 <> 0)"
 N = {
-    "captions": f"SELECT state, coalesce(n, 0) AS n FROM (VALUES {', '.join(f'({s!r})' for s in corpus.STATES)}) v(state) LEFT JOIN (SELECT state, count(*) AS n FROM st GROUP BY 1) x USING (state)",
+    "captions": f"SELECT state, coalesce(n, 0) AS n FROM (VALUES {', '.join(f'({s!r})' for s in corpus.STATES)}) v(state) FULL JOIN (SELECT state, count(*) AS n FROM st GROUP BY 1) x USING (state)",
     "transcripts": """SELECT state, coalesce(n, 0) AS n FROM (VALUES ('normalized'), ('pending_normalize'), ('no_caption')) v(state) LEFT JOIN (SELECT CASE WHEN c.video_id IS NULL THEN 'no_caption' WHEN status = 'ok' THEN 'normalized' ELSE 'pending_normalize' END AS state, count(*) AS n
         FROM vid LEFT JOIN cap c USING (video_id) LEFT JOIN (SELECT video_id, arg_max(status, (created_at, version_id)) AS status FROM ver GROUP BY 1) w USING (video_id) GROUP BY 1) x USING (state)""",
-    "claims": "SELECT status, coalesce(n, 0) AS n FROM (VALUES ('candidate'), ('accepted'), ('rejected'), ('superseded')) v(status) LEFT JOIN (SELECT CASE WHEN toxic = 1 THEN 'rejected' WHEN quality = 1 THEN 'accepted' ELSE 'candidate' END AS status, count(*) AS n FROM labels GROUP BY 1) x USING (status)",
-    "concepts": "SELECT CASE WHEN p_size > 25 THEN 'canonical' ELSE 'proposed' END AS status, count(*) AS n FROM part GROUP BY 1 UNION ALL SELECT 'seed', count(*) FROM region",
+    "claims": "SELECT status, coalesce(n, 0) AS n FROM (VALUES ('accepted'), ('needs_review'), ('rejected'), ('proposed')) v(status) LEFT JOIN (SELECT CASE WHEN toxic = 1 THEN 'rejected' WHEN quality = 1 THEN 'accepted' ELSE 'proposed' END AS status, count(*) AS n FROM labels GROUP BY 1) x USING (status)",
+    "concepts": "SELECT CASE WHEN p_size > 25 THEN 'canonical' ELSE 'proposed' END AS status, count(*) AS n FROM part GROUP BY 1 UNION ALL SELECT 'seed', count(*) FROM region UNION ALL SELECT 'deprecated', 0",
     "scope": "SELECT count(*) FILTER (video_id NOT IN (FROM done)) AS pending, count(*) FILTER (video_id IN (FROM done)) AS analyzed FROM (SELECT video_id, arg_max(status, (created_at, version_id)) AS status FROM ver WHERE normalizer = 'plain' GROUP BY 1) WHERE status = 'ok'",
     "availability": "SELECT coalesce(availability, 'None') AS availability, count(*) AS n FROM vid GROUP BY 1",
     "collections": "SELECT collection_id, count(video_id) AS n FROM (SELECT DISTINCT collection_id FROM vid UNION ALL SELECT r_name FROM region) c LEFT JOIN vid USING (collection_id) GROUP BY 1",
@@ -225,16 +225,16 @@ ORACLE = {
     "k3_metadata_fingerprint": """SELECT c_custkey, sha256('{"channel":"' || c_mktsegment || '","nation":' || c_nationkey || ',"note":null,"title":"' || c_name || '"}') AS fingerprint FROM customer""",
     "k4_membership": "SELECT DISTINCT o_custkey AS video_id, o_orderpriority AS collection_id FROM orders EXCEPT SELECT o_custkey, o_orderpriority FROM orders WHERE o_orderdate < '1997-01-01'",
     "k5_track_flatten": f"WITH {TRACK} SELECT * FROM tr",
-    "k6_track_selection": f"""WITH {TRACK}, d AS (SELECT DISTINCT * FROM tr WHERE language IN ('ec', 'en', 'la') AND format IN ('json3', 'vtt'))
-        SELECT video_id, kind, language, format, row_number() OVER (PARTITION BY video_id ORDER BY kind DESC, language, format) AS rank FROM d""",
+    "k6_track_selection": f"""WITH {TRACK}, d AS (SELECT DISTINCT * FROM tr WHERE language IN ('ec', 'en', 'la'))
+        SELECT video_id, kind, language, format, row_number() OVER (PARTITION BY video_id ORDER BY kind DESC, language, CASE format WHEN 'json3' THEN 0 WHEN 'vtt' THEN 1 ELSE 2 END) AS rank FROM d""",
     "k8_exit_classification": """WITH s AS (SELECT doc_id, length(coalesce(text, '')) AS n, lower(coalesce(text, '')) AS t FROM documents)
-        SELECT doc_id, CASE WHEN n % 5 = 0 OR contains(t, 'sign in') OR contains(t, 'login required') OR contains(t, 'cookies') THEN 'auth_required' WHEN n % 7 = 0 OR contains(t, 'video unavailable') OR contains(t, 'private video') OR contains(t, 'has been removed') THEN 'unavailable'
-            WHEN n % 3 = 0 THEN 'ok' WHEN n % 3 = 1 THEN 'cancelled' ELSE 'tool_error' END AS class FROM s""",
+        SELECT doc_id, CASE WHEN n % 5 = 0 OR contains(t, 'sign in') OR contains(t, 'cookie') OR contains(t, 'authentication') THEN 'auth_required' WHEN n % 7 = 0 OR contains(t, 'video unavailable') OR contains(t, 'private video') OR contains(t, 'removed') THEN 'unavailable'
+            WHEN n % 3 = 0 THEN 'success' WHEN n % 3 = 1 THEN 'retryable' ELSE 'tool_error' END AS class FROM s""",
     "k9_secret_redaction": f"WITH r AS (SELECT doc_id, length(coalesce(text, '')) AS n, {REDACT.replace('{x}', SAID)} AS t FROM documents) SELECT doc_id, sha256(t) AS redacted_sha256, left(t, 120) AS head, n FROM r",
     "k10_video_state": f"{STATE} SELECT * FROM st",
     "k11_pending_selection": f"{STATE} SELECT video_id, discovered_at, state FROM st WHERE state IN ('pending', 'retryable', 'tool_error')",
-    "k13_candidate_fall_through": """WITH a AS (SELECT user_id AS video_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS place, CASE WHEN event_type = 'view' AND value < 5 THEN 'ok' WHEN event_type = 'error' AND value > 40 THEN 'auth_required' ELSE event_type END AS outcome FROM events),
-        b AS (SELECT *, min(CASE WHEN outcome IN ('ok', 'auth_required', 'rate_limited') THEN place END) OVER (PARTITION BY video_id) AS stop FROM a)
+    "k13_candidate_fall_through": """WITH a AS (SELECT user_id AS video_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS place, CASE WHEN event_type = 'view' AND value < 5 THEN 'success' WHEN event_type = 'error' AND value > 40 THEN 'auth_required' ELSE event_type END AS outcome FROM events),
+        b AS (SELECT *, min(CASE WHEN outcome IN ('success', 'tool_missing', 'auth_required', 'unavailable', 'timeout') THEN place END) OVER (PARTITION BY video_id) AS stop FROM a)
         SELECT video_id, arg_max(outcome, place) AS outcome, max(place) AS place, count(*) AS tried FROM b WHERE place <= coalesce(stop, place) GROUP BY 1""",
     "k14_uncataloged": "SELECT DISTINCT o_custkey + CASE o_orderstatus WHEN 'P' THEN 1000 ELSE 0 END AS video_id FROM orders WHERE o_custkey + CASE o_orderstatus WHEN 'P' THEN 1000 ELSE 0 END NOT IN (SELECT c_custkey FROM customer)",
     "n1_caption_states": f"{FULL} {N['captions']}",
@@ -245,7 +245,7 @@ ORACLE = {
     "n6_count_by_attribute": f"{FULL} {N['availability']}",
     "n7_count_by_collection": f"{FULL} {N['collections']}",
     "n8_oldest_pending": f"{FULL} SELECT min(discovered_at) AS oldest FROM st WHERE state IN ('pending', 'retryable', 'tool_error')",
-    "n9_top_error_classes": f"{FULL} SELECT coalesce(error_class, 'unknown') AS error_class, count(*) AS n FROM att WHERE stage = 'freeze' AND outcome <> 'ok' GROUP BY 1 ORDER BY n DESC, error_class LIMIT 10",
+    "n9_top_error_classes": f"{FULL} SELECT coalesce(error_class, 'unknown') AS error_class, count(*) AS n FROM att WHERE stage = 'freeze' AND outcome <> 'success' GROUP BY 1 ORDER BY n DESC, error_class LIMIT 10",
     "n10_partial_run_gaps": "SELECT o_orderkey AS run_id, 'videos' AS tab FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '2-HIGH' UNION ALL SELECT o_orderkey, 'shorts' FROM orders WHERE o_orderstatus = 'P' AND o_totalprice > 400000",
     "n11_coverage_report": f"""{FULL}, sc AS ({N['scope']}), long AS (
         {' UNION ALL '.join(f"SELECT '{k}' AS section, * FROM ({N[k]}) x{i}(name, n)" for i, k in enumerate(N) if k != 'scope')} UNION ALL SELECT 'scope', 'pending', pending FROM sc UNION ALL SELECT 'scope', 'analyzed', analyzed FROM sc) SELECT section, name, n::BIGINT AS n FROM long""",

@@ -90,13 +90,12 @@ VERSIONS = """ver AS (SELECT o_custkey AS video_id, o_orderkey AS version_id, sh
 
 def analyze_attempts(spark, d):
     e = table(spark, d, "events")
-    attempts = e.select(F.col("user_id").alias("video_id"), (F.col("event_id") % 60).alias("run_id"), F.when(F.col("event_type") == "view", "freeze").otherwise("analyze").alias("stage"), F.when(F.col("value") > 15, "ok").otherwise("failed").alias("outcome"))
-    runs = e.groupBy((F.col("event_id") % 60).alias("run_id")).agg(F.when(F.sum("value") % 3 < 1, "failed").otherwise("ok").alias("status"))
-    return attempts, e.select((F.col("event_id") % 60).alias("run_id")).distinct().withColumn("status", F.when(F.col("run_id") % 4 == 0, "failed").otherwise("ok"))
+    attempts = e.select(F.col("user_id").alias("video_id"), (F.col("event_id") % 60).alias("run_id"), F.when(F.col("event_type") == "view", "freeze").otherwise("analyze").alias("stage"), F.when(F.col("value") > 15, "success").otherwise("failed").alias("outcome"))
+    return attempts, e.select((F.col("event_id") % 60).alias("run_id")).distinct().withColumn("status", F.when(F.col("run_id") % 4 == 0, "failed").otherwise("success"))
 
 
-ATT = """att AS (SELECT user_id AS video_id, event_id % 60 AS run_id, CASE event_type WHEN 'view' THEN 'freeze' ELSE 'analyze' END AS stage, CASE WHEN value > 15 THEN 'ok' ELSE 'failed' END AS outcome FROM events),
-    done AS (SELECT DISTINCT video_id FROM att WHERE stage = 'analyze' AND outcome = 'ok' AND run_id % 4 <> 0)"""
+ATT = """att AS (SELECT user_id AS video_id, event_id % 60 AS run_id, CASE event_type WHEN 'view' THEN 'freeze' ELSE 'analyze' END AS stage, CASE WHEN value > 15 THEN 'success' ELSE 'failed' END AS outcome FROM events),
+    done AS (SELECT DISTINCT video_id FROM att WHERE stage = 'analyze' AND outcome = 'success' AND run_id % 4 <> 0)"""
 
 
 def texts(spark, d):
