@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from tidemark.llm.exact_dedup import drop_copies, exact_dedup
-from tidemark.llm.near_dedup import dart_minhash, keep_one, near_dedup
+from tidemark.llm.near_dedup import dart_minhash, in_full, keep_one, near_dedup
 from tidemark.llm.substring_dedup import substring_dedup
 from tidemark.llm.suffix_arrays import eights, found_in, kasai, suffix_array
 from tidemark.llm.suffix_dedup import repeated_windows, suffix_dedup
@@ -111,6 +111,15 @@ def test_near_dedup_links_groups_whose_centres_are_apart(spark):
     assert len(set(want.values())) < 12
 
 
+def test_full_comparison_in_a_shared_bucket_when_bytes_agree_in_an_earlier_band(spark):
+    """Signature bytes agree in every band, but the full values only in bands 1 and 2: the pair is compared there, not in band 0."""
+    keys = np.arange(10, dtype=np.uint32).tobytes()
+    signed = spark.createDataFrame([(1, bytearray(8), [11, 12, 13, 14]), (2, bytearray(8), [21, 12, 13, 24])], "doc_id long, sign binary, bands array<long>")
+    sets = spark.createDataFrame([(1, bytearray(keys), bytearray()), (2, bytearray(keys), bytearray())], "doc_id long, keys binary, counts binary")
+    members = spark.createDataFrame([(12, 1, 1, 1), (12, 1, 2, 2), (13, 2, 1, 1), (13, 2, 2, 2)], "bucket long, band int, doc long, label long")
+    assert [tuple(r) for r in in_full(members, signed, sets, 0.8, 4, 2).collect()] == [(1, 2, 1.0)]
+
+
 def test_weighted_near_dedup(spark):
     rows = [(1, "a b c d e " * 30), (2, "a b c d e " * 31), (3, "a b c d e " * 3), (4, brute.prose(2, 50))]
     got = {r.doc_id: r.class_id for r in near_dedup(spark.createDataFrame(rows, SCHEMA), weights="count").collect()}

@@ -222,15 +222,16 @@ def in_full(members: DataFrame, signed: DataFrame, sets: DataFrame, threshold: f
 
     The largest group of a bucket is dealt over salts, each of which gets all
     members of the smaller groups. Signatures rule out what is surely apart;
-    the rest is compared exactly, each pair in the first band that it shares.
+    the rest is compared exactly, each pair in the first band whose bucket (all
+    64 bits, not the signature's bytes) it shares.
     Of a document's links to one other group the first is enough.
     """
     per = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
     main = per.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("m"), F.sum("n").alias("all"))
     main = main.select("bucket", F.col("m.label").alias("main"), F.ceil(F.col("all") / rows_per_salt).cast("int").alias("salts"))
-    of_doc = signed.select(F.col("doc_id").alias("doc"), "sign").join(sets.select(F.col("doc_id").alias("doc"), "keys", "counts"), "doc")
+    of_doc = signed.select(F.col("doc_id").alias("doc"), "sign", "bands").join(sets.select(F.col("doc_id").alias("doc"), "keys", "counts"), "doc")
     dealt = members.join(main, "bucket").join(of_doc, "doc").select(
-        "bucket", "band", "doc", "label", (F.col("label") == F.col("main")).alias("main"), "sign", "keys", "counts",
+        "bucket", "band", "doc", "label", (F.col("label") == F.col("main")).alias("main"), "sign", "keys", "counts", "bands",
         F.explode(F.when(F.col("label") == F.col("main"), F.array(F.pmod(F.xxhash64("doc"), F.col("salts")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("salts") - 1))).alias("salt"),
     )
     enough = threshold - 4 * math.sqrt(threshold * (1 - threshold) / (bands * rows))
@@ -241,6 +242,7 @@ def in_full(members: DataFrame, signed: DataFrame, sets: DataFrame, threshold: f
         def close() -> pa.RecordBatch:
             docs, labels, main = (np.array([h[k] for h in held]) for k in range(3))
             signs = np.frombuffer(b"".join(h[3] for h in held), np.uint8).reshape(len(held), -1)
+            buckets = np.array([h[6] for h in held], np.int64)
             out = []
             for lo in range(0, len(docs), 64):
                 mine = np.arange(lo, min(lo + 64, len(docs)))
@@ -251,7 +253,7 @@ def in_full(members: DataFrame, signed: DataFrame, sets: DataFrame, threshold: f
                     maybe = (same.mean(axis=2) >= enough) & (labels[mine][:, None] != labels[None, x : x + block])
                     maybe &= main[None, x : x + block] | (docs[mine][:, None] < docs[None, x : x + block])
                     i, j = np.nonzero(maybe)
-                    first = same[i, j].reshape(len(i), bands, rows).all(axis=2).argmax(axis=1) == band
+                    first = (buckets[mine[i]] == buckets[x + j]).argmax(axis=1) == band
                     for p, q in zip(mine[i[first]].tolist(), (x + j[first]).tolist(), strict=True):
                         if (p, labels[q]) not in joined:
                             sim = jaccard(held[p][4], held[q][4], held[p][5], held[q][5])
@@ -262,7 +264,7 @@ def in_full(members: DataFrame, signed: DataFrame, sets: DataFrame, threshold: f
             return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.float64())], ["a", "b", "similarity"])
 
         for batch in batches:
-            for bucket, salt, number, *rest in zip(*(batch.column(i).to_pylist() for i in range(9)), strict=True):
+            for bucket, salt, number, *rest in zip(*(batch.column(i).to_pylist() for i in range(10)), strict=True):
                 if (bucket, salt) != at and held:
                     yield close()
                 at, band = (bucket, salt), number
@@ -271,7 +273,7 @@ def in_full(members: DataFrame, signed: DataFrame, sets: DataFrame, threshold: f
             yield close()
 
     ordered = dealt.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt")
-    return ordered.select("bucket", "salt", "band", "doc", "label", "main", "sign", "keys", "counts").mapInArrow(work, "a long, b long, similarity double").distinct()
+    return ordered.select("bucket", "salt", "band", "doc", "label", "main", "sign", "keys", "counts", "bands").mapInArrow(work, "a long, b long, similarity double").distinct()
 
 
 def near_dedup(
