@@ -6,12 +6,13 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm.exact_dedup import drop_copies, exact_dedup
 from tidemark.llm.near_dedup import dart_minhash, in_full, keep_one, near_dedup
 from tidemark.llm.substring_dedup import substring_dedup
 from tidemark.llm.suffix_arrays import eights, found_in, kasai, suffix_array
-from tidemark.llm.suffix_dedup import repeated_windows, suffix_dedup
+from tidemark.llm.suffix_dedup import hot_anchors, repeated_windows, stretches_of, suffix_dedup
 
 from . import brute
 
@@ -61,6 +62,31 @@ def test_suffix_dedup(docs, rows, shard_bytes):
     assert all(hashlib.sha256(r.kept_bytes).hexdigest() == r.kept_sha256 for r in got)
 
 
+def test_suffix_dedup_of_a_passage_that_all_documents_have(spark):
+    """Hot anchors: no key has stretches that grow with the documents, and the answer is the same."""
+    passage = brute.prose(777, 100)
+    rows = [(i, f"{brute.prose(2 * i, 60)} {passage} {brute.prose(2 * i + 1, 60)}") for i in range(400)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(2)
+    texts = docs.select(F.xxhash64("doc_id", "text").alias("doc"), F.col("doc_id").alias("tag"), "text")
+
+    def most(hot):
+        sizes = {}
+        for c in stretches_of(texts, 4, 200, 32, hot).where("not found").collect():
+            for key, size in zip(np.frombuffer(c["keys"], np.uint64).tolist(), np.frombuffer(c["sizes"], np.int64).tolist(), strict=True):
+                sizes[key] = sizes.get(key, 0) + size
+        return max(sizes.values())
+
+    hot = hot_anchors(texts, 200, 32, 20_000, 1)
+    assert len(hot) and most(hot[:0]) > 80_000 and most(hot) < 20_000
+    got = suffix_dedup(docs, hot_bytes=20_000, sample=1).collect()
+    same([(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got], brute.kept_bytes(rows))
+
+
+def test_suffix_dedup_with_every_anchor_hot(docs, rows):
+    got = suffix_dedup(docs, bytes_per_part=20_000, hot_bytes=1, sample=1).collect()
+    same([(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got], brute.kept_bytes(rows))
+
+
 def test_suffix_array_and_prefixes():
     for text in (b"banana" * 30, b"abracadabra", bytes(random.Random(3).choices(b"ab", k=500)), b"x"):
         data = np.frombuffer(text, np.uint8)

@@ -7,6 +7,12 @@ least `gram`-byte hash, so equal windows have equal anchors. Anchors that occur
 once need no more work (shared_keys counts them, in packs). For the others,
 each document cuts the stretch of its text that the anchor's windows cover, and
 the stretches are shuffled by anchor; equal windows always meet in one bucket.
+Where a passage is so common that an anchor's stretches, each with other text
+around it, would be `hot_bytes` or more, its windows are routed one by one by
+their own hashes: those that occur once drop out in the count of keys, and each
+task sends one copy of a window, however many documents have it. Which anchors
+are hot is estimated from one text in `sample` and all long ones; this decides
+the routes only, which are the same in every task, not the result.
 
 Shards. A bucket's stretches that are byte for byte equal collapse (all their
 windows repeat). The rest fill shards of at most `shard_bytes`. Each shard gets
@@ -30,13 +36,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .arrays import BYTE_BASE, mix, powers, prefix
+from .arrays import BYTE_BASE, chunks, mix, powers, prefix, rolled
 from .common import parts, text_bytes
 from .exchange import CHUNK, NAMES, PACK, TYPES, Flagged, batch, bucket_of, group_of, member, packed, shared_keys, with_texts
 from .suffix_arrays import eights, found_in, kasai, suffix_array
 
 LOW = np.uint64((1 << 24) - 1)
 SLICE = 1 << 23
+HOT_RUNS = 4_000
+LONG_TEXT = 1_000_000
 STRETCHES = "part int, found boolean, docs binary, starts binary, counts binary, keys binary, sizes binary, bytes binary"
 STRETCH_NAMES = ["part", "found", "docs", "starts", "counts", "keys", "sizes", "bytes"]
 STRETCH_TYPES = [pa.int32(), pa.bool_(), *[pa.binary()] * 6]
@@ -74,6 +82,40 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tu
     return tuple(np.concatenate(x) if x else np.zeros(0, k) for x, k in zip(out, kinds, strict=True))
 
 
+def routes(data: np.ndarray, offsets: np.ndarray, length: int, gram: int, hot: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """As anchors(), in blocks, but each window of a hot anchor (sorted hashes) is a run of its own with its own hash as the key."""
+    first, size, keys = anchors(data, offsets, length, gram)
+    split = member(keys, hot)
+    yield first[~split], size[~split], keys[~split]
+    each = lambda n: np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    for lo in range(0, int(split.sum()), HOT_RUNS):
+        at, n = first[split][lo : lo + HOT_RUNS], size[split][lo : lo + HOT_RUNS]
+        spans = n + length - 1
+        sums = prefix(data[np.repeat(at, spans) + each(spans)].astype(np.uint64) + np.uint64(1), BYTE_BASE)
+        begin = np.repeat(np.cumsum(spans) - spans, n) + each(n)
+        yield np.repeat(at, n) + each(n), np.ones(n.sum(), np.int64), rolled(sums, begin, begin + length, BYTE_BASE)
+
+
+def hot_anchors(docs: DataFrame, length: int, gram: int, hot_bytes: int, sample: int) -> np.ndarray:
+    """Sorted hashes of the anchors whose stretches are estimated at hot_bytes or more, from one text in `sample` and all long ones."""
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            times = b.column(0).to_numpy(zero_copy_only=False)
+            for lo, _, data, offsets in chunks(b.column(1), CHUNK // 2):
+                first, size, keys = anchors(data, offsets, length, gram)
+                if not len(keys):
+                    continue
+                each, of = np.unique(keys, return_inverse=True)
+                weight = np.bincount(of, (size + length - 1) * times[lo + np.searchsorted(offsets, first, "right") - 1])
+                yield pa.RecordBatch.from_arrays([pa.array(each.view(np.int64)), pa.array(weight.astype(np.int64))], ["key", "weight"])
+
+    long_text = F.octet_length("text") >= LONG_TEXT
+    some = docs.where(long_text | (F.pmod("doc", F.lit(sample)) == 0)).select(F.when(long_text, 1).otherwise(sample).cast("long").alias("times"), "text")
+    heavy = some.mapInArrow(weigh, "key long, weight long").groupBy("key").agg(F.sum("weight").alias("weight")).where(F.col("weight") >= hot_bytes)
+    return np.sort(np.array([k.key for k in heavy.select("key").collect()], np.int64).view(np.uint64))
+
+
 def repeated_windows(stretches: list[bytes], counts: np.ndarray, length: int, shard_bytes: int) -> list[np.ndarray]:
     """For distinct stretches with `counts` window starts each: which starts have an equal window at another start."""
     shards, marks = [], []
@@ -128,36 +170,49 @@ def runs(flags: np.ndarray) -> Iterator[tuple[int, int]]:
             yield at, min(hi - at, int(LOW))
 
 
-def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 200, gram: int = 32, bytes_per_part: int = 8_000_000, shard_bytes: int = 4_000_000, with_kept_bytes: bool = True) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_bytes (null unless with_kept_bytes)."""
-    docs = docs.select(F.xxhash64(doc_id, text).alias("doc"), docs[doc_id].cast("long").alias("tag"), F.coalesce(docs[text], F.lit("")).alias("text"))
-    n = parts(docs.sparkSession, text_bytes(docs), bytes_per_part)
+def stretches_of(docs: DataFrame, n: int, length: int, gram: int, hot: np.ndarray) -> DataFrame:
+    """STRETCHES of docs (doc, tag, text) in n buckets, and the intervals that tasks have settled."""
 
     def keys_of(data, offsets):
-        first, _, keys = anchors(data, offsets, length, gram)
-        return np.searchsorted(offsets, first, "right") - 1, keys
+        out = []
+        for first, _, keys in routes(data, offsets, length, gram, hot):
+            rows = np.searchsorted(offsets, first, "right") - 1
+            if out:  # of a hot window's places in one text two say that it repeats
+                order = np.lexsort((rows, keys))
+                rows, keys = rows[order], keys[order]
+                third = np.r_[False, False, (keys[2:] == keys[:-2]) & (rows[2:] == rows[:-2])][: len(keys)]
+                rows, keys = rows[~third], keys[~third]
+            out.append((rows, keys))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
     def cut():
         flagged, held, rows, weight = Flagged(), {}, [], [0]
         settled: tuple[list, list] = ([], [])
 
+        def settle(row, at, count):
+            if settled[0] and settled[0][-1] == row and (settled[1][-1] >> 24) + (n_last := settled[1][-1] & int(LOW)) == at and n_last + count <= int(LOW):
+                settled[1][-1] += count
+            else:
+                settled[0].append(row), settled[1].append(at << 24 | count)
+                weight[0] += 100
+
         def each(row, _, raw):
             known = flagged.of(row)
             if not len(known):
                 return
             data = np.frombuffer(raw, np.uint8)
-            first, size, keys = anchors(data, np.array([0, len(data)]), length, gram)
-            ok = member(keys, known)
-            for at, count, key in zip(first[ok].tolist(), size[ok].tolist(), keys[ok].tolist(), strict=True):
-                stretch = raw[at : at + count + length - 1]
-                if (seen := held.get((key, stretch))) is None:
-                    held[key, stretch] = [row, at, False]
-                    weight[0] += len(stretch) + 200
-                else:
-                    if not seen[2]:
-                        seen[2] = True
-                        settled[0].append(seen[0]), settled[1].append(seen[1] << 24 | count)
-                    settled[0].append(row), settled[1].append(at << 24 | count)
+            for first, size, keys in routes(data, np.array([0, len(data)]), length, gram, hot):
+                ok = member(keys, known)
+                for at, count, key in zip(first[ok].tolist(), size[ok].tolist(), keys[ok].tolist(), strict=True):
+                    stretch = raw[at : at + count + length - 1]
+                    if (seen := held.get((key, stretch))) is None:
+                        held[key, stretch] = [row, at, False]
+                        weight[0] += len(stretch) + 200
+                    else:
+                        if not seen[2]:
+                            seen[2] = True
+                            settle(seen[0], seen[1], count)
+                        settle(row, at, count)
 
         def flush(force):
             if not held or not force and weight[0] < 24_000_000:
@@ -185,6 +240,15 @@ def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
 
         return flagged.load, each, flush
 
+    packs = shared_keys(docs, "doc", "text", keys_of, n, n, later_only=False, chunk=CHUNK // 2)
+    return with_texts(packs, docs, n, cut, STRETCHES)
+
+
+def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 200, gram: int = 32, bytes_per_part: int = 8_000_000, shard_bytes: int = 4_000_000, with_kept_bytes: bool = True, hot_bytes: int = 4_000_000, sample: int = 16) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_bytes (null unless with_kept_bytes)."""
+    docs = docs.select(F.xxhash64(doc_id, text).alias("doc"), docs[doc_id].cast("long").alias("tag"), F.coalesce(docs[text], F.lit("")).alias("text"))
+    n = parts(docs.sparkSession, text_bytes(docs), bytes_per_part)
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
 
@@ -264,8 +328,7 @@ def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
 
         return flagged.load, each, flush
 
-    packs = shared_keys(docs, "doc", "text", keys_of, n, n, later_only=False, chunk=CHUNK // 2)
-    cuts = with_texts(packs, docs, n, cut, STRETCHES)
+    cuts = stretches_of(docs, n, length, gram, hot_anchors(docs, length, gram, hot_bytes, sample))
     # Settled intervals already carry their group of documents as their part and pass through.
     found = cuts.repartitionById(n, "part").sortWithinPartitions("part").mapInArrow(meet, PACK)
     return with_texts(found, docs, n, remove, RESULT).drop("row")
