@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm.exact_dedup import drop_copies, exact_dedup
-from tidemark.llm.near_dedup import dart_minhash, in_full, keep_one, near_dedup
+from tidemark.llm.near_dedup import block_pairs, dart_minhash, in_full, keep_one, near_dedup
 from tidemark.llm.substring_dedup import substring_dedup
 from tidemark.llm.suffix_arrays import eights, found_in, kasai, suffix_array
 from tidemark.llm.suffix_dedup import hot_anchors, repeated_windows, stretches_of, suffix_dedup
@@ -146,6 +146,35 @@ def test_full_comparison_in_a_shared_bucket_when_bytes_agree_in_an_earlier_band(
     assert [tuple(r) for r in in_full(members, signed, sets, 0.8, 4, 2).collect()] == [(1, 2, 1.0)]
 
 
+def test_no_group_of_the_full_comparison_grows_with_its_bucket(spark):
+    """A bucket of 600 documents apart and 300 of one group: all pairs across groups meet once, in groups of about 100 rows."""
+    rows = [(1, 0, i, i) for i in range(600)] + [(1, 0, 1000 + i, 600) for i in range(300)]
+    dealt = block_pairs(spark.createDataFrame(rows, "bucket long, band int, doc long, label long"), 100).collect()
+    groups, met = {}, {}
+    for r in dealt:
+        groups.setdefault((r.x, r.y), []).append(r)
+    for (x, y), held in groups.items():
+        assert len(held) < 180
+        for a in held:
+            for b in held:
+                if a.block == x and (b.block != x or a.within and a.doc < b.doc):
+                    pair = min(a.doc, b.doc), max(a.doc, b.doc)
+                    met[pair] = met.get(pair, 0) + 1
+    assert met == {(a[2], b[2]): 1 for a in rows for b in rows if a[2] < b[2] and a[3] != b[3]}
+
+
+def test_full_comparison_over_several_blocks(spark):
+    keys = {}
+    for i in range(40):
+        keys[i] = np.arange(10 if i % 2 else 100 * i, (10 if i % 2 else 100 * i) + 10, dtype=np.uint32).tobytes()
+    signed = spark.createDataFrame([(i, bytearray(8), [5, 6, 7, 8]) for i in keys], "doc_id long, sign binary, bands array<long>")
+    sets = spark.createDataFrame([(i, bytearray(k), bytearray()) for i, k in keys.items()], "doc_id long, keys binary, counts binary")
+    members = spark.createDataFrame([(5, 0, i, i) for i in keys], "bucket long, band int, doc long, label long")
+    want = {(a, b) for a in keys for b in keys if a < b and a % 2 and b % 2}
+    for size in (1000, 8):
+        assert {(r.a, r.b) for r in in_full(members, signed, sets, 0.8, 4, 2, rows_per_salt=size).collect()} == want
+
+
 def test_weighted_near_dedup(spark):
     rows = [(1, "a b c d e " * 30), (2, "a b c d e " * 31), (3, "a b c d e " * 3), (4, brute.prose(2, 50))]
     got = {r.doc_id: r.class_id for r in near_dedup(spark.createDataFrame(rows, SCHEMA), weights="count").collect()}

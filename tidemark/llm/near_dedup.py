@@ -15,7 +15,7 @@ In a bucket every member is compared with one centre, never all pairs; verified
 links (exact similarity >= `threshold`) join documents to groups, and buckets
 whose members are in one group are done. Further rounds take other centres.
 What is then still apart in a bucket is compared in full, by signature in
-blocks within tasks (buckets are salted by size), and exactly where the
+blocks within tasks (pairs of blocks of a bucket), and exactly where the
 signature leaves a chance (4 standard deviations); so there is no cap on
 members, pairs or candidates, and only links leave the tasks.
 
@@ -217,46 +217,61 @@ def starred(members: DataFrame, turn: int) -> DataFrame:
     return members.join(centre, "bucket").where("label <> its").select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")).distinct()
 
 
+def block_pairs(members: DataFrame, rows_per_salt: int) -> DataFrame:
+    """members with main, block, and a row for each pair of blocks (x, y), x <= y, of their bucket that they are in.
+
+    The largest group of a bucket (main) and its other members are each cut
+    into blocks of about rows_per_salt / 2. Blocks of other members meet each
+    other and those of main; the first block of main meets them as the pair in
+    which a block of other members is also compared within itself.
+    """
+    per = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    main = per.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("m"), F.sum("n").alias("all"))
+    blocks = lambda n: F.greatest(F.ceil(n / (rows_per_salt / 2)).cast("int"), F.lit(1))
+    main = main.select("bucket", F.col("m.label").alias("main"), blocks(F.col("m.n")).alias("mains"), blocks(F.col("all") - F.col("m.n")).alias("others"))
+    named = members.join(main, "bucket").withColumn("main", F.col("label") == F.col("main"))
+    spread = lambda n: F.pmod(F.xxhash64("doc"), n.cast("long")).cast("int")
+    named = named.withColumn("block", F.when(F.col("main"), F.col("others") + spread(F.col("mains"))).otherwise(spread(F.col("others"))))
+    met = F.filter(F.sequence(F.lit(0), F.col("others") - 1 + F.when(F.col("main"), 0).otherwise(F.col("mains"))), lambda c: c != F.col("block"))
+    return named.withColumn("meets", F.explode(met)).select("bucket", "band", "doc", "label", "main", "block", F.least("block", "meets").alias("x"), F.greatest("block", "meets").alias("y"), (F.greatest("block", "meets") == F.col("others")).alias("within"))
+
+
 def in_full(members: DataFrame, signed: DataFrame, sets: DataFrame, threshold: float, bands: int, rows: int, block: int = 512, rows_per_salt: int = 20_000) -> DataFrame:
     """(a, b, similarity): links between the groups that share a bucket, after comparing all its members across groups.
 
-    The largest group of a bucket is dealt over salts, each of which gets all
-    members of the smaller groups. Signatures rule out what is surely apart;
+    Pairs of bounded blocks are compared, each in a task's group of its own (see
+    block_pairs), so memory is bounded; the comparisons and the rows dealt grow
+    with the square of the members outside the bucket's largest group, which
+    nothing is left out to avoid. Signatures rule out what is surely apart;
     the rest is compared exactly, each pair in the first band whose bucket (all
     64 bits, not the signature's bytes) it shares.
     Of a document's links to one other group the first is enough.
     """
-    per = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    main = per.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("m"), F.sum("n").alias("all"))
-    main = main.select("bucket", F.col("m.label").alias("main"), F.ceil(F.col("all") / rows_per_salt).cast("int").alias("salts"))
-    of_doc = signed.select(F.col("doc_id").alias("doc"), "sign", "bands").join(sets.select(F.col("doc_id").alias("doc"), "keys", "counts"), "doc")
-    dealt = members.join(main, "bucket").join(of_doc, "doc").select(
-        "bucket", "band", "doc", "label", (F.col("label") == F.col("main")).alias("main"), "sign", "keys", "counts", "bands",
-        F.explode(F.when(F.col("label") == F.col("main"), F.array(F.pmod(F.xxhash64("doc"), F.col("salts")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("salts") - 1))).alias("salt"),
-    )
+    dealt = block_pairs(members, rows_per_salt).join(signed.select(F.col("doc_id").alias("doc"), "sign", "bands"), "doc").join(sets.select(F.col("doc_id").alias("doc"), "keys", "counts"), "doc")
     enough = threshold - 4 * math.sqrt(threshold * (1 - threshold) / (bands * rows))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, band, held = None, 0, []
+        at, band, within, held = None, 0, False, []
 
         def close() -> pa.RecordBatch:
-            docs, labels, main = (np.array([h[k] for h in held]) for k in range(3))
-            signs = np.frombuffer(b"".join(h[3] for h in held), np.uint8).reshape(len(held), -1)
-            buckets = np.array([h[6] for h in held], np.int64)
+            docs, labels, blocks = (np.array([h[k] for h in held]) for k in (0, 1, 6))
+            signs = np.frombuffer(b"".join(h[2] for h in held), np.uint8).reshape(len(held), -1)
+            buckets = np.array([h[5] for h in held], np.int64)
             out = []
-            for lo in range(0, len(docs), 64):
-                mine = np.arange(lo, min(lo + 64, len(docs)))
-                mine = mine[~main[mine]]
+            ours = np.flatnonzero(blocks == at[1])
+            for lo in range(0, len(ours), 64):
+                mine = ours[lo : lo + 64]
                 joined: set[tuple[int, int]] = set()
-                for x in range(0, len(docs), block) if len(mine) else ():
+                for x in range(0, len(docs), block):
                     same = signs[mine][:, None, :] == signs[None, x : x + block, :]
                     maybe = (same.mean(axis=2) >= enough) & (labels[mine][:, None] != labels[None, x : x + block])
-                    maybe &= main[None, x : x + block] | (docs[mine][:, None] < docs[None, x : x + block])
+                    other = blocks[None, x : x + block] != at[1]
+                    maybe &= other | (docs[mine][:, None] < docs[None, x : x + block]) if within else other
                     i, j = np.nonzero(maybe)
                     first = (buckets[mine[i]] == buckets[x + j]).argmax(axis=1) == band
                     for p, q in zip(mine[i[first]].tolist(), (x + j[first]).tolist(), strict=True):
                         if (p, labels[q]) not in joined:
-                            sim = jaccard(held[p][4], held[q][4], held[p][5], held[q][5])
+                            sim = jaccard(held[p][3], held[q][3], held[p][4], held[q][4])
                             if sim >= threshold:
                                 joined.add((p, labels[q]))
                                 out.append((min(docs[p], docs[q]), max(docs[p], docs[q]), sim))
@@ -264,16 +279,16 @@ def in_full(members: DataFrame, signed: DataFrame, sets: DataFrame, threshold: f
             return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.float64())], ["a", "b", "similarity"])
 
         for batch in batches:
-            for bucket, salt, number, *rest in zip(*(batch.column(i).to_pylist() for i in range(10)), strict=True):
-                if (bucket, salt) != at and held:
+            for bucket, x, y, inside, number, *rest in zip(*(batch.column(i).to_pylist() for i in range(12)), strict=True):
+                if (bucket, x, y) != at and held:
                     yield close()
-                at, band = (bucket, salt), number
+                at, band, within = (bucket, x, y), number, inside
                 held.append(rest)
         if held:
             yield close()
 
-    ordered = dealt.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt")
-    return ordered.select("bucket", "salt", "band", "doc", "label", "main", "sign", "keys", "counts", "bands").mapInArrow(work, "a long, b long, similarity double").distinct()
+    ordered = dealt.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
+    return ordered.select("bucket", "x", "y", "within", "band", "doc", "label", "sign", "keys", "counts", "bands", "block").mapInArrow(work, "a long, b long, similarity double").distinct()
 
 
 def near_dedup(
