@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm.exact_dedup import drop_copies, exact_dedup
-from tidemark.llm.near_dedup import block_pairs, dart_minhash, in_full, keep_one, near_dedup
+from tidemark.llm.near_dedup import block_pairs, dart_minhash, in_full, keep_one, near_dedup, near_groups, rare_shingles
 from tidemark.llm.substring_dedup import substring_dedup
 from tidemark.llm.suffix_arrays import eights, found_in, kasai, suffix_array
 from tidemark.llm.suffix_dedup import hot_anchors, repeated_windows, stretches_of, suffix_dedup
@@ -137,42 +137,81 @@ def test_near_dedup_links_groups_whose_centres_are_apart(spark):
     assert len(set(want.values())) < 12
 
 
-def test_full_comparison_in_a_shared_bucket_when_bytes_agree_in_an_earlier_band(spark):
-    """Signature bytes agree in every band, but the full values only in bands 1 and 2: the pair is compared there, not in band 0."""
-    keys = np.arange(10, dtype=np.uint32).tobytes()
-    signed = spark.createDataFrame([(1, bytearray(8), [11, 12, 13, 14]), (2, bytearray(8), [21, 12, 13, 24])], "doc_id long, sign binary, bands array<long>")
-    sets = spark.createDataFrame([(1, bytearray(keys), bytearray()), (2, bytearray(keys), bytearray())], "doc_id long, keys binary, counts binary")
-    members = spark.createDataFrame([(12, 1, 1, 1), (12, 1, 2, 2), (13, 2, 1, 1), (13, 2, 2, 2)], "bucket long, band int, doc long, label long")
-    assert [tuple(r) for r in in_full(members, signed, sets, 0.8, 4, 2).collect()] == [(1, 2, 1.0)]
+def test_several_texts_under_one_id_in_any_row_order(spark):
+    """Ids 1 to 3 are one group through the two texts of id 1, whichever comes first."""
+    a, b = brute.prose(41, 80), brute.prose(42, 80)
+    rows = [(1, a), (1, b), (2, a + " tail"), (3, b + " tail"), (4, brute.prose(43, 80)), (4, None)]
+    assert brute.near_classes(rows) == {1: 1, 2: 1, 3: 1, 4: 4}
+    for order in (rows, [rows[1], rows[0], *rows[2:]], rows[::-1]):
+        got = near_dedup(spark.createDataFrame(order, SCHEMA).coalesce(1)).collect()
+        assert len(got) == 6 and {(r.doc_id, r.class_id, r.class_size) for r in got} == {(1, 1, 3), (2, 1, 3), (3, 1, 3), (4, 4, 1)}
+        assert {(r.doc_id, r.links) for r in got} == {(1, 1), (2, 1), (3, 1), (4, 0)}
+
+
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_links_are_verified_and_span_their_classes_and_runs_agree(spark, docs, rows, rounds):
+    found = near_groups(docs, rounds=rounds)
+    texts = {}
+    for r in found.texts.collect():
+        texts.setdefault(r.text, []).append(r)
+    by_id = {}
+    for i, t in rows:
+        by_id.setdefault(i, []).append(brute.shingles(t))
+    links = found.links.collect()
+    joined = {}
+    for link in links:
+        sims = [len(p & q) / len(p | q) for p in by_id[texts[link.a][0].doc_id] for q in by_id[texts[link.b][0].doc_id] if p | q]
+        assert any(abs(s - link.similarity) < 1e-9 and s >= 0.8 for s in sims)
+        joined.setdefault(link.a, set()).add(link.b)
+        joined.setdefault(link.b, set()).add(link.a)
+    for r in found.classes.collect():
+        assert (r.links > 0) == (r.class_size > 1 and any(len(texts[t]) < r.class_size for t in texts if texts[t][0].class_id == r.class_id)) or r.doc_id in (7, None)
+    assert sorted(map(tuple, found.classes.collect()), key=repr) == sorted(map(tuple, near_dedup(docs.repartition(5), rounds=rounds).collect()), key=repr)
+    assert {(x.a, x.b) for x in links} and all(joined)
+
+
+def test_rare_shingles_meet_every_similar_pair_and_no_shared_template(spark):
+    r = random.Random(11)
+    template = list(range(1000, 1060))
+    sets = {i: template + list(range(10_000 + 100 * i, 10_000 + 100 * i + 40)) for i in range(30)}  # alike at 0.43
+    sets |= {100 + i: [*range(20_000, 20_040), *(30_000 + 10 * i + k for k in range(5))] for i in range(4)}  # alike at 0.8
+    sets |= {200: sets[3][:99] + [7], 201: sets[4][:60] + sets[5][60:]}
+    table = spark.createDataFrame([(i, r.sample(k, len(k)), []) for i, k in sets.items()], "rep long, keys array<long>, counts array<int>")
+    docs = spark.createDataFrame([(i, i, len(k)) for i, k in sets.items()], "doc long, k1 long, n long")
+    met = {}
+    for x in rare_shingles(table, docs, 0.8, False).collect():
+        met.setdefault(x.bucket, set()).add(x.doc)
+    pairs = {(a, b) for of in met.values() for a in of for b in of if a < b}
+    similar = {(a, b) for a in sets for b in sets if a < b and len({*sets[a]} & {*sets[b]}) >= 0.8 * len({*sets[a]} | {*sets[b]})}
+    assert similar and similar <= pairs and len(pairs) < 12
 
 
 def test_no_group_of_the_full_comparison_grows_with_its_bucket(spark):
     """A bucket of 600 documents apart and 300 of one group: all pairs across groups meet once, in groups of about 100 rows."""
-    rows = [(1, 0, i, i) for i in range(600)] + [(1, 0, 1000 + i, 600) for i in range(300)]
-    dealt = block_pairs(spark.createDataFrame(rows, "bucket long, band int, doc long, label long"), 100).collect()
-    groups, met = {}, {}
-    for r in dealt:
-        groups.setdefault((r.x, r.y), []).append(r)
-    for (x, y), held in groups.items():
-        assert len(held) < 180
-        for a in held:
-            for b in held:
-                if a.block == x and (b.block != x or a.within and a.doc < b.doc):
-                    pair = min(a.doc, b.doc), max(a.doc, b.doc)
-                    met[pair] = met.get(pair, 0) + 1
-    assert met == {(a[2], b[2]): 1 for a in rows for b in rows if a[2] < b[2] and a[3] != b[3]}
+    rows = [(1, i, i, 10, i) for i in range(600)] + [(1, 1000 + i, 1000 + i, 10, 600) for i in range(300)]
+    members = spark.createDataFrame(rows, "bucket long, doc long, k1 long, n long, label long")
+    for limits in ((50, 10**6), (10**6, 500)):
+        groups, met = {}, {}
+        for r in block_pairs(members, *limits).collect():
+            groups.setdefault((r.x, r.y), []).append(r)
+        for (x, y), held in groups.items():
+            assert len(held) < 180
+            for a in held:
+                for b in held:
+                    if a.block == x and (b.block != x or a.within and a.doc < b.doc):
+                        pair = min(a.doc, b.doc), max(a.doc, b.doc)
+                        met[pair] = met.get(pair, 0) + 1
+        assert met == {(a[1], b[1]): 1 for a in rows for b in rows if a[1] < b[1] and a[4] != b[4]}
 
 
 def test_full_comparison_over_several_blocks(spark):
-    keys = {}
-    for i in range(40):
-        keys[i] = np.arange(10 if i % 2 else 100 * i, (10 if i % 2 else 100 * i) + 10, dtype=np.uint32).tobytes()
-    signed = spark.createDataFrame([(i, bytearray(8), [5, 6, 7, 8]) for i in keys], "doc_id long, sign binary, bands array<long>")
-    sets = spark.createDataFrame([(i, bytearray(k), bytearray()) for i, k in keys.items()], "doc_id long, keys binary, counts binary")
-    members = spark.createDataFrame([(5, 0, i, i) for i in keys], "bucket long, band int, doc long, label long")
+    keys = {i: list(range(10 if i % 2 else 100 * i, (10 if i % 2 else 100 * i) + 10)) for i in range(40)}
+    signed = spark.createDataFrame([(i, bytearray(8)) for i in keys], "rep long, sign binary")
+    sets = spark.createDataFrame([(i, k, []) for i, k in keys.items()], "rep long, keys array<long>, counts array<int>")
+    members = spark.createDataFrame([(5, i, i, 10, i) for i in keys], "bucket long, doc long, k1 long, n long, label long")
     want = {(a, b) for a in keys for b in keys if a < b and a % 2 and b % 2}
-    for size in (1000, 8):
-        assert {(r.a, r.b) for r in in_full(members, signed, sets, 0.8, 4, 2, rows_per_salt=size).collect()} == want
+    for size in (1000, 4):
+        assert {(r.a, r.b) for r in in_full(members, signed, sets, 0.8, rows_per_block=size).collect()} == want
 
 
 def test_weighted_near_dedup(spark):

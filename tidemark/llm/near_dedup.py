@@ -9,37 +9,46 @@ dart of least rank. About k ln k + 2k darts are thrown for a text whatever its
 size; where a coordinate stays empty, the ranks searched double. Two texts agree
 in a coordinate with a chance equal to their (weighted) Jaccard similarity.
 
-Texts with equal shingle sets are one class and only its smallest doc_id goes
-on. Signatures are banded; documents that share a band's values are candidates.
-In a bucket every member is compared with one centre, never all pairs; verified
-links (exact similarity >= `threshold`) join documents to groups, and buckets
-whose members are in one group are done. Further rounds take other centres.
-What is then still apart in a bucket is compared in full, by signature in
-blocks within tasks (pairs of blocks of a bucket), and exactly where the
-signature leaves a chance (4 standard deviations); so there is no cap on
-members, pairs or candidates, and only links leave the tasks.
-
-Answer: one row for each document, with class_id (smallest doc_id of its
-group), class_size and links (verified links that joined its class to others;
-enough of them to span each group, not all pairs).
+1. Texts with equal shingle sets (two 64-bit sums and the size agree) are one
+   vertex, numbered in the order of smallest doc_id, then of the sums.
+2. Signatures are banded; vertices that share a band's values are candidates.
+   In a bucket every member is compared with one centre, never all pairs;
+   verified links (exact similarity of 64-bit shingle hashes >= `threshold`)
+   join vertices to groups, and buckets whose members are in one group are done.
+   A further round takes other centres.
+3. Members of buckets that are still in several groups are joined exactly, by
+   prefix filtering: with shingles in order of how few of these texts have them,
+   two similar texts share one within their first 1 - threshold of shingles, so
+   only texts of different groups that meet in such a shingle are compared. A
+   template that a third of all texts share is common and hence in no prefix.
+   Where a prefix shingle is common all the same, pairs of bounded blocks of its
+   texts are compared, each in a task's group of its own. No member, pair or
+   candidate is left out, and only links leave the tasks.
+
+Equal input gives equal output, links included: centres and blocks follow hashes
+of the texts, not row order or partitions.
+
 Texts without words (null too) and rows with null doc_id stay alone. Rows with
-equal doc_id and different texts are as many documents under one id: if one is
-linked, all rows of that id are. An empty table gives an empty result.
+equal doc_id and different texts are as many vertices under one id: if one is
+linked, all rows of that id are. An empty table gives an empty result; columns
+other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .arrays import WORD_BASE, Words, chunks, mix, prefix, rolled
-from .common import bounded, stage
+from .common import bounded, discard, salted_join, stage
 
 CHUNK = 2_000_000
+SET = ["n", "k1", "k2"]
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -116,21 +125,30 @@ def dart_minhash(rows: np.ndarray, keys: np.ndarray, weights: np.ndarray, n: int
     return sign.reshape(n, k)
 
 
+def set_sums(of: np.ndarray, keys: np.ndarray, counts: np.ndarray, n: int, weights: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each row: its number of shingles, and two 64-bit sums that stand for the set of them (and their counts)."""
+    size = np.bincount(of, minlength=n)
+    edges = np.r_[0, np.cumsum(size)]
+    weight = counts.astype(np.uint64) if weights == "count" else np.uint64(1)
+    sums = []
+    for spread in (keys ^ weight, keys + np.uint64(0x2545F4914F6CDD1D) * weight):
+        total = np.r_[np.uint64(0), np.cumsum(mix(spread))]
+        sums.append((total[edges[1:]] - total[edges[:-1]]).view(np.int64))
+    return size, *sums
+
+
 SIGNED = "doc_id long, n long, k1 long, k2 long, bands array<long>, sign binary"
 
 
 def signatures(docs: DataFrame, gram: int, bands: int, rows: int, weights: str) -> DataFrame:
-    """SIGNED: number of distinct shingles, two hashes of their set, the bands' values, and one byte of each coordinate."""
+    """SIGNED: number of distinct shingles, two sums that stand for their set, the bands' values, and one byte of each coordinate."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi, data, offsets in chunks(b.column(1), CHUNK):
                 of, keys, counts = shingles(data, offsets, gram)
                 n = hi - lo
-                size = np.bincount(of, minlength=n)
-                edges = np.r_[0, np.cumsum(size)]
-                sums = np.r_[np.uint64(0), np.cumsum(mix(keys ^ (counts.astype(np.uint64) if weights == "count" else np.uint64(1))))]
-                twice = np.r_[np.uint64(0), np.cumsum(mix(keys + np.uint64(0x2545F4914F6CDD1D) * (counts.astype(np.uint64) if weights == "count" else np.uint64(1))))]
+                size, k1, k2 = set_sums(of, keys, counts, n, weights)
                 s = dart_minhash(of, keys, counts.astype(float) if weights == "count" else np.ones(len(keys)), n, bands * rows)
                 folded = np.zeros((n, bands), np.uint64)
                 for r in range(rows):
@@ -139,57 +157,72 @@ def signatures(docs: DataFrame, gram: int, bands: int, rows: int, weights: str)
                 lengths = np.r_[0, np.cumsum(np.where(size > 0, bands, 0))].astype(np.int32)
                 small = (s & np.uint64(255)).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays([
-                    b.column(0).slice(lo, n), pa.array(size), pa.array((sums[edges[1:]] - sums[edges[:-1]]).view(np.int64)), pa.array((twice[edges[1:]] - twice[edges[:-1]]).view(np.int64)),
+                    b.column(0).slice(lo, n), pa.array(size), pa.array(k1), pa.array(k2),
                     pa.ListArray.from_arrays(pa.array(lengths), pa.array(folded.ravel().view(np.int64))), pa.array([x.tobytes() for x in small], pa.binary()),
-                ], ["doc_id", "n", "k1", "k2", "bands", "sign"])
+                ], ["doc_id", *SET, "bands", "sign"])
 
     return docs.mapInArrow(sign, SIGNED)
 
 
 def sets_of(docs: DataFrame, gram: int, weights: str) -> DataFrame:
-    """doc_id and its sorted shingles: 32 bits of each hash, then each count as 16 bits where weights are counts."""
+    """doc_id, n, k1, k2 as in SIGNED, and the distinct shingles' hashes and counts of each text."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi, data, offsets in chunks(b.column(1), CHUNK):
                 of, keys, counts = shingles(data, offsets, gram)
-                keys = (keys >> np.uint64(32)).astype(np.uint32)
-                edges = np.r_[0, np.cumsum(np.bincount(of, minlength=hi - lo))]
-                cut = [(keys[x:y].tobytes(), counts[x:y].astype(np.uint32).tobytes() if weights == "count" else b"") for x, y in zip(edges[:-1], edges[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array([x for x, _ in cut], pa.binary()), pa.array([y for _, y in cut], pa.binary())], ["doc_id", "keys", "counts"])
+                size, k1, k2 = set_sums(of, keys, counts, hi - lo, weights)
+                edges = pa.array(np.r_[0, np.cumsum(size)].astype(np.int32))
+                weighed = counts.astype(np.int32) if weights == "count" else np.zeros(0, np.int32)
+                yield pa.RecordBatch.from_arrays([
+                    b.column(0).slice(lo, hi - lo), pa.array(size), pa.array(k1), pa.array(k2),
+                    pa.ListArray.from_arrays(edges, pa.array(keys.view(np.int64))), pa.ListArray.from_arrays(edges if weights == "count" else pa.array(np.zeros(hi - lo + 1, np.int32)), pa.array(weighed)),
+                ], ["doc_id", *SET, "keys", "counts"])
+
+    return docs.mapInArrow(work, "doc_id long, n long, k1 long, k2 long, keys array<long>, counts array<int>")
 
-    return docs.mapInArrow(work, "doc_id long, keys binary, counts binary")
 
+def lists(column: pa.Array) -> list[np.ndarray]:
+    """The lists of an Arrow list column as numpy views."""
+    values, at = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    return [values[x:y] for x, y in zip(at[:-1], at[1:], strict=True)]
 
-def jaccard(a: bytes, b: bytes, x: bytes = b"", y: bytes = b"") -> float:
-    """Similarity of two sorted sets; with counts, sum of minima over sum of maxima."""
-    p, q = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
-    if not x:
-        both = len(np.intersect1d(p, q, assume_unique=False))
+
+def jaccard(p: np.ndarray, q: np.ndarray, v: np.ndarray, w: np.ndarray) -> float:
+    """Similarity of two sets of distinct shingles; where they have counts v and w, sum of minima over sum of maxima."""
+    if not len(v):
+        both = len(np.intersect1d(p, q, assume_unique=True))
         return both / max(1, len(p) + len(q) - both)
-    v, w = np.frombuffer(x, np.uint32).astype(float), np.frombuffer(y, np.uint32).astype(float)
-    _, i, j = np.intersect1d(p, q, return_indices=True)
-    least = np.minimum(v[i], w[j]).sum()
-    return least / max(1.0, v.sum() + w.sum() - least)
+    _, i, j = np.intersect1d(p, q, assume_unique=True, return_indices=True)
+    least = float(np.minimum(v[i], w[j]).sum())
+    return least / max(1.0, float(v.sum()) + float(w.sum()) - least)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose sets are similar by threshold or more, with the similarity."""
+    """Of the pairs (doc, centre) those whose sets are similar by threshold or more: a < b, similarity.
+
+    A centre's set goes out to as many salts as its members fill.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sim = [jaccard(*x) for x in zip(*(b.column(i).to_pylist() for i in range(2, 6)), strict=True)]
-            ok = pa.array([s >= threshold for s in sim], pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sim, pa.float64())], ["a", "b", "similarity"]).filter(ok)
+            sim = np.array([jaccard(*x) for x in zip(*(lists(b.column(i)) for i in range(2, 6)), strict=True)], float)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sim)], ["doc", "centre", "similarity"]).filter(pa.array(sim >= threshold))
 
-    one = sets.select(F.col("doc_id").alias("b"), F.col("keys").alias("kb"), F.col("counts").alias("cb"))
-    two = sets.select(F.col("doc_id").alias("a"), F.col("keys").alias("ka"), F.col("counts").alias("ca"))
-    joined = pairs.select("a", "b").join(one, "b").join(two, "a")
-    return joined.select("a", "b", "ka", "kb", "ca", "cb").mapInArrow(work, "a long, b long, similarity double").distinct()
+    pairs = stage(pairs, "star-pairs")
+    counts = pairs.groupBy("centre").agg(F.count(F.lit(1)).alias("n_"))
+    one = sets.select(F.col("rep").alias("doc"), F.col("keys").alias("p"), F.col("counts").alias("v"))
+    two = sets.select(F.col("rep").alias("centre"), F.col("keys").alias("q"), F.col("counts").alias("w"))
+    joined = salted_join(pairs.join(one, "doc"), two, ["centre"], counts, F.col("doc"))
+    found = joined.select("doc", "centre", "p", "q", "v", "w").mapInArrow(work, "doc long, centre long, similarity double")
+    return found.select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b"), "similarity").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """doc, label: the smallest vertex of each vertex's component, by alternating large and small stars."""
+    """doc, label (staged): the smallest vertex of each vertex's component, by alternating large and small stars.
+
+    A round is two jobs, the next edges and the test for the end: that no vertex has two parents or is child and parent.
+    """
     e = stage(edges.select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("y")).where("x <> y").distinct(), "edges")
     while True:
         both = e.select(F.col("x").alias("u"), F.col("y").alias("v")).unionByName(e.select(F.col("y").alias("u"), F.col("x").alias("v")))
@@ -197,140 +230,199 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("x"), F.col("m").alias("y"))
         low = large.groupBy("x").agg(F.min("y").alias("m"))
         small = large.join(low, "x").where("y <> m").select(F.col("y").alias("x"), F.col("m").alias("y")).unionByName(low.select("x", F.col("m").alias("y")))
-        e = stage(small.distinct(), "edges")
-        parents = e.groupBy("x").agg(F.count(F.lit(1)).alias("k"))
-        if not parents.where("k > 1").limit(1).count() and not e.join(e.select(F.col("y").alias("x")).distinct(), "x", "left_semi").limit(1).count():
-            return e.select(F.col("x").alias("doc"), F.col("y").alias("label")).unionByName(e.select(F.col("y").alias("doc"), F.col("y").alias("label")).distinct())
+        e = stage(small.distinct(), "edges", replaces=e)
+        ends = e.select(F.col("x").alias("v"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(e.select(F.col("y").alias("v"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        if ends.groupBy("v").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up = 1 and down = 1").isEmpty():
+            break
+    stars = e.select(F.col("x").alias("doc"), F.col("y").alias("label"))
+    return stage(stars.unionByName(e.select(F.col("y").alias("doc"), F.col("y").alias("label")).distinct()), "labels", replaces=e)
 
 
 def apart(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """members (bucket, doc) with label, of buckets with more than one label; a document without links is its own label."""
+    """members (bucket, doc, ..) with label, of buckets with more than one label; a vertex without links is its own label."""
     named = members.join(labels, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
-    mixed = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket")
-    return stage(named.join(mixed, "bucket").select("bucket", "band", "doc", "label"), "apart")
+    mixed = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n_")).where("lo < hi").select("bucket", "n_")
+    named, mixed = stage(named, "named"), stage(mixed, "mixed")
+    return stage(salted_join(named, mixed.select("bucket"), ["bucket"], mixed, F.col("doc")), "apart", replaces=named)
 
 
 def starred(members: DataFrame, turn: int) -> DataFrame:
-    """(a, b): each member's pair with the centre of its bucket, without those already in the centre's group."""
-    order = F.struct(F.xxhash64("doc", F.lit(turn)).alias("h") if turn else F.lit(0).cast("long").alias("h"), "doc", "label")
-    centre = members.groupBy("bucket").agg(F.min(order).alias("c")).select("bucket", F.col("c.doc").alias("centre"), F.col("c.label").alias("its"))
-    return members.join(centre, "bucket").where("label <> its").select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")).distinct()
+    """(doc, centre): each member with the centre of its bucket, without those already in the centre's group."""
+    order = F.struct(F.xxhash64("k1", F.lit(turn)).alias("h") if turn else F.lit(0).cast("long").alias("h"), "doc", "label")
+    centre = members.groupBy("bucket").agg(F.min(order).alias("c"), F.count(F.lit(1)).alias("n_")).select("bucket", F.col("c.doc").alias("centre"), F.col("c.label").alias("its"), "n_")
+    centre = stage(centre, "centres")
+    return salted_join(members, centre.drop("n_"), ["bucket"], centre, F.col("doc")).where("label <> its").select("doc", "centre").distinct()
+
 
+def rare_shingles(sets: DataFrame, docs: DataFrame, threshold: float, by_count: bool) -> DataFrame:
+    """(bucket, doc, k1, n): the shingles by which each of docs (doc, k1, n) can meet a similar one of them.
 
-def block_pairs(members: DataFrame, rows_per_salt: int) -> DataFrame:
+    Shingles are in order of how few of docs have them; of two texts similar by
+    threshold, the first common shingle has at most 1 - threshold of the weight of
+    either text before it. Shingles that only one text has come first and meet none.
+    """
+    one = F.explode(F.arrays_zip("keys", "counts")) if by_count else F.explode("keys")
+    each = sets.join(docs.select(F.col("doc").alias("rep")), "rep", "left_semi").select(F.col("rep").alias("doc"), one.alias("e"))
+    each = each.select("doc", F.col("e.keys").alias("bucket"), F.col("e.counts").cast("long").alias("w")) if by_count else each.select("doc", F.col("e").alias("bucket"), F.lit(1).cast("long").alias("w"))
+    often = stage(each.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_")).where("n_ > 1"), "shingle-counts")
+    shared = salted_join(each, often, ["bucket"], often, F.col("doc"))
+    total = each.groupBy("doc").agg(F.sum("w").alias("total"))
+    of, ahead = W.partitionBy("doc"), W.partitionBy("doc").orderBy("n_", "bucket").rowsBetween(W.unboundedPreceding, -1)
+    before = F.col("total") - F.sum("w").over(of) + F.coalesce(F.sum("w").over(ahead), F.lit(0))
+    first = shared.join(total, "doc").withColumn("before", before).where(F.col("before") <= F.col("total") * (1 - threshold) + 1e-6)
+    return first.select("bucket", "doc").join(docs, "doc")
+
+
+def block_pairs(members: DataFrame, rows_per_block: int, shingles_per_block: int) -> DataFrame:
     """members with main, block, and a row for each pair of blocks (x, y), x <= y, of their bucket that they are in.
 
     The largest group of a bucket (main) and its other members are each cut
-    into blocks of about rows_per_salt / 2. Blocks of other members meet each
+    into blocks of bounded rows and shingles. Blocks of other members meet each
     other and those of main; the first block of main meets them as the pair in
     which a block of other members is also compared within itself.
     """
-    per = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    main = per.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("m"), F.sum("n").alias("all"))
-    blocks = lambda n: F.greatest(F.ceil(n / (rows_per_salt / 2)).cast("int"), F.lit(1))
-    main = main.select("bucket", F.col("m.label").alias("main"), blocks(F.col("m.n")).alias("mains"), blocks(F.col("all") - F.col("m.n")).alias("others"))
+    per = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n_"), F.sum("n").alias("size"))
+    main = per.groupBy("bucket").agg(F.max(F.struct("n_", "label", "size")).alias("m"), F.sum("n_").alias("all"), F.sum("size").alias("sizes"))
+    blocks = lambda n, size: F.greatest(F.ceil(n / rows_per_block), F.ceil(size / shingles_per_block), F.lit(1)).cast("int")
+    main = main.select("bucket", F.col("m.label").alias("main"), blocks(F.col("m.n_"), F.col("m.size")).alias("mains"), blocks(F.col("all") - F.col("m.n_"), F.col("sizes") - F.col("m.size")).alias("others"))
     named = members.join(main, "bucket").withColumn("main", F.col("label") == F.col("main"))
-    spread = lambda n: F.pmod(F.xxhash64("doc"), n.cast("long")).cast("int")
+    spread = lambda n: F.pmod(F.xxhash64("k1"), n.cast("long")).cast("int")
     named = named.withColumn("block", F.when(F.col("main"), F.col("others") + spread(F.col("mains"))).otherwise(spread(F.col("others"))))
     met = F.filter(F.sequence(F.lit(0), F.col("others") - 1 + F.when(F.col("main"), 0).otherwise(F.col("mains"))), lambda c: c != F.col("block"))
-    return named.withColumn("meets", F.explode(met)).select("bucket", "band", "doc", "label", "main", "block", F.least("block", "meets").alias("x"), F.greatest("block", "meets").alias("y"), (F.greatest("block", "meets") == F.col("others")).alias("within"))
+    return named.withColumn("meets", F.explode(met)).select("bucket", "doc", "label", "main", "block", F.least("block", "meets").alias("x"), F.greatest("block", "meets").alias("y"), (F.greatest("block", "meets") == F.col("others")).alias("within"))
 
 
-def in_full(members: DataFrame, signed: DataFrame, sets: DataFrame, threshold: float, bands: int, rows: int, block: int = 512, rows_per_salt: int = 20_000) -> DataFrame:
+def in_full(members: DataFrame, signed: DataFrame, sets: DataFrame, threshold: float, block: int = 512, rows_per_block: int = 4_000, shingles_per_block: int = 2_000_000) -> DataFrame:
     """(a, b, similarity): links between the groups that share a bucket, after comparing all its members across groups.
 
     Pairs of bounded blocks are compared, each in a task's group of its own (see
-    block_pairs), so memory is bounded; the comparisons and the rows dealt grow
-    with the square of the members outside the bucket's largest group, which
-    nothing is left out to avoid. Signatures rule out what is surely apart;
-    the rest is compared exactly, each pair in the first band whose bucket (all
-    64 bits, not the signature's bytes) it shares.
-    Of a document's links to one other group the first is enough.
+    block_pairs). Pairs whose sizes or signatures (6 standard deviations) rule
+    similarity out go; the rest is compared exactly. Of a document's links to one
+    other group in a pair of blocks the first is enough.
     """
-    dealt = block_pairs(members, rows_per_salt).join(signed.select(F.col("doc_id").alias("doc"), "sign", "bands"), "doc").join(sets.select(F.col("doc_id").alias("doc"), "keys", "counts"), "doc")
-    enough = threshold - 4 * math.sqrt(threshold * (1 - threshold) / (bands * rows))
+    coordinates = signed.select(F.col("rep").alias("doc"), "sign")
+    dealt = block_pairs(members, rows_per_block, shingles_per_block).join(coordinates, "doc").join(sets.select(F.col("rep").alias("doc"), "keys", "counts"), "doc")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, band, within, held = None, 0, False, []
+        at, within, held = None, False, []
 
         def close() -> pa.RecordBatch:
-            docs, labels, blocks = (np.array([h[k] for h in held]) for k in (0, 1, 6))
-            signs = np.frombuffer(b"".join(h[2] for h in held), np.uint8).reshape(len(held), -1)
-            buckets = np.array([h[5] for h in held], np.int64)
+            docs, labels, blocks = (np.array([h[k] for h in held]) for k in (0, 1, 2))
+            signs = np.frombuffer(b"".join(h[3] for h in held), np.uint8).reshape(len(held), -1)
+            weight = np.array([h[5].sum() if len(h[5]) else len(h[4]) for h in held], float)
+            enough = threshold - 6 * math.sqrt(threshold * (1 - threshold) / max(1, signs.shape[1]))
             out = []
             ours = np.flatnonzero(blocks == at[1])
             for lo in range(0, len(ours), 64):
                 mine = ours[lo : lo + 64]
                 joined: set[tuple[int, int]] = set()
                 for x in range(0, len(docs), block):
-                    same = signs[mine][:, None, :] == signs[None, x : x + block, :]
-                    maybe = (same.mean(axis=2) >= enough) & (labels[mine][:, None] != labels[None, x : x + block])
-                    other = blocks[None, x : x + block] != at[1]
-                    maybe &= other | (docs[mine][:, None] < docs[None, x : x + block]) if within else other
-                    i, j = np.nonzero(maybe)
-                    first = (buckets[mine[i]] == buckets[x + j]).argmax(axis=1) == band
-                    for p, q in zip(mine[i[first]].tolist(), (x + j[first]).tolist(), strict=True):
+                    there = slice(x, x + block)
+                    maybe = labels[mine][:, None] != labels[None, there]
+                    maybe &= np.minimum(weight[mine][:, None], weight[None, there]) >= threshold * np.maximum(weight[mine][:, None], weight[None, there]) - 1e-9
+                    other = blocks[None, there] != at[1]
+                    maybe &= other | (docs[mine][:, None] < docs[None, there]) if within else other
+                    if not maybe.any():
+                        continue
+                    maybe &= (signs[mine][:, None, :] == signs[None, there, :]).mean(axis=2) >= enough
+                    for p, q in zip(*(k.tolist() for k in np.nonzero(maybe)), strict=True):
+                        p, q = int(mine[p]), x + q
                         if (p, labels[q]) not in joined:
-                            sim = jaccard(held[p][3], held[q][3], held[p][4], held[q][4])
+                            sim = jaccard(held[p][4], held[q][4], held[p][5], held[q][5])
                             if sim >= threshold:
                                 joined.add((p, labels[q]))
                                 out.append((min(docs[p], docs[q]), max(docs[p], docs[q]), sim))
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.float64())], ["a", "b", "similarity"])
 
-        for batch in batches:
-            for bucket, x, y, inside, number, *rest in zip(*(batch.column(i).to_pylist() for i in range(12)), strict=True):
+        for b in batches:
+            named = zip(*(b.column(i).to_pylist() for i in range(8)), lists(b.column(8)), lists(b.column(9)), strict=True)
+            for bucket, x, y, inside, *rest in named:
                 if (bucket, x, y) != at and held:
                     yield close()
-                at, band, within = (bucket, x, y), number, inside
+                at, within = (bucket, x, y), inside
                 held.append(rest)
         if held:
             yield close()
 
-    ordered = dealt.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
-    return ordered.select("bucket", "x", "y", "within", "band", "doc", "label", "sign", "keys", "counts", "bands", "block").mapInArrow(work, "a long, b long, similarity double").distinct()
+    ordered = dealt.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "doc")
+    return ordered.select("bucket", "x", "y", "within", "doc", "label", "block", "sign", "keys", "counts").mapInArrow(work, "a long, b long, similarity double").distinct()
+
 
+class Near(NamedTuple):
+    """classes: doc_id, class_id, class_size, links for each input row. texts: doc_id, text (the vertex of its set), class_id.
+    links: a, b (vertices), similarity: the verified links, enough of them to span every class."""
 
-def near_dedup(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", gram: int = 5, threshold: float = 0.8, bands: int = 32, rows: int = 5, weights: str = "set", rounds: int = 3, ids_to_broadcast: int = 1_000_000,
-) -> DataFrame:
-    """doc_id, class_id, class_size, links; weights: `set`, or `count` for weighted Jaccard over shingle counts."""
+    classes: DataFrame
+    texts: DataFrame
+    links: DataFrame
+
+
+def near_groups(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", gram: int = 5, threshold: float = 0.8, bands: int = 32, rows: int = 5, weights: str = "set", rounds: int = 2, ids_to_broadcast: int = 1_000_000,
+) -> Near:
+    """Near-duplicate classes and their links; weights: `set`, or `count` for weighted Jaccard over shingle counts."""
     docs = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
     signed = stage(signatures(docs, gram, bands, rows, weights), "signatures")
     usable = signed.where("n > 0 and doc_id is not null")
-    classes = usable.groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"))
-    of_class = stage(usable.select("doc_id", "n", "k1", "k2").join(classes, ["n", "k1", "k2"]).select("doc_id", "rep"), "classes")
-    reps = usable.join(classes.select("n", "k1", "k2", F.col("rep").alias("doc_id")), ["n", "k1", "k2", "doc_id"], "left_semi").dropDuplicates(["doc_id", "n", "k1", "k2"])
-    reps = stage(reps.select("doc_id", "bands", "sign"), "representatives")
-    banded = reps.select(F.col("doc_id").alias("doc"), F.posexplode("bands").alias("band", "bucket"))
-    several = banded.groupBy("bucket").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("bucket")
-    members = stage(banded.join(several, "bucket").select("bucket", "band", "doc").distinct(), "members")
-
-    ids = bounded(members.select(F.col("doc").alias("doc_id")).distinct(), ids_to_broadcast)
-    sets = stage(sets_of(docs.join(ids, "doc_id", "left_semi").select("doc_id", "text"), gram, weights).dropDuplicates(["doc_id"]), "sets")
-    links = labels = None
+    sets_seen = usable.groupBy(*SET).agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n_"), F.first("bands").alias("bands"), F.first("sign").alias("sign"))
+    vertices = stage(sets_seen.orderBy("first", *SET).withColumn("rep", F.monotonically_increasing_id()), "vertices")
+    texts = salted_join(usable.select("doc_id", *SET), vertices.select(*SET, "rep"), SET, vertices, F.col("doc_id"))
+    texts = stage(texts.select("doc_id", "rep"), "texts")
+
+    banded = vertices.select(F.col("rep").alias("doc"), "k1", "n", F.explode("bands").alias("bucket"))
+    buckets = stage(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_")).where("n_ > 1"), "buckets")
+    members = stage(salted_join(banded, buckets.select("bucket"), ["bucket"], buckets, F.col("doc")), "members")
+    needed = members.select(F.col("doc").alias("rep")).distinct().join(vertices.select("rep", F.col("first").alias("doc_id"), *SET), "rep")
+    needed = stage(needed, "needed")
+    whole = docs.join(bounded(needed.select("doc_id").distinct(), ids_to_broadcast), "doc_id", "left_semi")
+    sets = sets_of(whole, gram, weights).join(needed, ["doc_id", *SET]).select("rep", "keys", "counts").dropDuplicates(["rep"])
+    sets = stage(sets, "sets", replaces=needed)
+
+    # Several texts under one doc_id belong together, which is no link.
+    per_id = texts.distinct().groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("hi")).where("a < hi")
+    same_id = texts.distinct().join(per_id, "doc_id").where("rep > a").select("a", F.col("rep").alias("b")).distinct()
+    links, stars, labels = None, stage(same_id, "same-id"), None
+    used = [vertices, buckets, members, sets, stars]
     left = members.withColumn("label", F.col("doc"))
     for turn in range(rounds + 1):
-        last = turn == rounds
-        if last:
-            new = in_full(left, reps, sets, threshold, bands, rows)
+        if turn < rounds:
+            new = verified(starred(left, turn), sets, threshold)
         else:
-            pairs = starred(left, turn)
-            new = verified(pairs if links is None else pairs.join(links, ["a", "b"], "left_anti"), sets, threshold)
-        links = stage(new if links is None else links.unionByName(new), "links")
-        labels = components(links)
-        if last:
-            break
-        left = apart(left.select("bucket", "band", "doc"), labels)
-        if not left.limit(1).count():
-            break
-    named = of_class.distinct().join(labels.select(F.col("doc").alias("rep"), "label"), "rep", "left").select("doc_id", "rep", F.coalesce("label", "rep").alias("class_id"))
+            few = stage(left.select("doc", "k1", "n").distinct(), "leftover")
+            met = rare_shingles(sets, few, threshold, weights == "count")
+            met = apart(met, labels if labels is not None else components(stars))
+            new = in_full(met, vertices.select("rep", "sign"), sets, threshold)
+        new = stage(new, "new-links")
+        labels = components(stars.unionByName(new.select("a", "b")))
+        links = stage(new if links is None else links.unionByName(new).dropDuplicates(["a", "b"]), "links", replaces=links)
+        discard(new)
+        stars = labels.select(F.col("label").alias("a"), F.col("doc").alias("b"))
+        used.append(labels)
+        if turn < rounds:
+            left = apart(left.drop("label"), labels)
+            used.append(left)
+            if left.isEmpty():
+                break
+
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("links"))
-    named = named.join(degree, "rep", "left").groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.coalesce(F.max("links"), F.lit(0)).alias("links"))
-    size = named.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
-    named = stage(named.join(size, "class_id"), "near-classes")
-    every = signed.select("doc_id").join(named, "doc_id", "left")
-    return every.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"), F.coalesce("links", F.lit(0)).alias("links"))
+    named = vertices.select("rep", "first", "n_").join(labels.select(F.col("doc").alias("rep"), "label"), "rep", "left").join(degree, "rep", "left")
+    named = named.select("rep", "first", "n_", F.coalesce("label", "rep").alias("label"), F.coalesce("links", F.lit(0)).alias("links"))
+    ids = texts.distinct().join(named.select("rep", "label"), "rep").select("doc_id", "label").distinct()
+    sizes = ids.groupBy("label").agg(F.count(F.lit(1)).alias("class_size"))
+    firsts = named.groupBy("label").agg(F.min("first").alias("class_id"))
+    named = stage(named.drop("first").join(sizes, "label").join(firsts, "label"), "near-classes")
+    placed = salted_join(texts, named.drop("label", "n_"), ["rep"], named.select("rep", "n_"), F.col("doc_id")).select("doc_id", "rep", "class_id", "class_size", "links")
+    alone = signed.where("not (n > 0 and doc_id is not null)").select("doc_id", F.lit(None).cast("long").alias("rep"), F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(0).cast("long").alias("links"))
+    placed = stage(placed.unionByName(alone), "placed", replaces=signed)
+    for table in [*used, named, texts]:
+        discard(table)
+    return Near(placed.select("doc_id", "class_id", "class_size", "links"), placed.where("rep is not null").select("doc_id", F.col("rep").alias("text"), "class_id"), links)
+
+
+def near_dedup(docs: DataFrame, **settings) -> DataFrame:
+    """doc_id, class_id (smallest doc_id of its group), class_size (ids) and links (of its text, among those found) for each row; settings as in near_groups."""
+    return near_groups(docs, **settings).classes
 
 
 def keep_one(docs: DataFrame, classes: DataFrame, ids_to_broadcast: int = 1_000_000) -> DataFrame:
