@@ -15,7 +15,7 @@ in a coordinate with a chance equal to their (weighted) Jaccard similarity.
    In a bucket every member is compared with one centre, never all pairs;
    verified links (exact similarity of 64-bit shingle hashes >= `threshold`)
    join vertices to groups, and buckets whose members are in one group are done.
-   A further round takes other centres.
+   Further rounds take other centres.
 3. Members of buckets that are still in several groups are joined exactly, by
    prefix filtering: with shingles in order of how few of these texts have them,
    two similar texts share one within their first 1 - threshold of shingles, so
@@ -240,9 +240,9 @@ def components(edges: DataFrame) -> DataFrame:
 
 def apart(members: DataFrame, labels: DataFrame) -> DataFrame:
     """members (bucket, doc, ..) with label, of buckets with more than one label; a vertex without links is its own label."""
-    named = members.join(labels, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
+    named = stage(members.join(labels, "doc", "left").withColumn("label", F.coalesce("label", "doc")), "named")
     mixed = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n_")).where("lo < hi").select("bucket", "n_")
-    named, mixed = stage(named, "named"), stage(mixed, "mixed")
+    mixed = stage(mixed, "mixed")
     return stage(salted_join(named, mixed.select("bucket"), ["bucket"], mixed, F.col("doc")), "apart", replaces=named)
 
 
@@ -359,7 +359,7 @@ class Near(NamedTuple):
 
 
 def near_groups(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", gram: int = 5, threshold: float = 0.8, bands: int = 32, rows: int = 5, weights: str = "set", rounds: int = 2, ids_to_broadcast: int = 1_000_000,
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", gram: int = 5, threshold: float = 0.8, bands: int = 32, rows: int = 5, weights: str = "set", rounds: int = 1, ids_to_broadcast: int = 1_000_000,
 ) -> Near:
     """Near-duplicate classes and their links; weights: `set`, or `count` for weighted Jaccard over shingle counts."""
     docs = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
