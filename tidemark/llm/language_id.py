@@ -1,20 +1,23 @@
 """Language ID by compression with per-language zstandard dictionaries.
 
-Fitting takes a bounded sample: of each language's labelled rows the
-`sample_docs` with the smallest hash of doc_id, and of each up to
-`sample_chars` characters from its middle. Sentences that the samples
-of two languages share (licences, boilerplate) tell no language and go; what is
-left, once each, in lower case and with runs of other characters than letters as
-one space, is the language's raw-content dictionary. Prediction brings every whole text to the
-same form and compresses it, in blocks of `block` bytes, with each dictionary;
-the smallest total wins. A prediction is
-rejected when the text is null or has no letter (`und`), or when the best total
-is not at least `margin` below the next (a text that compresses alike under
-two languages, such as mere markup). Only the text is used.
+Fitting takes a bounded sample of whole labelled texts: of each language's rows,
+in order of a hash of doc_id, the first whose texts fill `sample_chars`
+characters, at most `sample_docs`. Texts over `long_chars` characters are taken
+only of a language that has no shorter one. Sentences that the samples of two
+languages share (licences, boilerplate) tell no language and go; what is left,
+once each, in lower case and with runs of other characters than letters as one
+space, is the language's raw-content dictionary. Prediction brings every whole
+text to the same form and compresses it, in blocks of `block` bytes, with each
+dictionary; the smallest total wins. A prediction is rejected when the text is
+null or has no letter (`und`; letters are the Unicode categories L), or when the
+best total is not at least `margin` below the next (a text that compresses alike
+under two languages, such as mere markup). Only the text is used.
 
 Ties go to the first language in code point order. score is the softmax of the
 saving of each language, in bits for each input byte times `sharpness`. With
-one learned language nothing is rejected for margin, with none all is `und`.
+one learned language nothing is rejected for margin. With none all is `und`,
+and only texts without a letter are rejected. Rows are kept one for one, repeated
+ones too; columns that clash with the added ones are replaced.
 """
 
 from __future__ import annotations
@@ -29,7 +32,6 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .common import bounded
 
-LETTER = re.compile(r"[^\W\d_]")
 OTHERS = re.compile(r"[\W\d_]+")
 
 
@@ -37,18 +39,22 @@ def plain(text: str) -> str:
     return OTHERS.sub(" ", text.lower())
 
 
-def dictionaries(labelled: DataFrame, sample_docs: int = 300, sample_chars: int = 1600) -> dict[str, bytes]:
-    """Dictionary bytes by language, from rows (doc_id, text, lang); at most sample_docs * sample_chars characters for each."""
-    labelled = labelled.where("lang is not null").withColumn("h", F.xxhash64("doc_id", F.lit(2)))
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
+
+
+def dictionaries(labelled: DataFrame, sample_docs: int = 300, sample_chars: int = 480_000, long_chars: int = 4_000) -> dict[str, bytes]:
+    """Dictionary bytes by language, from rows (doc_id, text, lang)."""
+    labelled = labelled.where(F.col("lang").isNotNull() & (F.length("text") > 0)).select("doc_id", "text", "lang", (F.length("text") > long_chars).alias("long"), F.length("text").alias("chars"))
+    sizes = labelled.groupBy(F.col("lang").alias("of")).agg(F.count_if(~F.col("long")).alias("short"), F.count(F.lit(1)).alias("all"))
+    share = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(2)), 11) / F.lit(float(1 << 53))
     # Hashes above four times the share that is wanted cannot be among the smallest; they go before anything is shuffled.
-    sizes = bounded(labelled.groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n")), 10_000)
-    share = F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53))
-    low = labelled.join(sizes, F.col("lang") == F.col("of")).where((share * F.col("n") < 4 * sample_docs) & (F.length("text") > 0))
-    first = W.partitionBy("lang").orderBy(share, "doc_id", "piece")
-    middle = F.lit(1) + F.greatest(F.lit(0), F.floor((F.length("text") - sample_chars) / 2)).cast("int")
+    low = labelled.join(bounded(sizes, 10_000), F.col("lang") == F.col("of")).withColumn("share", share)
+    low = low.where((~F.col("long") | (F.col("short") == 0)) & (F.col("share") * F.when(F.col("short") > 0, F.col("short")).otherwise(F.col("all")) < 4 * sample_docs))
+    ahead = W.partitionBy("lang").orderBy("share", "doc_id", "text")
     rows = (
-        low.select("lang", "doc_id", "h", F.substring("text", middle, F.lit(sample_chars)).alias("piece"))
-        .select("lang", "piece", F.row_number().over(first).alias("k")).where(F.col("k") <= sample_docs).orderBy("lang", "k").collect()
+        low.withColumns({"k": F.row_number().over(ahead), "before": F.sum("chars").over(ahead.rowsBetween(W.unboundedPreceding, -1))})
+        .where((F.col("k") <= sample_docs) & (F.coalesce("before", F.lit(0)) < sample_chars)).orderBy("lang", "k").select("lang", F.col("text").alias("piece")).collect()
     )
     sentences = [(r["lang"], dict.fromkeys(x.strip() for x in re.split(r"[.\n]", plain_lines(r["piece"])) if x.strip())) for r in rows]
     out: dict[str, dict[str, None]] = {}
@@ -83,8 +89,8 @@ def identify(docs: DataFrame, dicts: dict[str, bytes], margin: float = 0.001, bl
             lang, score, gap, rejected = [], [], [], []
             for text in b.column(place):
                 text = text.as_py()
-                if not text or not names or not LETTER.search(text):
-                    lang.append("und"), score.append(0.0), gap.append(0.0), rejected.append(True)
+                if not text or not names or not has_letter(text):
+                    lang.append("und"), score.append(0.0), gap.append(0.0), rejected.append(not text or not has_letter(text))
                     continue
                 raw = plain(text).encode()
                 blocks = [raw[i : i + block] for i in range(0, len(raw), block)]
