@@ -16,7 +16,9 @@ that are open where a range begins are pushed again at its head; as intervals
 nest these are no more than the nesting depth.
 
 Null or odd urls (no "://") have empty host and path and get the default
-verdict. Rows are kept one for one, repeated rows too. Of rules with equal
+verdict. Rows are kept one for one, repeated rows too, and urls may be of any length. Keys are compared as bytes; a rule's
+end is its key and a byte that UTF-8 never has, so it sorts after all that
+starts with the key, whatever characters follow. Of rules with equal
 host and path, block wins; of several rules that fit, the one with the longest
 canonical key, then the longest host. An empty rule table gives the default
 verdict everywhere. Rules with a null host or path are ignored.
@@ -28,8 +30,6 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .common import parts, stage
 
-#: Sorts after every key that starts with the same prefix; the code point is a noncharacter that no url carries.
-LAST = "\U0010ffff"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -63,9 +63,10 @@ def url_filter(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", url
         host_and_path(pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url")))
         .withColumn("row", F.monotonically_increasing_id())
         .select("row", "page_id", "host", "path", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.size(labels), F.lit(deepest))))).alias("n"))
-        .select("row", "page_id", "host", "path", F.concat(level(F.col("n")), F.lit("/"), "path").alias("key"), F.lit(2).alias("kind"), F.hash("row").alias("tie"))
+        .select("row", "page_id", "host", "path", F.concat(level(F.col("n")), F.lit("/"), "path").cast("binary").alias("key"), F.lit(2).alias("kind"), F.hash("row").alias("tie"))
     )
-    ends = rules.select(F.concat("key", F.lit(LAST)).alias("key"), F.lit(0).alias("kind"), *[c for c in rules.columns if c != "key"])
+    rules = rules.withColumn("key", F.col("key").cast("binary"))
+    ends = rules.select(F.concat("key", F.unhex(F.lit("FF"))).alias("key"), F.lit(0).alias("kind"), *[c for c in rules.columns if c != "key"])
     starts = rules.withColumn("kind", F.lit(1))
     events = starts.unionByName(ends).withColumn("tie", F.lit(None).cast("int"))
     ranges = parts(spark, 2 * pages.count(), rows_per_range)
@@ -82,7 +83,7 @@ def url_filter(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", url
     carried = (
         edges.where("last > first")
         .withColumn("range", F.explode(F.sequence(F.col("first") + 1, F.col("last")))).drop("first", "last")
-        .withColumns({"key": F.lit(""), "kind": F.lit(1)})
+        .withColumns({"key": F.lit("").cast("binary"), "kind": F.lit(1)})
     )
     order = [F.col("key"), F.col("kind"), F.when(F.col("kind") == 0, -F.col("len")).otherwise(F.col("len"))]
     sweep = W.partitionBy("range").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
