@@ -1,8 +1,8 @@
 """Quality classifier: histogram gradient-boosted trees over document statistics.
 
 One pass over the whole texts makes a row of statistics for each document. The
-trees are fitted on a bounded sample of labelled rows (`sample` rows with the
-smallest hash of doc_id): statistics become up to `bins` quantile bins, and
+trees are fitted on a bounded sample of labelled rows (the `sample` rows with the
+smallest hash of doc_id, ties by doc_id, label and statistics): statistics become up to `bins` quantile bins, and
 each tree grows level by level on histograms of gradients of the logistic loss.
 A fitted forest is three arrays (statistic, bin threshold, leaf value), and a
 batch is scored by stepping all its rows down all levels at once.
@@ -10,7 +10,7 @@ batch is scored by stepping all its rows down all levels at once.
 Null and empty texts have zero statistics and are scored like any other. Rows
 whose label is null are not learned from; with no labelled rows, or with labels
 of one kind, the score is the smoothed share of label 1. Repeated doc_ids in
-labels or documents are as many examples.
+labels or documents are as many examples, of which the sample is taken too.
 """
 
 from __future__ import annotations
@@ -152,9 +152,12 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rate: flo
 
 
 def train(stats: DataFrame, labels: DataFrame, sample: int = 20_000) -> Forest:
-    """A forest from stats (doc_id, stats) and labels (doc_id, label), on at most `sample` labelled rows."""
-    chosen = labels.where("label is not null and doc_id is not null").orderBy(F.xxhash64("doc_id", F.lit(6)), "doc_id").limit(sample)
-    rows = stats.join(bounded(chosen, sample), "doc_id").orderBy("doc_id", "label").limit(2 * sample).select("stats", "label").toArrow()
+    """A forest from stats (doc_id, stats) and labels (doc_id, label), on at most `sample` labelled rows of stats."""
+    share = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(6)), 11) / F.lit(float(1 << 53))
+    known = labels.where("label is not null and doc_id is not null").select("doc_id", "label").join(stats.select("doc_id"), "doc_id", "left_semi").withColumn("share", share)
+    # Labels with hashes above four times the share that is wanted cannot be among the smallest.
+    low = known.where(F.col("share") * known.count() < 4 * sample)
+    rows = stats.join(bounded(low, 8 * sample), "doc_id").orderBy("share", "doc_id", "label", "stats").limit(sample).select("stats", "label").toArrow()
     y = rows.column("label").to_numpy().astype(float)
     x = np.array(rows.column("stats").to_pylist(), np.float32).reshape(len(y), -1) if len(y) else np.zeros((0, 1), np.float32)
     return fit(x, y)
