@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import contained, decontaminate
-from tidemark.llm.mixing import apportion, mix
+from tidemark.llm.mixing import apportion, apportion_within, drawn, mix
 from tidemark.llm.url_filter import url_filter
 
 from . import brute
@@ -41,6 +41,16 @@ def test_url_filter_matches_plain_rules(spark):
     assert sorted(got, key=key) == sorted(want, key=key)
 
 
+def test_url_filter_with_any_character_and_any_length(spark):
+    """No code point sorts after a rule's end, and a url of a million characters is judged like any other."""
+    rules = [("net", "/", "block"), ("example.net", "/en/", "allow")]
+    urls = ["http://a.example.net/en/\U0010ffffx", "http://x.net/\U0010ffffz", "http://\U0010ffff.net/en/", "http://example.net/en/" + "y" * 1_000_000, "http://x.org/\U0010ffff", "http://net/\x7f"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {x.page_id: (x.host, x.path, x.rule, x.verdict) for x in url_filter(pages, spark.createDataFrame(rules, RULE)).collect()}
+    assert got == {k: judge(u, rules) for k, u in enumerate(urls)}
+    assert [got[k][3] for k in range(6)] == ["allow", "block", "block", "allow", "allow", "block"]
+
+
 def test_url_filter_block_wins_between_equal_rules_and_empty_tables(spark):
     pages = spark.createDataFrame([(1, "http://a.b/c")], "page_id long, url string")
     rules = spark.createDataFrame([("a.b", "/c", "allow"), ("a.b", "/c", "block")], RULE)
@@ -89,8 +99,23 @@ def highest_quotients(votes, seats):
 def test_apportion_gives_highest_quotients(spark, seats):
     r = random.Random(seats)
     votes = [r.choice([0.5, 1, 3, 50, 1000.25]) + k / 1000 for k in range(40)]
-    got = apportion(spark.createDataFrame(list(enumerate(votes)), "k int, votes double"), F.lit(seats), ["k"])
-    assert {x.k: x.quota for x in got.collect()} == dict(enumerate(highest_quotients(votes, seats)))
+    parties = spark.createDataFrame([(k, v, "g", seats) for k, v in enumerate(votes)], "k int, votes double, g string, n int")
+    want = dict(enumerate(highest_quotients(votes, seats)))
+    assert {x.k: x.quota for x in apportion(parties, seats, ["k"]).collect()} == want
+    assert {x.k: x.quota for x in apportion_within(parties, "g", "n", ["k"]).collect()} == want
+
+
+def test_drawn_blocks(spark):
+    """As many blocks as asked for, at equal steps, each word once; counted word by word."""
+    cases = [(line, quota, start) for line in (1, 7, 40, 403) for quota in {0, 1, -(-line // 4) // 3, -(-line // 4)} for start in {0, (-(-line // 4)) // 2, -(-line // 4) - 1}]
+    rows = [(c, w, *cases[c]) for c in range(len(cases)) for w in range(cases[c][0] + 1)]
+    table = spark.createDataFrame(rows, "c int, w long, line long, quota long, start long")
+    got = {(r.c, r.w): r.n for r in table.withColumn("n", drawn(F.col("w"), F.col("line"), F.col("quota"), F.col("start"), 4)).collect()}
+    for c, (line, quota, start) in enumerate(cases):
+        n = -(-line // 4)
+        chosen = {j for j in range(n) if ((j + start) % n + 1) * quota // n > (j + start) % n * quota // n}
+        assert len(chosen) == quota
+        assert all(got[c, w] == sum(k // 4 in chosen for k in range(w)) for w in range(line + 1))
 
 
 def water(sizes, weights):

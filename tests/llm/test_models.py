@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm.language_id import dictionaries, held_out, identify, recognised
+from tidemark.llm.language_id import dictionaries, held_out, identify, plain, recognised
 from tidemark.llm.quality import Forest, fit, quality, statistics
 
 DATA = "/root/testdata/sf0.01"
@@ -35,6 +35,43 @@ def test_language_of_odd_texts(spark):
     assert {r.lang_pred for r in identify(docs, dictionaries(train.limit(0))).collect()} == {"und"}
 
 
+def test_letters_are_letters(spark):
+    """Digits, fractions and circled numbers are no letters; scripts without case are."""
+    train = spark.createDataFrame([(k, f"the quick fox {k} and the dog", "en") for k in range(40)], "doc_id long, text string, lang string")
+    rows = list(enumerate(["²", "½ ①②", "١٢٣", "Ⅷ", "\u0301", "漢", "ª", "x²"]))
+    got = {r.doc_id: r for r in identify(spark.createDataFrame(rows, "doc_id long, text string"), dictionaries(train)).collect()}
+    assert [got[k].lang_pred for k, _ in rows] == ["und" if not any(c.isalpha() for c in t) else "en" for _, t in rows]
+    assert got[0].lang_pred == got[1].lang_pred == "und" and got[5].lang_pred == got[7].lang_pred == "en"
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in recognised(docs, {}).collect()} == {5, 6, 7}  # nothing learned: only texts without a letter go
+
+
+def test_dictionaries_of_whole_texts(spark):
+    rows = [(k, f"alpha beta{'x' * k} gamma.", "a") for k in range(20)] + [(100, "only long text " * 50, "b"), (101, None, "b"), (102, "no language", None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    some = dictionaries(table, sample_docs=5, long_chars=100)
+    assert sorted(some) == ["a", "b"] and len(some["a"].split(b"beta")) <= 6 and b"only long text" in some["b"]
+    assert len(dictionaries(table, sample_chars=30)["a"].split(b"beta")) <= 3
+
+
+def test_language_is_the_smallest_sum_of_compressed_blocks(spark):
+    import zstandard
+
+    langs = {x: [f"{x}ma {x}lo{k} {x}ti ba{k} ka" for k in range(60)] for x in ("ad", "be", "cu")}
+    train = spark.createDataFrame([(k, t, x) for x, of in langs.items() for k, t in enumerate(of)], "doc_id long, text string, lang string")
+    dicts = dictionaries(train)
+    texts = ["adma belo bema cuti", "Adma! adlo7 -- " * 400, "cuma culo3 adma", "zz yy", "bema belo beti " * 900 + "adma", "ka ka"]
+    got = {r.doc_id: r for r in identify(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), dicts).collect()}
+    for k, text in enumerate(texts):
+        raw, sizes = plain(text).encode(), {}
+        for lang, d in dicts.items():
+            coder = zstandard.ZstdCompressor(level=6, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_checksum=False)
+            sizes[lang] = sum(len(coder.compress(raw[i : i + 2048])) for i in range(0, len(raw), 2048))
+        order = sorted(sizes, key=lambda x: (sizes[x], x))
+        gap = (sizes[order[1]] - sizes[order[0]]) / sizes[order[1]]
+        assert got[k].lang_pred == order[0] and abs(got[k].lang_margin - gap) < 1e-9 and got[k].lang_rejected == (gap < 0.001)
+
+
 @given
 def test_quality_on_held_out_documents(spark):
     docs, labels = spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/labels.parquet")
@@ -78,3 +115,65 @@ def test_forest_learns_and_array_traversal_matches_stepping():
         return 1 / (1 + np.exp(-total))
 
     assert np.allclose([step(forest, v) for v in x[1500:1520]], p[:20])
+
+
+def plain_trees(x, y, trees, depth, rate, bins, l2, least):
+    """Boosted trees in plain loops: lists of (statistic, bin) by node, leaves, and the scores of x."""
+    import math
+
+    n = len(y)
+    edges = np.quantile(x, np.arange(1, bins) / bins, axis=0).T
+    b = [[sum(e < v for e in edges[s]) for s, v in enumerate(row)] for row in x.tolist()]
+    share = (sum(y) + 0.5) / (n + 1)
+    total, made = [math.log(share / (1 - share))] * n, []
+    for _ in range(trees):
+        p = [1 / (1 + math.exp(-t)) for t in total]
+        g, h = [a - c for a, c in zip(p, y)], [a * (1 - a) for a in p]
+        cuts, at = {}, [0] * n
+        for level in range(depth):
+            for node in range(2**level - 1, 2 ** (level + 1) - 1):
+                mine = [i for i in range(n) if at[i] == node]
+                best = (1e-6, None)
+                for s in range(len(edges)):
+                    for c in range(bins - 1):
+                        left = [i for i in mine if b[i][s] <= c]
+                        if len(left) < least or len(mine) - len(left) < least:
+                            continue
+                        score = lambda of: sum(g[i] for i in of) ** 2 / (sum(h[i] for i in of) + l2)
+                        gain = score(left) + score([i for i in mine if b[i][s] > c]) - score(mine)
+                        if gain > best[0] + 1e-12:
+                            best = (gain, (s, c))
+                cuts[node] = best[1]
+            at = [2 * a + 1 + int(cuts[a] is not None and b[i][cuts[a][0]] > cuts[a][1]) for i, a in enumerate(at)]
+        leaves = {}
+        for node in set(at):
+            of = [i for i in range(n) if at[i] == node]
+            leaves[node] = -rate * sum(g[i] for i in of) / (sum(h[i] for i in of) + l2)
+        total = [t + leaves[a] for t, a in zip(total, at)]
+        made.append(cuts)
+    return made, [1 / (1 + math.exp(-t)) for t in total]
+
+
+def test_forest_is_that_of_plain_loops():
+    r = np.random.default_rng(3)
+    x = r.normal(size=(60, 3))
+    y = ((x[:, 0] + 0.3 * r.normal(size=60) > 0) ^ (x[:, 2] > 1)).astype(float)
+    settings = {"trees": 3, "depth": 2, "rate": 0.3, "bins": 8, "l2": 1.0, "least": 4}
+    forest = fit(x, y, **settings)
+    cuts, scores = plain_trees(x, y.tolist(), **settings)
+    assert np.allclose(forest.score(x), scores)
+    for t, of in enumerate(cuts):
+        assert {k: (forest.statistic[t, k], forest.threshold[t, k]) for k, c in of.items() if c} == {k: c for k, c in of.items() if c}
+
+
+def test_quality_learns_from_no_more_than_the_sample_of_repeated_rows(spark, monkeypatch):
+    from tidemark.llm import quality as module
+
+    seen = []
+    monkeypatch.setattr(module, "fit", lambda x, y: seen.append(y.tolist()) or fit(x, y))
+    docs = spark.createDataFrame([(k % 5, f"text {k} " * (k % 7)) for k in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k % 5, k % 2) for k in range(20)] + [(77, 1)], "doc_id long, label int")
+    for sample in (7, 50, 10_000):
+        for order in (docs, docs.repartition(3)):
+            assert quality(order, labels, sample=sample).count() == 60
+    assert [len(s) for s in seen] == [7, 7, 50, 50, 240, 240] and all(seen[k] == seen[k + 1] for k in (0, 2, 4))
