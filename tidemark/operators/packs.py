@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
+from .gates import number_key
 from .series import history
 
 
 def enrich(evidence: DataFrame, obs: DataFrame, publishers: DataFrame, limit: int = 24) -> DataFrame:
-    """evidence (evi_id, metric_id `source:series`, publisher, ..) with its last `limit` observations, the value before the last, publisher and official flag.
+    """evidence (evi_id, metric_id `source:series`, publisher, ..) with its last `limit` observations, the value before the last, publisher, official flag and missing_metrics, the months that these observations leave out.
 
     The publisher is the evidence's own, else that of its source, else the source. publishers: source, source_publisher, official.
     """
     split = evidence.withColumns({"source": F.regexp_extract("metric_id", "^([^:]*):", 1), "series": F.regexp_extract("metric_id", "^[^:]*:(.*)$", 1)})
     past = history(obs, limit).groupBy("source", "series").agg(F.sort_array(F.collect_list(F.struct("period", "value"))).alias("history"))
     joined = split.join(past, ["source", "series"], "left").join(publishers, "source", "left")
+    month = lambda k: F.concat(F.try_element_at("history", F.lit(k))["period"], F.lit("-01")).try_cast("date")
+    months = F.round(F.months_between(month(-1), month(1)))
     return joined.withColumns({
         "previous_value": F.try_element_at("history", F.lit(-2))["value"], "n_history": F.coalesce(F.size("history"), F.lit(0)),
-        "publisher": F.coalesce("publisher", "source_publisher", "source"), "official_primary": F.coalesce("official", F.lit(False)),
+        "missing_metrics": F.coalesce(months + 1 - F.size("history"), F.lit(0)).cast("long"), "publisher": F.coalesce("publisher", "source_publisher", "source"), "official_primary": F.coalesce("official", F.lit(False)),
     }).drop("source_publisher", "official")
 
 
@@ -37,24 +42,72 @@ def related_forecasts(pack_claims: DataFrame, forecasts: DataFrame) -> DataFrame
     return pack_claims.join(forecasts, "claim_id").select("pack_id", "forecast_id", "status").distinct()
 
 
-def quality_gate(evidence: DataFrame) -> DataFrame:
-    """One row for each pack_id: whether all is official, how much, from how many publishers, and whether periods and units are explicit."""
-    return evidence.groupBy("pack_id").agg(
+def derived(evidence: DataFrame, spreads: DataFrame) -> DataFrame:
+    """(pack_id, id, formula, a, b, value, unit, note): spreads between two metrics of a pack, where both have a value.
+
+    spreads: pack_id, id, metric_a, metric_b, unit, note.
+    """
+    side = lambda c: evidence.select("pack_id", F.col("metric_id").alias(f"metric_{c}"), F.col("value").alias(c)).where(F.col(c).isNotNull())
+    both = spreads.join(side("a"), ["pack_id", "metric_a"]).join(side("b"), ["pack_id", "metric_b"])
+    return both.select("pack_id", "id", F.concat_ws(" - ", "metric_a", "metric_b").alias("formula"), "a", "b", (F.col("a") - F.col("b")).alias("value"), "unit", "note")
+
+
+def quality_gate(evidence: DataFrame, spreads: DataFrame, flags: DataFrame) -> DataFrame:
+    """One row for each pack_id: what its evidence is worth, and the checklist of a pack that rests on several books.
+
+    spreads: derived values (pack_id, note); flags: pack_id, flag. all() of nothing is true.
+    """
+    official = F.col("official_primary")
+    rows = evidence.groupBy("pack_id").agg(
         F.bool_and("official_primary").alias("official_primary_only"), F.count_if("official_primary").alias("official_evidence_count"),
-        F.count_distinct(F.when(F.col("official_primary"), F.col("publisher"))).alias("independent_publisher_count"),
-        F.bool_and(F.coalesce("observed_period", F.lit("")) != "").alias("period_explicit"), F.bool_and(F.coalesce("unit", F.lit("")) != "").alias("unit_explicit"),
+        F.count_distinct(F.when(official, F.col("publisher"))).alias("independent_publisher_count"),
+        F.bool_and((F.coalesce("observed_period", F.lit("")) != "") & F.col("unit").isNotNull()).alias("period_scope_unit_explicit"),
     )
+    notes = spreads.groupBy("pack_id").agg(F.bool_and(F.coalesce("note", F.lit("")) != "").alias("noted"))
+    flagged = flags.select("pack_id").distinct().withColumn("flagged", F.lit(True))
+    return rows.join(notes, "pack_id", "left").join(flagged, "pack_id", "left").select(
+        "pack_id", "official_primary_only", "official_evidence_count", "independent_publisher_count", F.col("official_primary_only").alias("original_tables_first"), "period_scope_unit_explicit",
+        F.coalesce("noted", F.lit(True)).alias("stock_flow_arithmetic_precomputed"), ((F.col("independent_publisher_count") >= 2) | F.col("noted").isNotNull()).alias("cross_book_signal_present"),
+        F.coalesce("flagged", F.lit(False)).alias("trigger_flags_are_leads"),
+    )
+
+
+#: What a reader of a pack is asked to apply; a parameter of canonical().
+FRAMEWORKS = ("separate stocks from flows", "compare like periods", "look for the counter case")
 
 
-def canonical(evidence: DataFrame, claims: DataFrame, forecasts: DataFrame, flags: DataFrame) -> DataFrame:
-    """(pack_id, as_of, n_allowed, pack_json, pack_sha256): sorted, de-duplicated members as JSON with sorted keys; values as text."""
-    item = F.struct(F.col("evi_id").alias("id"), "metric_id", F.col("observed_period").alias("period"), "publisher", F.col("value").cast("decimal(20,2)").cast("string").alias("value"))
-    evi = evidence.groupBy("pack_id").agg(F.sort_array(F.collect_set(item)).alias("evidence"), F.max("observed_period").alias("as_of"), F.collect_set("evi_id").alias("e"))
-    ids = lambda df, c, out: df.groupBy("pack_id").agg(F.sort_array(F.collect_set(F.col(c).cast("string"))).alias(out))
-    joined = evi.join(ids(claims, "claim_id", "claims"), "pack_id", "left").join(ids(forecasts, "forecast_id", "forecasts"), "pack_id", "left").join(ids(flags, "flag", "flags"), "pack_id", "left")
-    none = F.array().cast("array<string>")
-    joined = joined.withColumns({c: F.coalesce(c, none) for c in ("claims", "forecasts", "flags")}).withColumn("allowed_ids", F.array_sort(F.array_distinct(F.concat("e", "claims", "forecasts"))))
-    body = F.to_json(F.struct("allowed_ids", "as_of", "claims", "evidence", "flags", "forecasts", "pack_id"), {"ignoreNullFields": "false"})
+def canonical(items: DataFrame, evidence: DataFrame, claims: DataFrame, forecasts: DataFrame, spreads: DataFrame, flags: DataFrame, frameworks: tuple[str, ...] = FRAMEWORKS, version: int = 1) -> DataFrame:
+    """(pack_id, as_of, n_allowed, pack_json, pack_sha256): all sections of each pack as JSON with sorted keys and members.
+
+    items: pack_id, item_id, queue_source, title, priority (one research item a pack); claims: pack_id, claim_id, evidence_ids;
+    forecasts: pack_id, forecast_id, claim_id, status. Numbers are exact, as number_key writes them. Packs without evidence are left out.
+    """
+    exact = lambda c: number_key(c.cast("string"))
+    text = lambda c: F.col(c).cast("string")
+    past = F.transform("history", lambda x: F.struct(x["period"].alias("period"), exact(x["value"]).alias("value")))
+    piece = F.struct(
+        past.alias("history"), F.col("evi_id").alias("id"), "metric_id", F.col("official_primary").alias("official"), F.col("observed_period").alias("period"),
+        exact(F.col("previous_value")).alias("previous_value"), "publisher", "unit", exact(F.col("value")).alias("value"),
+    )
+    members = lambda df, of, out: df.groupBy("pack_id").agg(F.array_sort(F.collect_set(of)).alias(out))
+    evi = evidence.groupBy("pack_id").agg(F.array_sort(F.collect_set(F.struct(F.col("evi_id").alias("id"), piece.alias("piece")))).alias("evidence"), F.max("observed_period").alias("as_of"))
+    parts = [
+        members(claims, F.struct(text("claim_id").alias("id"), F.array_sort("evidence_ids").alias("evidence_ids")), "claims"),
+        members(forecasts, F.struct(text("forecast_id").alias("id"), text("claim_id").alias("claim_id"), "status"), "forecasts"),
+        members(spreads, F.struct("id", "formula", exact(F.col("a")).alias("a"), exact(F.col("b")).alias("b"), exact(F.col("value")).alias("value"), "unit", "note"), "derived_values"),
+        members(flags, F.col("flag"), "flags"),
+    ]
+    gate = quality_gate(evidence, spreads, flags)
+    gate = gate.select("pack_id", F.struct(*sorted(c for c in gate.columns if c != "pack_id")).alias("quality_gate"))
+    joined = reduce(lambda x, y: x.join(y, "pack_id", "left"), [*parts, gate], evi.join(items, "pack_id"))
+    listed = {c: F.coalesce(F.col(c), F.array().cast(joined.schema[c].dataType)) for c in ("claims", "forecasts", "derived_values", "flags")}
+    joined = joined.withColumns(listed).withColumns({"evidence": F.transform("evidence", lambda x: x["piece"]), "item_id": text("item_id")})
+    ids = F.concat(F.array("item_id"), *[F.transform(c, lambda x: x["id"]) for c in ("evidence", "claims", "forecasts")])
+    joined = joined.withColumns({
+        "allowed_ids": F.array_sort(F.array_distinct(ids)), "frameworks": F.array(*map(F.lit, frameworks)), "version": F.lit(version),
+        "research_item": F.struct(F.col("item_id").alias("id"), "priority", "queue_source", "title"),
+    })
+    body = F.to_json(F.struct("allowed_ids", "as_of", "claims", "derived_values", "evidence", "flags", "forecasts", "frameworks", "quality_gate", "research_item", "version"), {"ignoreNullFields": "false"})
     return joined.select("pack_id", "as_of", F.size("allowed_ids").alias("n_allowed"), body.alias("pack_json"), F.sha2(body, 256).alias("pack_sha256"))
 
 

@@ -7,10 +7,27 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators import gates, packs
 from ..sources.tables import table
 
-SQL = """ob AS (SELECT CASE o_orderstatus WHEN 'P' THEN 'private' ELSE 'orders' END AS source, o_orderpriority || '/' || o_orderstatus AS series, o_orderpriority AS pack_id, strftime(o_orderdate, '%Y-%m') AS period, round(sum(o_totalprice), 2) AS value FROM orders GROUP BY ALL),
+def key_sql(x: str) -> str:
+    """number_key of a value with at most two decimals."""
+    c = f"(round(abs({x}) * 100))::BIGINT::VARCHAR"
+    return f"CASE WHEN {x} = 0 THEN '0' WHEN {x} IS NOT NULL THEN CASE WHEN {x} < 0 THEN '-' ELSE '' END || rtrim({c}, '0') || 'e' || (len({c}) - len(rtrim({c}, '0')) - 2) END"
+
+
+SQL = f"""ob AS (SELECT CASE o_orderstatus WHEN 'P' THEN 'private' ELSE 'orders' END AS source, o_orderpriority || '/' || o_orderstatus AS series, o_orderpriority AS pack_id,
+        strftime(o_orderdate, '%Y-%m') AS period, round(sum(o_totalprice), 2) AS value FROM orders GROUP BY ALL),
     hi AS (SELECT *, row_number() OVER (PARTITION BY source, series ORDER BY period DESC) AS r FROM ob QUALIFY r <= 24),
-    ev AS (SELECT source, pack_id, series, 'evi_' || md5(source || ':' || series) AS evi_id, source || ':' || series AS metric_id, max(period) AS observed_period, arg_max(value, period) AS value, max(value) FILTER (r = 2) AS previous_value, 'EUR' AS unit, count(*) AS n_history,
-        CASE right(series, 1) WHEN 'F' THEN 'Bureau' WHEN 'P' THEN 'Agency' ELSE 'Order Office' END AS publisher, source = 'orders' AS official_primary, string_agg(period || '=' || value::DECIMAL(20, 2), ',' ORDER BY period) AS past FROM hi GROUP BY source, pack_id, series)"""
+    ev AS (SELECT source, pack_id, series, 'evi_' || md5(source || ':' || series) AS evi_id, source || ':' || series AS metric_id, max(period) AS observed_period,
+        arg_max(value, period) AS value, max(value) FILTER (r = 2) AS previous_value, 'EUR' AS unit, count(*) AS n_history,
+        date_diff('month', (min(period) || '-01')::DATE, (max(period) || '-01')::DATE) + 1 - count(*) AS missing,
+        CASE right(series, 1) WHEN 'F' THEN 'Bureau' WHEN 'P' THEN 'Agency' ELSE 'Order Office' END AS publisher, source = 'orders' AS official_primary,
+        string_agg(period || '=' || value::DECIMAL(20, 2), ',' ORDER BY period) AS past, list({{'period': period, 'value': {key_sql('value')}}} ORDER BY period) AS history
+        FROM hi GROUP BY source, pack_id, series),
+    sp AS (SELECT a.pack_id, 'filled_less_open' AS id, a.metric_id || ' - ' || b.metric_id AS formula, a.value AS a, b.value AS b, round(a.value - b.value, 2) AS value, 'EUR' AS unit, CASE WHEN a.pack_id <> '2-HIGH' THEN 'both are flows' ELSE '' END AS note
+        FROM ev a JOIN ev b ON a.pack_id = b.pack_id AND a.series = a.pack_id || '/F' AND b.series = b.pack_id || '/O' WHERE a.pack_id <> '5-LOW'),
+    fl AS (SELECT DISTINCT o_orderpriority AS pack_id, 'flag ' || o_orderstatus AS flag FROM orders WHERE o_orderpriority <> '1-URGENT'),
+    qg AS (SELECT pack_id, bool_and(official_primary) AS official_primary_only, count(*) FILTER (official_primary) AS official_evidence_count, count(DISTINCT publisher) FILTER (official_primary) AS independent_publisher_count,
+        bool_and(official_primary) AS original_tables_first, true AS period_scope_unit_explicit, pack_id <> '2-HIGH' AS stock_flow_arithmetic_precomputed,
+        count(DISTINCT publisher) FILTER (official_primary) >= 2 OR pack_id IN (SELECT pack_id FROM sp) AS cross_book_signal_present, pack_id IN (SELECT pack_id FROM fl) AS trigger_flags_are_leads FROM ev GROUP BY pack_id)"""
 EV = f"WITH {SQL}"
 
 
@@ -50,10 +67,30 @@ def h1(spark, d):
     return evidence(spark, d).select("evi_id", "metric_id", "observed_period", "value", "previous_value", "n_history", "publisher", "official_primary", past.alias("past"))
 
 
+def spreads(spark, d, of: DataFrame) -> DataFrame:
+    """The spread of filled and open orders of each priority but the lowest; values are rounded as their sources are."""
+    p = table(spark, d, "orders").select(F.col("o_orderpriority").alias("pack_id")).distinct().where("pack_id <> '5-LOW'")
+    metric = lambda end: F.concat(F.lit("orders:"), "pack_id", F.lit(end))
+    wanted = p.select("pack_id", F.lit("filled_less_open").alias("id"), metric("/F").alias("metric_a"), metric("/O").alias("metric_b"), F.lit("EUR").alias("unit"), F.when(F.col("pack_id") != "2-HIGH", "both are flows").otherwise("").alias("note"))
+    return packs.derived(of, wanted).withColumn("value", F.round("value", 2))
+
+
+def flags(spark, d) -> DataFrame:
+    return table(spark, d, "orders").where("o_orderpriority <> '1-URGENT'").select(F.col("o_orderpriority").alias("pack_id"), F.concat(F.lit("flag "), "o_orderstatus").alias("flag")).distinct()
+
+
+def h4(spark, d):
+    e = evidence(spark, d)
+    return packs.quality_gate(e, spreads(spark, d, e), flags(spark, d))
+
+
 def h5(spark, d):
+    e = evidence(spark, d)
     own = items(spark, d).select("pack_id", "claim_id")
-    flags = table(spark, d, "orders").select(F.col("o_orderpriority").alias("pack_id"), F.concat(F.lit("flag "), "o_orderstatus").alias("flag"))
-    return packs.canonical(evidence(spark, d), own, own.join(forecasts(spark, d), "claim_id"), flags)
+    research = table(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("pack_id")).agg(F.min("o_orderkey").alias("item_id"), F.count(F.lit(1)).alias("priority"))
+    research = research.select("pack_id", F.concat(F.lit("rit_"), "item_id").alias("item_id"), F.lit("orders").alias("queue_source"), F.concat(F.lit("Orders of "), "pack_id").alias("title"), "priority")
+    bodies = own.join(claims(spark, d), "claim_id")
+    return packs.canonical(research, e, bodies, own.join(forecasts(spark, d), "claim_id"), spreads(spark, d, e), flags(spark, d))
 
 
 def h6(spark, d):
@@ -102,7 +139,7 @@ def pack_table(spark, d):
 def numbers(spark, d):
     e = evidence(spark, d)
     values = F.concat(F.array("value", "previous_value"), F.transform("history", lambda x: x["value"]))
-    return e.select("pack_id", F.explode(values).alias("v")).where("v is not null").select("pack_id", F.col("v").cast("decimal(38,8)").alias("number")).distinct()
+    return e.select("pack_id", F.explode(values).alias("v")).where("v is not null").select("pack_id", gates.number_key(F.col("v").cast("string")).alias("number")).distinct()
 
 
 def fenced(spark, d):
@@ -116,7 +153,7 @@ QUERIES = {
     "h1_evidence_enrichment": h1,
     "h2_related_claims": lambda s, d: packs.related_claims(items(s, d), claims(s, d)),
     "h3_related_forecasts": lambda s, d: packs.related_forecasts(items(s, d).select("pack_id", "claim_id"), forecasts(s, d)),
-    "h4_quality_gate": lambda s, d: packs.quality_gate(evidence(s, d)),
+    "h4_quality_gate": h4,
     "h5_canonical_pack": h5,
     "h6_missing_members": h6,
     "i1_shape_check": lambda s, d: gates.shape_errors(documents(s, d)),
@@ -132,12 +169,13 @@ QUERIES = {
     "i11_fenced_json": fenced,
 }
 
-SHAPE = {1: ("$", "missing required field headline"), 2: ("$.headline", "string too short"), 3: ("$.confidence", "value not in enum"), 4: ("$.extra", "unexpected field")}
+SHAPE = {1: ("$", "field is absent: headline"), 2: ("$.headline", "shorter than 8 characters"), 3: ("$.confidence", "none of the allowed values"), 4: ("$.extra", "field is not known")}
+UNEVEN = "source_table and the evidence cited are not the same ids"
 FLAWS = [
-    (5, "I2", f"unknown or fabricated IDs: {NOBODY}"), (6, "I3", f"narrative references unknown ID {NOWHERE} in text"), (7, "I4", "untraceable number '123456.789' in text"), (8, "I5", "what_changed[0] current_value does not match evidence"),
-    (5, "I6", "source_table must exactly cover cited Evidence IDs"), (6, "I6", "source_table must exactly cover cited Evidence IDs"), (9, "I6", "source_table must exactly cover cited Evidence IDs"),
-    (10, "I7", "prohibited certainty language: guaranteed"), (11, "I7", "markdown links, images and raw HTML are not publishable"), (12, "I8", "empty or whitespace-only field falsifier"),
-    (13, "I9", "mechanism_chain[0] derived step needs two Evidence IDs"), (14, "I9", "high confidence requires two independent publishers"), (15, "I9", "bottom_line.as_of must equal fact_pack.as_of"),
+    (5, "I2", f"cites what the pack does not have: {NOBODY}"), (6, "I3", f"text names an id out of the pack: {NOWHERE}"), (7, "I4", "text has a number that the pack does not state: 123456.789"),
+    (8, "I5", "what_changed[0].current_value differs from the evidence"), (5, "I6", UNEVEN), (6, "I6", UNEVEN), (9, "I6", UNEVEN),
+    (10, "I7", "claims certainty: guaranteed"), (11, "I7", "has a link, an image or HTML"), (12, "I8", "falsifier has no text"),
+    (13, "I9", "mechanism_chain[0] is derived from fewer than two pieces of evidence"), (14, "I9", "is confident with fewer than two publishers"), (15, "I9", "as_of is not that of the pack"),
 ]
 quote = lambda x: "'" + x.replace("'", "''") + "'"
 FLAW_ROWS = ", ".join(f"({k}, {quote(g)}, {quote(e)})" for k, g, e in FLAWS + [(k, "I1", f"{loc}: {e}") for k, (loc, e) in SHAPE.items()])
@@ -148,16 +186,27 @@ ORACLE = {
     "h1_evidence_enrichment": f"{EV} SELECT evi_id, metric_id, observed_period, value, previous_value, n_history, publisher, official_primary, past FROM ev",
     "h2_related_claims": "SELECT DISTINCT o_orderpriority AS pack_id, o_custkey AS claim_id FROM orders",
     "h3_related_forecasts": "WITH m AS (SELECT o_orderpriority AS pack_id, min(o_custkey) AS claim_id FROM orders GROUP BY 1) SELECT pack_id, o_orderkey AS forecast_id, o_orderstatus AS status FROM m JOIN orders ON o_custkey = claim_id",
-    "h4_quality_gate": f"{EV} SELECT pack_id, bool_and(official_primary) AS official_primary_only, count(*) FILTER (official_primary) AS official_evidence_count, count(DISTINCT publisher) FILTER (official_primary) AS independent_publisher_count, true AS period_explicit, true AS unit_explicit FROM ev GROUP BY 1",
-    "h5_canonical_pack": f"""{EV}, m AS (SELECT o_orderpriority AS pack_id, min(o_custkey) AS claim_id FROM orders GROUP BY 1), fc AS (SELECT pack_id, o_orderkey::VARCHAR AS id FROM m JOIN orders ON o_custkey = claim_id),
-        ids AS (SELECT pack_id, evi_id AS id FROM ev UNION SELECT pack_id, claim_id::VARCHAR FROM m UNION SELECT * FROM fc), al AS (SELECT pack_id, count(*) AS n_allowed, string_agg('"' || id || '"', ',' ORDER BY id) AS allowed FROM ids GROUP BY 1),
-        e AS (SELECT pack_id, max(observed_period) AS as_of, string_agg('{{"id":"' || evi_id || '","metric_id":"' || metric_id || '","period":"' || observed_period || '","publisher":"' || publisher || '","value":"' || value::DECIMAL(20, 2) || '"}}', ',' ORDER BY evi_id) AS evidence FROM ev GROUP BY 1),
-        g AS (SELECT pack_id, string_agg(DISTINCT '"' || id || '"', ',' ORDER BY '"' || id || '"') AS forecasts FROM fc GROUP BY 1), fl AS (SELECT o_orderpriority AS pack_id, string_agg(DISTINCT '"flag ' || o_orderstatus || '"', ',' ORDER BY '"flag ' || o_orderstatus || '"') AS flags FROM orders GROUP BY 1),
-        j AS (SELECT pack_id, as_of, n_allowed, '{{"allowed_ids":[' || allowed || '],"as_of":"' || as_of || '","claims":["' || claim_id || '"],"evidence":[' || evidence || '],"flags":[' || flags || '],"forecasts":[' || forecasts || '],"pack_id":"' || pack_id || '"}}' AS pack_json
-            FROM al JOIN e USING (pack_id) JOIN g USING (pack_id) JOIN fl USING (pack_id) JOIN m USING (pack_id)) SELECT *, sha256(pack_json) AS pack_sha256 FROM j""",
+    "h4_quality_gate": f"{EV} SELECT * FROM qg",
+    "h5_canonical_pack": f"""{EV}, m AS (SELECT o_orderpriority AS pack_id, min(o_custkey) AS claim_id, min(o_orderkey) AS item, count(*) AS priority FROM orders GROUP BY 1),
+        cl AS (SELECT pack_id, claim_id, (SELECT list_sort(list(DISTINCT 'evi_' || md5(CASE o_orderstatus WHEN 'P' THEN 'private:' ELSE 'orders:' END || o_orderpriority || '/' || o_orderstatus))) FROM orders WHERE o_custkey = claim_id) AS evidence_ids FROM m),
+        fc AS (SELECT pack_id, o_orderkey::VARCHAR AS id, claim_id::VARCHAR AS claim_id, o_orderstatus AS status FROM m JOIN orders ON o_custkey = claim_id),
+        ids AS (SELECT pack_id, evi_id AS id FROM ev UNION SELECT pack_id, claim_id::VARCHAR FROM m UNION SELECT pack_id, id FROM fc UNION SELECT pack_id, 'rit_' || item FROM m),
+        al AS (SELECT pack_id, list(id ORDER BY id) AS allowed FROM ids GROUP BY 1), seen AS (SELECT pack_id, max(observed_period) AS as_of FROM ev GROUP BY 1),
+        es AS (SELECT pack_id, list({{'history': history, 'id': evi_id, 'metric_id': metric_id, 'official': official_primary, 'period': observed_period, 'previous_value': {key_sql('previous_value')}, 'publisher': publisher, 'unit': unit, 'value': {key_sql('value')}}} ORDER BY evi_id) AS evidence FROM ev GROUP BY 1),
+        fs AS (SELECT pack_id, list({{'id': id, 'claim_id': claim_id, 'status': status}} ORDER BY id) AS forecasts FROM fc GROUP BY 1),
+        ds AS (SELECT pack_id, list({{'id': id, 'formula': formula, 'a': {key_sql('a')}, 'b': {key_sql('b')}, 'value': {key_sql('value')}, 'unit': unit, 'note': note}}) AS derived_values FROM sp GROUP BY 1),
+        gs AS (SELECT pack_id, list(flag ORDER BY flag) AS flags FROM fl GROUP BY 1),
+        j AS (SELECT m.pack_id, as_of, len(allowed) AS n_allowed, to_json({{'allowed_ids': allowed, 'as_of': as_of, 'claims': [{{'id': cl.claim_id::VARCHAR, 'evidence_ids': evidence_ids}}], 'derived_values': coalesce(derived_values, []), 'evidence': evidence,
+            'flags': coalesce(flags, []), 'forecasts': coalesce(forecasts, []), 'frameworks': {list(packs.FRAMEWORKS)}, 'quality_gate': {{{', '.join(f"'{c}': {c}" for c in sorted(("official_primary_only", "official_evidence_count", "independent_publisher_count", "original_tables_first", "period_scope_unit_explicit", "stock_flow_arithmetic_precomputed", "cross_book_signal_present", "trigger_flags_are_leads")))}}},
+            'research_item': {{'id': 'rit_' || item, 'priority': priority, 'queue_source': 'orders', 'title': 'Orders of ' || m.pack_id}}, 'version': 1}})::VARCHAR AS pack_json
+            FROM m JOIN cl USING (pack_id) JOIN al USING (pack_id) JOIN seen USING (pack_id) JOIN es USING (pack_id) JOIN qg USING (pack_id) LEFT JOIN fs USING (pack_id) LEFT JOIN ds USING (pack_id) LEFT JOIN gs USING (pack_id))
+        SELECT *, sha256(pack_json) AS pack_sha256 FROM j""",
     "h6_missing_members": "SELECT DISTINCT o_orderpriority AS pack_id, 'claim' AS kind, '-1' AS id FROM orders UNION ALL SELECT DISTINCT o_orderpriority, 'evidence', 'evi_' || o_orderpriority FROM orders",
     "i1_shape_check": f"WITH f(k, location, error) AS (VALUES {', '.join(f'({k}, {quote(loc)}, {quote(e)})' for k, (loc, e) in SHAPE.items())}) SELECT o_orderkey AS doc_id, location, error FROM orders JOIN f ON k = o_orderkey % 16",
     "i2_cited_ids": gate_sql("I2"), "i3_prose_ids": gate_sql("I3"), "i4_number_traceability": gate_sql("I4"), "i5_changed_values": gate_sql("I5"), "i6_source_table": gate_sql("I6"), "i7_language_screen": gate_sql("I7"), "i8_empty_narrative": gate_sql("I8"), "i9_causality_confidence": gate_sql("I9"),
-    "i10_verdict": f"{FLAWED}, g AS (SELECT k, string_agg(gate || ' ' || error, '; ' ORDER BY gate, error) AS errors FROM f GROUP BY 1) SELECT o_orderkey AS doc_id, errors IS NULL AS ok, coalesce(errors, '') AS errors FROM orders LEFT JOIN g ON k = o_orderkey % 16",
+    "i10_verdict": f"""{FLAWED}, g AS (SELECT k, string_agg(gate || ' ' || error, '; ' ORDER BY gate, error) AS errors, bool_or(gate = 'I1') AS misshapen FROM f GROUP BY 1), {SQL},
+        lacking AS (SELECT DISTINCT pack_id FROM ev WHERE missing > 0)
+        SELECT o_orderkey AS doc_id, errors IS NULL AS ok, coalesce(errors, '') AS errors, CASE WHEN NOT coalesce(misshapen, false) AND pack_id IS NOT NULL THEN 'evidence of the pack lacks metrics' ELSE '' END AS warnings
+        FROM orders LEFT JOIN g ON k = o_orderkey % 16 LEFT JOIN lacking ON pack_id = o_orderpriority""",
     "i11_fenced_json": "SELECT o_orderkey AS doc_id, o_orderkey % 16 NOT IN (1, 2) AS is_object, o_orderkey % 16 NOT IN (1, 2) AS same_as_sent FROM orders",
 }
