@@ -5,7 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import backfill, claims, corpus, detect, extract, gates, ledger, readings, rules, series, transcripts
+from tidemark.operators import backfill, claims, corpus, detect, extract, gates, ledger, packs, queue, readings, rules, series, transcripts
 from tidemark.sources import files
 from tidemark.streaming.intake import intake_stream, replay_stream
 
@@ -50,8 +50,10 @@ def test_stream_replay_equals_batch_replay_over_files(spark):
     r = random.Random(3)
     rows = [("s", f"x{k % 3}", f"2024-{r.randint(1, 5):02d}", r.choice("abc"), k) for k in range(60)]
     df = spark.createDataFrame(rows, "source string, series string, period string, digest string, seq long")
-    one_file = df.coalesce(1).sortWithinPartitions("seq")
-    assert sorted(one(replay_stream(one_file))) == sorted(one(detect.replay(df).select("source", "series", "period", "digest", "seq", "class")))
+    want = sorted(one(detect.replay(df).select("source", "series", "period", "digest", "seq", "class")))
+    assert sorted(one(replay_stream(df))) == want
+    # Keyed state over nine files and as many micro-batches.
+    assert sorted(one(replay_stream(df.withColumn("step", (F.col("seq") / 20).cast("int"))))) == want
 
 
 def test_intake_splits_failures(spark):
@@ -91,13 +93,13 @@ RELEASE = "release_id long, source string, title string, text string, url string
     ("jp_gdp", "国内総生産（ＧＤＰ） 0.1 0.2 0.3 0.4 0.5 (0.9) −1.2\n国内総生産（ＧＤＰ） 1 2 3 4 5.5\n", "gdp_qoq", None, -1.2), ("jp_gdp", "国内総生産（ＧＤＰ） 0.1 0.2 0.3 0.4 0.5\n国内総生産（ＧＤＰ） 1 2 3 4 5.5\n", "gdp_yoy", None, 5.5),
 ])
 def test_extract(spark, source, text, key, value, yoy):
-    got = extract.extract(spark.createDataFrame([(1, source, "t", text, None)], RELEASE), extract.rule_table(spark)).where(F.col("metric_key") == key).first()
+    got = extract.extract(spark.createDataFrame([(1, source, "t", text, None)], RELEASE)).where(F.col("metric_key") == key).first()
     assert (got.value, got.yoy) == (value, yoy) and str(got.yoy) != "-0.0"
 
 
 def test_one_table_row_is_no_metric(spark):
     df = spark.createDataFrame([(1, "jp_gdp", "t", "国内総生産（ＧＤＰ） 0.1 0.2 0.3 0.4 0.5 1.2\n", None), (2, "cn_mof", "t", "nothing", None)], RELEASE)
-    assert extract.extract(df, extract.rule_table(spark)).count() == 0
+    assert extract.extract(df).count() == 0
 
 
 @pytest.mark.parametrize(("source", "title", "text", "url", "want"), [
@@ -196,10 +198,67 @@ def test_redaction_and_exit_classes(spark):
     assert [r[0] for r in codes.select(corpus.exit_class(F.col("e"), F.col("c"))).collect()] == ["auth_required", "unavailable", "success", "retryable", "tool_error"]
 
 
-def test_shape_of_documents_that_are_no_objects(spark):
-    docs = spark.createDataFrame([(1, "[1]"), (2, "nonsense"), (3, '{"headline": 5}')], "doc_id long, body string")
-    got = {(r.doc_id, r.location): r.error for r in gates.shape_errors(docs).collect()}
-    assert got[1, "$"] == "expected object" and got[3, "$.headline"] == "expected string" and (1, "$[0]") in got
+def test_shape_of_documents(spark):
+    deep = '{"mechanism_chain": [{"kind": "observed", "statement": "long enough", "supporting_ids": ["evi_1", "x", 5]}], "odd": {"a": {"b": 1}}, "what_changed": [{"current_value": true}]}'
+    docs = spark.createDataFrame([(1, "[1]"), (2, "nonsense"), (3, '{"headline": 5}'), (4, deep), (5, None)], "doc_id long, body string")
+    got = {}
+    for r in gates.shape_errors(docs).collect():
+        got.setdefault((r.doc_id, r.location), []).append(r.error)
+    assert got[1, "$"] == got[2, "$"] == got[5, "$"] == ["not an object"] and [k for k in got if k[0] == 1] == [(1, "$")]
+    assert got[3, "$.headline"] == ["not string"] and len(got[3, "$"]) == 11
+    assert got[4, "$.mechanism_chain[0].supporting_ids[1]"] == ["not of the form asked for"] and got[4, "$.mechanism_chain[0].supporting_ids[2]"] == ["not string"]
+    assert got[4, "$.odd"] == ["field is not known"] and not any(k[1].startswith("$.odd.") for k in got) and got[4, "$.what_changed[0].current_value"] == ["not number or null"]
+
+
+@pytest.mark.parametrize(("a", "b", "same"), [
+    ("1,234.50", "1234.5", True), ("1e40", "10000000000000000000000000000000000000000", True), ("0.000000001", "0", False), ("12345678901234567", "12345678901234568", False), ("-0.50", "-5e-1", True), ("+7", "7.000", True), ("0", "0.00", True), ("1e99999999999999999999", "1", False),
+])
+def test_numbers_are_compared_exactly(spark, a, b, same):
+    x, y = spark.createDataFrame([(a,), (b,)], "t string").select(gates.number_key(F.col("t")).alias("k")).collect()
+    assert (x.k == y.k) == same
+
+
+def test_numbers_in_documents_of_any_size(spark):
+    body = '{"headline": "grew by 1e40 or 0.000000001, 2.50 and 12345678901234567", "next_checks": [{"threshold": 1E+400}, {"threshold": 2.5}, {"threshold": null}]}'
+    docs = spark.createDataFrame([(1, "p", body), (2, "p", None)], "doc_id long, pack_id string, body string")
+    stated = spark.createDataFrame([("p", x) for x in ("2.5", "0", "12345678901234568")], "pack_id string, t string").select("pack_id", gates.number_key(F.col("t")).alias("number"))
+    errors = sorted(r.error.split()[-1] for r in gates.untraceable_numbers(docs, stated).collect())
+    assert errors == ["0.000000001", "12345678901234567", "1E+400", "1e40"]
+
+
+def test_packs_that_differ_in_a_late_decimal_have_other_hashes(spark):
+    def packed(value):
+        e = spark.createDataFrame([("p", "evi_1", "a:b", "2024-01", value, None, "EUR", "Office", True, [("2024-01", value)])], "pack_id string, evi_id string, metric_id string, observed_period string, value double, previous_value double, unit string, publisher string, official_primary boolean, history array<struct<period:string,value:double>>")
+        none = lambda s: spark.createDataFrame([], s)
+        items = spark.createDataFrame([("p", "rit_1", "q", "t", 1)], "pack_id string, item_id string, queue_source string, title string, priority int")
+        return packs.canonical(items, e, none("pack_id string, claim_id long, evidence_ids array<string>"), none("pack_id string, forecast_id long, claim_id long, status string"), none("pack_id string, id string, formula string, a double, b double, value double, unit string, note string"), none("pack_id string, flag string")).first()
+
+    a, b = packed(1.001), packed(1.002)
+    assert a.pack_sha256 != b.pack_sha256 and '"allowed_ids":["evi_1","rit_1"]' in a.pack_json and '"value":"1001e-3"' in a.pack_json and '"cross_book_signal_present":false' in a.pack_json
+
+
+@pytest.mark.parametrize(("ref", "want"), [
+    ("g", "http://a/b/c/g"), ("./g", "http://a/b/c/g"), ("g/", "http://a/b/c/g/"), ("/g", "http://a/g"), ("//g", "http://g"), ("?y", "http://a/b/c/d;p?y"), ("g?y", "http://a/b/c/g?y"), ("#s", "http://a/b/c/d;p?q#s"), ("g#s", "http://a/b/c/g#s"), ("", "http://a/b/c/d;p?q"),
+    (".", "http://a/b/c/"), ("./", "http://a/b/c/"), ("..", "http://a/b/"), ("../", "http://a/b/"), ("../g", "http://a/b/g"), ("../..", "http://a/"), ("../../g", "http://a/g"), ("../../../g", "http://a/g"), ("/./g", "http://a/g"), ("/../g", "http://a/g"), ("g..", "http://a/b/c/g.."), ("./g/.", "http://a/b/c/g/"), ("g:h", "g:h"), ("g/../h", "http://a/b/c/h"),
+])
+def test_references_are_resolved(spark, ref, want):
+    df = spark.createDataFrame([("http://a/b/c/d;p?q", ref)], "base string, ref string")
+    assert one(df.select(extract.url_join(F.col("base"), F.col("ref")))) == [(want,)]
+
+
+def test_anchors_of_all_forms_and_the_first_match(spark):
+    html = "<a href='x'>one</a><A CLASS=k HREF=\"y?a=1&amp;b=2\"><b> t</b>wo </A><a href=z>th<i>ree</i></a><!-- <a href='n'>no</a> --><a name='q'>no</a><a href='w'><img></a>"
+    pages = spark.createDataFrame([(1, "https://s/d/", html)], "page_id long, url string, html string")
+    links = extract.anchors(pages)
+    assert sorted(one(links.select("title", "link"))) == [("one", "https://s/d/x"), ("three", "https://s/d/z"), ("two", "https://s/d/y?a=1&b=2")]
+    assert one(extract.discover(links, "^t", None, "y\\?").select("title")) == [("two",)] and one(extract.discover(links, "^t", None, "/z$")) == []
+    assert one(extract.anchors(pages, base=F.lit("https://o/")).where("title = 'one'").select("link")) == [("https://o/x",)]
+
+
+def test_character_references(spark):
+    texts = ["&copy; &#8217; &hellip;", "&#x1F600;&#128;", "&amp;lt; &nosuch; & &;", "&#55296;&#99999999999;", None, "plain", "&eacute;t&eacute &notin;"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(extract.unescape(F.col("t"))).collect()] == ["© ’ …", "😀€", "&lt; &nosuch; & &;", "\ufffd\ufffd", None, "plain", "été ∉"]
 
 
 def test_briefs(spark):

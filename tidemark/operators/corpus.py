@@ -55,16 +55,28 @@ def rank_tracks(tracks: DataFrame, languages: tuple[str, ...] = LANGUAGES, kinds
 
 
 def cue_counts(captions: DataFrame, kind: str) -> DataFrame:
-    """Cues of each caption body (video_id, body): JSON3 segments that are not blank, or VTT cues with text; none is an error."""
+    """Cues of each caption body (video_id, body): JSON3 segments that are not blank, or VTT cues with text; none (bad JSON and null too) is an error.
+
+    JSON3 is one object, or JSON Lines: objects one a line, of which those that do not parse count nothing.
+    """
     from . import transcripts
 
     if kind == "json3":
-        segs = F.flatten(F.transform(F.from_json("body", transcripts.JSON3)["events"], lambda e: F.coalesce(e["segs"], F.array().cast("array<struct<utf8:string>>"))))
-        n = captions.select("video_id", F.size(F.filter(segs, lambda x: F.regexp_replace(F.coalesce(x["utf8"], F.lit("")), "\\s+", "") != "")).alias("cues"))
+        segments = "array<struct<utf8:string>>"
+
+        def counted(body: Column) -> Column:
+            events = F.coalesce(F.from_json(body, transcripts.JSON3)["events"], F.array())
+            segs = F.flatten(F.transform(events, lambda e: F.coalesce(e["segs"], F.array().cast(segments))))
+            return F.size(F.filter(segs, lambda x: F.regexp_replace(F.coalesce(x["utf8"], F.lit("")), "\\s+", "") != ""))
+
+        lines = F.filter(F.split(F.coalesce("body", F.lit("")), "\\R"), lambda x: x.rlike("^\\s*\\{"))
+        of_lines = F.aggregate(F.transform(lines, counted), F.lit(0), lambda a, b: a + b)
+        # A reader of one object stops after the first line of JSON Lines; lines of one object have no events of their own.
+        n = captions.select("video_id", F.greatest(counted(F.coalesce("body", F.lit(""))), of_lines).alias("cues"))
     else:
         found = transcripts.vtt_cues(captions).groupBy("video_id").agg(F.count(F.lit(1)).alias("n"))
         n = captions.select("video_id").join(found, "video_id", "left").select("video_id", F.coalesce("n", F.lit(0)).alias("cues"))
-    return n.select("video_id", F.lit(kind).alias("format"), "cues", (F.col("cues") == 0).alias("is_error"))
+    return n.select("video_id", F.lit(kind).alias("format"), F.col("cues").cast("int").alias("cues"), (F.col("cues") == 0).alias("is_error"))
 
 
 #: Phrases in a tool's error output, by class.
@@ -78,18 +90,22 @@ def exit_class(stderr: Column, code: Column) -> Column:
     return F.when(has(AUTH_PHRASES), "auth_required").when(has(GONE_PHRASES), "unavailable").when(code == 0, "success").when(code == 101, "retryable").otherwise("tool_error")
 
 
-#: Fixed value: what a secret looks like.
+#: What is taken out of a tool's output, what stands for it, and the mark of a cut text.
 SECRET = "[A-Za-z0-9._~+/=%-]{8,}"
+REDACTED = (
+    ("https?://[^\\s\"'<>]+", "<redacted-url>"),
+    (f"(?i)\\bbearer\\s+{SECRET}", "<redacted>"),
+    (f"(?i)\\b(authorization|token|cookie|signature|sig|api[_-]?key|secret|access[_-]?key)\\s*[:=]\\s*{SECRET}", "$1=<redacted>"),
+    ("(?:/Users|/home|/root|/private|/var|/tmp)/[^\\s\"'<>]+", "<redacted-path>"),
+)
+CUT_MARK = ("\n[...stderr truncated; total ", " bytes]")
 
 
 def redact(text: Column, most: int = 4096) -> Column:
-    """URLs, bearer tokens, secret assignments and absolute paths replaced; then cut to `most` characters."""
-    for pattern, by in (
-        ("https?://[^\\s\"'<>]+", "<redacted-url>"), (f"(?i)\\bbearer\\s+{SECRET}", "<redacted>"), (f"(?i)\\b(authorization|token|cookie|signature|sig|api[_-]?key|secret|access[_-]?key)\\s*[:=]\\s*{SECRET}", "$1=<redacted>"),
-        ("(?:/Users|/home|/root|/private|/var|/tmp)/[^\\s\"'<>]+", "<redacted-path>"),
-    ):
+    """URLs, bearer tokens, secret assignments and absolute paths replaced; a text of over `most` characters is then cut to them and marked with its length."""
+    for pattern, by in REDACTED:
         text = F.regexp_replace(text, pattern, by)
-    return F.substring(text, 1, most)
+    return F.when(F.length(text) > most, F.concat(F.substring(text, 1, most), F.lit(CUT_MARK[0]), F.length(text).cast("string"), F.lit(CUT_MARK[1]))).otherwise(text)
 
 
 def video_states(videos: DataFrame, captions: DataFrame, attempts: DataFrame) -> DataFrame:
@@ -106,11 +122,14 @@ def pending(states: DataFrame) -> DataFrame:
 
 
 def frozen_audit(files: DataFrame, manifest: DataFrame) -> DataFrame:
-    """manifest (path, byte_count, content_sha256) against binaryFile rows (path, length, content)."""
+    """manifest (path, byte_count, content_sha256) against files (path, length, content) as the binaryFile source gives them.
+
+    Gives path, result, and what was found: found_bytes, found_sha256.
+    """
     found = files.select("path", F.col("length").alias("found_bytes"), F.sha2("content", 256).alias("found_sha256"))
     joined = manifest.join(found, "path", "left")
     problem = F.when(F.col("found_bytes").isNull(), "missing").when(F.col("found_bytes") != F.col("byte_count"), "size").when(F.col("found_sha256") != F.col("content_sha256"), "content").otherwise("ok")
-    return joined.select("path", problem.alias("result"))
+    return joined.select("path", problem.alias("result"), "found_bytes", "found_sha256")
 
 
 def fall_through(attempts: DataFrame) -> DataFrame:

@@ -13,9 +13,9 @@ def pick(items: DataFrame, state: str, n: int) -> DataFrame:
 
 
 def summary(items: DataFrame, attempts: DataFrame) -> DataFrame:
-    """Counts of each state, the oldest queued item, and the error class of the newest attempt that was not ok."""
+    """Counts of each state, the oldest queued item, and the error class of the newest attempt that failed or needs review."""
     counts = items.agg(*[F.count_if(F.col("status") == s).alias(s) for s in STATES], F.min(F.when(F.col("status") == "queued", F.col("created_at"))).alias("oldest_queued"))
-    error = attempts.where("outcome <> 'ok'").agg(F.max_by("error_class", F.struct("attempted_at", "attempt_id")).alias("latest_error"))
+    error = attempts.where("outcome in ('error', 'needs_review')").agg(F.max_by("error_class", F.struct("attempted_at", "attempt_id")).alias("latest_error"))
     return counts.join(error)
 
 

@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pyspark.sql.types import StringType
 
+from .extract import unescape
+
 MERGE_GAP_MS, MERGE_SPAN_MS, REPEATS_KEPT = 1500, 8000, 5
 TERMINATORS = "[。！？!?]$"
 TIMING = "^([0-9]{2,}):([0-9]{2}):([0-9]{2})\\.([0-9]{3})[ \\t]+-->[ \\t]+([0-9]{2,}):([0-9]{2}):([0-9]{2})\\.([0-9]{3})"
@@ -31,18 +33,15 @@ def fold(text: Column) -> Column:
 
 
 def strip_markup(text: Column) -> Column:
-    """Without <..> tags, and with the common entities decoded (& last)."""
-    out = F.regexp_replace(text, "<[^>]*>", "")
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&")):
-        out = F.regexp_replace(out, entity, char)
-    return out
+    """Without <..> tags (of one character or more), and with all character references decoded."""
+    return unescape(F.regexp_replace(text, "<[^>]+>", ""))
 
 
 def vtt_cues(captions: DataFrame) -> DataFrame:
-    """captions (video_id, body) to cues; captions without the WEBVTT header give none."""
+    """captions (video_id, body) to cues; captions without the WEBVTT header (after white space, if any) give none."""
     body = F.regexp_replace("body", "\r\n?", "\n")
-    blocks = captions.where(F.regexp_replace("body", "^\ufeff", "").startswith("WEBVTT")).select("video_id", F.posexplode(F.split(body, "\n[ \\t]*\n+")).alias("at", "block"))
-    lines = blocks.where("not block rlike '^\\ufeff?(WEBVTT|NOTE)'").withColumn("lines", F.split("block", "\n"))
+    blocks = captions.where(F.col("body").rlike("^\ufeff?\\s*WEBVTT")).select("video_id", F.posexplode(F.split(body, "\n[ \\t]*\n+")).alias("at", "block"))
+    lines = blocks.where(~F.col("block").rlike("^\ufeff?\\s*(WEBVTT|NOTE)")).withColumn("lines", F.split("block", "\n"))
     timed = lines.withColumn("place", F.when(F.col("lines")[0].rlike(TIMING), 0).when(F.get("lines", F.lit(1)).rlike(TIMING), 1)).where("place is not null")
     stamp = F.get("lines", F.col("place"))
     part = lambda k: F.regexp_extract(stamp, TIMING, k).cast("long")
@@ -73,28 +72,35 @@ def usable(cues: DataFrame) -> DataFrame:
     return cues.withColumn("text", fold(strip_markup(F.col("text")))).where("text <> '' and end_ms >= start_ms")
 
 
-SEGMENT = "struct<start_ms:bigint,end_ms:bigint,raw_cue_start:bigint,raw_cue_end:bigint,text:string>"
-
-
 def merge(cues: DataFrame, gap_ms: int = MERGE_GAP_MS, span_ms: int = MERGE_SPAN_MS) -> DataFrame:
-    """Joins a cue to the one before it when the gap is over 0 and at most gap_ms, that one ends no sentence, and the merged span stays within span_ms."""
+    """Joins a cue to the one before it when the gap is over 0 and at most gap_ms, that one ends no sentence, and the merged span stays within span_ms.
+
+    Windows cut a video into chains by the first two rules. In a chain one fold finds where
+    segments start (numbers only); then each segment is put together once.
+    """
     w = W.partitionBy("video_id").orderBy("ordinal")
     gap = F.col("start_ms") - F.lag("end_ms").over(w)
     joins = (gap > 0) & (gap <= gap_ms) & ~F.lag("text").over(w).rlike(TERMINATORS)
     chained = cues.withColumn("chain", F.sum(F.when(F.coalesce(joins, F.lit(False)), 0).otherwise(1)).over(w.rowsBetween(W.unboundedPreceding, 0)))
     item = F.struct("ordinal", "start_ms", "end_ms", "text")
     chains = chained.groupBy("video_id", "chain").agg(F.sort_array(F.collect_list(item)).alias("cues"))
-    one = lambda c: F.struct(c["start_ms"].alias("start_ms"), c["end_ms"].alias("end_ms"), c["ordinal"].cast("bigint").alias("raw_cue_start"), c["ordinal"].cast("bigint").alias("raw_cue_end"), c["text"].alias("text"))
+    spans = F.transform("cues", lambda c, i: F.struct(i.alias("i"), c["start_ms"].alias("s"), c["end_ms"].alias("e")))
 
     def step(done: Column, c: Column) -> Column:
-        last = F.element_at(done, -1)
-        grown = F.struct(last["start_ms"].alias("start_ms"), c["end_ms"].alias("end_ms"), last["raw_cue_start"].alias("raw_cue_start"), c["ordinal"].cast("bigint").alias("raw_cue_end"), F.concat_ws(" ", last["text"], c["text"]).alias("text"))
-        fits = c["end_ms"] - last["start_ms"] <= span_ms
-        return F.when((F.size(done) > 0) & fits, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(grown))).otherwise(F.concat(done, F.array(one(c))))
-
-    first = F.array(one(F.col("cues")[0])).cast(f"array<{SEGMENT}>")
-    folded = F.aggregate(F.slice("cues", 2, F.greatest(F.size("cues") - 1, F.lit(0))), first, lambda done, c: step(done, c).cast(f"array<{SEGMENT}>"))
-    return chains.select("video_id", F.inline(folded))
+        fits = c["e"] - done["from"] <= span_ms
+        return F.struct(F.when(fits, done["starts"]).otherwise(F.concat(done["starts"], F.array(c["i"]))).alias("starts"), F.when(fits, done["from"]).otherwise(c["s"]).alias("from"))
+
+    state = "struct<starts:array<int>,from:bigint>"
+    first = F.struct(F.array(F.lit(0)).alias("starts"), F.col("cues")[0]["start_ms"].alias("from")).cast(state)
+    starts = F.aggregate(F.slice(spans, F.lit(2), F.size("cues")), first, lambda done, c: step(done, c).cast(state), lambda done: done["starts"])
+    cut = chains.select("video_id", "cues", starts.alias("starts"))
+    end = lambda k: F.coalesce(F.get("starts", k + 1), F.size("cues"))
+    parts = F.transform("starts", lambda a, k: F.slice("cues", a + 1, end(k) - a))
+    last = F.element_at("c", -1)
+    return cut.select("video_id", F.explode(parts).alias("c")).select(
+        "video_id", F.col("c")[0]["start_ms"].alias("start_ms"), last["end_ms"].alias("end_ms"), F.col("c")[0]["ordinal"].cast("bigint").alias("raw_cue_start"),
+        last["ordinal"].cast("bigint").alias("raw_cue_end"), F.array_join(F.transform("c", lambda x: x["text"]), " ").alias("text"),
+    )
 
 
 def collapse_repeats(segments: DataFrame, kept: int = REPEATS_KEPT) -> DataFrame:

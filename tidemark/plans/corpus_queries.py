@@ -89,14 +89,22 @@ def k9(spark, d):
 
 
 def k12(spark, d):
-    """Files written from conversations and read back as bytes, against a manifest that is wrong for some."""
-    c = table(spark, d, "conversations").groupBy(F.col("conv_id").alias("video_id")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn", "role", F.coalesce("text", F.lit("")).alias("text")))), lambda x: x["text"]), " ").alias("body"))
-    c = c.select(F.pmod("video_id", F.lit(16)).alias("shard"), F.regexp_replace("body", "\n", " ").alias("body"))
+    """Files of up to 64 conversations written and read back as bytes, against a manifest made from the table that is wrong for some."""
+    turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    c = table(spark, d, "conversations").groupBy(F.col("conv_id").alias("video_id")).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    body = F.regexp_replace(F.array_join(F.transform("turns", lambda x: x["text"]), " "), "[\r\n]", " ")
+    c = c.select(F.call_function("div", F.col("video_id"), F.lit(64)).alias("shard"), body.alias("body"))
     folder = shared(spark, "frozen")
-    c.orderBy("shard", "body").write.partitionBy("shard").text(folder)
+    c.repartition("shard").sortWithinPartitions("shard", "body").write.partitionBy("shard").text(folder)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(folder)
-    manifest = files.select("path", (F.col("length") + F.when(F.col("length") % 5 == 0, 1).otherwise(0)).alias("byte_count"), F.when(F.col("length") % 7 == 0, "bad").otherwise(F.sha2("content", 256)).alias("content_sha256"))
-    return corpus.frozen_audit(files, manifest).groupBy("result").agg(F.count(F.lit(1)).alias("files"))
+    files = files.withColumn("path", F.regexp_extract("path", "shard=([0-9-]+)", 1))
+    whole = c.groupBy("shard").agg(F.concat(F.array_join(F.sort_array(F.collect_list("body")), "\n"), F.lit("\n")).alias("content"))
+    k = F.col("shard")
+    manifest = whole.select(
+        F.when(k % 11 == 10, F.concat(k.cast("string"), F.lit("-lost"))).otherwise(k.cast("string")).alias("path"), (F.octet_length("content") + F.when(k % 5 == 4, 1).otherwise(0)).alias("byte_count"),
+        F.when(k % 7 == 6, "bad").otherwise(F.sha2("content", 256)).alias("content_sha256"),
+    )
+    return corpus.frozen_audit(files, manifest)
 
 
 def k13(spark, d):
@@ -230,7 +238,11 @@ ORACLE = {
     "k8_exit_classification": """WITH s AS (SELECT doc_id, length(coalesce(text, '')) AS n, lower(coalesce(text, '')) AS t FROM documents)
         SELECT doc_id, CASE WHEN n % 5 = 0 OR contains(t, 'sign in') OR contains(t, 'cookie') OR contains(t, 'authentication') THEN 'auth_required' WHEN n % 7 = 0 OR contains(t, 'video unavailable') OR contains(t, 'private video') OR contains(t, 'removed') THEN 'unavailable'
             WHEN n % 3 = 0 THEN 'success' WHEN n % 3 = 1 THEN 'retryable' ELSE 'tool_error' END AS class FROM s""",
-    "k9_secret_redaction": f"WITH r AS (SELECT doc_id, length(coalesce(text, '')) AS n, {REDACT.replace('{x}', SAID)} AS t FROM documents) SELECT doc_id, sha256(t) AS redacted_sha256, left(t, 120) AS head, n FROM r",
+    "k12_frozen_file_audit": r"""WITH c AS (SELECT conv_id // 64 AS shard, regexp_replace(string_agg(coalesce(text, ''), ' ' ORDER BY turn, coalesce(role, ''), coalesce(text, '')), '[\r\n]', ' ', 'g') AS body FROM conversations GROUP BY conv_id),
+        w AS (SELECT shard, string_agg(body || chr(10), '' ORDER BY body) AS content FROM c GROUP BY 1)
+        SELECT CASE WHEN shard % 11 = 10 THEN shard || '-lost' ELSE shard::VARCHAR END AS path, CASE WHEN shard % 11 = 10 THEN 'missing' WHEN shard % 5 = 4 THEN 'size' WHEN shard % 7 = 6 THEN 'content' ELSE 'ok' END AS result,
+            CASE WHEN shard % 11 <> 10 THEN strlen(content) END AS found_bytes, CASE WHEN shard % 11 <> 10 THEN sha256(content) END AS found_sha256 FROM w""",
+    "k9_secret_redaction": f"WITH r AS (SELECT doc_id, length(coalesce(text, '')) AS n, {REDACT.replace('{x}', SAID)} AS t FROM documents) SELECT doc_id, sha256(t) AS redacted_sha256, CASE WHEN length(t) > 120 THEN left(t, 120) || chr(10) || '[...stderr truncated; total ' || length(t) || ' bytes]' ELSE t END AS head, n FROM r",
     "k10_video_state": f"{STATE} SELECT * FROM st",
     "k11_pending_selection": f"{STATE} SELECT video_id, discovered_at, state FROM st WHERE state IN ('pending', 'retryable', 'tool_error')",
     "k13_candidate_fall_through": """WITH a AS (SELECT user_id AS video_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS place, CASE WHEN event_type = 'view' AND value < 5 THEN 'success' WHEN event_type = 'error' AND value > 40 THEN 'auth_required' ELSE event_type END AS outcome FROM events),

@@ -73,7 +73,7 @@ BODY = "WITH " + REL
 
 
 def found(spark, d):
-    return ex.extract(releases(spark, d), ex.rule_table(spark))
+    return ex.extract(releases(spark, d))
 
 
 def of_kind(*kinds):
@@ -103,6 +103,25 @@ def linked(spark, d):
     return p.select("page_id", F.concat(F.lit("https://site.example/p/"), k).alias("url"), html.alias("html"))
 
 
+#: Anchors put before a page's own, by page_id % 7; the last one's link is none that discovery follows.
+FORMS = [
+    "",
+    "<A class=\"x\"\n HREF='../next/./a.html?b=1#c'><b> deux &eacute;</b> <i>mots</i></A>",
+    "<a href=/root&amp;2>un &#8217; &#x2026;</a>",
+    "<!-- <a href=\"/no\">commented</a> --><a title='>' href=\"?page=2\">p&aacute;gina</a>",
+    "<a name=\"only\">no link</a><a href=\"//other.example/x\">elsewhere</a>",
+    "<a href=\"/blank\"> <img src=\"i.png\"> </a><a href=\"sub/file.pdf\">file</a>",
+    "<a href=\"mailto:nobody@site.example\">write to us</a>",
+]
+
+
+def listed(spark, d):
+    p = table(spark, d, "pages")
+    front = F.element_at(F.array(*map(F.lit, FORMS)), (F.col("page_id") % 7 + 1).cast("int"))
+    url = F.concat(F.lit("https://site.example/a/b"), F.col("page_id"), F.lit("/list.html?q#f"))
+    return p.select("page_id", F.when(F.col("page_id") % 7 == 0, F.col("url")).otherwise(url).alias("url"), F.concat(front, F.coalesce("html", F.lit(""))).alias("html"))
+
+
 def dated_urls(spark, d):
     k, n = F.col("page_id"), F.length("url")
     part = F.when(n % 6 == 0, F.concat(F.lit("/2019/"), ex.two(n % 14 + 1), F.lit("/x.html"))).when(n % 6 == 1, F.concat(F.lit("/2020"), ex.two(n % 14 + 1), F.lit("/y.PDF"))).when(n % 6 == 2, F.concat(F.lit("/k21"), ex.two(n % 14 + 1), F.lit("31a.pdf?v=1"))).when(n % 6 == 3, "/2018/").when(n % 6 == 4, "/2010/05/").otherwise("/none")
@@ -124,17 +143,22 @@ def split_digits(spark, d):
 
 
 def b14(spark, d):
-    good, _ = ex.parsed(releases(spark, d), ex.rule_table(spark))
+    good, _ = ex.parsed(releases(spark, d))
     return good.select("release_id", "source", "metric_key", "unit", "period", "value", "yoy")
 
 
+#: Character references of all forms, and what they say.
+ODD_HTML = "<p>&copy;&nbsp;&#8217;&hellip;&#x41;&NotEqualTilde; &#150; &unknown; &amp;lt; &#0; 1 <> 2 &amp</p>"
+ODD_TEXT = "© ’…A≂̸ – &unknown; &lt; \ufffd 1 <> 2 &"
+
+
 QUERIES = {
-    "a5_anchor_discovery": lambda s, d: ex.discover(ex.anchors(table(s, d, "pages")), "^[a-zà-ÿ]", "^/"),
+    "a5_anchor_discovery": lambda s, d: ex.discover(ex.anchors(listed(s, d)), "^[a-zà-ÿ]", None, "^https?://"),
     "a6_chained_discovery": lambda s, d: ex.chained(linked(s, d), ex.anchors(linked(s, d)), [("^Next$", "^/p/"), ("^More$", None)]),
     "a7_newest_year_folder": lambda s, d: ex.newest_year(linked(s, d), ex.anchors(linked(s, d)), "^state"),
     "a8_release_date_kind": a8,
     "a9_staleness": lambda s, d: a8(s, d).select("page_id", ex.stale(F.col("day"), F.lit("2021-02-01").cast("date")).alias("is_stale")),
-    "b1_html_to_text": lambda s, d: table(s, d, "pages").select("page_id", ex.html_to_text(F.col("html")).alias("text")),
+    "b1_html_to_text": lambda s, d: table(s, d, "pages").select("page_id", ex.html_to_text(F.concat("html", F.lit(ODD_HTML))).alias("text")),
     "b2_split_digit_rejoin": split_digits,
     "b3_lenient_number": lambda s, d: table(s, d, "orders").select("o_orderkey", ex.number(F.when(F.col("o_orderstatus") == "P", F.lit("n/a")).otherwise(F.concat(F.lit(" "), F.format_number("o_totalprice", 2), F.lit(" ")))).alias("value")),
     "b4_signed_percent": lambda s, d: table(s, d, "orders").select("o_orderkey", ex.signed(F.round(F.col("o_totalprice") / 1000, 1), F.when(F.col("o_orderstatus") == "P", "Fell").when(F.col("o_orderstatus") == "O", "rose"), ex.EN_NEGATIVE).alias("pct")),
@@ -148,27 +172,31 @@ QUERIES = {
     "b12_period_url_first": periods("jp_ppi", "jp_policy"),
     "b13_table_row": of_kind("table_0", "table_1"),
     "b14_release_parser": b14,
-    "b15_parse_failures": lambda s, d: ex.parsed(releases(s, d), ex.rule_table(s))[1],
+    "b15_parse_failures": lambda s, d: ex.parsed(releases(s, d))[1],
     "b16_completeness_gate": lambda s, d: ex.incomplete(found(s, d), ex.rule_table(s).select("source", "metric_key")),
     "b17_value_fallback": lambda s, d: found(s, d).select("release_id", "metric_key", F.coalesce("value", "yoy").alias("value")),
     "b18_series_keys": lambda s, d: ex.observations_of(found(s, d)),
 }
 
-TEXT_SQL = r"trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), '[ \t\r\n]+', ' ', 'g'))"
+TEXT_SQL = r"trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', ''''), '&nbsp;', ' '), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '[ \t\r\n]+', ' ', 'g'))"
 JOINED = "'12 ,3 45. 6 ' || coalesce(text, '') || ' 7 8' || chr(10) || '9'"
 for _ in range(3):
     JOINED = rf"regexp_replace({JOINED}, '([0-9.,])[ \t\r\n]+([0-9.,])', '\1\2', 'g')"
 
 ORACLE = {
-    "a5_anchor_discovery": r"""WITH l AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*', 0) AS site, regexp_extract_all(html, '<a\s+href="([^"]*)"[^>]*>([^<]*)</a>', 1) AS hs, regexp_extract_all(html, '<a\s+href="([^"]*)"[^>]*>([^<]*)</a>', 2) AS ts FROM pages),
-        x AS (SELECT page_id, site, unnest(hs) AS href, unnest(ts) AS title, unnest(range(0, len(hs))) AS pos FROM l)
-        SELECT page_id, arg_min(trim(title), pos) AS title, arg_min(site || href, pos) AS link FROM x WHERE trim(title) <> '' AND regexp_matches(trim(title), '^[a-zà-ÿ]') AND starts_with(href, '/') GROUP BY 1""",
+    "a5_anchor_discovery": r"""WITH l AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*', 0) AS site, regexp_extract_all(html, '<a\s+href="([^"]*)"[^>]*>([^<]*)</a>', 1) AS hs, regexp_extract_all(html, '<a\s+href="([^"]*)"[^>]*>([^<]*)</a>', 2) AS ts FROM pages WHERE page_id % 7 = 0),
+        x AS (SELECT page_id, site, unnest(hs) AS href, trim(unnest(ts)) AS title, unnest(range(0, len(hs))) AS pos FROM l),
+        f AS (SELECT page_id, arg_min(title, pos) AS title, arg_min(CASE WHEN starts_with(href, '/') THEN site || href ELSE href END, pos) AS link FROM x WHERE regexp_matches(title, '^[a-zà-ÿ]') GROUP BY 1)
+        SELECT * FROM f WHERE regexp_matches(link, '^https?://')
+        UNION ALL SELECT page_id, ['deux émots', 'un ’ …', 'página', 'elsewhere', 'file'][page_id % 7],
+            ['https://site.example/a/next/a.html?b=1#c', 'https://site.example/root&2', 'https://site.example/a/b' || page_id || '/list.html?page=2', 'https://other.example/x', 'https://site.example/a/b' || page_id || '/sub/file.pdf'][page_id % 7]
+        FROM pages WHERE page_id % 7 BETWEEN 1 AND 5""",
     "a6_chained_discovery": "SELECT p.page_id AS start_id, CASE WHEN q.page_id IS NOT NULL THEN 'https://site.example/p/' || (q.page_id * 2) END AS link FROM pages p LEFT JOIN pages q ON q.page_id = p.page_id + 1",
-    "a7_newest_year_folder": """SELECT page_id, CASE WHEN length(url) % 5 <> 0 THEN 2000 + greatest(length(url) % 7 + 15, length(url) % 4 + 18) END::INT AS year, CASE WHEN length(url) % 5 <> 0 THEN 'state_20' || greatest(length(url) % 7 + 15, length(url) % 4 + 18) || '/' END AS link,
+    "a7_newest_year_folder": """SELECT page_id, CASE WHEN length(url) % 5 <> 0 THEN 2000 + greatest(length(url) % 7 + 15, length(url) % 4 + 18) END::INT AS year, CASE WHEN length(url) % 5 <> 0 THEN 'https://site.example/p/state_20' || greatest(length(url) % 7 + 15, length(url) % 4 + 18) || '/' END AS link,
         CASE WHEN length(url) % 5 = 0 THEN 'no_year_folder' END AS error_class FROM pages""",
     "a8_release_date_kind": f"WITH {DATED} SELECT page_id, day, kind FROM dt",
     "a9_staleness": f"WITH {DATED} SELECT page_id, coalesce(DATE '2021-02-01' - day > 60, false) AS is_stale FROM dt",
-    "b1_html_to_text": f"SELECT page_id, {TEXT_SQL} AS text FROM pages",
+    "b1_html_to_text": f"SELECT page_id, trim(coalesce(nullif({TEXT_SQL}, '') || ' ', '') || '{ODD_TEXT}') AS text FROM pages WHERE html IS NOT NULL UNION ALL SELECT page_id, NULL FROM pages WHERE html IS NULL",
     "b2_split_digit_rejoin": f"SELECT doc_id, sha256({JOINED}) AS sha256 FROM documents",
     "b3_lenient_number": "SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN round(o_totalprice, 2) END AS value FROM orders",
     "b4_signed_percent": "SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN -round(o_totalprice / 1000, 1) ELSE round(o_totalprice / 1000, 1) END AS pct FROM orders",

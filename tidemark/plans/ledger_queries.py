@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..operators import detect, ledger, queue
 from ..sources.tables import observations, table
 from ..streaming.intake import intake_stream, replay_stream
 from .series_queries import OBS, sql_rows
 
-SNAP = """day AS (SELECT event_type AS series, strftime(ts, '%Y-%m-%d') AS period, string_agg(event_id::VARCHAR, ',' ORDER BY event_id) AS ids, bool_or(event_id % 7 = 0) AS revised FROM events GROUP BY ALL),
+SNAP = """day AS (SELECT event_type AS series, strftime(ts, '%Y-%m-%d') AS period, count(*) || ':' || sum(('0x' || left(md5(event_id::VARCHAR), 15))::BIGINT) AS ids, bool_or(event_id % 7 = 0) AS revised FROM events GROUP BY ALL),
     rev AS (SELECT series, period, ids AS content, 0 AS rev FROM day UNION ALL SELECT series, period, ids || ':again', 1 FROM day WHERE revised
         UNION ALL SELECT series, period, ids, 2 FROM day WHERE substr(period, 9) IN ('05', '12', '20')),
     snap AS (SELECT 'events' AS source, series, period, content, rev, sha256(content) AS digest,
         row_number() OVER (PARTITION BY series ORDER BY CASE WHEN rev = 2 THEN substr(period, 1, 8) || lpad((substr(period, 9)::INT + 2)::VARCHAR, 2, '0') ELSE period END, rev, period) AS seq FROM rev)"""
-STATE = "state AS (SELECT source, series, max(period) AS last_period, arg_max(digest, period) AS last_digest FROM snap WHERE rev = 0 AND period <= '2024-01-10' GROUP BY ALL)"
-BATCH = "batch AS (SELECT source, series, period, digest, rev FROM snap WHERE period IN ('2024-01-09', '2024-01-10', '2024-01-12') AND rev < 2)"
+STATE = """state AS (SELECT source, series, period AS last_period, digest AS last_digest FROM snap WHERE rev = 0 AND series <> 'error'
+    QUALIFY row_number() OVER (PARTITION BY series ORDER BY period) = (count(*) OVER (PARTITION BY series) + 1) // 2)"""
+BATCH = "batch AS (SELECT source, series, period, digest, rev FROM snap WHERE rev < 2)"
 CLASSED = """classed AS (SELECT b.*, CASE WHEN last_period IS NULL OR period > last_period THEN 'new' WHEN period = last_period AND last_digest <> '' AND digest <> last_digest THEN 'revision' ELSE 'same' END AS class
     FROM batch b LEFT JOIN state USING (source, series))"""
 REPLAY = """rp AS (SELECT *, max(period) OVER (PARTITION BY series ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mp, lag(digest) OVER (PARTITION BY series, period ORDER BY seq) AS ld FROM snap),
@@ -39,9 +40,13 @@ ALLOWED_SQL = f"al(entity_type, current, to_status) AS (VALUES {sql_rows([(k, a,
 
 
 def snapshots(spark, d) -> DataFrame:
-    """Daily snapshots of each event type in order seq, some given again with other content, some repeated late."""
+    """Daily snapshots of each event type in order seq, some given again with other content, some repeated late.
+
+    The content of a snapshot is the number of its events and the sum of hashes of their ids: an aggregate, however many they are.
+    """
+    hashed = F.conv(F.substring(F.md5(F.col("event_id").cast("string")), 1, 15), 16, 10).cast("decimal(20,0)")
     day = table(spark, d, "events").groupBy(F.col("event_type").alias("series"), F.date_format("ts", "yyyy-MM-dd").alias("period")).agg(
-        F.array_join(F.sort_array(F.collect_list("event_id")).cast("array<string>"), ",").alias("ids"), F.max((F.col("event_id") % 7 == 0)).alias("revised"),
+        F.concat_ws(":", F.count(F.lit(1)).cast("string"), F.sum(hashed).cast("string")).alias("ids"), F.max((F.col("event_id") % 7 == 0)).alias("revised"),
     )
     rev = (
         day.select("series", "period", F.col("ids").alias("content"), F.lit(0).alias("rev"))
@@ -49,19 +54,20 @@ def snapshots(spark, d) -> DataFrame:
         .unionByName(day.where("substr(period, 9) in ('05', '12', '20')").select("series", "period", F.col("ids").alias("content"), F.lit(2).alias("rev")))
     )
     at = F.when(F.col("rev") == 2, F.concat(F.substring("period", 1, 8), F.lpad((F.substring("period", 9, 2).cast("int") + 2).cast("string"), 2, "0"))).otherwise(F.col("period"))
-    from pyspark.sql import Window as W
-
     seq = F.row_number().over(W.partitionBy("series").orderBy(at, "rev", "period")).cast("long")
     return rev.select(F.lit("events").alias("source"), "series", "period", "content", "rev", detect.content_address(F.col("content")).alias("digest"), seq.alias("seq"))
 
 
 def state(spark, d):
-    old = snapshots(spark, d).where("rev = 0 and period <= '2024-01-10'")
-    return old.groupBy("source", "series").agg(F.max("period").alias("last_period"), F.max_by("digest", "period").alias("last_digest"))
+    """What is known when a batch comes: the snapshot of each series' middle day; nothing of one series."""
+    w = W.partitionBy("series")
+    old = snapshots(spark, d).where("rev = 0 and series <> 'error'").withColumns({"r": F.row_number().over(w.orderBy("period")), "n": F.count(F.lit(1)).over(w)})
+    return old.where("r = (n + 1) div 2").select("source", "series", F.col("period").alias("last_period"), F.col("digest").alias("last_digest"))
 
 
 def batch(spark, d):
-    return snapshots(spark, d).where("period in ('2024-01-09', '2024-01-10', '2024-01-12') and rev < 2").select("source", "series", "period", "digest", "rev")
+    """All snapshots and revisions: days before the known one, that day again, and new ones."""
+    return snapshots(spark, d).where("rev < 2").select("source", "series", "period", "digest", "rev")
 
 
 def classified(spark, d):
@@ -69,8 +75,6 @@ def classified(spark, d):
 
 
 def events(spark, d) -> DataFrame:
-    from pyspark.sql import Window as W
-
     kinds = F.broadcast(spark.createDataFrame(MAP_ROWS, "entity_type string, event_type string, to_status string"))
     kind = F.when(F.col("user_id") % 3 == 0, "claim").when(F.col("user_id") % 3 == 1, "forecast").otherwise("generated_insight")
     rows = table(spark, d, "events").select(F.col("event_id").alias("evt_id"), kind.alias("entity_type"), F.col("user_id").alias("entity_id"), "event_type", F.col("ts").alias("occurred_at")).join(kinds, ["entity_type", "event_type"])
@@ -160,7 +164,7 @@ def results(spark, d):
 
 def attempts(spark, d):
     return table(spark, d, "events").select(
-        F.col("event_id").alias("attempt_id"), F.col("user_id").alias("entity_id"), F.lit("generate").alias("stage"), F.when(F.col("event_type") == "purchase", "ok").otherwise(F.col("event_type")).alias("outcome"),
+        F.col("event_id").alias("attempt_id"), F.col("user_id").alias("entity_id"), F.lit("generate").alias("stage"), F.when(F.col("event_type") == "purchase", "ok").when(F.col("event_type") == "click", "needs_review").otherwise(F.col("event_type")).alias("outcome"),
         F.when(F.col("event_type") != "purchase", F.concat(F.lit("E"), F.col("event_id") % 9)).alias("error_class"), F.col("props").alias("detail"), F.col("ts").alias("attempted_at"),
     )
 
@@ -181,9 +185,10 @@ def a10(spark, d):
 
 
 def c6_stream(spark, d):
-    """Two files, the earlier half of each series' snapshots in the first."""
+    """Two steps of files, the earlier half of each series' snapshots in the first; several micro-batches."""
     rows = snapshots(spark, d).select("source", "series", "period", "digest", "seq")
-    return replay_stream(rows.repartitionByRange(1, "seq").sortWithinPartitions("seq"))
+    half = F.when(F.col("seq") * 2 <= F.count(F.lit(1)).over(W.partitionBy("source", "series")), 0).otherwise(1)
+    return replay_stream(rows.withColumn("step", half), files_per_batch=3)
 
 
 QUERIES = {
@@ -260,10 +265,10 @@ ORACLE = {
     "g12_provenance_append": r"""WITH w AS (SELECT conv_id AS ins_id, role, regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') AS refs FROM conversations WHERE role = 'user'),
         x AS (SELECT ins_id, role, unnest(refs) AS ref, unnest(range(0, len(refs))) AS ordinal FROM w) SELECT ins_id, ref, role, min(ordinal) AS ordinal FROM x GROUP BY ALL""",
     "g13_entity_creation": f"WITH {EV} SELECT 'forecast' AS entity_type, entity_id, NULL::VARCHAR AS from_status, initial_status AS to_status, created_at AS occurred_at FROM ent WHERE entity_type = 'forecast'",
-    "g14_attempt_log": "SELECT user_id AS entity_id, 'generate' AS stage, CASE event_type WHEN 'purchase' THEN 'ok' ELSE event_type END AS outcome, CASE WHEN event_type <> 'purchase' THEN 'E' || event_id % 9 END AS error_class, sha256(props) AS detail_sha256 FROM events",
+    "g14_attempt_log": "SELECT user_id AS entity_id, 'generate' AS stage, CASE event_type WHEN 'purchase' THEN 'ok' WHEN 'click' THEN 'needs_review' ELSE event_type END AS outcome, CASE WHEN event_type <> 'purchase' THEN 'E' || event_id % 9 END AS error_class, sha256(props) AS detail_sha256 FROM events",
     "j1_fifo_pick": f"WITH {EV} SELECT * FROM ins WHERE status = 'queued' ORDER BY created_at, entity_id LIMIT 10",
     "j2_queue_summary": f"""WITH {EV} SELECT {', '.join(f"count(*) FILTER (status = '{s}') AS {s}" for s in queue.STATES)}, min(created_at) FILTER (status = 'queued') AS oldest_queued,
-        (SELECT arg_max('E' || event_id % 9, (ts, event_id)) FROM events WHERE event_type <> 'purchase') AS latest_error FROM ins""",
+        (SELECT arg_max('E' || event_id % 9, (ts, event_id)) FROM events WHERE event_type IN ('error', 'click')) AS latest_error FROM ins""",
     "j3_stuck_recovery": f"WITH {EV} SELECT entity_id, 'generating' AS from_status, 'queued' AS to_status, 'recovered after restart' AS reason FROM ins WHERE status = 'generating'",
     "j4_outcome_routing": f"WITH {EV}, {RESULTS} SELECT * FROM routed",
     "j5_latest_artifact": "SELECT o_custkey AS ins_id, max_by(o_orderkey, (o_orderdate, o_orderkey)) AS artifact_id, max_by(o_orderstatus, (o_orderdate, o_orderkey)) <> 'P' AS intact FROM orders GROUP BY 1",

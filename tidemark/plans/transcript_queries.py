@@ -9,11 +9,11 @@ from ..sources.tables import table
 
 #: Turns as cues: lengths and gaps follow from the text; some turns repeat a short text, some end before they start.
 CUES = r"""c0 AS (SELECT conv_id AS video_id, turn AS ordinal, role, coalesce(text, '') AS body, length(coalesce(text, '')) AS n FROM conversations),
-    c1 AS (SELECT *, CASE WHEN n % 5 = 0 THEN 'same words' WHEN n % 13 = 0 THEN '' WHEN n % 7 = 0 THEN '<i>' || body || '</i> &lt;ok&gt; &amp;amp;' ELSE body END AS text,
+    c1 AS (SELECT *, CASE WHEN n % 5 = 0 THEN 'same words' WHEN n % 13 = 0 THEN '' WHEN n % 7 = 0 THEN '<i>' || body || '</i> &lt;ok&gt; &amp;amp; &copy;&#x2019;&hellip; <>' ELSE body END AS text,
         row_number() OVER w AS k, sum(500 + n % 1500) OVER w AS total, sum(n % 3 * 700) OVER w AS pause FROM c0 WINDOW w AS (PARTITION BY video_id ORDER BY ordinal, role, body)),
     cues AS (SELECT video_id, k - 1 AS ordinal, total + pause - (500 + n % 1500) AS start_ms, CASE WHEN n % 17 = 0 THEN 0 ELSE total + pause END AS end_ms, text FROM c1)"""
-MARKUP = "regexp_replace({x}, '<[^>]*>', '', 'g')"
-DECODED = "replace(replace(replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', chr(160)), '&amp;', '&')"
+MARKUP = "regexp_replace({x}, '<[^>]+>', '', 'g')"
+DECODED = "replace(replace(replace(replace(replace(replace(replace(replace(replace({x}, '&copy;', '©'), '&#x2019;', '’'), '&hellip;', '…'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', chr(160)), '&amp;', '&')"
 STRIPPED = DECODED.replace("{x}", MARKUP)
 FOLDED = r"trim(regexp_replace(replace(nfc_normalize({x}), chr(65279), ''), '[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g'))"
 USABLE = "us AS (SELECT video_id, ordinal, start_ms, end_ms, t AS text FROM (SELECT *, " + FOLDED.replace("{x}", STRIPPED.replace("{x}", "text")) + " AS t FROM cues) WHERE t <> '' AND end_ms >= start_ms)"
@@ -34,7 +34,7 @@ def cues(spark, d) -> DataFrame:
 
     c = table(spark, d, "conversations").select(F.col("conv_id").alias("video_id"), F.col("turn").alias("ordinal"), "role", F.coalesce("text", F.lit("")).alias("body")).withColumn("n", F.length("body"))
     n = F.col("n")
-    text = F.when(n % 5 == 0, "same words").when(n % 13 == 0, "").when(n % 7 == 0, F.concat(F.lit("<i>"), "body", F.lit("</i> &lt;ok&gt; &amp;amp;"))).otherwise(F.col("body"))
+    text = F.when(n % 5 == 0, "same words").when(n % 13 == 0, "").when(n % 7 == 0, F.concat(F.lit("<i>"), "body", F.lit("</i> &lt;ok&gt; &amp;amp; &copy;&#x2019;&hellip; <>"))).otherwise(F.col("body"))
     w = W.partitionBy("video_id").orderBy("ordinal", "role", "body")
     total, pause = F.sum(500 + n % 1500).over(w.rowsBetween(W.unboundedPreceding, 0)), F.sum(n % 3 * 700).over(w.rowsBetween(W.unboundedPreceding, 0))
     return c.select("video_id", (F.row_number().over(w) - 1).alias("ordinal"), (total + pause - (500 + n % 1500)).alias("start_ms"), F.when(n % 17 == 0, F.lit(0)).otherwise(total + pause).alias("end_ms"), text.alias("text"))
@@ -49,7 +49,7 @@ def vtt(spark, d) -> DataFrame:
     """WEBVTT bodies: every other cue has an id line, and a NOTE block stands in between."""
     block = F.concat(F.when(F.col("ordinal") % 2 == 0, F.concat(F.lit("cue "), "ordinal", F.lit("\n"))).otherwise(F.lit("")), stamped(F.col("start_ms")), F.lit(" --> "), stamped(F.col("end_ms")), F.lit(" align:start\n"), F.regexp_replace("text", "\n+", "\n"))
     packed = cues(spark, d).groupBy("video_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ordinal", block.alias("b")))), lambda x: x["b"]), "\n\nNOTE made here\n\n").alias("all"))
-    return packed.select("video_id", F.concat(F.when(F.col("video_id") % 9 == 0, "BROKEN").otherwise("WEBVTT"), F.lit("\nKind: captions\n\n"), "all", F.lit("\n")).alias("body"))
+    return packed.select("video_id", F.concat(F.when(F.col("video_id") % 9 == 0, "BROKEN").when(F.col("video_id") % 4 == 1, "\n \t\n WEBVTT").otherwise("WEBVTT"), F.lit("\nKind: captions\n\n"), "all", F.lit("\n")).alias("body"))
 
 
 def json3(spark, d) -> DataFrame:
@@ -64,6 +64,14 @@ def json3(spark, d) -> DataFrame:
     return rows.groupBy("video_id").agg(F.to_json(F.struct(F.transform(F.sort_array(F.collect_list(F.struct("at", "e"))), lambda x: x["e"]).alias("events"))).alias("body"))
 
 
+def json3_files(spark, d) -> DataFrame:
+    """JSON3 bodies, some as JSON Lines with an odd line, some no JSON."""
+    b = json3(spark, d)
+    events = F.from_json("body", tr.JSON3)["events"]
+    lines = F.array_join(F.transform(events, lambda e: F.to_json(F.struct(F.array(e).alias("events")))), "\n{not json}\n\n")
+    return b.select("video_id", F.when(F.col("video_id") % 5 == 1, lines).when(F.col("video_id") % 5 == 2, "{not json").otherwise(F.col("body")).alias("body"))
+
+
 def segments(spark, d):
     return tr.normalize(cues(spark, d))
 
@@ -119,7 +127,7 @@ def l15(spark, d):
 
 
 QUERIES = {
-    "k7_cue_counts": lambda s, d: corpus.cue_counts(json3(s, d), "json3").unionByName(corpus.cue_counts(vtt(s, d), "vtt")),
+    "k7_cue_counts": lambda s, d: corpus.cue_counts(json3_files(s, d), "json3").unionByName(corpus.cue_counts(vtt(s, d), "vtt")),
     "l1_vtt_cues": lambda s, d: tr.vtt_cues(vtt(s, d)),
     "l2_json3_cues": lambda s, d: tr.json3_cues(json3(s, d)),
     "l3_formatting_strip": lambda s, d: cues(s, d).select("video_id", "ordinal", tr.strip_markup(F.col("text")).alias("text")),
@@ -150,7 +158,7 @@ VTT_ROWS = f"""v0 AS (SELECT video_id, ordinal, start_ms, end_ms, trim(regexp_re
     v AS (SELECT * FROM v0 WHERE trim(text, chr(10) || ' ') <> '')"""
 
 ORACLE = {
-    "k7_cue_counts": f"""WITH {CUES}, {J3}, {VTT_ROWS} SELECT video_id, 'json3' AS format, count(*) FILTER (trim(text, chr(10) || chr(9) || chr(13) || ' ') <> '') AS cues, count(*) FILTER (trim(text, chr(10) || chr(9) || chr(13) || ' ') <> '') = 0 AS is_error FROM j1 GROUP BY 1
+    "k7_cue_counts": f"""WITH {CUES}, {J3}, {VTT_ROWS} SELECT video_id, 'json3' AS format, count(*) FILTER (video_id % 5 <> 2 AND trim(text, chr(10) || chr(9) || chr(13) || ' ') <> '') AS cues, count(*) FILTER (video_id % 5 <> 2 AND trim(text, chr(10) || chr(9) || chr(13) || ' ') <> '') = 0 AS is_error FROM j1 GROUP BY 1
         UNION ALL SELECT video_id, 'vtt', coalesce(n, 0), coalesce(n, 0) = 0 FROM (SELECT DISTINCT video_id FROM cues) LEFT JOIN (SELECT video_id, count(*) AS n FROM v GROUP BY 1) USING (video_id)""",
     "l1_vtt_cues": f"WITH {CUES}, {VTT_ROWS} SELECT video_id, row_number() OVER (PARTITION BY video_id ORDER BY ordinal) - 1 AS ordinal, start_ms, end_ms, text FROM v",
     "l2_json3_cues": f"WITH {J3} SELECT video_id, row_number() OVER (PARTITION BY video_id ORDER BY island) - 1 AS ordinal, start_ms, end_ms, text FROM jc",

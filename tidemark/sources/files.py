@@ -40,7 +40,7 @@ def upsert_observations(delta: DataFrame, path: str, staging: str) -> None:
     are staged first, as a table cannot be overwritten while it is read.
     """
     spark = delta.sparkSession
-    sources = F.broadcast(delta.select("source").distinct())
+    sources = delta.select("source").distinct()
     base = read_observations(spark, path).join(sources, "source", "left_semi").withColumn("seq", F.lit(0))
     upsert(base, delta.withColumn("seq", F.lit(1))).drop("seq").write.mode("overwrite").parquet(staging)
     write_observations(spark.read.schema(OBSERVATION).parquet(staging), path)

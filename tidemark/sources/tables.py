@@ -13,9 +13,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared(spark: SparkSession, name: str) -> str:
-    """A new folder where driver and executors can both write; a local one only where none is configured."""
+    """A new folder where driver and executors can both write. Only a local session without one (tests) gets one of its own."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="spark-shared-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..sources.tables import shared
+from ..sources.tables import materialized, shared
 
 
 REPLAYED = "source string, series string, period string, digest string, seq long, class string"
@@ -33,11 +33,17 @@ def classify_group(key: tuple, batches: Iterator[pd.DataFrame], state: GroupStat
 
 
 def replay_stream(snapshots: DataFrame, files_per_batch: int = 1) -> DataFrame:
-    """The classes of a stream of snapshot files, kept in keyed state across micro-batches; returns what the sink holds."""
+    """The classes of a stream of snapshot files, kept in keyed state across micro-batches; returns what the sink holds.
+
+    Files come step by step (column step; one step without it), and a key's rows of a step are in
+    one file, so micro-batches keep the order of seq. Keys spread over the partitions.
+    """
     spark = snapshots.sparkSession
     source, sink, log = (shared(spark, f"replay-{x}") for x in ("in", "out", "log"))
-    snapshots.write.parquet(source)
-    stream = spark.readStream.schema(snapshots.schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
+    stepped = materialized(snapshots if "step" in snapshots.columns else snapshots.withColumn("step", F.lit(0)), "replay-steps")
+    for (step,) in sorted(stepped.select("step").distinct().collect()):
+        stepped.where(F.col("step") == step).drop("step").repartition("source", "series").write.mode("append").parquet(source)
+    stream = spark.readStream.schema(stepped.drop("step").schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
     classed = stream.groupBy("source", "series").applyInPandasWithState(classify_group, REPLAYED, "last_period string, last_digest string", "append", GroupStateTimeout.NoTimeout)
     query = classed.writeStream.format("parquet").option("path", sink).option("checkpointLocation", log).outputMode("append").trigger(availableNow=True).start()
     query.awaitTermination()
