@@ -53,7 +53,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(read(spark, sf_dir, "documents")).drop("row_key")
+    return exact_dedup(read(spark, sf_dir, "documents")).drop("raw_sha256")
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
