@@ -9,6 +9,7 @@ import pyarrow as pa
 
 #: Any odd numbers; hashes are compared only with hashes made with the same ones.
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+OTHER_BYTE_BASE, OTHER_WORD_BASE = 0xA0761D6478BD642F, 0xE7037ED1A0B428DB
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -85,7 +86,11 @@ class Words:
         self.starts, self.ends = np.flatnonzero(first), np.flatnonzero(last) + 1
         self.counts = np.diff(np.searchsorted(self.starts, offsets))
         self.rows = np.repeat(np.arange(len(offsets) - 1), self.counts)
-        self.hashes = rolled(prefix(data.astype(np.uint64) + np.uint64(1), BYTE_BASE), self.starts, self.ends, BYTE_BASE)
+        self.data = data
+        self.hashes = self.hashed(BYTE_BASE)
+
+    def hashed(self, base: int) -> np.ndarray:
+        return rolled(prefix(self.data.astype(np.uint64) + np.uint64(1), base), self.starts, self.ends, base)
 
     def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """The first words of all windows of n words within a text, and the windows' hashes."""
@@ -95,6 +100,10 @@ class Words:
         starts = np.flatnonzero(self.rows[: w - n + 1] == self.rows[n - 1 :])
         return starts, rolled(prefix(self.hashes, WORD_BASE), starts, starts + n, WORD_BASE)
 
+    def other(self, starts: np.ndarray, n: int) -> np.ndarray:
+        """A second hash of the windows of n words at `starts`, from other hashes of the words."""
+        return rolled(prefix(self.hashed(OTHER_BYTE_BASE), OTHER_WORD_BASE), starts, starts + n, OTHER_WORD_BASE)
+
 
 def covered(n: int, starts: np.ndarray, length: int) -> np.ndarray:
     """Which of n places lie in one of the intervals [start, start + length)."""

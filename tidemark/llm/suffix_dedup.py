@@ -23,8 +23,11 @@ documents as intervals, which are cut from the whole texts.
 
 Everything is judged on the input and compared byte by byte; hashes only route.
 Null text is empty, and texts below `length` bytes are kept whole. Documents
-are told apart by the 64-bit hash of doc_id and text, so rows equal in both get
-the same answer and are repeats of each other; null doc_id is a value like any.
+are told apart by a 64-bit hash of doc_id and text; where a second hash shows
+that two share it, these get other numbers. Rows equal in both get the same
+answer and are repeats of each other; null doc_id is a value like any, and rows
+with one doc_id and several texts are as many documents. An empty table gives an
+empty result; columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -34,11 +37,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .arrays import BYTE_BASE, chunks, mix, powers, prefix, rolled
 from .common import parts, text_bytes
-from .exchange import CHUNK, NAMES, PACK, TYPES, Flagged, batch, bucket_of, group_of, member, packed, shared_keys, with_texts
+from .exchange import CHUNK, NAMES, PACK, TYPES, Flagged, batch, bucket_of, dealt, group_of, member, packed, partition_of, shared_keys, with_texts
 from .suffix_arrays import eights, found_in, kasai, suffix_array
 
 LOW = np.uint64((1 << 24) - 1)
@@ -159,7 +162,7 @@ def repeated_windows(stretches: list[bytes], counts: np.ndarray, length: int, sh
 def intervals(docs: list[int], starts: list[int], groups: int) -> list[tuple]:
     """Packs (part, found, docs, counts, keys) of windows' starts and run lengths, a key being start << 24 | windows."""
     d, s = np.array(docs, np.int64), np.array(starts, np.uint64)
-    return packed(group_of(d, groups), d, s, True)
+    return packed(partition_of(group_of(d, groups), groups), d, s, True)
 
 
 def runs(flags: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -170,6 +173,45 @@ def runs(flags: np.ndarray) -> Iterator[tuple[int, int]]:
             yield at, min(hi - at, int(LOW))
 
 
+def stretch_packs(part: np.ndarray, docs: np.ndarray, starts: np.ndarray, keys: np.ndarray, stretches: list[bytes], length: int) -> list[tuple]:
+    """A row of STRETCHES for each part."""
+    by = np.argsort(part, kind="stable")
+    edges = np.flatnonzero(np.r_[True, part[by][1:] != part[by][:-1]]) if len(by) else []
+    rows = []
+    for lo, hi in zip(edges, [*edges[1:], len(by)], strict=True):
+        mine = by[lo:hi]
+        held = [stretches[i] for i in mine]
+        sizes = np.array([len(x) for x in held], np.int64)
+        rows.append((int(part[mine[0]]), False, docs[mine].tobytes(), starts[mine].tobytes(), (sizes - length + 1).tobytes(), keys[mine].tobytes(), sizes.tobytes(), b"".join(held)))
+    return rows
+
+
+def split_stretches(rows: list[tuple], n: int, length: int) -> list[tuple]:
+    """Rows of STRETCHES for the buckets of such rows' keys."""
+    docs, starts, keys, sizes = (np.frombuffer(b"".join(r[i] for r in rows), kind) for i, kind in ((2, np.int64), (3, np.int64), (5, np.uint64), (6, np.int64)))
+    data, ends = b"".join(r[7] for r in rows), np.cumsum(sizes)
+    return stretch_packs(bucket_of(keys, keys, n), docs, starts, keys, [data[x - k : x] for x, k in zip(ends.tolist(), sizes.tolist(), strict=True)], length)
+
+
+def row_ids(docs: DataFrame, doc_id: str, text: str, bits: int = 64) -> Column:
+    """A number for each row of docs by doc_id and text: a 64-bit hash, or another one for those that share it with another row.
+
+    Hashes that several rows share are few (none or one in 10^9 rows), so they are listed in the plan.
+    """
+    one, two = (F.xxhash64(F.lit(seed), F.col(doc_id).isNull(), doc_id, text) for seed in (1, 2))
+    tried, shared = F.shiftright(one, 64 - bits) if bits < 64 else one, []
+    while True:
+        row = F.when(tried.isin(shared), two) if shared else F.lit(None).cast("long")
+        row = F.coalesce(row, tried)
+        clash = docs.select(row.alias("row"), two.alias("check")).groupBy("row").agg(F.min("check").alias("lo"), F.max("check").alias("hi")).where("lo < hi")
+        found = [r.row for r in clash.select("row").collect()]
+        if not found:
+            return row
+        if not set(found) - set(shared):
+            raise ValueError("two hashes of different rows agree")
+        shared += found
+
+
 def stretches_of(docs: DataFrame, n: int, length: int, gram: int, hot: np.ndarray) -> DataFrame:
     """STRETCHES of docs (doc, tag, text) in n buckets, and the intervals that tasks have settled."""
 
@@ -183,7 +225,8 @@ def stretches_of(docs: DataFrame, n: int, length: int, gram: int, hot: np.ndarra
                 third = np.r_[False, False, (keys[2:] == keys[:-2]) & (rows[2:] == rows[:-2])][: len(keys)]
                 rows, keys = rows[~third], keys[~third]
             out.append((rows, keys))
-        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+        rows, keys = (np.concatenate(x) for x in zip(*out, strict=True))
+        return rows, keys, keys
 
     def cut():
         flagged, held, rows, weight = Flagged(), {}, [], [0]
@@ -218,19 +261,9 @@ def stretches_of(docs: DataFrame, n: int, length: int, gram: int, hot: np.ndarra
             if not held or not force and weight[0] < 24_000_000:
                 return None
             keys = np.fromiter((k for k, _ in held), np.uint64, len(held))
-            part = bucket_of(keys, n)
-            by = np.argsort(part, kind="stable")
-            items, values = list(held.items()), list(held.values())
-            rows = []
-            edges = np.flatnonzero(np.r_[True, part[by][1:] != part[by][:-1]])
-            for lo, hi in zip(edges, np.r_[edges[1:], len(by)], strict=True):
-                mine = by[lo:hi]
-                stretches = [items[i][0][1] for i in mine]
-                sizes = np.array([len(s) for s in stretches], np.int64)
-                rows.append((
-                    int(part[mine[0]]), False, np.array([values[i][0] for i in mine], np.int64).tobytes(), np.array([values[i][1] for i in mine], np.int64).tobytes(),
-                    (sizes - length + 1).tobytes(), keys[mine].tobytes(), sizes.tobytes(), b"".join(stretches),
-                ))
+            values = list(held.values())
+            docs_, starts = (np.array([v[k] for v in values], np.int64) for k in (0, 1))
+            rows = stretch_packs(partition_of(bucket_of(keys, keys, n), n), docs_, starts, keys, [x for _, x in held], length)
             if settled[0]:
                 for p, _, dd, cc, kk in intervals(settled[0], settled[1], n):
                     rows.append((p, True, dd, None, cc, kk, None, None))
@@ -246,7 +279,7 @@ def stretches_of(docs: DataFrame, n: int, length: int, gram: int, hot: np.ndarra
 
 def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 200, gram: int = 32, bytes_per_part: int = 8_000_000, shard_bytes: int = 4_000_000, with_kept_bytes: bool = True, hot_bytes: int = 4_000_000, sample: int = 16) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_bytes (null unless with_kept_bytes)."""
-    docs = docs.select(F.xxhash64(doc_id, text).alias("doc"), docs[doc_id].cast("long").alias("tag"), F.coalesce(docs[text], F.lit("")).alias("text"))
+    docs = docs.select(row_ids(docs, doc_id, text).alias("doc"), docs[doc_id].cast("long").alias("tag"), F.coalesce(docs[text], F.lit("")).alias("text"))
     n = parts(docs.sparkSession, text_bytes(docs), bytes_per_part)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,5 +363,5 @@ def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
 
     cuts = stretches_of(docs, n, length, gram, hot_anchors(docs, length, gram, hot_bytes, sample))
     # Settled intervals already carry their group of documents as their part and pass through.
-    found = cuts.repartitionById(n, "part").sortWithinPartitions("part").mapInArrow(meet, PACK)
+    found = dealt(cuts, n, lambda rows: split_stretches(rows, n, length)).mapInArrow(meet, PACK)
     return with_texts(found, docs, n, remove, RESULT).drop("row")
