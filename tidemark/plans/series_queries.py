@@ -65,7 +65,7 @@ def names(schema: str) -> str:
 
 def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each series as CSV text, a line a row: a header, quoted dates, '.' for every fifth value, short and odd rows."""
-    obs = observations(spark, sf_dir).where("source = 'orders'")
+    obs = observations(spark, sf_dir)
     n = F.substring("period", 6, 2).cast("int")
     line = F.when(n == 5, F.concat('period', F.lit(",."))).when(n == 7, F.col("period")).when(n == 9, F.concat("period", F.lit(",n/a"))).otherwise(F.concat(F.lit('"'), "period", F.lit('",'), F.col("value").cast("decimal(20,2)").cast("string")))
     body = obs.select("source", "series", F.expr("cast(substr(period, 1, 4) as int) * 12 + cast(substr(period, 6, 2) as int)").alias("pos"), line.alias("line"))
@@ -161,7 +161,7 @@ NOW = "now AS (SELECT * FROM (WITH " + stats_sql("obs") + " SELECT * FROM s QUAL
 
 ORACLE = {
     "a1_csv_series_scan": f"""WITH {OBS} SELECT source, series, left(period, 4)::INT * 12 + substr(period, 6, 2)::INT AS pos, period, value::DECIMAL(20, 2)::DOUBLE AS value FROM obs
-        WHERE source = 'orders' AND substr(period, 6, 2)::INT NOT IN (5, 7, 9)""",
+        WHERE substr(period, 6, 2)::INT NOT IN (5, 7, 9)""",
     "a2_keyed_upsert": f"WITH {OBS} SELECT source, series, period, CASE WHEN period >= '1999-01' THEN value + 1 ELSE value END AS value, CASE WHEN period >= '1999-01' THEN 2 ELSE 1 END AS seq FROM obs",
     "a3_bounded_history": f"WITH {OBS} SELECT * FROM obs QUALIFY row_number() OVER (PARTITION BY source, series ORDER BY period DESC) <= 24",
     "a4_latest_observation": f"WITH {OBS} SELECT source, series, max(period) AS period, arg_max(value, period) AS value FROM obs GROUP BY ALL",
