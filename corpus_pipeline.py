@@ -3,6 +3,15 @@
 Language ID, exact dedup, MinHash near-dedup, benchmark decontamination, and
 mixing of the sources. Every stage works on all that its predecessor kept; the
 last returns the mix: doc_id, size, source_size, target and taken words.
+
+What the stages do with odd rows: null, blank and letterless texts are rejected
+by language ID (with no labelled language nothing else is), so later stages see
+texts only, whatever their length. Of rows with equal texts one stays, and of
+rows equal in doc_id and text one. Rows with null doc_id take part in language
+ID, exact dedup and the mix; near-dedup and decontamination keep them. Null
+source is a source of its own. Extra columns, also those that clash with names
+the operators use, pass through to the last stage, which drops them. An empty
+table gives an empty mix.
 """
 
 from __future__ import annotations
