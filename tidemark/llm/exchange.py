@@ -8,7 +8,7 @@ documents, where they meet the documents' texts. Every bucket and every group is
 read as a stream in order, so a task holds one of them at a time, and their
 number follows the measured size of the texts.
 
-Buckets are many (a few MB each), partitions at most MOST_PARTITIONS. Packs are
+Buckets are many (a few MB each), partitions at most `most` (see Spread). Packs are
 made for partitions, from runs of a million keys, so that they hold many keys
 even then; a partition that stands for several buckets cuts its packs into these
 and sorts them (a sort that spills) before it reads them.
@@ -21,6 +21,7 @@ is a 64-bit number or a KEY, which has a check beside it; equal means all of it.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +36,34 @@ TYPES = [pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()]
 TEXTS = "part int, found boolean, docs binary, counts binary, keys binary, doc long, tag long, z binary"
 CHUNK = 2_000_000
 KEYS_AT_ONCE = 1_000_000
-MOST_PARTITIONS = 20_000
 PLAIN, KEY = np.dtype("<u8"), np.dtype([("hash", "<u8"), ("check", "<u2")])
 
 
+class Spread(NamedTuple):
+    """How keys or documents are dealt: to n buckets (or groups), several in a partition where there are more than partitions."""
+
+    n: int
+    partitions: int
+
+    @staticmethod
+    def over(n: int, most: int = 20_000) -> Spread:
+        return Spread(n, min(n, most))
+
+    def within(self, numbers: np.ndarray) -> np.ndarray:
+        """Which of a partition's buckets keys are in, by their numbers."""
+        return scaled(mix(numbers), -(-self.n // self.partitions))
+
+    def bucket(self, route: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        return scaled(route, self.partitions) + self.partitions * self.within(numbers)
+
+    def group(self, docs: np.ndarray) -> np.ndarray:
+        return (mix(docs.view(np.uint64)) % np.uint64(self.n)).astype(np.int64)
+
+    def partition(self, parts: np.ndarray) -> np.ndarray:
+        """The partition of buckets or groups."""
+        return parts % self.partitions
+
+
 def batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
@@ -56,22 +81,6 @@ def scaled(values: np.ndarray, n: int) -> np.ndarray:
     return ((values >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
-def bucket_of(route: np.ndarray, numbers: np.ndarray, buckets: int) -> np.ndarray:
-    """The bucket of keys: their partition by `route`, then (where partitions hold several buckets) a part of it by their numbers."""
-    partitions = min(buckets, MOST_PARTITIONS)
-    within = scaled(mix(numbers), -(-buckets // partitions))
-    return scaled(route, partitions) + partitions * within
-
-
-def group_of(docs: np.ndarray, groups: int) -> np.ndarray:
-    return (mix(docs.view(np.uint64)) % np.uint64(groups)).astype(np.int64)
-
-
-def partition_of(parts: np.ndarray, n: int) -> np.ndarray:
-    """The partition that a bucket or group goes to."""
-    return parts % min(n, MOST_PARTITIONS)
-
-
 def packed(part: np.ndarray, docs: np.ndarray, keys: np.ndarray, found: bool) -> list[tuple]:
     """A row for each part: its documents, how many keys each has, and the keys."""
     if not len(keys):
@@ -112,14 +121,13 @@ def settle(docs: np.ndarray, keys: np.ndarray, later_only: bool) -> tuple[np.nda
     return first, np.repeat(sizes > 1, sizes), sizes
 
 
-def dealt(packs: DataFrame, n: int, split: Callable, *then) -> DataFrame:
-    """packs at the partitions of their part (one of n), sorted by part, then `then`; packs of a partition with several parts are split first.
+def dealt(packs: DataFrame, to: Spread, split: Callable, *then) -> DataFrame:
+    """packs at the partitions of their part, sorted by part, then `then`; packs of a partition with several parts are split first.
 
     split(rows) makes rows with their parts of packs' rows; rows with text (z) or already found keys stay as they are.
     """
-    partitions = min(n, MOST_PARTITIONS)
-    sent = packs.repartitionById(partitions, "part")
-    if n > partitions:
+    sent = packs.repartitionById(to.partitions, "part")
+    if to.n > to.partitions:
         names, found, z = packs.columns, packs.columns.index("found"), packs.columns.index("z") if "z" in packs.columns else None
 
         def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +149,7 @@ def dealt(packs: DataFrame, n: int, split: Callable, *then) -> DataFrame:
     return sent.sortWithinPartitions("part", *then)
 
 
-def shared_keys(docs: DataFrame, doc: str, text: str, keys_of: Callable, buckets: int, groups: int, later_only: bool, chunk: int = CHUNK, kind: np.dtype = PLAIN) -> DataFrame:
+def shared_keys(docs: DataFrame, doc: str, text: str, keys_of: Callable, to: Spread, later_only: bool, chunk: int = CHUNK, kind: np.dtype = PLAIN) -> DataFrame:
     """Packs for groups of documents of the keys that a document shares.
 
     keys_of(bytes, offsets) gives (row, key, route) arrays for a run of texts; a
@@ -163,10 +171,10 @@ def shared_keys(docs: DataFrame, doc: str, text: str, keys_of: Callable, buckets
                 new[1:] = (keys[1:] != keys[:-1]) | (of[1:] != of[:-1])
                 of, keys, route = of[new], keys[new], route[new]
             first, known, _ = settle(of, keys, later_only)
-            out = packed(partition_of(bucket_of(route[first], number(keys[first]), buckets), buckets), of[first], keys[first], False)
+            out = packed(to.partition(to.bucket(route[first], number(keys[first]))), of[first], keys[first], False)
             if known.any():
                 d, k = distinct(of[known], keys[known])
-                out += packed(np.full(len(k), int(route[0] % np.uint64(buckets))), d, k, True)
+                out += packed(np.full(len(k), int(route[0] % np.uint64(to.partitions))), d, k, True)
             return batch(out, NAMES, TYPES)
 
         for b in batches:
@@ -185,8 +193,7 @@ def shared_keys(docs: DataFrame, doc: str, text: str, keys_of: Callable, buckets
     def split(rows: list[tuple]) -> list[tuple]:
         d, k = unpacked(*([r[i] for r in rows] for i in (2, 3, 4)), kind)
         part = np.repeat([r[0] for r in rows], [len(r[4]) // kind.itemsize for r in rows])
-        partitions = min(buckets, MOST_PARTITIONS)
-        return packed(part + partitions * scaled(mix(number(k)), -(-buckets // partitions)), d, k, False)
+        return packed(part + to.partitions * to.within(number(k)), d, k, False)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[list, list, list] = ([], [], [])
@@ -200,7 +207,7 @@ def shared_keys(docs: DataFrame, doc: str, text: str, keys_of: Callable, buckets
             d, k = d[order], k[order]
             _, known, _ = settle(d, k, later_only)
             d, k = distinct(d[known], k[known])
-            return packed(partition_of(group_of(d, groups), groups), d, k, True)
+            return packed(to.partition(to.group(d)), d, k, True)
 
         for b in batches:
             for part, found, d, n, k in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
@@ -210,7 +217,7 @@ def shared_keys(docs: DataFrame, doc: str, text: str, keys_of: Callable, buckets
                 at = part
                 if found:
                     dd, kk = unpacked([d], [n], [k], kind)
-                    yield batch(packed(partition_of(group_of(dd, groups), groups), dd, kk, True), NAMES, TYPES)
+                    yield batch(packed(to.partition(to.group(dd)), dd, kk, True), NAMES, TYPES)
                 else:
                     for x, y in zip(held, (d, n, k), strict=True):
                         x.append(y)
@@ -218,10 +225,10 @@ def shared_keys(docs: DataFrame, doc: str, text: str, keys_of: Callable, buckets
             yield batch(out, NAMES, TYPES)
 
     sent = docs.select(doc, text).mapInArrow(send, PACK)
-    return dealt(sent, buckets, split).mapInArrow(meet, PACK)
+    return dealt(sent, to, split).mapInArrow(meet, PACK)
 
 
-def with_texts(packs: DataFrame, docs: DataFrame, groups: int, work: Callable, schema: str, kind: np.dtype = PLAIN) -> DataFrame:
+def with_texts(packs: DataFrame, docs: DataFrame, to: Spread, work: Callable, schema: str, kind: np.dtype = PLAIN) -> DataFrame:
     """Each text of docs (doc long, tag long, text) with the packs of its group; texts travel compressed, after these.
 
     packs has the columns of PACK with part = the partition of the group. work() returns
@@ -237,8 +244,8 @@ def with_texts(packs: DataFrame, docs: DataFrame, groups: int, work: Callable, s
         for b in batches:
             ids = b.column(0)
             nulls = ids.is_null().to_numpy(zero_copy_only=False)
-            part = group_of(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), groups).astype(np.int32)
-            part[nulls] = np.arange(int(nulls.sum())) % groups
+            part = to.group(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)).astype(np.int32)
+            part[nulls] = np.arange(int(nulls.sum())) % to.n
             z = pa.array((c.compress((t.as_py() or "").encode()) for t in b.column(2)), pa.binary())
             none = pa.nulls(b.num_rows, pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.nulls(b.num_rows, pa.bool_()), none, none, none, ids, b.column(1), z], [*NAMES, "doc", "tag", "z"])
@@ -272,9 +279,9 @@ def with_texts(packs: DataFrame, docs: DataFrame, groups: int, work: Callable, s
 
     def split(rows: list[tuple]) -> list[tuple]:
         d, k = unpacked(*([r[i] for r in rows] for i in (2, 3, 4)), kind)
-        return [(*r, None, None, None) for r in packed(group_of(d, groups), d, k, True)]
+        return [(*r, None, None, None) for r in packed(to.group(d), d, k, True)]
 
-    return dealt(none.unionByName(texts), groups, split, F.col("found").asc_nulls_last()).mapInArrow(merge, schema)
+    return dealt(none.unionByName(texts), to, split, F.col("found").asc_nulls_last()).mapInArrow(merge, schema)
 
 
 class Flagged:

@@ -28,15 +28,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from .arrays import Words, covered
 from .common import parts, text_bytes
-from .exchange import KEY, Flagged, batch, member, shared_keys, with_texts
+from .exchange import KEY, Flagged, Spread, batch, member, shared_keys, with_texts
 
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
 
 
-def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 13, bytes_per_part: int = 8_000_000, with_kept_text: bool = True) -> DataFrame:
+def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 13, bytes_per_part: int = 8_000_000, most_partitions: int = 20_000, with_kept_text: bool = True) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, kept_text (the kept words joined by one space; null unless with_kept_text)."""
     docs = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
-    n = parts(docs.sparkSession, text_bytes(docs), bytes_per_part)
+    to = Spread.over(parts(docs.sparkSession, text_bytes(docs), bytes_per_part), most_partitions)
 
     def windows(data, offsets):
         w = Words(data, offsets)
@@ -72,5 +72,5 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
         return flagged.load, each, flush
 
-    packs = shared_keys(docs, "doc_id", "text", keys_of, n, n, later_only=True, kind=KEY)
-    return with_texts(packs, docs.select(F.col("doc_id").alias("doc"), F.lit(0).cast("long").alias("tag"), "text"), n, work, RESULT, kind=KEY)
+    packs = shared_keys(docs, "doc_id", "text", keys_of, to, later_only=True, kind=KEY)
+    return with_texts(packs, docs.select(F.col("doc_id").alias("doc"), F.lit(0).cast("long").alias("tag"), "text"), to, work, RESULT, kind=KEY)

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .arrays import BYTE_BASE, chunks, mix, powers, prefix, rolled
 from .common import parts, text_bytes
-from .exchange import CHUNK, NAMES, PACK, TYPES, Flagged, batch, bucket_of, dealt, group_of, member, packed, partition_of, shared_keys, with_texts
+from .exchange import CHUNK, NAMES, PACK, TYPES, Flagged, Spread, batch, dealt, member, packed, shared_keys, with_texts
 from .suffix_arrays import eights, found_in, kasai, suffix_array
 
 LOW = np.uint64((1 << 24) - 1)
@@ -159,10 +159,10 @@ def repeated_windows(stretches: list[bytes], counts: np.ndarray, length: int, sh
     return out
 
 
-def intervals(docs: list[int], starts: list[int], groups: int) -> list[tuple]:
+def intervals(docs: list[int], starts: list[int], to: Spread) -> list[tuple]:
     """Packs (part, found, docs, counts, keys) of windows' starts and run lengths, a key being start << 24 | windows."""
     d, s = np.array(docs, np.int64), np.array(starts, np.uint64)
-    return packed(partition_of(group_of(d, groups), groups), d, s, True)
+    return packed(to.partition(to.group(d)), d, s, True)
 
 
 def runs(flags: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -186,11 +186,11 @@ def stretch_packs(part: np.ndarray, docs: np.ndarray, starts: np.ndarray, keys:
     return rows
 
 
-def split_stretches(rows: list[tuple], n: int, length: int) -> list[tuple]:
+def split_stretches(rows: list[tuple], to: Spread, length: int) -> list[tuple]:
     """Rows of STRETCHES for the buckets of such rows' keys."""
     docs, starts, keys, sizes = (np.frombuffer(b"".join(r[i] for r in rows), kind) for i, kind in ((2, np.int64), (3, np.int64), (5, np.uint64), (6, np.int64)))
     data, ends = b"".join(r[7] for r in rows), np.cumsum(sizes)
-    return stretch_packs(bucket_of(keys, keys, n), docs, starts, keys, [data[x - k : x] for x, k in zip(ends.tolist(), sizes.tolist(), strict=True)], length)
+    return stretch_packs(to.bucket(keys, keys), docs, starts, keys, [data[x - k : x] for x, k in zip(ends.tolist(), sizes.tolist(), strict=True)], length)
 
 
 def row_ids(docs: DataFrame, doc_id: str, text: str, bits: int = 64) -> Column:
@@ -212,8 +212,8 @@ def row_ids(docs: DataFrame, doc_id: str, text: str, bits: int = 64) -> Column:
         shared += found
 
 
-def stretches_of(docs: DataFrame, n: int, length: int, gram: int, hot: np.ndarray) -> DataFrame:
-    """STRETCHES of docs (doc, tag, text) in n buckets, and the intervals that tasks have settled."""
+def stretches_of(docs: DataFrame, to: Spread, length: int, gram: int, hot: np.ndarray) -> DataFrame:
+    """STRETCHES of docs (doc, tag, text) for the buckets of to, and the intervals that tasks have settled."""
 
     def keys_of(data, offsets):
         out = []
@@ -263,9 +263,9 @@ def stretches_of(docs: DataFrame, n: int, length: int, gram: int, hot: np.ndarra
             keys = np.fromiter((k for k, _ in held), np.uint64, len(held))
             values = list(held.values())
             docs_, starts = (np.array([v[k] for v in values], np.int64) for k in (0, 1))
-            rows = stretch_packs(partition_of(bucket_of(keys, keys, n), n), docs_, starts, keys, [x for _, x in held], length)
+            rows = stretch_packs(to.partition(to.bucket(keys, keys)), docs_, starts, keys, [x for _, x in held], length)
             if settled[0]:
-                for p, _, dd, cc, kk in intervals(settled[0], settled[1], n):
+                for p, _, dd, cc, kk in intervals(settled[0], settled[1], to):
                     rows.append((p, True, dd, None, cc, kk, None, None))
             held.clear(), settled[0].clear(), settled[1].clear()
             weight[0] = 0
@@ -273,14 +273,14 @@ def stretches_of(docs: DataFrame, n: int, length: int, gram: int, hot: np.ndarra
 
         return flagged.load, each, flush
 
-    packs = shared_keys(docs, "doc", "text", keys_of, n, n, later_only=False, chunk=CHUNK // 2)
-    return with_texts(packs, docs, n, cut, STRETCHES)
+    packs = shared_keys(docs, "doc", "text", keys_of, to, later_only=False, chunk=CHUNK // 2)
+    return with_texts(packs, docs, to, cut, STRETCHES)
 
 
-def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 200, gram: int = 32, bytes_per_part: int = 8_000_000, shard_bytes: int = 4_000_000, with_kept_bytes: bool = True, hot_bytes: int = 4_000_000, sample: int = 16) -> DataFrame:
+def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 200, gram: int = 32, bytes_per_part: int = 8_000_000, shard_bytes: int = 4_000_000, with_kept_bytes: bool = True, hot_bytes: int = 4_000_000, sample: int = 16, most_partitions: int = 20_000) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_bytes (null unless with_kept_bytes)."""
     docs = docs.select(row_ids(docs, doc_id, text).alias("doc"), docs[doc_id].cast("long").alias("tag"), F.coalesce(docs[text], F.lit("")).alias("text"))
-    n = parts(docs.sparkSession, text_bytes(docs), bytes_per_part)
+    to = Spread.over(parts(docs.sparkSession, text_bytes(docs), bytes_per_part), most_partitions)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
@@ -320,7 +320,7 @@ def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
                     if len(of) == 1:
                         for first, count in runs(f):
                             mark(of, first, count)
-            return batch(intervals(d, s, n), NAMES, TYPES) if d else None
+            return batch(intervals(d, s, to), NAMES, TYPES) if d else None
 
         for b in batches:
             for i in range(b.num_rows):
@@ -361,7 +361,7 @@ def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
 
         return flagged.load, each, flush
 
-    cuts = stretches_of(docs, n, length, gram, hot_anchors(docs, length, gram, hot_bytes, sample))
+    cuts = stretches_of(docs, to, length, gram, hot_anchors(docs, length, gram, hot_bytes, sample))
     # Settled intervals already carry their group of documents as their part and pass through.
-    found = dealt(cuts, n, lambda rows: split_stretches(rows, n, length)).mapInArrow(meet, PACK)
-    return with_texts(found, docs, n, remove, RESULT).drop("row")
+    found = dealt(cuts, to, lambda rows: split_stretches(rows, to, length)).mapInArrow(meet, PACK)
+    return with_texts(found, docs, to, remove, RESULT).drop("row")
