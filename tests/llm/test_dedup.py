@@ -9,10 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm.exact_dedup import drop_copies, exact_dedup
-from tidemark.llm.near_dedup import block_pairs, dart_minhash, in_full, keep_one, near_dedup, near_groups, rare_shingles
+from tidemark.llm.near_dedup import all_links, block_pairs, dart_minhash, in_full, keep_one, near_dedup, near_groups, rare_shingles
+from tidemark.llm.exchange import KEY, Spread, member, settle
 from tidemark.llm.substring_dedup import substring_dedup
 from tidemark.llm.suffix_arrays import eights, found_in, kasai, suffix_array
-from tidemark.llm.suffix_dedup import hot_anchors, repeated_windows, stretches_of, suffix_dedup
+from tidemark.llm.suffix_dedup import hot_anchors, repeated_windows, row_ids, stretches_of, suffix_dedup
 
 from . import brute
 
@@ -41,7 +42,7 @@ def test_exact_dedup(docs, rows):
     for i, t in rows:
         groups.setdefault(plain(t), []).append((-len(t or ""), i is None, i or 0, i))
     want = [(i, min(groups[plain(t)])[3], len(groups[plain(t)]), hashlib.sha256(plain(t).encode()).hexdigest()) for i, t in rows]
-    got = exact_dedup(docs, runs=8, fan_in=2).collect()
+    got = exact_dedup(docs, rows_per_run=8, fan_in=2, slices=4).collect()
     same([(r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got], want)
     kept = [r for r in got if r.kept]
     assert len(kept) == len(groups) and all(r.doc_id == r.keep_id for r in kept)
@@ -49,8 +50,9 @@ def test_exact_dedup(docs, rows):
     assert left.columns == docs.columns and left.count() == len(groups)
 
 
-def test_substring_dedup(docs, rows):
-    got = substring_dedup(docs, bytes_per_part=5_000).collect()
+@pytest.mark.parametrize("most_partitions", [20_000, 3])
+def test_substring_dedup(docs, rows, most_partitions):
+    got = substring_dedup(docs, bytes_per_part=5_000, most_partitions=most_partitions).collect()
     same([(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got], brute.kept_words(rows))
     assert all(hashlib.sha256(r.kept_text.encode()).hexdigest() == r.kept_sha256 for r in got)
 
@@ -71,7 +73,7 @@ def test_suffix_dedup_of_a_passage_that_all_documents_have(spark):
 
     def most(hot):
         sizes = {}
-        for c in stretches_of(texts, 4, 200, 32, hot).where("not found").collect():
+        for c in stretches_of(texts, Spread.over(4), 200, 32, hot).where("not found").collect():
             for key, size in zip(np.frombuffer(c["keys"], np.uint64).tolist(), np.frombuffer(c["sizes"], np.int64).tolist(), strict=True):
                 sizes[key] = sizes.get(key, 0) + size
         return max(sizes.values())
@@ -82,6 +84,26 @@ def test_suffix_dedup_of_a_passage_that_all_documents_have(spark):
     same([(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got], brute.kept_bytes(rows))
 
 
+def test_keys_with_equal_hashes_and_other_checks_are_other_keys():
+    keys = np.array([(7, 1), (7, 2), (7, 2), (8, 1), (8, 1)], KEY)
+    docs = np.array([1, 1, 2, 3, 3])
+    first, later, _ = settle(docs, keys, True)
+    assert first.tolist() == [0, 1, 3] and later.tolist() == [False, False, True, False, False]
+    asked = np.array([(7, 2), (7, 3), (8, 1), (9, 1), (7, 1)], KEY)
+    assert member(asked, keys[:3]).tolist() == [True, False, False, False, True]
+
+
+def test_suffix_dedup_with_several_buckets_a_partition(docs, rows):
+    got = suffix_dedup(docs, bytes_per_part=5_000, most_partitions=2).collect()
+    same([(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got], brute.kept_bytes(rows))
+
+
+def test_rows_that_share_a_hash_get_other_numbers(docs, rows):
+    """With 4 bits nearly all rows share a hash; still only equal rows have one number."""
+    numbered = docs.select("doc_id", "text", row_ids(docs, "doc_id", "text", bits=4).alias("n")).collect()
+    assert len({r.n for r in numbered}) == len(set(rows)) == len({(r.doc_id, r.text, r.n) for r in numbered})
+
+
 def test_suffix_dedup_with_every_anchor_hot(docs, rows):
     got = suffix_dedup(docs, bytes_per_part=20_000, hot_bytes=1, sample=1).collect()
     same([(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got], brute.kept_bytes(rows))
@@ -177,7 +199,7 @@ def test_rare_shingles_meet_every_similar_pair_and_no_shared_template(spark):
     sets |= {100 + i: [*range(20_000, 20_040), *(30_000 + 10 * i + k for k in range(5))] for i in range(4)}  # alike at 0.8
     sets |= {200: sets[3][:99] + [7], 201: sets[4][:60] + sets[5][60:]}
     table = spark.createDataFrame([(i, r.sample(k, len(k)), []) for i, k in sets.items()], "rep long, keys array<long>, counts array<int>")
-    docs = spark.createDataFrame([(i, i, len(k)) for i, k in sets.items()], "doc long, k1 long, n long")
+    docs = spark.createDataFrame([(i, len(k)) for i, k in sets.items()], "doc long, n long")
     met = {}
     for x in rare_shingles(table, docs, 0.8, False).collect():
         met.setdefault(x.bucket, set()).add(x.doc)
@@ -188,8 +210,8 @@ def test_rare_shingles_meet_every_similar_pair_and_no_shared_template(spark):
 
 def test_no_group_of_the_full_comparison_grows_with_its_bucket(spark):
     """A bucket of 600 documents apart and 300 of one group: all pairs across groups meet once, in groups of about 100 rows."""
-    rows = [(1, i, i, 10, i) for i in range(600)] + [(1, 1000 + i, 1000 + i, 10, 600) for i in range(300)]
-    members = spark.createDataFrame(rows, "bucket long, doc long, k1 long, n long, label long")
+    rows = [(1, i, 10, i) for i in range(600)] + [(1, 1000 + i, 10, 600) for i in range(300)]
+    members = spark.createDataFrame(rows, "bucket long, doc long, n long, label long")
     for limits in ((50, 10**6), (10**6, 500)):
         groups, met = {}, {}
         for r in block_pairs(members, *limits).collect():
@@ -201,17 +223,21 @@ def test_no_group_of_the_full_comparison_grows_with_its_bucket(spark):
                     if a.block == x and (b.block != x or a.within and a.doc < b.doc):
                         pair = min(a.doc, b.doc), max(a.doc, b.doc)
                         met[pair] = met.get(pair, 0) + 1
-        assert met == {(a[1], b[1]): 1 for a in rows for b in rows if a[1] < b[1] and a[4] != b[4]}
+        assert met == {(a[1], b[1]): 1 for a in rows for b in rows if a[1] < b[1] and a[3] != b[3]}
 
 
 def test_full_comparison_over_several_blocks(spark):
     keys = {i: list(range(10 if i % 2 else 100 * i, (10 if i % 2 else 100 * i) + 10)) for i in range(40)}
     signed = spark.createDataFrame([(i, bytearray(8)) for i in keys], "rep long, sign binary")
     sets = spark.createDataFrame([(i, k, []) for i, k in keys.items()], "rep long, keys array<long>, counts array<int>")
-    members = spark.createDataFrame([(5, i, i, 10, i) for i in keys], "bucket long, doc long, k1 long, n long, label long")
+    members = spark.createDataFrame([(5, i, 10, i) for i in keys], "bucket long, doc long, n long, label long")
     want = {(a, b) for a in keys for b in keys if a < b and a % 2 and b % 2}
     for size in (1000, 4):
         assert {(r.a, r.b) for r in in_full(members, signed, sets, 0.8, rows_per_block=size).collect()} == want
+    labels = spark.createDataFrame([], "doc long, label long")
+    for few in (100, 10, 0):  # by pairs, by rare shingles and pairs, by rare shingles and blocks
+        got = all_links(members.withColumn("all", F.lit(len(keys)).cast("long")), labels, signed, sets, 0.8, False, few=few)
+        assert {(r.a, r.b) for r in got.collect()} == want
 
 
 def test_weighted_near_dedup(spark):

@@ -45,3 +45,28 @@ def test_stages(spark):
 def test_run_gives_the_last_stage(spark):
     got = corpus_pipeline.run(spark, DATA)
     assert {"doc_id", "taken"} <= set(got.columns) and got.count() > 100
+
+
+def test_stages_on_odd_rows_and_clashing_columns(spark):
+    """Nulls, blanks, copies, ties, a long text, null ids and extra columns through every stage."""
+    text = lambda k, n=60: brute.prose(k, n)
+    rows = [(k, text(k), "en", "a") for k in range(30)] + [(100, text(1), "en", "b"), (101, None, "en", "a"), (102, " \n", None, "a"), (103, "12 ²!", "en", "a"), (104, text(104, 30_000), "en", None), (None, text(105), "en", "a"), (3, text(3), "en", "a")]
+    base = text(7).split()
+    rows += [(200, " ".join([*base[:-1], "other"]), "en", "a")]
+    schema = "doc_id long, text string, lang string, source string, rep long, kept boolean, size int, lang_pred string, target string"
+    docs = spark.createDataFrame([(*r, 1, True, 2, "xx", "t") for r in rows], schema)
+    seen = docs
+    for name, work in corpus_pipeline.STAGES[:-1]:
+        seen = work(spark, seen, DATA).cache()
+        assert seen.columns == docs.columns, name
+    ids = sorted((r.doc_id is not None, r.doc_id or 0) for r in seen.select("doc_id").collect())
+    assert ids == sorted([(True, k) for k in range(30)] + [(True, 104), (False, 0)])
+    mixed = corpus_pipeline.STAGES[-1][1](spark, seen, DATA).collect()
+    assert len(mixed) == 32 and all(0 <= r.taken <= 3 * r.size for r in mixed)
+
+
+def test_stages_on_an_empty_table(spark):
+    seen = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    for _, work in corpus_pipeline.STAGES:
+        seen = work(spark, seen, DATA)
+        assert seen.count() == 0

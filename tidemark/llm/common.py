@@ -73,13 +73,16 @@ def bounded(small: DataFrame, rows: int, most_bytes: int = 64_000_000) -> DataFr
     return F.broadcast(small) if n <= rows and (size or 0) <= most_bytes else small
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], counts: DataFrame, spread: Column, least: int = 1000) -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], counts: DataFrame, spread: Column, least: int = 1000, rows_to_broadcast: int = 0) -> DataFrame:
     """Inner join on keys (not null) of left, whose rows a key counts gives as n_, with right, in which a key has one row or few.
 
     A key with over a thousandth of left's rows (and over `least`) is hot: its left
     rows are dealt over as many salts by `spread`, its right rows copied to each.
     There are at most a thousand hot keys whatever the data, so their list is broadcast.
+    A right side of narrow rows that is counted to have at most rows_to_broadcast is broadcast whole.
     """
+    if rows_to_broadcast and right.limit(rows_to_broadcast + 1).count() <= rows_to_broadcast:
+        return left.join(F.broadcast(right), keys)
     total, most = counts.agg(F.sum("n_"), F.max("n_")).first()
     each = max(least, -(-(total or 0) // 1000))
     if (most or 0) <= each:

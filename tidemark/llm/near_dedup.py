@@ -10,20 +10,22 @@ size; where a coordinate stays empty, the ranks searched double. Two texts agree
 in a coordinate with a chance equal to their (weighted) Jaccard similarity.
 
 1. Texts with equal shingle sets (two 64-bit sums and the size agree) are one
-   vertex, numbered in the order of smallest doc_id, then of the sums.
+   vertex, named by the first sum, or by the second where several share the first.
 2. Signatures are banded; vertices that share a band's values are candidates.
    In a bucket every member is compared with one centre, never all pairs;
    verified links (exact similarity of 64-bit shingle hashes >= `threshold`)
    join vertices to groups, and buckets whose members are in one group are done.
    Further rounds take other centres.
-3. Members of buckets that are still in several groups are joined exactly, by
-   prefix filtering: with shingles in order of how few of these texts have them,
-   two similar texts share one within their first 1 - threshold of shingles, so
-   only texts of different groups that meet in such a shingle are compared. A
-   template that a third of all texts share is common and hence in no prefix.
-   Where a prefix shingle is common all the same, pairs of bounded blocks of its
-   texts are compared, each in a task's group of its own. No member, pair or
-   candidate is left out, and only links leave the tasks.
+3. What is still in several groups is compared in full. Of buckets with at most
+   FEW members all pairs that sizes and signatures (5 standard deviations) leave
+   are verified, once each. Members of larger buckets are joined exactly, by prefix
+   filtering: with shingles in order of how few of these texts have them, two
+   similar texts share one within their first 1 - threshold of shingles, so only
+   texts of different groups that meet in such a shingle are compared. A template
+   that a third of all texts share is common and hence in no prefix. Where a prefix
+   shingle is common all the same, pairs of bounded blocks of its texts are
+   compared, each in a task's group of its own, by signature, then exactly. No
+   member, pair or candidate is left out, and only links leave the tasks.
 
 Equal input gives equal output, links included: centres and blocks follow hashes
 of the texts, not row order or partitions.
@@ -37,7 +39,7 @@ other than doc_id and text are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -48,6 +50,8 @@ from .arrays import WORD_BASE, Words, chunks, mix, prefix, rolled
 from .common import bounded, discard, salted_join, stage
 
 CHUNK = 2_000_000
+FEW = 64
+IDS = 500_000  # rows of ids, labels or pairs that are broadcast at most
 SET = ["n", "k1", "k2"]
 
 
@@ -198,6 +202,29 @@ def jaccard(p: np.ndarray, q: np.ndarray, v: np.ndarray, w: np.ndarray) -> float
     return least / max(1.0, float(v.sum()) + float(w.sum()) - least)
 
 
+def floor_of_agreement(threshold: float, coordinates: int) -> float:
+    """The share of coordinates, 5 standard deviations below the threshold, under which a signature rules a pair out."""
+    return threshold - 5 * math.sqrt(threshold * (1 - threshold) / max(1, coordinates))
+
+
+def not_ruled_out(pairs: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (doc, centre) whose signatures agree enough."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                p, q = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint8).reshape(b.num_rows, -1) for k in (2, 3))
+                near = (p == q).mean(axis=1) >= floor_of_agreement(threshold, p.shape[1])
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["doc", "centre"]).filter(pa.array(near))
+
+    pairs = stage(pairs, "star-pairs")
+    counts = stage(pairs.groupBy("centre").agg(F.count(F.lit(1)).alias("n_")), "centre-counts")
+    one = signed.select(F.col("rep").alias("doc"), F.col("sign").alias("sign_doc"))
+    two = signed.join(bounded(counts.select(F.col("centre").alias("rep")), IDS), "rep", "left_semi").select(F.col("rep").alias("centre"), F.col("sign").alias("sign_centre"))
+    both = salted_join(one.join(bounded(pairs, IDS), "doc"), two, ["centre"], counts, F.col("doc"))
+    return both.select("doc", "centre", "sign_doc", "sign_centre").mapInArrow(work, "doc long, centre long")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Of the pairs (doc, centre) those whose sets are similar by threshold or more: a < b, similarity.
 
@@ -209,11 +236,11 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
             sim = np.array([jaccard(*x) for x in zip(*(lists(b.column(i)) for i in range(2, 6)), strict=True)], float)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sim)], ["doc", "centre", "similarity"]).filter(pa.array(sim >= threshold))
 
-    pairs = stage(pairs, "star-pairs")
+    pairs = stage(pairs, "pairs")
     counts = pairs.groupBy("centre").agg(F.count(F.lit(1)).alias("n_"))
     one = sets.select(F.col("rep").alias("doc"), F.col("keys").alias("p"), F.col("counts").alias("v"))
-    two = sets.select(F.col("rep").alias("centre"), F.col("keys").alias("q"), F.col("counts").alias("w"))
-    joined = salted_join(pairs.join(one, "doc"), two, ["centre"], counts, F.col("doc"))
+    two = sets.join(bounded(counts.select(F.col("centre").alias("rep")), 1_000_000), "rep", "left_semi").select(F.col("rep").alias("centre"), F.col("keys").alias("q"), F.col("counts").alias("w"))
+    joined = salted_join(one.join(bounded(pairs, IDS), "doc"), two, ["centre"], counts, F.col("doc"))
     found = joined.select("doc", "centre", "p", "q", "v", "w").mapInArrow(work, "doc long, centre long, similarity double")
     return found.select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b"), "similarity").distinct()
 
@@ -239,38 +266,42 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def apart(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """members (bucket, doc, ..) with label, of buckets with more than one label; a vertex without links is its own label."""
-    named = stage(members.join(labels, "doc", "left").withColumn("label", F.coalesce("label", "doc")), "named")
+    """members (bucket, doc, ..) with label and all (the bucket's members), of buckets with more than one label; a vertex without links is its own label."""
+    named = stage(members.join(bounded(labels, IDS), "doc", "left").withColumn("label", F.coalesce("label", "doc")), "named")
     mixed = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n_")).where("lo < hi").select("bucket", "n_")
     mixed = stage(mixed, "mixed")
-    return stage(salted_join(named, mixed.select("bucket"), ["bucket"], mixed, F.col("doc")), "apart", replaces=named)
+    return stage(salted_join(named, mixed.select("bucket", F.col("n_").alias("all")), ["bucket"], mixed, F.col("doc"), rows_to_broadcast=IDS), "apart", replaces=named)
 
 
 def starred(members: DataFrame, turn: int) -> DataFrame:
     """(doc, centre): each member with the centre of its bucket, without those already in the centre's group."""
-    order = F.struct(F.xxhash64("k1", F.lit(turn)).alias("h") if turn else F.lit(0).cast("long").alias("h"), "doc", "label")
+    order = F.struct(F.xxhash64("doc", F.lit(turn)).alias("h"), "doc", "label")
     centre = members.groupBy("bucket").agg(F.min(order).alias("c"), F.count(F.lit(1)).alias("n_")).select("bucket", F.col("c.doc").alias("centre"), F.col("c.label").alias("its"), "n_")
     centre = stage(centre, "centres")
-    return salted_join(members, centre.drop("n_"), ["bucket"], centre, F.col("doc")).where("label <> its").select("doc", "centre").distinct()
+    return salted_join(members, centre.drop("n_"), ["bucket"], centre, F.col("doc"), rows_to_broadcast=IDS).where("label <> its").select("doc", "centre").distinct()
 
 
 def rare_shingles(sets: DataFrame, docs: DataFrame, threshold: float, by_count: bool) -> DataFrame:
-    """(bucket, doc, k1, n): the shingles by which each of docs (doc, k1, n) can meet a similar one of them.
+    """(bucket, doc, n): the shingles by which each of docs (doc, n) can meet a similar one of them.
 
     Shingles are in order of how few of docs have them; of two texts similar by
     threshold, the first common shingle has at most 1 - threshold of the weight of
     either text before it. Shingles that only one text has come first and meet none.
     """
     one = F.explode(F.arrays_zip("keys", "counts")) if by_count else F.explode("keys")
-    each = sets.join(docs.select(F.col("doc").alias("rep")), "rep", "left_semi").select(F.col("rep").alias("doc"), one.alias("e"))
-    each = each.select("doc", F.col("e.keys").alias("bucket"), F.col("e.counts").cast("long").alias("w")) if by_count else each.select("doc", F.col("e").alias("bucket"), F.lit(1).cast("long").alias("w"))
+    weight = F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y) if by_count else F.size("keys").cast("long")
+    known = sets.withColumnRenamed("rep", "doc").join(bounded(docs, IDS), "doc").withColumn("total", weight)
+    each = known.select("doc", "n", "total", one.alias("e"))
+    if by_count:
+        each = each.select("doc", "n", "total", F.col("e.keys").alias("bucket"), F.col("e.counts").cast("long").alias("w"))
+    else:
+        each = each.select("doc", "n", "total", F.col("e").alias("bucket"), F.lit(1).cast("long").alias("w"))
     often = stage(each.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_")).where("n_ > 1"), "shingle-counts")
-    shared = salted_join(each, often, ["bucket"], often, F.col("doc"))
-    total = each.groupBy("doc").agg(F.sum("w").alias("total"))
+    shared = salted_join(each, often, ["bucket"], often, F.col("doc"), rows_to_broadcast=IDS)
     of, ahead = W.partitionBy("doc"), W.partitionBy("doc").orderBy("n_", "bucket").rowsBetween(W.unboundedPreceding, -1)
     before = F.col("total") - F.sum("w").over(of) + F.coalesce(F.sum("w").over(ahead), F.lit(0))
-    first = shared.join(total, "doc").withColumn("before", before).where(F.col("before") <= F.col("total") * (1 - threshold) + 1e-6)
-    return first.select("bucket", "doc").join(docs, "doc")
+    first = shared.withColumn("before", before).where(F.col("before") <= F.col("total") * (1 - threshold) + 1e-6)
+    return first.select("bucket", "doc", "n")
 
 
 def block_pairs(members: DataFrame, rows_per_block: int, shingles_per_block: int) -> DataFrame:
@@ -282,71 +313,125 @@ def block_pairs(members: DataFrame, rows_per_block: int, shingles_per_block: int
     which a block of other members is also compared within itself.
     """
     per = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n_"), F.sum("n").alias("size"))
-    main = per.groupBy("bucket").agg(F.max(F.struct("n_", "label", "size")).alias("m"), F.sum("n_").alias("all"), F.sum("size").alias("sizes"))
+    main = per.groupBy("bucket").agg(F.max(F.struct("n_", "label", "size")).alias("m"), F.sum("n_").alias("sum"), F.sum("size").alias("sizes"))
     blocks = lambda n, size: F.greatest(F.ceil(n / rows_per_block), F.ceil(size / shingles_per_block), F.lit(1)).cast("int")
-    main = main.select("bucket", F.col("m.label").alias("main"), blocks(F.col("m.n_"), F.col("m.size")).alias("mains"), blocks(F.col("all") - F.col("m.n_"), F.col("sizes") - F.col("m.size")).alias("others"))
+    main = main.select("bucket", F.col("m.label").alias("main"), blocks(F.col("m.n_"), F.col("m.size")).alias("mains"), blocks(F.col("sum") - F.col("m.n_"), F.col("sizes") - F.col("m.size")).alias("others"))
     named = members.join(main, "bucket").withColumn("main", F.col("label") == F.col("main"))
-    spread = lambda n: F.pmod(F.xxhash64("k1"), n.cast("long")).cast("int")
+    spread = lambda n: F.pmod(F.xxhash64("doc"), n.cast("long")).cast("int")
     named = named.withColumn("block", F.when(F.col("main"), F.col("others") + spread(F.col("mains"))).otherwise(spread(F.col("others"))))
     met = F.filter(F.sequence(F.lit(0), F.col("others") - 1 + F.when(F.col("main"), 0).otherwise(F.col("mains"))), lambda c: c != F.col("block"))
-    return named.withColumn("meets", F.explode(met)).select("bucket", "doc", "label", "main", "block", F.least("block", "meets").alias("x"), F.greatest("block", "meets").alias("y"), (F.greatest("block", "meets") == F.col("others")).alias("within"))
+    return named.withColumn("meets", F.explode(met)).select("bucket", "doc", "n", "label", "main", "block", F.least("block", "meets").alias("x"), F.greatest("block", "meets").alias("y"), (F.greatest("block", "meets") == F.col("others")).alias("within"))
 
 
-def in_full(members: DataFrame, signed: DataFrame, sets: DataFrame, threshold: float, block: int = 512, rows_per_block: int = 4_000, shingles_per_block: int = 2_000_000) -> DataFrame:
-    """(a, b, similarity): links between the groups that share a bucket, after comparing all its members across groups.
-
-    Pairs of bounded blocks are compared, each in a task's group of its own (see
-    block_pairs). Pairs whose sizes or signatures (6 standard deviations) rule
-    similarity out go; the rest is compared exactly. Of a document's links to one
-    other group in a pair of blocks the first is enough.
-    """
-    coordinates = signed.select(F.col("rep").alias("doc"), "sign")
-    dealt = block_pairs(members, rows_per_block, shingles_per_block).join(coordinates, "doc").join(sets.select(F.col("rep").alias("doc"), "keys", "counts"), "doc")
+def in_blocks(rows: DataFrame, columns: list[str], compare: Callable, schema: str) -> DataFrame:
+    """compare(block x, within, the columns as lists) for the rows of each (bucket, x, y), which gives a batch of schema."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, within, held = None, False, []
-
-        def close() -> pa.RecordBatch:
-            docs, labels, blocks = (np.array([h[k] for h in held]) for k in (0, 1, 2))
-            signs = np.frombuffer(b"".join(h[3] for h in held), np.uint8).reshape(len(held), -1)
-            weight = np.array([h[5].sum() if len(h[5]) else len(h[4]) for h in held], float)
-            enough = threshold - 6 * math.sqrt(threshold * (1 - threshold) / max(1, signs.shape[1]))
-            out = []
-            ours = np.flatnonzero(blocks == at[1])
-            for lo in range(0, len(ours), 64):
-                mine = ours[lo : lo + 64]
-                joined: set[tuple[int, int]] = set()
-                for x in range(0, len(docs), block):
-                    there = slice(x, x + block)
-                    maybe = labels[mine][:, None] != labels[None, there]
-                    maybe &= np.minimum(weight[mine][:, None], weight[None, there]) >= threshold * np.maximum(weight[mine][:, None], weight[None, there]) - 1e-9
-                    other = blocks[None, there] != at[1]
-                    maybe &= other | (docs[mine][:, None] < docs[None, there]) if within else other
-                    if not maybe.any():
-                        continue
-                    maybe &= (signs[mine][:, None, :] == signs[None, there, :]).mean(axis=2) >= enough
-                    for p, q in zip(*(k.tolist() for k in np.nonzero(maybe)), strict=True):
-                        p, q = int(mine[p]), x + q
-                        if (p, labels[q]) not in joined:
-                            sim = jaccard(held[p][4], held[q][4], held[p][5], held[q][5])
-                            if sim >= threshold:
-                                joined.add((p, labels[q]))
-                                out.append((min(docs[p], docs[q]), max(docs[p], docs[q]), sim))
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.float64())], ["a", "b", "similarity"])
-
         for b in batches:
-            named = zip(*(b.column(i).to_pylist() for i in range(8)), lists(b.column(8)), lists(b.column(9)), strict=True)
-            for bucket, x, y, inside, *rest in named:
+            kinds = [lists(c) if pa.types.is_list(c.type) else c.to_pylist() for c in b.columns]
+            for bucket, x, y, inside, *rest in zip(*kinds, strict=True):
                 if (bucket, x, y) != at and held:
-                    yield close()
+                    yield compare(at, within, held)
+                    held = []
                 at, within = (bucket, x, y), inside
                 held.append(rest)
         if held:
-            yield close()
+            yield compare(at, within, held)
+
+    ordered = rows.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "doc")
+    return ordered.select("bucket", "x", "y", "within", *columns).mapInArrow(work, schema)
+
+
+def likely(x: int, within: bool, docs: np.ndarray, labels: np.ndarray, blocks: np.ndarray, n: np.ndarray, signs: np.ndarray, threshold: float, by_count: bool, lanes: int = 64, width: int = 512) -> Iterator[tuple[int, int]]:
+    """Pairs (p, q), p in block x, that the pair of blocks has to compare and that sizes and signatures (5 standard deviations) do not rule out."""
+    enough = floor_of_agreement(threshold, signs.shape[1])
+    ours = np.flatnonzero(blocks == x)
+    for lo in range(0, len(ours), lanes):
+        mine = ours[lo : lo + lanes]
+        for to in range(0, len(docs), width):
+            there = slice(to, to + width)
+            maybe = labels[mine][:, None] != labels[None, there]
+            if not by_count:
+                maybe &= np.minimum(n[mine][:, None], n[None, there]) >= threshold * np.maximum(n[mine][:, None], n[None, there]) - 1e-9
+            other = blocks[None, there] != x
+            maybe &= other | (docs[mine][:, None] < docs[None, there]) if within else other
+            i, j = np.nonzero(maybe)
+            near = (signs[mine[i]] == signs[to + j]).mean(axis=1) >= enough
+            yield from zip(mine[i[near]].tolist(), (to + j[near]).tolist(), strict=True)
 
-    ordered = dealt.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "doc")
-    return ordered.select("bucket", "x", "y", "within", "doc", "label", "block", "sign", "keys", "counts").mapInArrow(work, "a long, b long, similarity double").distinct()
+
+BLOCK = ["doc", "label", "block", "n", "sign"]
+
+
+def arrays(held: list) -> tuple:
+    """The columns BLOCK of rows, in numpy."""
+    return *(np.array([h[k] for h in held]) for k in range(4)), np.frombuffer(b"".join(h[4] for h in held), np.uint8).reshape(len(held), -1)
+
+
+def signed_blocks(members: DataFrame, signed: DataFrame, rows_per_block: int = 4_000, shingles_per_block: int = 2_000_000) -> DataFrame:
+    dealt = stage(block_pairs(members, rows_per_block, shingles_per_block), "block-pairs")
+    some = signed.withColumnRenamed("rep", "doc").join(bounded(dealt.select("doc").distinct(), IDS), "doc", "left_semi")
+    return dealt.join(some, "doc")
+
+
+def pairs_of_small(members: DataFrame, signed: DataFrame, threshold: float, by_count: bool) -> DataFrame:
+    """(doc, centre): once each, the pairs across groups that share a small bucket and that sizes and signatures do not rule out.
+
+    With at most FEW members a bucket, a member has at most FEW / 2 of them in each.
+    """
+
+    def pairs(at, within, held) -> pa.RecordBatch:
+        docs, *rest = arrays(held)
+        found = [(docs[p], docs[q]) for p, q in likely(at[1], within, docs, *rest, threshold, by_count)]
+        return pa.RecordBatch.from_arrays([pa.array([min(f) for f in found], pa.int64()), pa.array([max(f) for f in found], pa.int64())], ["centre", "doc"])
+
+    return in_blocks(signed_blocks(members, signed), BLOCK, pairs, "centre long, doc long").distinct()
+
+
+def in_full(members: DataFrame, signed: DataFrame, sets: DataFrame, threshold: float, by_count: bool = False, rows_per_block: int = 4_000, shingles_per_block: int = 2_000_000) -> DataFrame:
+    """(a, b, similarity): links between the groups that share a large bucket, after comparing all its members across groups.
+
+    Pairs of bounded blocks are compared, each in a task's group of its own (see
+    block_pairs): first by sizes and signatures alone, then, with the sets of the
+    texts that have a partner left, exactly. Only links leave them; of a text's
+    links to one other group in a pair of blocks the first is enough.
+    """
+    rows = "bucket long, x int, y int, within boolean, doc long, label long, block int, n long, sign binary"
+
+    def screen(at, within, held) -> pa.RecordBatch:
+        kept = sorted({k for pair in likely(at[1], within, *arrays(held), threshold, by_count) for k in pair})
+        found = [(*at, within, *held[k]) for k in kept]
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)], ["bucket", "x", "y", "within", *BLOCK])
+
+    def exactly(at, within, held) -> pa.RecordBatch:
+        docs, labels, *rest = arrays(held)
+        joined: set[tuple[int, int]] = set()
+        out = []
+        for p, q in likely(at[1], within, docs, labels, *rest, threshold, by_count):
+            if (p, labels[q]) not in joined:
+                sim = jaccard(held[p][5], held[q][5], held[p][6], held[q][6])
+                if sim >= threshold:
+                    joined.add((p, labels[q]))
+                    out.append((min(docs[p], docs[q]), max(docs[p], docs[q]), sim))
+        return pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], kind) for k, kind in ((0, pa.int64()), (1, pa.int64()), (2, pa.float64()))], ["a", "b", "similarity"])
+
+    left = stage(in_blocks(signed_blocks(members, signed, rows_per_block, shingles_per_block), BLOCK, screen, rows), "likely")
+    some = sets.withColumnRenamed("rep", "doc").join(bounded(left.select("doc").distinct(), IDS), "doc", "left_semi")
+    with_sets = left.join(some, "doc")
+    return in_blocks(with_sets, [*BLOCK, "keys", "counts"], exactly, "a long, b long, similarity double").dropDuplicates(["a", "b"])
+
+
+def all_links(left: DataFrame, labels: DataFrame, signed: DataFrame, sets: DataFrame, threshold: float, by_count: bool, few: int = FEW) -> DataFrame:
+    """(a, b, similarity): the links between the groups that share a bucket of left (see apart).
+
+    Pairs in small buckets are verified one by one. Members of larger ones are joined by their rare shingles, where again small buckets give pairs and larger ones blocks.
+    """
+    many = left.where(F.col("all") > few).select("doc", "n").distinct()
+    met = apart(rare_shingles(sets, many, threshold, by_count), labels)
+    pairs = pairs_of_small(left.where(F.col("all") <= few).unionByName(met.where(F.col("all") <= few)), signed, threshold, by_count)
+    return verified(pairs, sets, threshold).unionByName(in_full(met.where(F.col("all") > few), signed, sets, threshold, by_count)).dropDuplicates(["a", "b"])
 
 
 class Near(NamedTuple):
@@ -366,33 +451,35 @@ def near_groups(
     signed = stage(signatures(docs, gram, bands, rows, weights), "signatures")
     usable = signed.where("n > 0 and doc_id is not null")
     sets_seen = usable.groupBy(*SET).agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n_"), F.first("bands").alias("bands"), F.first("sign").alias("sign"))
-    vertices = stage(sets_seen.orderBy("first", *SET).withColumn("rep", F.monotonically_increasing_id()), "vertices")
+    seen = stage(sets_seen, "vertices")
+    shared = [r.k1 for r in seen.groupBy("k1").agg(F.count(F.lit(1)).alias("n_")).where("n_ > 1").select("k1").collect()]  # by chance only
+    vertices = seen.withColumn("rep", F.when(F.col("k1").isin(shared), F.col("k2")).otherwise(F.col("k1")) if shared else F.col("k1"))
     texts = salted_join(usable.select("doc_id", *SET), vertices.select(*SET, "rep"), SET, vertices, F.col("doc_id"))
     texts = stage(texts.select("doc_id", "rep"), "texts")
 
-    banded = vertices.select(F.col("rep").alias("doc"), "k1", "n", F.explode("bands").alias("bucket"))
+    banded = vertices.select(F.col("rep").alias("doc"), "n", F.explode("bands").alias("bucket"))
     buckets = stage(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_")).where("n_ > 1"), "buckets")
-    members = stage(salted_join(banded, buckets.select("bucket"), ["bucket"], buckets, F.col("doc")), "members")
+    members = stage(salted_join(banded, buckets.select("bucket"), ["bucket"], buckets, F.col("doc"), rows_to_broadcast=IDS), "members")
     needed = members.select(F.col("doc").alias("rep")).distinct().join(vertices.select("rep", F.col("first").alias("doc_id"), *SET), "rep")
     needed = stage(needed, "needed")
     whole = docs.join(bounded(needed.select("doc_id").distinct(), ids_to_broadcast), "doc_id", "left_semi")
-    sets = sets_of(whole, gram, weights).join(needed, ["doc_id", *SET]).select("rep", "keys", "counts").dropDuplicates(["rep"])
+    sets = sets_of(whole, gram, weights).dropDuplicates(["doc_id", *SET]).join(bounded(needed, IDS), ["doc_id", *SET]).select("rep", "keys", "counts")
     sets = stage(sets, "sets", replaces=needed)
 
     # Several texts under one doc_id belong together, which is no link.
     per_id = texts.distinct().groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("hi")).where("a < hi")
     same_id = texts.distinct().join(per_id, "doc_id").where("rep > a").select("a", F.col("rep").alias("b")).distinct()
     links, stars, labels = None, stage(same_id, "same-id"), None
-    used = [vertices, buckets, members, sets, stars]
+    used = [seen, buckets, members, sets, stars]
     left = members.withColumn("label", F.col("doc"))
     for turn in range(rounds + 1):
         if turn < rounds:
-            new = verified(starred(left, turn), sets, threshold)
+            new = verified(not_ruled_out(starred(left, turn), vertices.select("rep", "sign"), threshold), sets, threshold)
         else:
-            few = stage(left.select("doc", "k1", "n").distinct(), "leftover")
-            met = rare_shingles(sets, few, threshold, weights == "count")
-            met = apart(met, labels if labels is not None else components(stars))
-            new = in_full(met, vertices.select("rep", "sign"), sets, threshold)
+            if labels is None:
+                labels = components(stars)
+                left = apart(members, labels)
+            new = all_links(left, labels, vertices.select("rep", "sign"), sets, threshold, weights == "count")
         new = stage(new, "new-links")
         labels = components(stars.unionByName(new.select("a", "b")))
         links = stage(new if links is None else links.unionByName(new).dropDuplicates(["a", "b"]), "links", replaces=links)
@@ -400,7 +487,7 @@ def near_groups(
         stars = labels.select(F.col("label").alias("a"), F.col("doc").alias("b"))
         used.append(labels)
         if turn < rounds:
-            left = apart(left.drop("label"), labels)
+            left = apart(left.drop("label", "all"), labels)
             used.append(left)
             if left.isEmpty():
                 break
