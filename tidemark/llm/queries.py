@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .chat_format import format_chats, log_of, read_back
+from .collocations import collocations
 from .common import read
 from .decontaminate import contained
 from .exact_dedup import exact_dedup
@@ -12,6 +13,7 @@ from .language_id import dictionaries, held_out, identify
 from .mixing import mix
 from .near_dedup import near_dedup
 from .quality import quality
+from .spelling import variants
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
 from .url_filter import url_filter
@@ -68,6 +70,14 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read(spark, sf_dir, "documents").select("lang", "text"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -86,6 +96,8 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_near_dedup": op10_near_dedup,
+    "op12_collocations": op12_collocations,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE = {
@@ -145,4 +157,57 @@ ORACLE = {
         WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents),
         k AS (SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size FROM d)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM k""",
+    "op12_collocations": r"""
+        WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang, coalesce(text, '') AS text FROM documents),
+        lowered AS (SELECT row, lang, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM d),
+        p AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM lowered),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+        g AS (
+            SELECT lang, k AS words, ws[i:i + k - 1] AS gram
+            FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w CROSS JOIN (SELECT unnest([1, 2, 3]) AS k))),
+        f AS (SELECT lang, words, gram, count(*)::HUGEINT AS f FROM g GROUP BY ALL),
+        n AS (SELECT lang, sum(f) AS n FROM f WHERE words = 1 GROUP BY 1),
+        cuts AS (
+            SELECT c.lang, c.words, c.gram, c.f AS a, k, l.f AS l, r.f AS r, 1000000 * c.f * c.f // (l.f * r.f) AS score
+            FROM (SELECT *, unnest(range(1, words)) AS k FROM f WHERE words > 1 AND f >= 10) c
+            JOIN f l ON l.lang = c.lang AND l.gram = c.gram[1:k] JOIN f r ON r.lang = c.lang AND r.gram = c.gram[k + 1:c.words]),
+        scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, k) = 1),
+        longer AS (
+            SELECT lang, part, max(a) AS most FROM (SELECT lang, a, unnest([gram[1:2], gram[2:3]]) AS part FROM scored WHERE words = 3) GROUP BY ALL),
+        kept AS (
+            SELECT s.*, array_to_string(s.gram, ' ') AS phrase FROM scored s LEFT JOIN longer o ON s.words = 2 AND o.lang = s.lang AND o.part = s.gram
+            WHERE o.most IS NULL OR 100 * o.most < 50 * s.a),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+        SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+        FROM placed JOIN n USING (lang) WHERE rank <= 2000""",
+    # crc32 by the table of its polynomial; neighbours by what is left of two words without one code point
+    "op13_spelling_variants": r"""
+        WITH RECURSIVE crc(byte, step, c) AS (
+            SELECT range::BIGINT, 0, range::BIGINT FROM range(256)
+            UNION ALL SELECT byte, step + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc WHERE step < 8),
+        codes AS (SELECT list(c ORDER BY byte) AS code FROM crc WHERE step = 8),
+        runs AS (
+            SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+            FROM documents),
+        each_run AS (SELECT doc_id, run, count(*) AS times FROM runs GROUP BY ALL),
+        hashed AS (
+            SELECT run, times, xor(4294967295, list_reduce(
+                list_transform(range(0, strlen(t)), lambda i: ('0x' || substr(hx, (2 * i + 1)::INT, 2))::BIGINT),
+                lambda c, x: xor(c >> 8, code[xor(c & 255, x) + 1]), 4294967295::BIGINT)) AS h
+            FROM (SELECT run, times, t, hex(encode(t)) AS hx FROM (SELECT *, doc_id::VARCHAR || ':' || run AS t FROM each_run)) CROSS JOIN codes),
+        cut AS (
+            SELECT times, CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word FROM hashed),
+        words AS (SELECT word, sum(times)::BIGINT AS n FROM cut WHERE length(word) >= 5 GROUP BY 1 HAVING sum(times) >= 3),
+        less AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)),
+        pairs AS (
+            SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+            UNION SELECT a.word, a.n, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+            UNION SELECT b.word, b.n, a.word, a.n FROM less a JOIN words b ON a.rest = b.word),
+        about AS (SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS best, max(other_n) AS best_n FROM pairs GROUP BY 1),
+        forms AS (
+            SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * n THEN best END AS form, CASE WHEN best_n >= 2 * n THEN best_n END AS form_n
+            FROM words LEFT JOIN about USING (word)),
+        up(word, top) AS (SELECT word, word FROM forms UNION ALL SELECT u.word, f.form FROM up u JOIN forms f ON f.word = u.top WHERE f.form IS NOT NULL),
+        roots AS (SELECT u.word, u.top AS root FROM up u JOIN forms f ON f.word = u.top WHERE f.form IS NULL)
+        SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)""",
 }
