@@ -16,6 +16,7 @@ from .quality import quality
 from .spelling import variants
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
+from .toxicity import toxicity
 from .url_filter import url_filter
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -70,6 +71,13 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    test = held_out(0, 5)
+    labels = read(spark, sf_dir, "labels").where(~test).select("doc_id", F.col("toxic").alias("label"))
+    found = toxicity(read(spark, sf_dir, "documents").select("doc_id", "text"), labels)
+    return found.select("doc_id", test.alias("held_out"), "score", "predicted", "n_hits")
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(read(spark, sf_dir, "documents").select("lang", "text"))
 
@@ -96,6 +104,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_near_dedup": op10_near_dedup,
+    "op11_toxicity": op11_toxicity,
     "op12_collocations": op12_collocations,
     "op13_spelling_variants": op13_spelling_variants,
 }
