@@ -243,8 +243,11 @@ def scored(words: DataFrame, phrases: DataFrame) -> DataFrame:
     twos = phrases.where("n = 2").select("lang", "i1", "i2", F.col("f").alias("a"))
     threes = phrases.where("n = 3").select("lang", "i1", "i2", "i3", F.col("f").alias("a"))
     inside = threes.select("lang", F.explode(F.array(F.struct("i1", "i2"), F.struct(F.col("i2").alias("i1"), F.col("i3").alias("i2")))).alias("p"), "a")
-    longest = inside.groupBy("lang", "p.i1", "p.i2").agg(F.max("a").alias("longer"))
-    free = twos.join(longest, ["lang", "i1", "i2"], "left").where("longer is null or 100 * longer < 50 * a").drop("longer")
+    # One row for each pair of words, by grouping both sides together instead of joining them.
+    both = twos.withColumn("longer", F.lit(None).cast("long")).unionByName(
+        inside.select("lang", "p.i1", "p.i2", F.lit(None).cast("long").alias("a"), F.col("a").alias("longer")))
+    free = both.groupBy("lang", "i1", "i2").agg(F.max("a").alias("a"), F.max("longer").alias("longer"))
+    free = free.where("longer is null or 100 * longer < 50 * a").drop("longer")
     free = free.withColumn("spread_", F.xxhash64("i1", "i2"))
     for k in (1, 2):
         free = looked_up(free, word(k, True), ["lang", f"i{k}"])
