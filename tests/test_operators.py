@@ -5,7 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import backfill, claims, corpus, detect, extract, gates, ledger, packs, queue, readings, rules, series, transcripts
+from tidemark.operators import backfill, claims, corpus, detect, extract, gates, ledger, packs, pages as pages_, queue, readings, rules, series, transcripts
 from tidemark.sources import files
 from tidemark.streaming.intake import intake_stream, replay_stream
 
@@ -243,22 +243,22 @@ def test_packs_that_differ_in_a_late_decimal_have_other_hashes(spark):
 ])
 def test_references_are_resolved(spark, ref, want):
     df = spark.createDataFrame([("http://a/b/c/d;p?q", ref)], "base string, ref string")
-    assert one(df.select(extract.url_join(F.col("base"), F.col("ref")))) == [(want,)]
+    assert one(df.select(pages_.url_join(F.col("base"), F.col("ref")))) == [(want,)]
 
 
 def test_anchors_of_all_forms_and_the_first_match(spark):
     html = "<a href='x'>one</a><A CLASS=k HREF=\"y?a=1&amp;b=2\"><b> t</b>wo </A><a href=z>th<i>ree</i></a><!-- <a href='n'>no</a> --><a name='q'>no</a><a href='w'><img></a>"
     pages = spark.createDataFrame([(1, "https://s/d/", html)], "page_id long, url string, html string")
-    links = extract.anchors(pages)
+    links = pages_.anchors(pages)
     assert sorted(one(links.select("title", "link"))) == [("one", "https://s/d/x"), ("three", "https://s/d/z"), ("two", "https://s/d/y?a=1&b=2")]
-    assert one(extract.discover(links, "^t", None, "y\\?").select("title")) == [("two",)] and one(extract.discover(links, "^t", None, "/z$")) == []
-    assert one(extract.anchors(pages, base=F.lit("https://o/")).where("title = 'one'").select("link")) == [("https://o/x",)]
+    assert one(pages_.discover(links, "^t", None, "y\\?").select("title")) == [("two",)] and one(pages_.discover(links, "^t", None, "/z$")) == []
+    assert one(pages_.anchors(pages, base=F.lit("https://o/")).where("title = 'one'").select("link")) == [("https://o/x",)]
 
 
 def test_character_references(spark):
     texts = ["&copy; &#8217; &hellip;", "&#x1F600;&#128;", "&amp;lt; &nosuch; & &;", "&#55296;&#99999999999;", None, "plain", "&eacute;t&eacute &notin;"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
-    assert [r[0] for r in df.select(extract.unescape(F.col("t"))).collect()] == ["© ’ …", "😀€", "&lt; &nosuch; & &;", "\ufffd\ufffd", None, "plain", "été ∉"]
+    assert [r[0] for r in df.select(pages_.unescape(F.col("t"))).collect()] == ["© ’ …", "😀€", "&lt; &nosuch; & &;", "\ufffd\ufffd", None, "plain", "été ∉"]
 
 
 def test_briefs(spark):
@@ -269,5 +269,5 @@ def test_briefs(spark):
 def test_release_dates(spark):
     urls = ["https://x/2019/05/a", "/202013/x", "/cgpi2107.pdf", "/2018/", "/2010/05/", "/none", None]
     df = spark.createDataFrame([(u,) for u in urls], "u string")
-    got = [r[0] for r in df.select(extract.release_date(F.col("u"), 2021)).collect()]
+    got = [r[0] for r in df.select(pages_.release_date(F.col("u"), 2021)).collect()]
     assert got == [datetime.date(2019, 5, 1), None, datetime.date(2021, 7, 1), datetime.date(2018, 12, 31), datetime.date(2010, 12, 31), None, None]

@@ -2,7 +2,9 @@
 
 from ..operators.corpus import content_kind, exit_class, metadata_fingerprint, redact
 from ..operators.detect import content_address, is_new, is_revision
-from ..operators.extract import html_to_text, number, period_title, period_url, rejoin_digits, release_date, release_kind, signed, stale
+from ..operators.extract import period_title, period_url, rejoin_digits
+from ..operators.pages import attribute, html_to_text, release_date, release_kind, stale, tokens, unescape, url_join
+from ..operators.statements import number, signed
 from ..operators.gates import is_object, unfence
 from ..operators.ledger import content_id, payload_hash
 from ..operators.readings import shown_pct, shown_value

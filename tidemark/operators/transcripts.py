@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pyspark.sql.types import StringType
 
-from .extract import unescape
+from .pages import unescape
 
 MERGE_GAP_MS, MERGE_SPAN_MS, REPEATS_KEPT = 1500, 8000, 5
 TERMINATORS = "[。！？!?]$"

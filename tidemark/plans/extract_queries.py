@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import extract as ex
+from ..operators import extract as ex, pages as pg, statements as st
 from ..sources.tables import table
 from .series_queries import sql_rows
 
@@ -57,6 +57,9 @@ def releases(spark, d) -> DataFrame:
         "release_id", "source", F.when(dateless, "no date").otherwise(filled("title", "span", "months", "ordinal", "month", "y")).alias("title"),
         F.when(nothing, "nothing here").otherwise(filled("text", "amount", "tail", "cn", "plus50", "en", "bare", "size", "unicode", "plus", "than")).alias("text"), F.when(~dateless, url).alias("url"),
     )
+    # Every third release of the Chinese sources writes its digits full width.
+    wide = F.col("source").startswith("cn_") & (F.col("release_id") % 3 == 0)
+    made = made.withColumn("text", F.when(wide, F.translate("text", "0123456789", "０１２３４５６７８９")).otherwise(F.col("text")))
     plain = table(spark, d, "documents").select((-1 - F.col("doc_id")).alias("release_id"), F.lit("cn_mof").alias("source"), F.lit("2020年全年").alias("title"), F.coalesce("text", F.lit("")).alias("text"), F.lit(None).cast("string").alias("url"))
     return made.unionByName(plain)
 
@@ -67,7 +70,8 @@ REL = f"""o AS (SELECT o_orderkey AS release_id, ([{', '.join(f"'{s}'" for s in
     rule(source, metric_key, kind, label, unit) AS (VALUES {sql_rows(ex.RULES)}),
     met AS (SELECT release_id, source, metric_key, kind, CASE WHEN kind = 'table_0' THEN '% QoQ annualized' ELSE unit END AS unit, dateless, period,
         CASE WHEN kind = 'level_cn' THEN level WHEN metric_key = 'pmi_mfg' THEN round(pct + 50, 1) WHEN metric_key = 'unrate' THEN pct WHEN metric_key = 'policy_rate' THEN abs(pct) END AS value,
-        CASE WHEN kind IN ('value_cn', 'value_en') OR (kind = 'level_cn' AND plain AND metric_key <> 'inv_total') THEN NULL ELSE pct END AS yoy
+        CASE WHEN kind IN ('value_cn', 'value_en') OR (kind = 'level_cn' AND plain AND metric_key <> 'inv_total') THEN NULL ELSE pct END AS yoy,
+        CASE WHEN yoy IS NOT NULL THEN CASE WHEN ends_with(metric_key, '_mom') THEN 'mom' WHEN ends_with(metric_key, '_qoq') THEN 'qoq' ELSE 'yoy' END END AS basis
         FROM per JOIN rule USING (source) WHERE NOT nothing AND metric_key NOT IN ('mof_central_exp', 'mof_local_exp', 'mof_govfund_rev', 'mof_govfund_exp'))"""
 BODY = "WITH " + REL
 
@@ -77,11 +81,11 @@ def found(spark, d):
 
 
 def of_kind(*kinds):
-    return lambda s, d: found(s, d).where(F.col("kind").isin(*kinds)).select("release_id", "metric_key", "value", "yoy")
+    return lambda s, d: found(s, d).where(F.col("kind").isin(*kinds)).select("release_id", "metric_key", "value", "yoy", "basis")
 
 
 def kind_sql(*kinds):
-    return f"{BODY} SELECT release_id, metric_key, value, yoy FROM met WHERE kind IN ({', '.join(repr(k) for k in kinds)})"
+    return f"{BODY} SELECT release_id, metric_key, value, yoy, basis FROM met WHERE kind IN ({', '.join(repr(k) for k in kinds)})"
 
 
 def periods(*prefixes):
@@ -103,7 +107,7 @@ def linked(spark, d):
     return p.select("page_id", F.concat(F.lit("https://site.example/p/"), k).alias("url"), html.alias("html"))
 
 
-#: Anchors put before a page's own, by page_id % 7; the last one's link is none that discovery follows.
+#: Anchors put before a page's own, by page_id % 12; the last one's link is none that discovery follows.
 FORMS = [
     "",
     "<A class=\"x\"\n HREF='../next/./a.html?b=1#c'><b> deux &eacute;</b> <i>mots</i></A>",
@@ -111,15 +115,26 @@ FORMS = [
     "<!-- <a href=\"/no\">commented</a> --><a title='>' href=\"?page=2\">p&aacute;gina</a>",
     "<a name=\"only\">no link</a><a href=\"//other.example/x\">elsewhere</a>",
     "<a href=\"/blank\"> <img src=\"i.png\"> </a><a href=\"sub/file.pdf\">file</a>",
+    "<a title=\"see href=foo.html\" data-href='no.html' href=\"bar.html\">quoted</a>",
+    "<div><a href=\"/open\">left open</div><p>not its text</p>",
+    "<a href=one.html>unclosed<a href=two.html>two</a>",
+    "<script>var a = '<a href=\"/no\">scripted</a>';</script><a href = \"first.html\" href=\"second.html\">twice</a>",
+    "<a href=\"x.html?a=1&copy=2&notit;\">a < b &amp; c</a >",
     "<a href=\"mailto:nobody@site.example\">write to us</a>",
 ]
+#: What they say: title and link by page_id % 12, {b} being the page's folder.
+SAID = [
+    ("deux émots", "https://site.example/a/next/a.html?b=1#c"), ("un ’ …", "https://site.example/root&2"), ("página", "{b}list.html?page=2"),
+    ("elsewhere", "https://other.example/x"), ("file", "{b}sub/file.pdf"), ("quoted", "{b}bar.html"), ("left open", "https://site.example/open"),
+    ("unclosed", "{b}one.html"), ("twice", "{b}first.html"), ("a < b & c", "{b}x.html?a=1©=2¬it;"),
+]
 
 
 def listed(spark, d):
     p = table(spark, d, "pages")
-    front = F.element_at(F.array(*map(F.lit, FORMS)), (F.col("page_id") % 7 + 1).cast("int"))
+    front = F.element_at(F.array(*map(F.lit, FORMS)), (F.col("page_id") % len(FORMS) + 1).cast("int"))
     url = F.concat(F.lit("https://site.example/a/b"), F.col("page_id"), F.lit("/list.html?q#f"))
-    return p.select("page_id", F.when(F.col("page_id") % 7 == 0, F.col("url")).otherwise(url).alias("url"), F.concat(front, F.coalesce("html", F.lit(""))).alias("html"))
+    return p.select("page_id", F.when(F.col("page_id") % len(FORMS) == 0, F.col("url")).otherwise(url).alias("url"), F.concat(front, F.coalesce("html", F.lit(""))).alias("html"))
 
 
 def dated_urls(spark, d):
@@ -134,7 +149,7 @@ DATED = """u AS (SELECT page_id, length(url) AS n, url, length(url) % 14 + 1 AS
 
 
 def a8(spark, d):
-    return dated_urls(spark, d).select("page_id", ex.release_date(F.col("u"), YEAR_NOW).alias("day"), ex.release_kind(F.col("u")).alias("kind"))
+    return dated_urls(spark, d).select("page_id", pg.release_date(F.col("u"), YEAR_NOW).alias("day"), pg.release_kind(F.col("u")).alias("kind"))
 
 
 def split_digits(spark, d):
@@ -144,24 +159,27 @@ def split_digits(spark, d):
 
 def b14(spark, d):
     good, _ = ex.parsed(releases(spark, d))
-    return good.select("release_id", "source", "metric_key", "unit", "period", "value", "yoy")
+    return good.select("release_id", "source", "metric_key", "unit", "period", "value", "yoy", "basis")
 
 
-#: Character references of all forms, and what they say.
-ODD_HTML = "<p>&copy;&nbsp;&#8217;&hellip;&#x41;&NotEqualTilde; &#150; &unknown; &amp;lt; &#0; 1 <> 2 &amp</p>"
-ODD_TEXT = "© ’…A≂̸ – &unknown; &lt; \ufffd 1 <> 2 &"
+#: Character references of all forms, markup that is odd or left open, and what it all says.
+ODD_HTML = (
+    "<p>&copy;&nbsp;&#8217;&hellip;&#x41;&NotEqualTilde; &#150; &unknown; &amp;lt; &#0; 1 <> 2 &amp &notit; &copyright a&ltb &#1;x</p>"
+    "<i title='<b>' data-x=\"1>0\">in</i><script>no <b>no</script ><style>p {}</style><!-- no --> end <b class='open"
+)
+ODD_TEXT = "© ’…A≂̸ – &unknown; &lt; � 1 <> 2 & ¬it; ©right a<b x in end"
 
 
 QUERIES = {
-    "a5_anchor_discovery": lambda s, d: ex.discover(ex.anchors(listed(s, d)), "^[a-zà-ÿ]", None, "^https?://"),
-    "a6_chained_discovery": lambda s, d: ex.chained(linked(s, d), ex.anchors(linked(s, d)), [("^Next$", "^/p/"), ("^More$", None)]),
-    "a7_newest_year_folder": lambda s, d: ex.newest_year(linked(s, d), ex.anchors(linked(s, d)), "^state"),
+    "a5_anchor_discovery": lambda s, d: pg.discover(pg.anchors(listed(s, d)), "^[a-zà-ÿ]", None, "^https?://"),
+    "a6_chained_discovery": lambda s, d: pg.chained(linked(s, d), pg.anchors(linked(s, d)), [("^Next$", "^/p/"), ("^More$", None)]),
+    "a7_newest_year_folder": lambda s, d: pg.newest_year(linked(s, d), pg.anchors(linked(s, d)), "^state"),
     "a8_release_date_kind": a8,
-    "a9_staleness": lambda s, d: a8(s, d).select("page_id", ex.stale(F.col("day"), F.lit("2021-02-01").cast("date")).alias("is_stale")),
-    "b1_html_to_text": lambda s, d: table(s, d, "pages").select("page_id", ex.html_to_text(F.concat("html", F.lit(ODD_HTML))).alias("text")),
+    "a9_staleness": lambda s, d: a8(s, d).select("page_id", pg.stale(F.col("day"), F.lit("2021-02-01").cast("date")).alias("is_stale")),
+    "b1_html_to_text": lambda s, d: table(s, d, "pages").select("page_id", pg.html_to_text(F.concat("html", F.lit(ODD_HTML))).alias("text")),
     "b2_split_digit_rejoin": split_digits,
-    "b3_lenient_number": lambda s, d: table(s, d, "orders").select("o_orderkey", ex.number(F.when(F.col("o_orderstatus") == "P", F.lit("n/a")).otherwise(F.concat(F.lit(" "), F.format_number("o_totalprice", 2), F.lit(" ")))).alias("value")),
-    "b4_signed_percent": lambda s, d: table(s, d, "orders").select("o_orderkey", ex.signed(F.round(F.col("o_totalprice") / 1000, 1), F.when(F.col("o_orderstatus") == "P", "Fell").when(F.col("o_orderstatus") == "O", "rose"), ex.EN_NEGATIVE).alias("pct")),
+    "b3_lenient_number": lambda s, d: table(s, d, "orders").select("o_orderkey", st.number(F.when(F.col("o_orderstatus") == "P", F.lit("n/a")).otherwise(F.concat(F.lit(" "), F.format_number("o_totalprice", 2), F.lit(" ")))).alias("value")),
+    "b4_signed_percent": lambda s, d: table(s, d, "orders").select("o_orderkey", st.signed(F.round(F.col("o_totalprice") / 1000, 1), F.when(F.col("o_orderstatus") == "P", "Fell").when(F.col("o_orderstatus") == "O", "rose"), st.EN_NEGATIVE).alias("pct")),
     "b5_level_and_change": of_kind("level_cn"),
     "b6_percent_only": of_kind("pct_cn", "pct_en"),
     "b7_value_at_label": of_kind("value_cn", "value_en"),
@@ -184,13 +202,13 @@ for _ in range(3):
     JOINED = rf"regexp_replace({JOINED}, '([0-9.,])[ \t\r\n]+([0-9.,])', '\1\2', 'g')"
 
 ORACLE = {
-    "a5_anchor_discovery": r"""WITH l AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*', 0) AS site, regexp_extract_all(html, '<a\s+href="([^"]*)"[^>]*>([^<]*)</a>', 1) AS hs, regexp_extract_all(html, '<a\s+href="([^"]*)"[^>]*>([^<]*)</a>', 2) AS ts FROM pages WHERE page_id % 7 = 0),
+    "a5_anchor_discovery": r"""WITH l AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*', 0) AS site, regexp_extract_all(html, '<a\s+href="([^"]*)"[^>]*>([^<]*)</a>', 1) AS hs, regexp_extract_all(html, '<a\s+href="([^"]*)"[^>]*>([^<]*)</a>', 2) AS ts FROM pages WHERE page_id % 12 = 0),
         x AS (SELECT page_id, site, unnest(hs) AS href, trim(unnest(ts)) AS title, unnest(range(0, len(hs))) AS pos FROM l),
         f AS (SELECT page_id, arg_min(title, pos) AS title, arg_min(CASE WHEN starts_with(href, '/') THEN site || href ELSE href END, pos) AS link FROM x WHERE regexp_matches(title, '^[a-zà-ÿ]') GROUP BY 1)
         SELECT * FROM f WHERE regexp_matches(link, '^https?://')
-        UNION ALL SELECT page_id, ['deux émots', 'un ’ …', 'página', 'elsewhere', 'file'][page_id % 7],
-            ['https://site.example/a/next/a.html?b=1#c', 'https://site.example/root&2', 'https://site.example/a/b' || page_id || '/list.html?page=2', 'https://other.example/x', 'https://site.example/a/b' || page_id || '/sub/file.pdf'][page_id % 7]
-        FROM pages WHERE page_id % 7 BETWEEN 1 AND 5""",
+        UNION ALL SELECT page_id, said[1], replace(said[2], '{b}', 'https://site.example/a/b' || page_id || '/')
+        FROM (SELECT page_id, (SAID)[page_id % 12] AS said FROM pages WHERE page_id % 12 BETWEEN 1 AND 10)""".replace(
+        "SAID", "[" + ", ".join(f"['{t}', '{link}']" for t, link in SAID) + "]"),
     "a6_chained_discovery": "SELECT p.page_id AS start_id, CASE WHEN q.page_id IS NOT NULL THEN 'https://site.example/p/' || (q.page_id * 2) END AS link FROM pages p LEFT JOIN pages q ON q.page_id = p.page_id + 1",
     "a7_newest_year_folder": """SELECT page_id, CASE WHEN length(url) % 5 <> 0 THEN 2000 + greatest(length(url) % 7 + 15, length(url) % 4 + 18) END::INT AS year, CASE WHEN length(url) % 5 <> 0 THEN 'https://site.example/p/state_20' || greatest(length(url) % 7 + 15, length(url) % 4 + 18) || '/' END AS link,
         CASE WHEN length(url) % 5 = 0 THEN 'no_year_folder' END AS error_class FROM pages""",
@@ -209,7 +227,7 @@ ORACLE = {
     "b11_period_title": period_sql("starts_with(source, 'de_')"),
     "b12_period_url_first": period_sql("source IN ('jp_ppi', 'jp_policy')"),
     "b13_table_row": kind_sql("table_0", "table_1"),
-    "b14_release_parser": f"{BODY} SELECT release_id, source, metric_key, unit, period, value, yoy FROM met WHERE NOT dateless",
+    "b14_release_parser": f"{BODY} SELECT release_id, source, metric_key, unit, period, value, yoy, basis FROM met WHERE NOT dateless",
     "b15_parse_failures": f"{BODY} SELECT release_id, source, CASE WHEN dateless THEN 'no_period' ELSE 'no_metrics' END AS error_class FROM per WHERE dateless OR nothing UNION ALL SELECT -1 - doc_id, 'cn_mof', 'no_metrics' FROM documents",
     "b16_completeness_gate": f"{BODY} SELECT release_id, source, 'mof_central_exp,mof_govfund_exp,mof_govfund_rev,mof_local_exp' AS missing FROM per WHERE source = 'cn_mof' AND NOT nothing",
     "b17_value_fallback": f"{BODY} SELECT release_id, metric_key, coalesce(value, yoy) AS value FROM met",
