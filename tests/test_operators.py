@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import backfill, claims, corpus, detect, extract, gates, ledger, packs, pages as pages_, queue, readings, rules, series, transcripts
 from tidemark.sources import files
-from tidemark.streaming.intake import intake_stream, replay_stream
+from tidemark.streaming.intake import replay_stream
 
 OBS = "source string, series string, period string, value double"
 
@@ -56,12 +56,6 @@ def test_stream_replay_equals_batch_replay_over_files(spark):
     assert sorted(one(replay_stream(df.withColumn("step", (F.col("seq") / 20).cast("int"))))) == want
 
 
-def test_intake_splits_failures(spark):
-    rows = spark.createDataFrame([("a", "x", "2024-01", "1.5"), ("b", "y", "2024-01", "n/a"), ("a", "x", None, "2")], "source string, series string, period string, value string")
-    kept, failed = intake_stream(rows)
-    assert one(kept.select("source", "value")) == [("a", 1.5)] and sorted(one(failed.select("source", "error_class"))) == [("a", "parse_failed"), ("b", "parse_failed")]
-
-
 def test_upsert_and_append_are_idempotent(spark, tmp_path):
     base = spark.createDataFrame([("a", "x", "2024-01", 1.0), ("b", "y", "2024-01", 2.0)], OBS)
     path = str(tmp_path / "obs")

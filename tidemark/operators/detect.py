@@ -35,15 +35,20 @@ def advance(state: DataFrame, classified: DataFrame) -> DataFrame:
     return rows.groupBy(*KEY).agg(F.max("last_period").alias("last_period"), F.max_by("last_digest", order).alias("last_digest"))
 
 
-def replay(snapshots: DataFrame) -> DataFrame:
-    """Class of each snapshot (.., seq) as if classified and advanced one by one in order of seq.
+def replay(snapshots: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """Class of each snapshot (.., seq) as if classified and advanced one by one in order of seq, from a state if there is one.
 
     The state's period is the running maximum; a snapshot of that period meets
     the hash of the one before it with the same period, as every later one of
-    the period was then the newest.
+    the period was then the newest. A state is a snapshot before all others.
     """
-    w = W.partitionBy(*KEY).orderBy("seq")
-    same_period = W.partitionBy(*KEY, "period").orderBy("seq")
-    rows = snapshots.withColumns({"last_period": F.max("period").over(w.rowsBetween(W.unboundedPreceding, -1)), "last_digest": F.lag("digest").over(same_period)})
+    w = W.partitionBy(*KEY).orderBy("first_", "seq")
+    same_period = W.partitionBy(*KEY, "period").orderBy("first_", "seq")
+    rows = snapshots.withColumn("first_", F.lit(1))
+    if state is not None:
+        start = state.select(*KEY, F.col("last_period").alias("period"), F.col("last_digest").alias("digest"), F.lit(0).alias("first_"))
+        rows = rows.unionByName(start, allowMissingColumns=True)
+    before = {"last_period": F.max("period").over(w.rowsBetween(W.unboundedPreceding, -1)), "last_digest": F.lag("digest").over(same_period)}
+    rows = rows.withColumns(before).where("first_ = 1")
     new, revised = is_new(F.col("period"), F.col("last_period")), is_revision(F.col("period"), F.col("digest"), F.col("last_period"), F.col("last_digest"))
     return rows.withColumn("class", F.when(new, "new").when(revised, "revision").otherwise("same")).select(*snapshots.columns, "class")

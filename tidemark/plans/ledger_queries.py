@@ -173,22 +173,47 @@ RESULTS = """res AS (SELECT entity_id, CASE WHEN entity_id % 7 = 0 THEN 'hash_mi
     routed AS (SELECT *, CASE WHEN outcome IN ('hash_mismatch', 'retryable') THEN 'queued' WHEN outcome IN ('fatal', 'invalid') THEN 'needs_review' ELSE 'ready' END AS to_status FROM res)"""
 
 
-def intake_rows(spark, d):
-    return observations(spark, d).select("source", "series", "period", F.when(F.substring("period", 6, 2) == "04", F.lit("n/a")).otherwise(F.col("value").cast("decimal(20,2)").cast("string")).alias("value"))
+def deliveries(spark, d):
+    """Every series as a source that delivers twice: first all observations, then those from 1995 on with a higher value.
+
+    The first delivery of 2-HIGH and the second ones of 5-LOW and N have rows that do not parse.
+    """
+    name = F.concat_ws("/", "source", "series").alias("source")
+    rows = observations(spark, d).withColumn("step", F.explode(F.array(F.lit(0), F.lit(1)))).where("step = 0 or period >= '1995'")
+    value = (F.col("value").cast("decimal(20,2)") + F.col("step")).cast("string")
+    bad = (F.col("step") == 0) & (F.col("series") == "2-HIGH") | (F.col("step") == 1) & F.col("series").isin("5-LOW", "N")
+    bad = bad & (F.substring("period", 6, 2) == "04")
+    return rows.select(name, "series", "period", F.when(bad, "n/a").otherwise(value).alias("value"), F.col("step").cast("long").alias("seq"), "step")
 
 
 def a10(spark, d):
-    kept, failed = intake_stream(intake_rows(spark, d).repartition(3, "series"))
-    good = kept.groupBy("source", "series").agg(F.count_distinct("period").alias("periods"))
-    bad = failed.groupBy("source", "series").agg(F.count(F.lit(1)).alias("failures"))
-    return good.join(bad, ["source", "series"], "full").select("source", "series", F.coalesce("periods", F.lit(0)).alias("periods"), F.coalesce("failures", F.lit(0)).alias("failures"))
+    """Tables after the intake of all deliveries, three files a micro-batch."""
+    intake = intake_stream(deliveries(spark, d), files_per_batch=3)
+    total = F.sum(F.col("value").cast("decimal(20,2)")).alias("total")
+    held = intake.observations().groupBy("source", "series").agg(F.count(F.lit(1)).alias("periods"), total)
+    changes = intake.changes().groupBy("source", "series").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "seq", "class", "period"))), ",").alias("changes"))
+    failures = intake.failures().groupBy("source").agg(F.sum("bad").alias("bad"), F.sum("rows").alias("put_aside"))
+    return held.join(intake.state(), ["source", "series"]).join(changes, ["source", "series"]).join(failures, "source", "left").select(
+        "source", "series", "periods", "total", "last_period", "changes", F.coalesce("bad", F.lit(0)).alias("bad"), F.coalesce("put_aside", F.lit(0)).alias("put_aside"))
+
+
+def stepped(spark, d):
+    """Snapshots with half: 0 for the earlier half of each series, else 1."""
+    rows = snapshots(spark, d).select("source", "series", "period", "digest", "seq")
+    return rows.withColumn("half", F.when(F.col("seq") * 2 <= F.count(F.lit(1)).over(W.partitionBy("source", "series")), 0).otherwise(1))
 
 
 def c6_stream(spark, d):
     """Two steps of files, the earlier half of each series' snapshots in the first; several micro-batches."""
-    rows = snapshots(spark, d).select("source", "series", "period", "digest", "seq")
-    half = F.when(F.col("seq") * 2 <= F.count(F.lit(1)).over(W.partitionBy("source", "series")), 0).otherwise(1)
-    return replay_stream(rows.withColumn("step", half), files_per_batch=3)
+    return replay_stream(stepped(spark, d).withColumnRenamed("half", "step"), files_per_batch=3)
+
+
+def c6_from_state(spark, d):
+    """The later halves as a stream whose state starts from the table that the earlier halves leave."""
+    rows = stepped(spark, d)
+    none = spark.createDataFrame([], "source string, series string, last_period string, last_digest string")
+    state = detect.advance(none, detect.replay(rows.where("half = 0").drop("half")))
+    return replay_stream(rows.where("half = 1").drop("half"), files_per_batch=3, state=state)
 
 
 QUERIES = {
@@ -200,6 +225,7 @@ QUERIES = {
     "c5_state_advance": lambda s, d: detect.advance(state(s, d), classified(s, d).withColumn("seq", F.col("rev"))),
     "c6_replay": lambda s, d: detect.replay(snapshots(s, d).select("source", "series", "period", "digest", "seq")),
     "c6_replay_stream": c6_stream,
+    "c6_replay_from_state": c6_from_state,
     "g1_evidence_insert": g1,
     "g2_payload_hash": lambda s, d: table(s, d, "events").select("event_id", ledger.payload_hash(user_id="user_id", event_type="event_type", note=F.lit(None).cast("string")).alias("payload_sha256")),
     "g3_chain_validation": lambda s, d: ledger.chain_violations(events(s, d), entities(s, d).select("entity_type", "entity_id", "initial_status")),
@@ -224,7 +250,19 @@ QUERIES = {
 }
 
 ORACLE = {
-    "a10_incremental_intake": f"WITH {OBS} SELECT source, series, count(DISTINCT period) FILTER (substr(period, 6, 2) <> '04') AS periods, count(*) FILTER (substr(period, 6, 2) = '04') AS failures FROM obs GROUP BY ALL",
+    "a10_incremental_intake": f"""WITH {OBS},
+        del AS (SELECT source || '/' || series AS source, series, period, value::DECIMAL(20, 2) + step AS value, step,
+            series = '2-HIGH' AND step = 0 OR series IN ('5-LOW', 'N') AND step = 1 AS fails
+            FROM obs CROSS JOIN (VALUES (0), (1)) AS s(step) WHERE step = 0 OR period >= '1995'),
+        good AS (SELECT * FROM del WHERE NOT fails),
+        held AS (SELECT source, series, period, arg_max(value, step) AS value FROM good GROUP BY ALL),
+        newest AS (SELECT source, series, step, max(period) AS period FROM good GROUP BY ALL),
+        classed AS (SELECT *, row_number() OVER (PARTITION BY source, series ORDER BY step) AS k FROM newest),
+        ch AS (SELECT source, series, string_agg(step || ':' || CASE WHEN k = 1 THEN 'new' ELSE 'revision' END || ':' || period, ',' ORDER BY step) AS changes FROM classed GROUP BY ALL),
+        f AS (SELECT source, count(*) FILTER (substr(period, 6, 2) = '04') AS bad, count(*) AS put_aside FROM del WHERE fails GROUP BY ALL)
+        SELECT source, series, count(*) AS periods, sum(value) AS total, max(period) AS last_period, any_value(changes) AS changes,
+            coalesce(any_value(bad), 0) AS bad, coalesce(any_value(put_aside), 0) AS put_aside
+        FROM held JOIN ch USING (source, series) LEFT JOIN f USING (source) GROUP BY ALL""",
     "c1_content_address": f"WITH {SNAP} SELECT source, series, period, rev, digest FROM snap",
     "c2_new_period": f"WITH {SNAP}, {STATE}, {BATCH} SELECT source, series, period, rev, coalesce(period > last_period, true) AS is_new FROM batch LEFT JOIN state USING (source, series)",
     "c3_revision": f"WITH {SNAP}, {STATE}, {BATCH} SELECT source, series, period, rev, coalesce(period = last_period AND digest <> last_digest, false) AS is_revision FROM batch LEFT JOIN state USING (source, series)",
@@ -233,6 +271,7 @@ ORACLE = {
         SELECT source, series, max(last_period) AS last_period, arg_max(last_digest, (last_period, seq)) AS last_digest FROM n GROUP BY ALL""",
     "c6_replay": f"WITH {SNAP}, {REPLAY} SELECT * FROM replayed",
     "c6_replay_stream": f"WITH {SNAP}, {REPLAY} SELECT * FROM replayed",
+    "c6_replay_from_state": f"WITH {SNAP}, {REPLAY} SELECT * FROM replayed QUALIFY seq * 2 > count(*) OVER (PARTITION BY source, series)",
     "g1_evidence_insert": f"""WITH {OBS}, {EVI}, b AS (SELECT * FROM evi UNION ALL SELECT metric_id, observed_period, sha256(content_sha256 || 'r'), value FROM evi WHERE observed_period > '2001-01')
         SELECT {CID('evi', 'metric_id', 'observed_period', 'content_sha256')} AS id, metric_id, observed_period, content_sha256, value, 'recorded' AS first_status FROM b
         ANTI JOIN (SELECT * FROM evi WHERE observed_period < '1999-01') t USING (metric_id, observed_period, content_sha256)""",
