@@ -93,13 +93,14 @@ def tokens(text):
 
 
 def contaminated(docs, items, n=5, threshold=0.8):
-    grams = lambda t: {" ".join(w[k : k + n]) for w in [tokens(t)] for k in range(len(w) - n + 1)}
+    sizes = {min(n, len(tokens(t))) for _, t in items} | {n}
+    grams = lambda t, of: {" ".join(w[k : k + m]) for w in [tokens(t)] for m in of(len(w)) for k in range(len(w) - m + 1) if m}
     found, by_item = set(), defaultdict(set)
     for i, t in items:
         if i is not None:
-            by_item[i] |= grams(t)
+            by_item[i] |= grams(t, lambda size: {min(n, size)})
     for d, t in docs:
-        g = grams(t)
+        g = grams(t, lambda size: sizes)
         for i, s in by_item.items():
             if d is not None and s and len(s & g) >= threshold * len(s) - 1e-9:
                 found.add((d, i, len(s), len(s & g)))

@@ -3,10 +3,12 @@
 import random
 from collections import defaultdict
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import contained, decontaminate
+from tidemark.llm.queries import ORACLE, QUERIES
 from tidemark.llm.mixing import apportion, apportion_within, drawn, mix
 from tidemark.llm.url_filter import url_filter
 
@@ -59,7 +61,7 @@ def test_url_filter_block_wins_between_equal_rules_and_empty_tables(spark):
     assert url_filter(spark.createDataFrame([], "page_id long, url string"), rules).count() == 0
 
 
-ITEMS = [(1, brute.prose(900, 20)), (2, brute.prose(901, 45)), (3, "too few words here"), (4, None), (None, brute.prose(902, 20)), (5, brute.prose(903, 9)), (1, brute.prose(900, 20))]
+ITEMS = [(1, brute.prose(900, 20)), (2, brute.prose(901, 45)), (3, "too few words here"), (4, None), (None, brute.prose(902, 20)), (5, brute.prose(903, 9)), (1, brute.prose(900, 20)), (6, "Zebra"), (7, "two words"), (8, "?!"), (9, "one two three four")]
 
 
 def test_contained_matches_plain_search(spark):
@@ -69,12 +71,14 @@ def test_contained_matches_plain_search(spark):
     far = brute.prose(901, 45).split()
     far[3] = far[14] = far[25] = "other"
     docs += [(1000, brute.prose(1, 3000) + " " + brute.prose(900, 20).upper() + ", " + brute.prose(2, 50)), (1001, " ".join(near)), (1002, " ".join(far)), (1003, f"{ITEMS[1][1]} and {ITEMS[5][1]}")]
+    docs += [(1004, "Here are too few, words HERE again"), (1005, "a zebra of two words"), (1006, "zebra"), (1007, "two. Words"), (1008, "two other words, one two four"), (1009, "one two three four")]
     docs += [(2000 + k, f"{brute.prose(k, 9)} {ITEMS[0][1]}") for k in range(30)]
     table = spark.createDataFrame([(i, t, "z") for i, t in docs] + [(None, ITEMS[0][1], "z")], "doc_id long, text string, item_id string")
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     got = {(r.doc_id, r.item_id, r.item_shingles, r.hits) for r in contained(table, items).collect()}
     want = brute.contaminated(docs, ITEMS)
     assert got == want and (1001, 2) in {(d, i) for d, i, *_ in want} and (1002, 2) not in {(d, i) for d, i, *_ in want}
+    assert {(1004, 3), (1005, 6), (1005, 7), (1006, 6), (1007, 7), (1009, 9)} <= {(d, i) for d, i, *_ in want} and not [w for w in want if w[0] == 1008]
     # The shuffled joins, without any broadcast, find the same.
     assert {(r.doc_id, r.item_id) for r in contained(table, items, rows_to_broadcast=0).collect()} == {(d, i) for d, i, *_ in want}
     left = decontaminate(table, items)
@@ -158,3 +162,15 @@ def test_mix_of_nothing(spark):
     assert mix(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0
     only = mix(spark.createDataFrame([(1, None, None), (2, " ", "a")], "doc_id long, text string, source string")).collect()
     assert [(x.size, x.taken) for x in only] == [(0, 0), (0, 0)]
+
+
+def test_short_items_against_sql(spark, tmp_path):
+    docs = [(1, "a Zebra. of two words"), (2, "zebra"), (3, "two  words one two three four five six"), (4, None), (5, "one two three four"), (6, "nothing")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "zebra"), (2, "two words"), (3, "one two three four"), (4, "one two three four five six"), (5, "!"), (6, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    duck = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    want = sorted(duck.execute(f"SELECT doc_id, item_id, hits FROM ({ORACLE['op1_decontaminate']})").fetchall())
+    got = sorted((r.doc_id, r.item_id, r.hits) for r in QUERIES["op1_decontaminate"](spark, str(tmp_path)).collect())
+    assert got == want == [(1, 1, 1), (1, 2, 1), (2, 1, 1), (3, 2, 1), (3, 3, 1), (3, 4, 2), (5, 3, 1)]

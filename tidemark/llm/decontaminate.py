@@ -19,14 +19,19 @@ Sketches and item shingles are broadcast only when counted to be small, else
 they are joined by shuffle. An item that a third of all documents contain makes
 as many result rows, each from its own document's task.
 
-Items of fewer than `gram` words, with null text or null item_id, and
-documents with null doc_id or text give no pairs. Rows of items with equal
+An item of fewer than `gram` words is one shingle of its own length; documents
+are also cut into shingles of those lengths below `gram` that such items have.
+Items without words, with null text or null item_id, and documents with null
+doc_id or text give no pairs; very long texts are texts like others, and other
+columns of both tables are not read. Rows of items with equal
 item_id are one item with all their shingles; rows of documents with equal
 doc_id are one document. Empty tables give an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .common import bounded, stage
@@ -36,16 +41,29 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
 
 
-def places(df: DataFrame, keep: list[str], gram: int) -> DataFrame:
-    """A row for each shingle's place: the columns `keep`, words, and i (from 1)."""
-    return df.select(*keep, tokens(F.col("text")).alias("words")).where(F.size("words") >= gram).select(*keep, "words", F.explode(F.sequence(F.lit(1), F.size("words") - (gram - 1))).alias("i"))
+def places(df: DataFrame, keep: list[str], spans: Callable[[Column], Column]) -> DataFrame:
+    """A row for each shingle's place: the columns `keep`, words, and p (i from 1, length); spans gives the places of so many words."""
+    cut = df.select(*keep, tokens(F.col("text")).alias("words")).where(F.size("words") > 0)
+    return cut.select(*keep, "words", F.explode(spans(F.size("words"))).alias("p"))
+
+
+def spans_of(size: Column, length: Column) -> Column:
+    """All places of shingles of a length among `size` words."""
+    at = F.transform(F.sequence(F.lit(1), F.greatest(size - length + 1, F.lit(1))), lambda i: F.struct(i.alias("i"), length.alias("length")))
+    return F.when(size >= length, at).otherwise(F.array().cast("array<struct<i:int,length:int>>"))
 
 
 def contained(docs: DataFrame, items: DataFrame, gram: int = 5, threshold: float = 0.8, rows_to_broadcast: int = 500_000) -> DataFrame:
     """doc_id, item_id, item_shingles, hits, containment of each contaminated pair."""
     docs = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
-    whole = F.array_join(F.slice("words", F.col("i"), gram), " ")
-    of_items = places(items.where("item_id is not null and text is not null"), ["item_id"], gram).select("item_id", whole.alias("shingle")).distinct()
+    items = items.where("item_id is not null and text is not null").select("item_id", "text")
+    n_words = F.size(tokens(F.col("text")))
+    short = [r.n for r in items.select(n_words.alias("n")).where(F.col("n").between(1, gram - 1)).distinct().collect()]
+    in_docs = lambda size: F.flatten(F.array(*[spans_of(size, F.lit(n)) for n in sorted({gram, *short})]))
+    in_items = lambda size: spans_of(size, F.least(size, F.lit(gram)))
+    shingle = F.slice("words", F.col("p.i"), F.col("p.length"))
+    whole = F.array_join(shingle, " ")
+    of_items = places(items, ["item_id"], in_items).select("item_id", whole.alias("shingle")).distinct()
     of_items = stage(of_items, "item-shingles")
     need = lambda q: F.ceil(q * threshold - 1e-9)
     q = F.col("item_shingles")
@@ -58,12 +76,11 @@ def contained(docs: DataFrame, items: DataFrame, gram: int = 5, threshold: float
         .where("place <= k").select("item_id", "h", (F.col("k") - (q - need(q))).alias("least"))
     )
     sketches = stage(sketches, "sketches")
-    hash_at = F.xxhash64(F.slice("words", F.col("i"), gram))
-    hits = places(docs, ["doc_id"], gram).select("doc_id", hash_at.alias("h")).join(bounded(sketches, rows_to_broadcast), "h")
+    hits = places(docs, ["doc_id"], in_docs).select("doc_id", F.xxhash64(shingle).alias("h")).join(bounded(sketches, rows_to_broadcast), "h")
     candidates = stage(hits.groupBy("doc_id", "item_id").agg(F.count_distinct("h").alias("n"), F.first("least").alias("least")).where("n >= least").select("doc_id", "item_id"), "candidates")
 
     suspects = docs.join(bounded(candidates.select("doc_id").distinct(), 4 * rows_to_broadcast), "doc_id", "left_semi")
-    found = places(suspects, ["doc_id"], gram).select("doc_id", whole.alias("shingle")).join(bounded(of_items, rows_to_broadcast), "shingle")
+    found = places(suspects, ["doc_id"], in_docs).select("doc_id", whole.alias("shingle")).join(bounded(of_items, rows_to_broadcast), "shingle")
     counts = found.groupBy("doc_id", "item_id").agg(F.count_distinct("shingle").alias("hits")).join(candidates, ["doc_id", "item_id"], "left_semi")
     sizes = of_items.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_shingles"))
     return (

@@ -114,7 +114,10 @@ ORACLE = {
         WITH t AS (
             SELECT true AS is_item, item_id AS id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS ws FROM benchmark
             UNION ALL SELECT false, doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') FROM documents),
-        s AS (SELECT DISTINCT is_item, id, array_to_string(ws[i:i + 4], ' ') AS shingle FROM (SELECT is_item, id, ws, unnest(range(1, len(ws) - 3)) AS i FROM t)),
+        sizes AS (SELECT DISTINCT least(5, len(ws)) AS size FROM t WHERE is_item AND len(ws) > 0 UNION SELECT 5),
+        s AS (
+            SELECT DISTINCT is_item, id, array_to_string(ws[i:i + size - 1], ' ') AS shingle
+            FROM (SELECT is_item, id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM t JOIN sizes ON NOT is_item OR size = least(5, len(ws)))),
         q AS (SELECT id AS item_id, count(*) AS item_shingles FROM s WHERE is_item GROUP BY 1),
         h AS (SELECT d.id AS doc_id, b.id AS item_id, count(*) AS hits FROM s b JOIN s d ON b.shingle = d.shingle AND b.is_item AND NOT d.is_item GROUP BY 1, 2)
         SELECT doc_id, item_id, item_shingles, hits, hits / item_shingles AS containment FROM h JOIN q USING (item_id) WHERE hits >= ceil(0.8 * item_shingles - 1e-9)""",
