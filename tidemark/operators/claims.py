@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .ledger import content_id
 from .transcripts import fold
 
-#: The fields a claim needs, words that couple judgements, and speakers that are none.
+#: The fields a claim needs, and those that are numbers.
 REQUIRED = ("claim_text", "claim_type", "layer", "transcript_version_id", "segment_start_ordinal", "segment_end_ordinal", "start_ms", "end_ms", "exact_quote", "timestamp_url", "raw_caption_sha256")
+NUMBERS = ("transcript_version_id", "segment_start_ordinal", "segment_end_ordinal", "start_ms", "end_ms")
+#: Words that couple judgements, sentence ends, and speakers that are none.
 COUPLING_CN = "(因为|所以|然而|但是|尽管|虽然|并且|同时|此外)"
-COUPLING_EN = "(?i)\\b(because|therefore|however|but|although|though|and also|additionally|furthermore|moreover)\\b"
+COUPLING_EN, SENTENCE_ENDS = "(?i)\\b(because|therefore|however|but|although|though|and also|additionally|furthermore|moreover)\\b", "[。！？!?；;]"
 NO_SPEAKER = ("", "unknown", "none", "n/a")
 RELATIONS = ("defines", "uses", "exemplifies", "qualifies", "relates")
 
@@ -32,7 +34,7 @@ def unknown_speaker() -> Column:
 
 def not_atomic() -> Column:
     text = F.coalesce("claim_text", F.lit(""))
-    return (F.regexp_count(text, F.lit(COUPLING_CN)) + F.regexp_count(text, F.lit(COUPLING_EN)) >= 2) | (F.regexp_count(text, F.lit("[。！？!?；;]")) >= 3)
+    return (F.regexp_count(text, F.lit(COUPLING_CN)) + F.regexp_count(text, F.lit(COUPLING_EN)) >= 2) | (F.regexp_count(text, F.lit(SENTENCE_ENDS)) >= 3)
 
 
 def bad_range() -> Column:
@@ -43,7 +45,7 @@ def bad_range() -> Column:
 def judged(claims: DataFrame, segments: DataFrame) -> DataFrame:
     """claims with the outcome of each rule (missing, r10, r4, r5, r3, r2) and `rule_id`, the first that fails, in that order; null if accepted.
 
-    segments: transcript_version_id, ordinal, text. A quote whose start segment is absent fails R1.
+    segments: transcript_version_id, ordinal, text. A quote whose start segment is absent or empty fails R1.
     """
     total = segments.groupBy("transcript_version_id").agg((F.max("ordinal") + 1).alias("total"))
     start = segments.select("transcript_version_id", F.col("ordinal").alias("segment_start_ordinal"), F.col("text").alias("segment_text"))
@@ -51,7 +53,7 @@ def judged(claims: DataFrame, segments: DataFrame) -> DataFrame:
     rows = rows.withColumns({"q_": fold(F.col("exact_quote")), "t_": fold(F.col("segment_text"))})
     rows = rows.withColumns({
         "missing": missing_fields(), "r10": F.coalesce(model_statement(F.col("from_model")), F.lit(False)), "r4": F.coalesce(unknown_speaker(), F.lit(False)), "r5": not_atomic(), "r3": bad_range(),
-        "no_segment": F.col("segment_text").isNull(), "r2": ~F.coalesce((F.col("q_") != "") & F.contains("t_", "q_"), F.lit(False)),
+        "no_segment": F.coalesce("segment_text", F.lit("")) == "", "r2": ~F.coalesce((F.col("q_") != "") & F.contains("t_", "q_"), F.lit(False)),
     })
     first = F.when(F.size("missing") > 0, "R1").when(F.col("r10"), "R10").when(F.col("r4"), "R4").when(F.col("r5"), "R5").when(F.col("r3"), "R3").when(F.col("no_segment"), "R1").when(F.col("r2"), "R2")
     return rows.withColumn("rule_id", first).drop("q_", "t_", "total", "segment_text")
@@ -77,22 +79,49 @@ def forecast_without_criteria() -> Column:
 
 
 BUNDLE = "claims array<string>, concepts array<string>, evaluations array<string>, edges array<string>, forecasts array<string>"
-
-
-def bundle_items(bundles: DataFrame) -> DataFrame:
-    """bundles (bundle_id, body: JSON of five arrays) to (bundle_id, kind, index, item, verdict): each item as its JSON, non-objects rejected, others by the rule of their kind."""
-    parsed = bundles.select("bundle_id", F.from_json("body", BUNDLE).alias("b"))
-    kinds = ("claims", "concepts", "evaluations", "edges", "forecasts")
-    rows = reduce(DataFrame.unionByName, [parsed.select("bundle_id", F.lit(k).alias("kind"), F.posexplode(F.col(f"b.{k}")).alias("index", "item")) for k in kinds])
-    get = lambda f: F.coalesce(F.get_json_object("item", f"$.{f}"), F.lit(""))
-    rule = (
-        F.when(~F.trim("item").startswith("{"), "not_an_object").when((F.col("kind") == "claims") & ((get("claim_text") == "") | (get("exact_quote") == "")), "R1")
-        .when((F.col("kind") == "concepts") & (get("status") == "canonical") & (get("source") == ""), "R7")
-        .when((F.col("kind") == "evaluations") & (get("evaluator") == "macro_bridge") & ((get("publisher") == "") | (get("observed_period") == "")), "R8")
-        .when((F.col("kind") == "edges") & (get("layer") == "speaker_reasoning") & (get("exact_quote") == ""), "R6")
-        .when((F.col("kind") == "forecasts") & ((F.trim(get("outcome_condition")) == "") | ((get("time_window_start") == "") & (get("time_window_end") == ""))), "R9").otherwise("accepted")
-    )
-    return rows.withColumn("verdict", rule)
+ITEMS = {
+    "claims": ", ".join(f"{f} {'string' if f not in NUMBERS else 'bigint'}" for f in (*REQUIRED, "speaker")),
+    "concepts": "status string, concept_source string",
+    "evaluations": "evaluator string, external_evidence struct<publisher:string,observed_period:string,content_sha256:string>",
+    "edges": "layer string, transcript_version_id string, exact_quote string",
+    "forecasts": "outcome_condition string, time_window_start string, time_window_end string",
+}
+#: The rule that an item of a kind fails if it is no object at all.
+SHAPE_RULE = {"claims": "R1", "concepts": "R7", "evaluations": "R8", "edges": "R6", "forecasts": "R9"}
+
+
+def bundle_items(bundles: DataFrame, segments: DataFrame) -> DataFrame:
+    """(bundle_id, kind, index, verdict) of each item of bundles (bundle_id, from_model, body: JSON of five arrays).
+
+    Each kind goes through its own rules: claims through all of `judged` (with the bundle's from_model), concepts,
+    evaluations, edges and forecasts through theirs. The verdict is the rule that fails, or `accepted`.
+    """
+    parsed = bundles.select("bundle_id", "from_model", F.from_json("body", BUNDLE).alias("b"))
+    key = ["bundle_id", "kind", "index"]
+
+    def items(kind: str) -> tuple[DataFrame, DataFrame]:
+        """The items of a kind that are objects, with their fields, and the verdicts of those that are none."""
+        rows = parsed.select("bundle_id", "from_model", F.lit(kind).alias("kind"), F.posexplode(F.col(f"b.{kind}")).alias("index", "item"))
+        is_object = F.coalesce(F.ltrim("item").startswith("{"), F.lit(False))
+        fields = rows.where(is_object).select(*key, "from_model", F.from_json("item", ITEMS[kind]).alias("x")).select(*key, "from_model", "x.*")
+        return fields, rows.where(~is_object).select(*key, F.lit(SHAPE_RULE[kind]).alias("rule_id"))
+
+    claims, *odd = items("claims")
+    concepts, other = items("concepts")
+    named = concepts.withColumn("name", F.struct("bundle_id", "index"))
+    sourced = named.where("coalesce(concept_source, '') <> ''").select("name")
+    bare = concept_without_source(named, sourced).select(*key, F.lit("R7").alias("rule_id"))
+    concepts = concepts.select(*key).join(bare, key, "left")
+    by_rule = [judged(claims, segments).select(*key, "rule_id"), concepts, *odd, other]
+    checks = {
+        "evaluations": ("R8", evaluation_without_evidence(F.col("evaluator"), *(f"external_evidence.{f}" for f in ("publisher", "observed_period", "content_sha256")))),
+        "edges": ("R6", edge_without_source()), "forecasts": ("R9", forecast_without_criteria()),
+    }
+    for kind, (rule, fails) in checks.items():
+        rows, other = items(kind)
+        by_rule += [rows.select(*key, F.when(F.coalesce(fails, F.lit(False)), rule).alias("rule_id")), other]
+    verdicts = reduce(DataFrame.unionByName, by_rule)
+    return verdicts.select(*key, F.coalesce("rule_id", F.lit("accepted")).alias("verdict"))
 
 
 def fan_out(accepted: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from .gates import number_key
+from .numbers import number_key, subtracted
 from .series import history
 
 
@@ -49,7 +49,7 @@ def derived(evidence: DataFrame, spreads: DataFrame) -> DataFrame:
     """
     side = lambda c: evidence.select("pack_id", F.col("metric_id").alias(f"metric_{c}"), F.col("value").alias(c)).where(F.col(c).isNotNull())
     both = spreads.join(side("a"), ["pack_id", "metric_a"]).join(side("b"), ["pack_id", "metric_b"])
-    return both.select("pack_id", "id", F.concat_ws(" - ", "metric_a", "metric_b").alias("formula"), "a", "b", (F.col("a") - F.col("b")).alias("value"), "unit", "note")
+    return both.select("pack_id", "id", F.concat_ws(" - ", "metric_a", "metric_b").alias("formula"), "a", "b", subtracted(F.col("a"), F.col("b")).alias("value"), "unit", "note")
 
 
 def quality_gate(evidence: DataFrame, spreads: DataFrame, flags: DataFrame) -> DataFrame:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from ..sources.tables import ranked
 from .rules import fixed
 
 KEY = ["source", "series"]
@@ -32,10 +33,13 @@ def shown_pct(pct: Column) -> Column:
 def report(readings: DataFrame) -> DataFrame:
     """Display rows in order of economy (us, cn, others), then name; `place` is that order."""
     rank = F.when(F.col("economy") == "us", 0).when(F.col("economy") == "cn", 1).otherwise(9)
-    # The report is one line a series, so its single ordered group is as small as the configuration.
-    place = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(rank, "name", "source", "series"))
+    rows = ranked(readings.withColumn("rank_", rank), F.col("rank_"), F.col("name"), F.col("source"), F.col("series"), into="place")
     yoy = F.when(F.col("value").isNull(), "—").otherwise(shown_pct(F.col("yoy_pct")))
-    return readings.select(place.alias("place"), "economy", "name", shown_value(F.col("value"), F.col("yoy_pct")).alias("value_cell"), yoy.alias("yoy_cell"), shown_pct(F.col("mom_pct")).alias("mom_cell"), F.coalesce("trend", F.lit("—")).alias("trend"), F.coalesce("period", F.lit("—")).alias("period"))
+    value, mom = shown_value(F.col("value"), F.col("yoy_pct")), shown_pct(F.col("mom_pct"))
+    return rows.select(
+        "place", "economy", "name", value.alias("value_cell"), yoy.alias("yoy_cell"), mom.alias("mom_cell"),
+        F.coalesce("trend", F.lit("—")).alias("trend"), F.coalesce("period", F.lit("—")).alias("period"),
+    )
 
 
 def brief(updates: DataFrame, flags: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from .numbers import subtracted
+
 KEY = ["source", "series"]
 
 
@@ -99,9 +101,8 @@ def cross_economy(obs: DataFrame, config: DataFrame) -> DataFrame:
 
 
 def derived_spread(readings: DataFrame, pairs: DataFrame) -> DataFrame:
-    """a - b of two readings, subtracted as decimals; pairs: id, a_source, a_series, b_source, b_series. Missing inputs give no row."""
+    """a - b of two readings, subtracted as decimals of any size; pairs: id, a_source, a_series, b_source, b_series. Missing inputs give no row."""
     side = lambda p: readings.select(*[F.col(k).alias(f"{p}_{k}") for k in KEY], F.col("value").alias(f"{p}_value"))
-    exact = lambda c: F.col(c).cast("decimal(38,10)")
     both = pairs.join(side("a"), ["a_source", "a_series"]).join(side("b"), ["b_source", "b_series"]).where("a_value is not null and b_value is not null")
     formula = F.concat_ws(" - ", F.concat_ws(".", "a_source", "a_series"), F.concat_ws(".", "b_source", "b_series"))
-    return both.select("id", formula.alias("formula"), "a_value", "b_value", (exact("a_value") - exact("b_value")).cast("double").alias("value"))
+    return both.select("id", formula.alias("formula"), "a_value", "b_value", subtracted(F.col("a_value"), F.col("b_value")).alias("value"))

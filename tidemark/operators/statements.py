@@ -16,6 +16,8 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
+from .numbers import let
+
 #: Direction words, those that make a percentage negative, states, and comparisons.
 CN_WORDS = ("增长", "下降", "上升", "减少", "提高", "回落", "上涨", "下跌", "降低", "放缓", "收窄", "扩大")
 CN_NEGATIVE = ("下降", "减少", "下跌", "降低", "放缓", "收窄")
@@ -51,11 +53,6 @@ def signed(pct: Column, word: Column, negative: tuple[str, ...]) -> Column:
     return F.when(F.lower(word).isin(*negative), -F.abs(pct)).otherwise(pct) + F.lit(0.0)
 
 
-def let(value: Column, use) -> Column:
-    """use(value), with value computed once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def first(items: Column, good) -> Column:
     return F.get(F.filter(items, good), F.lit(0))
 

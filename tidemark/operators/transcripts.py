@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pyspark.sql.types import StringType
 
+from ..sources.tables import materialized
 from .pages import unescape
 
 MERGE_GAP_MS, MERGE_SPAN_MS, REPEATS_KEPT = 1500, 8000, 5
@@ -72,35 +73,66 @@ def usable(cues: DataFrame) -> DataFrame:
     return cues.withColumn("text", fold(strip_markup(F.col("text")))).where("text <> '' and end_ms >= start_ms")
 
 
+CHAIN = ["video_id", "chain"]
+
+
+def segment_starts(chained: DataFrame, span_ms: int) -> DataFrame:
+    """(video_id, chain, at): places of the cues that start a segment, apart from a chain's first, in chains longer than span_ms.
+
+    A cue's segment, if it starts one, ends before the first cue of its chain that ends more than
+    span_ms after its start. That cue is found by one sorted pass over ends and limits together;
+    which cues the first one leads to is found by doubling: with the steps over 1, 2, 4, .. segments
+    at hand, the starts reached so far go each step once, longest first. No chain is held as a whole.
+    """
+    long = materialized(chained.where("last_ms - first_ms > " + str(span_ms)).select(*CHAIN, "at", "n", "start_ms", "end_ms"), "chains")
+    ends = long.select(*CHAIN, F.col("end_ms").alias("value"), F.lit(0).alias("limit"), "at", "n")
+    limits = long.select(*CHAIN, (F.col("start_ms") + span_ms).alias("value"), F.lit(1).alias("limit"), "at", "n")
+    within = F.sum(F.when(F.col("limit") == 0, 1).otherwise(0)).over(W.partitionBy(*CHAIN).orderBy("value", "limit").rowsBetween(W.unboundedPreceding, 0))
+    after = F.greatest(F.col("within"), F.col("at")) + 1
+    steps = ends.unionByName(limits).withColumn("within", within).where("limit = 1").withColumn("to", after).where("to <= n")
+    jumps = [materialized(steps.select(*CHAIN, F.col("at").cast("long").alias("at"), F.col("to").cast("long").alias("to")), "steps")]
+    while True:
+        last = jumps[-1]
+        further = last.join(last.select(*CHAIN, F.col("at").alias("to"), F.col("to").alias("beyond")), [*CHAIN, "to"]).select(*CHAIN, "at", F.col("beyond").alias("to"))
+        further = materialized(further, "steps")
+        if further.isEmpty():
+            break
+        jumps.append(further)
+    reached = jumps[0].select(*CHAIN, F.lit(1).cast("long").alias("at")).distinct()
+    for jump in reversed(jumps):
+        reached = materialized(reached.unionByName(reached.join(jump, [*CHAIN, "at"]).select(*CHAIN, F.col("to").alias("at"))), "starts")
+    return reached.where("at > 1")
+
+
 def merge(cues: DataFrame, gap_ms: int = MERGE_GAP_MS, span_ms: int = MERGE_SPAN_MS) -> DataFrame:
     """Joins a cue to the one before it when the gap is over 0 and at most gap_ms, that one ends no sentence, and the merged span stays within span_ms.
 
-    Windows cut a video into chains by the first two rules. In a chain one fold finds where
-    segments start (numbers only); then each segment is put together once.
+    Windows cut a video into chains by the first two rules. Chains within span_ms are segments;
+    longer ones are cut at their segment starts. A segment holds cues of span_ms at most.
     """
     w = W.partitionBy("video_id").orderBy("ordinal")
     gap = F.col("start_ms") - F.lag("end_ms").over(w)
     joins = (gap > 0) & (gap <= gap_ms) & ~F.lag("text").over(w).rlike(TERMINATORS)
-    chained = cues.withColumn("chain", F.sum(F.when(F.coalesce(joins, F.lit(False)), 0).otherwise(1)).over(w.rowsBetween(W.unboundedPreceding, 0)))
-    item = F.struct("ordinal", "start_ms", "end_ms", "text")
-    chains = chained.groupBy("video_id", "chain").agg(F.sort_array(F.collect_list(item)).alias("cues"))
-    spans = F.transform("cues", lambda c, i: F.struct(i.alias("i"), c["start_ms"].alias("s"), c["end_ms"].alias("e")))
-
-    def step(done: Column, c: Column) -> Column:
-        fits = c["e"] - done["from"] <= span_ms
-        return F.struct(F.when(fits, done["starts"]).otherwise(F.concat(done["starts"], F.array(c["i"]))).alias("starts"), F.when(fits, done["from"]).otherwise(c["s"]).alias("from"))
-
-    state = "struct<starts:array<int>,from:bigint>"
-    first = F.struct(F.array(F.lit(0)).alias("starts"), F.col("cues")[0]["start_ms"].alias("from")).cast(state)
-    starts = F.aggregate(F.slice(spans, F.lit(2), F.size("cues")), first, lambda done, c: step(done, c).cast(state), lambda done: done["starts"])
-    cut = chains.select("video_id", "cues", starts.alias("starts"))
-    end = lambda k: F.coalesce(F.get("starts", k + 1), F.size("cues"))
-    parts = F.transform("starts", lambda a, k: F.slice("cues", a + 1, end(k) - a))
-    last = F.element_at("c", -1)
-    return cut.select("video_id", F.explode(parts).alias("c")).select(
-        "video_id", F.col("c")[0]["start_ms"].alias("start_ms"), last["end_ms"].alias("end_ms"), F.col("c")[0]["ordinal"].cast("bigint").alias("raw_cue_start"),
-        last["ordinal"].cast("bigint").alias("raw_cue_end"), F.array_join(F.transform("c", lambda x: x["text"]), " ").alias("text"),
+    up_to = w.rowsBetween(W.unboundedPreceding, 0)
+    chained = cues.withColumn("chain", F.sum(F.when(F.coalesce(joins, F.lit(False)), 0).otherwise(1)).over(up_to))
+    chain = W.partitionBy(*CHAIN)
+    chained = chained.withColumns({
+        "at": F.row_number().over(chain.orderBy("ordinal")).cast("long"), "n": F.count(F.lit(1)).over(chain),
+        "first_ms": F.min("start_ms").over(chain), "last_ms": F.max("end_ms").over(chain),
+    })
+    chained = materialized(chained.select(*CHAIN, "at", "n", "first_ms", "last_ms", "ordinal", "start_ms", "end_ms", "text"), "chained")
+    rows = chained
+    if not chained.where(f"n > 1 and last_ms - first_ms > {span_ms}").isEmpty():
+        starts = segment_starts(chained, span_ms).withColumn("starts", F.lit(1))
+        rows = chained.join(starts, [*CHAIN, "at"], "left")
+    else:
+        rows = chained.withColumn("starts", F.lit(None).cast("int"))
+    of_chain = W.partitionBy(*CHAIN).orderBy("at").rowsBetween(W.unboundedPreceding, 0)
+    segments = rows.withColumn("segment", F.count("starts").over(of_chain)).groupBy(*CHAIN, "segment").agg(
+        F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"), F.min("ordinal").cast("bigint").alias("raw_cue_start"),
+        F.max("ordinal").cast("bigint").alias("raw_cue_end"), F.array_sort(F.collect_list(F.struct("at", "text"))).alias("cues"),
     )
+    return segments.select("video_id", "start_ms", "end_ms", "raw_cue_start", "raw_cue_end", F.array_join(F.transform("cues", lambda x: x["text"]), " ").alias("text"))
 
 
 def collapse_repeats(segments: DataFrame, kept: int = REPEATS_KEPT) -> DataFrame:

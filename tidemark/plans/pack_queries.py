@@ -68,11 +68,11 @@ def h1(spark, d):
 
 
 def spreads(spark, d, of: DataFrame) -> DataFrame:
-    """The spread of filled and open orders of each priority but the lowest; values are rounded as their sources are."""
+    """The spread of filled and open orders of each priority but the lowest."""
     p = table(spark, d, "orders").select(F.col("o_orderpriority").alias("pack_id")).distinct().where("pack_id <> '5-LOW'")
     metric = lambda end: F.concat(F.lit("orders:"), "pack_id", F.lit(end))
     wanted = p.select("pack_id", F.lit("filled_less_open").alias("id"), metric("/F").alias("metric_a"), metric("/O").alias("metric_b"), F.lit("EUR").alias("unit"), F.when(F.col("pack_id") != "2-HIGH", "both are flows").otherwise("").alias("note"))
-    return packs.derived(of, wanted).withColumn("value", F.round("value", 2))
+    return packs.derived(of, wanted)
 
 
 def flags(spark, d) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,24 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ranked(df: DataFrame, *order: Column, into: str) -> DataFrame:
+    """df with the place (from 1) of each row in the whole order.
+
+    Rows are dealt out by ranges of the order and placed within theirs; what lies before a
+    range is a sum over one row for each range, so no task holds all rows.
+    """
+    dealt = materialized(df.repartitionByRange(*order).withColumn("range_", F.spark_partition_id()), "ranges")
+    sizes = dealt.groupBy("range_").agg(F.count(F.lit(1)).alias("n_"))
+    # As many rows as there are partitions, which is what bounds the broadcast and the driver's part.
+    before, total = [], 0
+    for r in sorted(sizes.collect()):
+        before.append((r["range_"], total))
+        total += r["n_"]
+    offsets = df.sparkSession.createDataFrame(before, "range_ int, before_ long")
+    place = F.row_number().over(W.partitionBy("range_").orderBy(*order))
+    return dealt.join(F.broadcast(offsets), "range_").withColumn(into, place + F.col("before_")).drop("range_", "before_")
+
+
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly order totals by priority, and quarterly quantities by return flag, as (source, series, period, value)."""
     orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
