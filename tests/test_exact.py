@@ -103,3 +103,19 @@ def test_an_empty_start_segment_fails_the_first_rule(spark):
     bundle = spark.createDataFrame([("b", True, json.dumps(body)), ("c", True, "{}"), ("d", True, "no json"), ("e", True, None)], "bundle_id string, from_model boolean, body string")
     got = sorted((x.kind, x["index"], x.verdict) for x in claims.bundle_items(bundle, segments).collect())
     assert got == [("claims", 0, "R1"), ("claims", 1, "R2"), ("claims", 2, "accepted"), ("claims", 3, "R1"), ("claims", 4, "R10"), ("concepts", 0, "R7"), ("concepts", 1, "accepted"), ("edges", 0, "R6"), ("evaluations", 0, "R8"), ("evaluations", 1, "R8")]
+
+
+def test_only_unsettled_texts_are_normalised(spark):
+    import re
+    import unicodedata
+
+    r = random.Random(3)
+    pool = [*"aeAcks ", "é", "e\u0301", "\u0301", "\u0323", "\u0344", "ｶ", "か", "\u3099", "가", "\u1100", "\u1161", "\u11a8", "\u212b", "\u2126", "ﬁ", "中", "\U0001d15e", "\u09c7", "\u09be", "\ufb1d", "😀", "\u0958"]
+    texts = ["".join(r.choice(pool) for _ in range(r.randint(0, 9))) for _ in range(800)]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    got = {x.k: x.v for x in df.select("k", transcripts.nfc(F.col("t")).alias("v")).collect()}
+    assert [got[k] for k in range(len(texts))] == [unicodedata.normalize("NFC", t) for t in texts]
+    pattern = re.compile(re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: f"\\U{int(m[1], 16):08x}", transcripts.unsettled()))
+    short = re.compile(re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: f"\\U{int(m[1], 16):08x}", transcripts.ELSEWHERE))
+    assert not [c for c in map(chr, (*range(0xD800), *range(0xE000, 0x30000))) if pattern.match(c) and not short.match(c)]
+    assert all(unicodedata.is_normalized("NFC", t) for t in texts if not pattern.search(t)) and not pattern.search("Plain text, größer 中文")

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..sources.tables import salted_join
 from .numbers import number_key, subtracted
 from .series import history
 
@@ -13,11 +14,14 @@ from .series import history
 def enrich(evidence: DataFrame, obs: DataFrame, publishers: DataFrame, limit: int = 24) -> DataFrame:
     """evidence (evi_id, metric_id `source:series`, publisher, ..) with its last `limit` observations, the value before the last, publisher, official flag and missing_metrics, the months that these observations leave out.
 
+    A series without observations has those of its change (`series_yoy`), under which metrics that are only a change are kept.
     The publisher is the evidence's own, else that of its source, else the source. publishers: source, source_publisher, official.
     """
     split = evidence.withColumns({"source": F.regexp_extract("metric_id", "^([^:]*):", 1), "series": F.regexp_extract("metric_id", "^[^:]*:(.*)$", 1)})
     past = history(obs, limit).groupBy("source", "series").agg(F.sort_array(F.collect_list(F.struct("period", "value"))).alias("history"))
-    joined = split.join(past, ["source", "series"], "left").join(publishers, "source", "left")
+    changes = past.select("source", F.regexp_replace("series", "_yoy$", "").alias("series"), F.col("history").alias("change_history")).where(past["series"].endswith("_yoy"))
+    joined = split.join(past, ["source", "series"], "left").join(changes, ["source", "series"], "left").join(publishers, "source", "left")
+    joined = joined.withColumn("history", F.coalesce("history", "change_history")).drop("change_history")
     month = lambda k: F.concat(F.try_element_at("history", F.lit(k))["period"], F.lit("-01")).try_cast("date")
     months = F.round(F.months_between(month(-1), month(1)))
     return joined.withColumns({
@@ -33,13 +37,22 @@ def related_claims(items: DataFrame, claims: DataFrame) -> DataFrame:
     """
     own = items.select("pack_id", "claim_id").where("claim_id is not null").unionByName(items.select("pack_id", F.explode("requested").alias("claim_id")))
     cited = claims.select("claim_id", F.explode("evidence_ids").alias("evi_id"))
-    by_evidence = items.select("pack_id", F.explode("evidence_ids").alias("evi_id")).join(cited, "evi_id").select("pack_id", "claim_id")
+    wanted = items.select("pack_id", F.explode("evidence_ids").alias("evi_id")).distinct()
+    # Evidence that very many claims cite is dealt out; few packs rest on one piece of evidence.
+    by_evidence = salted_join(cited, wanted, ["evi_id"], F.col("claim_id")).select("pack_id", "claim_id")
     return own.join(claims.select("claim_id"), "claim_id", "left_semi").select("pack_id", "claim_id").unionByName(by_evidence).distinct()
 
 
-def related_forecasts(pack_claims: DataFrame, forecasts: DataFrame) -> DataFrame:
-    """(pack_id, forecast_id, status) of all forecasts of a pack's claims; forecasts: forecast_id, claim_id, status."""
-    return pack_claims.join(forecasts, "claim_id").select("pack_id", "forecast_id", "status").distinct()
+def related_forecasts(pack_claims: DataFrame, forecasts: DataFrame, requested: DataFrame | None = None) -> DataFrame:
+    """(pack_id, forecast_id, status) of all forecasts of a pack's claims, and of the requested ones (pack_id, forecast_id) that there are.
+
+    forecasts: forecast_id, claim_id, status.
+    """
+    rows = salted_join(pack_claims.select("pack_id", "claim_id"), forecasts, ["claim_id"], F.col("pack_id")).select("pack_id", "forecast_id", "status")
+    if requested is not None:
+        asked = salted_join(requested.select("pack_id", "forecast_id"), forecasts, ["forecast_id"], F.col("pack_id"))
+        rows = rows.unionByName(asked.select("pack_id", "forecast_id", "status"))
+    return rows.distinct()
 
 
 def derived(evidence: DataFrame, spreads: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ chains that windows have cut first.
 from __future__ import annotations
 
 import unicodedata
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -22,12 +23,38 @@ TERMINATORS = "[。！？!?]$"
 TIMING = "^([0-9]{2,}):([0-9]{2}):([0-9]{2})\\.([0-9]{3})[ \\t]+-->[ \\t]+([0-9]{2,}):([0-9]{2}):([0-9]{2})\\.([0-9]{3})"
 
 
+#: Short form of where unsettled characters are: neither in Latin letters nor, but for a few marks, among ideographs and kana.
+ELSEWHERE = "[\\x{300}-\\x{2fff}\\x{302a}-\\x{302f}\\x{3099}\\x{309a}\\x{a000}-\\x{10ffff}]"
+
+
 @F.pandas_udf(StringType())
-def nfc(texts: pd.Series) -> pd.Series:
+def nfc_in_python(texts: pd.Series) -> pd.Series:
     """Spark has no Unicode normalisation; this one step is done in Arrow batches."""
     return texts.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
 
 
+@cache
+def unsettled() -> str:
+    """Pattern of the characters that NFC may change or move: those it replaces, combining marks, and those that join with one before them."""
+    second = {0x1161 + k for k in range(21)} | {0x11A8 + k for k in range(27)}  # vowels and finals of Hangul
+    found = set()
+    for c in map(chr, (*range(0xD800), *range(0xE000, 0x30000))):
+        parts = unicodedata.decomposition(c).split()
+        if len(parts) == 2 and not parts[0].startswith("<"):
+            second.add(int(parts[1], 16))
+        if unicodedata.combining(c) or unicodedata.normalize("NFC", c) != c:
+            found.add(ord(c))
+    points = sorted(found | second)
+    starts = [p for k, p in enumerate(points) if k == 0 or points[k - 1] != p - 1]
+    ends = [p for k, p in enumerate(points) if k == len(points) - 1 or points[k + 1] != p + 1]
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in zip(starts, ends, strict=True)) + "]"
+
+
+def nfc(text: Column) -> Column:
+    """Text in NFC. Only texts with an unsettled character go to Python; for all others nothing is handed over."""
+    return F.coalesce(nfc_in_python(F.when(text.rlike(ELSEWHERE) & text.rlike(unsettled()), text)), text)
+
+
 def fold(text: Column) -> Column:
     """Form in which texts are compared: NFC, no byte order mark, runs of Unicode white space as one space, trimmed."""
     return F.trim(F.regexp_replace(F.regexp_replace(nfc(text), "\ufeff", ""), "(?U)\\s+", " "))

@@ -44,6 +44,8 @@ def evidence(spark, d) -> DataFrame:
         F.regexp_extract("series", "^([^/]*)/", 1).alias("pack_id"), F.concat(F.lit("evi_"), F.md5(metric)).alias("evi_id"), metric.alias("metric_id"), "observed_period", "value", F.lit("EUR").alias("unit"),
         F.when(F.col("series").endswith("F"), "Bureau").when(F.col("series").endswith("P"), "Agency").alias("publisher"),
     )
+    # Series of open orders are kept as changes, under their key with _yoy.
+    o = o.withColumn("series", F.when(F.col("series").endswith("/P"), F.concat("series", F.lit("_yoy"))).otherwise(F.col("series")))
     publishers = spark.createDataFrame([("orders", "Order Office", True), ("private", None, False)], "source string, source_publisher string, official boolean")
     return packs.enrich(rows, o, publishers)
 
@@ -58,6 +60,12 @@ def claims(spark, d) -> DataFrame:
     return table(spark, d, "orders").groupBy(F.col("o_custkey").alias("claim_id")).agg(F.collect_set(F.concat(F.lit("evi_"), F.md5(metric))).alias("evidence_ids"))
 
 
+def requested(spark, d):
+    """Forecasts that a pack asks for: the last order of its priority, and one that there is not."""
+    last = table(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("pack_id")).agg(F.max("o_orderkey").alias("last"))
+    return last.select("pack_id", F.explode(F.array("last", F.lit(-2))).alias("forecast_id"))
+
+
 def forecasts(spark, d):
     return table(spark, d, "orders").select(F.col("o_orderkey").alias("forecast_id"), F.col("o_custkey").alias("claim_id"), F.col("o_orderstatus").alias("status"))
 
@@ -96,7 +104,9 @@ def h5(spark, d):
 def h6(spark, d):
     i = items(spark, d)
     asked = i.select("pack_id", F.lit("claim").alias("kind"), F.explode(F.col("requested").cast("array<string>")).alias("id")).unionByName(i.select("pack_id", F.lit("evidence").alias("kind"), F.explode(F.concat("evidence_ids", F.array(F.concat(F.lit("evi_"), "pack_id")))).alias("id")))
-    known = claims(spark, d).select(F.lit("claim").alias("kind"), F.col("claim_id").cast("string").alias("id")).unionByName(evidence(spark, d).select(F.lit("evidence").alias("kind"), F.col("evi_id").alias("id")))
+    asked = asked.unionByName(requested(spark, d).select("pack_id", F.lit("forecast").alias("kind"), F.col("forecast_id").cast("string").alias("id")))
+    of = lambda kind, rows, key: rows.select(F.lit(kind).alias("kind"), F.col(key).cast("string").alias("id"))
+    known = of("claim", claims(spark, d), "claim_id").unionByName(of("evidence", evidence(spark, d), "evi_id")).unionByName(of("forecast", forecasts(spark, d), "forecast_id"))
     return packs.missing_members(asked, known)
 
 
@@ -152,7 +162,7 @@ def fenced(spark, d):
 QUERIES = {
     "h1_evidence_enrichment": h1,
     "h2_related_claims": lambda s, d: packs.related_claims(items(s, d), claims(s, d)),
-    "h3_related_forecasts": lambda s, d: packs.related_forecasts(items(s, d).select("pack_id", "claim_id"), forecasts(s, d)),
+    "h3_related_forecasts": lambda s, d: packs.related_forecasts(items(s, d).select("pack_id", "claim_id"), forecasts(s, d), requested(s, d)),
     "h4_quality_gate": h4,
     "h5_canonical_pack": h5,
     "h6_missing_members": h6,
@@ -185,7 +195,7 @@ gate_sql = lambda g: f"{FLAWED} SELECT o_orderkey AS doc_id, gate, error FROM or
 ORACLE = {
     "h1_evidence_enrichment": f"{EV} SELECT evi_id, metric_id, observed_period, value, previous_value, n_history, publisher, official_primary, past FROM ev",
     "h2_related_claims": "SELECT DISTINCT o_orderpriority AS pack_id, o_custkey AS claim_id FROM orders",
-    "h3_related_forecasts": "WITH m AS (SELECT o_orderpriority AS pack_id, min(o_custkey) AS claim_id FROM orders GROUP BY 1) SELECT pack_id, o_orderkey AS forecast_id, o_orderstatus AS status FROM m JOIN orders ON o_custkey = claim_id",
+    "h3_related_forecasts": "WITH m AS (SELECT o_orderpriority AS pack_id, min(o_custkey) AS claim_id FROM orders GROUP BY 1) SELECT pack_id, o_orderkey AS forecast_id, o_orderstatus AS status FROM m JOIN orders ON o_custkey = claim_id UNION SELECT o_orderpriority, o_orderkey, o_orderstatus FROM orders QUALIFY o_orderkey = max(o_orderkey) OVER (PARTITION BY o_orderpriority)",
     "h4_quality_gate": f"{EV} SELECT * FROM qg",
     "h5_canonical_pack": f"""{EV}, m AS (SELECT o_orderpriority AS pack_id, min(o_custkey) AS claim_id, min(o_orderkey) AS item, count(*) AS priority FROM orders GROUP BY 1),
         cl AS (SELECT pack_id, claim_id, (SELECT list_sort(list(DISTINCT 'evi_' || md5(CASE o_orderstatus WHEN 'P' THEN 'private:' ELSE 'orders:' END || o_orderpriority || '/' || o_orderstatus))) FROM orders WHERE o_custkey = claim_id) AS evidence_ids FROM m),
@@ -201,7 +211,7 @@ ORACLE = {
             'research_item': {{'id': 'rit_' || item, 'priority': priority, 'queue_source': 'orders', 'title': 'Orders of ' || m.pack_id}}, 'version': 1}})::VARCHAR AS pack_json
             FROM m JOIN cl USING (pack_id) JOIN al USING (pack_id) JOIN seen USING (pack_id) JOIN es USING (pack_id) JOIN qg USING (pack_id) LEFT JOIN fs USING (pack_id) LEFT JOIN ds USING (pack_id) LEFT JOIN gs USING (pack_id))
         SELECT *, sha256(pack_json) AS pack_sha256 FROM j""",
-    "h6_missing_members": "SELECT DISTINCT o_orderpriority AS pack_id, 'claim' AS kind, '-1' AS id FROM orders UNION ALL SELECT DISTINCT o_orderpriority, 'evidence', 'evi_' || o_orderpriority FROM orders",
+    "h6_missing_members": "SELECT DISTINCT o_orderpriority AS pack_id, 'claim' AS kind, '-1' AS id FROM orders UNION ALL SELECT DISTINCT o_orderpriority, 'evidence', 'evi_' || o_orderpriority FROM orders UNION ALL SELECT DISTINCT o_orderpriority, 'forecast', '-2' FROM orders",
     "i1_shape_check": f"WITH f(k, location, error) AS (VALUES {', '.join(f'({k}, {quote(loc)}, {quote(e)})' for k, (loc, e) in SHAPE.items())}) SELECT o_orderkey AS doc_id, location, error FROM orders JOIN f ON k = o_orderkey % 16",
     "i2_cited_ids": gate_sql("I2"), "i3_prose_ids": gate_sql("I3"), "i4_number_traceability": gate_sql("I4"), "i5_changed_values": gate_sql("I5"), "i6_source_table": gate_sql("I6"), "i7_language_screen": gate_sql("I7"), "i8_empty_narrative": gate_sql("I8"), "i9_causality_confidence": gate_sql("I9"),
     "i10_verdict": f"""{FLAWED}, g AS (SELECT k, string_agg(gate || ' ' || error, '; ' ORDER BY gate, error) AS errors, bool_or(gate = 'I1') AS misshapen FROM f GROUP BY 1), {SQL},

@@ -48,6 +48,26 @@ def ranked(df: DataFrame, *order: Column, into: str) -> DataFrame:
     return dealt.join(F.broadcast(offsets), "range_").withColumn(into, place + F.col("before_")).drop("range_", "before_")
 
 
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: Column, least: int = 10_000) -> DataFrame:
+    """Inner join on keys of left, in which some keys may have very many rows, with right, in which a key has few.
+
+    Keys with over a thousandth of left's rows (and over `least`) are dealt over salts by
+    `spread`; their right rows go to each salt. There are at most a thousand of them.
+    """
+    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_"))
+    counts = materialized(counts, "key-counts")
+    total = counts.agg(F.sum("n_")).first()[0] or 0
+    each = max(least, -(-total // 1000))
+    many = counts.where(F.col("n_") > each)
+    if many.isEmpty():
+        return left.join(right, keys)
+    hot = F.broadcast(many.select(*keys, F.ceil(F.col("n_") / each).cast("int").alias("salts_")))
+    salts = F.coalesce("salts_", F.lit(1))
+    dealt = left.join(hot, keys, "left").withColumn("salt_", F.pmod(F.xxhash64(spread), salts).cast("int")).drop("salts_")
+    copied = right.join(hot, keys, "left").withColumn("salt_", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts_")
+    return dealt.join(copied, [*keys, "salt_"]).drop("salt_")
+
+
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly order totals by priority, and quarterly quantities by return flag, as (source, series, period, value)."""
     orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
