@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..sources.tables import materialized
+
 ENTITY = ["entity_type", "entity_id"]
 ORDER = ["occurred_at", "evt_id"]
 
@@ -47,15 +49,51 @@ def payload_hash(**fields: Column | str) -> Column:
     return F.sha2(F.to_json(F.struct(*[F.col(v).alias(k) if isinstance(v, str) else v.alias(k) for k, v in sorted(fields.items())]), {"ignoreNullFields": "false"}), 256)
 
 
-def chain_violations(events: DataFrame, entities: DataFrame) -> DataFrame:
-    """Events that do not continue their entity's chain, or first ones that do not start at its initial_status."""
+def chain_violations(events: DataFrame, entities: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """Events that do not continue their entity's chain, or first ones that do not start at its initial_status.
+
+    With a state (see `replayed`) the events are those after it, and chains go on from there.
+    """
     w = W.partitionBy(*ENTITY).orderBy(*ORDER)
-    rows = events.withColumns({"expected": F.lag("to_status").over(w), "place": F.row_number().over(w)}).join(entities, ENTITY, "left")
+    rows = events.select(*ENTITY, *ORDER, "from_status", "to_status", F.lit(None).cast("long").alias("events"))
+    if state is not None:
+        start = state.select(*ENTITY, F.col("last_at").alias("occurred_at"), F.col("last_evt").alias("evt_id"), F.col("status").alias("to_status"), "events")
+        rows = rows.unionByName(start.join(events.select(*ENTITY).distinct(), ENTITY, "left_semi"), allowMissingColumns=True)
+    before = F.coalesce(F.max("events").over(W.partitionBy(*ENTITY)) - 1, F.lit(0))  # the state is a row itself
+    rows = rows.withColumns({"expected": F.lag("to_status").over(w), "place": (F.row_number().over(w) + before).cast("int")})
+    rows = rows.where("events is null").join(entities, ENTITY, "left")
     gap = ~F.col("from_status").eqNullSafe(F.col("expected"))
     start = (F.col("place") == 1) & F.col("initial_status").isNotNull() & (F.col("to_status") != F.col("initial_status"))
     return rows.where(gap | start).select(*ENTITY, "evt_id", "place", "expected", "from_status", F.when(gap, "discontinuous").otherwise("invalid_first").alias("problem"))
 
 
+def replayed(events: DataFrame) -> DataFrame:
+    """What replay leaves of each entity: status, the order (last_at, last_evt) of its last event, and their number."""
+    last = F.max(F.struct(*ORDER, "to_status")).alias("e")
+    return events.groupBy(*ENTITY).agg(last, F.count(F.lit(1)).alias("events")).select(
+        *ENTITY, F.col("e.to_status").alias("status"), F.col("e.occurred_at").alias("last_at"), F.col("e.evt_id").alias("last_evt"), "events")
+
+
+def resumed(state: DataFrame, tail: DataFrame, log: DataFrame, entities: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(state, violations, late) after the events of tail, which the state does not know; log: all events, tail's too.
+
+    Only the tail is replayed, on top of the state. An entity with an event in the tail that is not after
+    the last one of its state is late: all of its events are replayed from the log, and its violations are
+    all it has; those of other entities are the tail's.
+    """
+    known = state.select(*ENTITY, F.struct(F.col("last_at").alias("occurred_at"), F.col("last_evt").alias("evt_id")).alias("known"))
+    late = tail.join(known, ENTITY).where(F.struct(*ORDER) <= F.col("known")).select(*ENTITY).distinct()
+    late = materialized(late, "late")
+    again = log.join(late, ENTITY, "left_semi")
+    on_time = tail.join(late, ENTITY, "left_anti")
+    standing = state.join(late, ENTITY, "left_anti")
+    violations = chain_violations(again, entities).unionByName(chain_violations(on_time, entities, standing))
+    newest = F.max(F.struct("last_at", "last_evt", "status")).alias("e")
+    both = standing.unionByName(replayed(on_time)).groupBy(*ENTITY).agg(newest, F.sum("events").alias("events"))
+    after = both.select(*ENTITY, "e.status", "e.last_at", "e.last_evt", "events").unionByName(replayed(again))
+    return after, violations, late
+
+
 def status(entities: DataFrame, events: DataFrame) -> DataFrame:
     """entities with their status: that of the last event, or the initial one."""
     last = events.groupBy(*ENTITY).agg(F.max_by("to_status", F.struct(*ORDER)).alias("last"))

@@ -89,6 +89,23 @@ def entities(spark, d) -> DataFrame:
     return table(spark, d, "customer").select(kind.alias("entity_type"), k.alias("entity_id"), F.when(k % 3 == 2, "queued").otherwise("draft").alias("initial_status"), made.alias("created_at"))
 
 
+def after_tail(spark, d):
+    """(state, violations) of a replay of the earlier half of the time that goes on with the later one; every 13th event comes late."""
+    log, all_ = events(spark, d), entities(spark, d).select("entity_type", "entity_id", "initial_status")
+    middle = log.agg((F.min("occurred_at") + (F.max("occurred_at") - F.min("occurred_at")) / 2).alias("m")).first().m
+    first = (F.col("occurred_at") < F.lit(middle)) & (F.col("evt_id") % 13 != 0)
+    before = log.where(first)
+    state, violations, late = ledger.resumed(ledger.replayed(before), log.where(~first), log, all_)
+    standing = ledger.chain_violations(before, all_).join(late, ["entity_type", "entity_id"], "left_anti")
+    return state, standing.unionByName(violations)
+
+
+def g4_resumed(spark, d):
+    state = after_tail(spark, d)[0].select("entity_type", "entity_id", "status")
+    rows = entities(spark, d).select("entity_type", "entity_id", "initial_status").join(state, ["entity_type", "entity_id"], "left")
+    return rows.select("entity_type", "entity_id", F.coalesce("status", "initial_status").alias("status"))
+
+
 def items(spark, d):
     return ledger.status(entities(spark, d), events(spark, d)).where("entity_type = 'generated_insight'").select("entity_id", "status", "created_at")
 
@@ -229,6 +246,8 @@ QUERIES = {
     "g1_evidence_insert": g1,
     "g2_payload_hash": lambda s, d: table(s, d, "events").select("event_id", ledger.payload_hash(user_id="user_id", event_type="event_type", note=F.lit(None).cast("string")).alias("payload_sha256")),
     "g3_chain_validation": lambda s, d: ledger.chain_violations(events(s, d), entities(s, d).select("entity_type", "entity_id", "initial_status")),
+    "g3_chain_resumed": lambda s, d: after_tail(s, d)[1],
+    "g4_status_resumed": g4_resumed,
     "g4_status_by_replay": lambda s, d: ledger.status(entities(s, d), events(s, d)).select("entity_type", "entity_id", "status"),
     "g5_status_by_type": lambda s, d: ledger.status(entities(s, d), events(s, d)).groupBy("entity_type", "status").agg(F.count(F.lit(1)).alias("n")),
     "g6_transition_legality": lambda s, d: ledger.legality(events(s, d).where("current is not null").select("evt_id", "entity_type", "entity_id", "current", "to_status"), entities(s, d).where("created_at >= '2023-12-06'")),
@@ -279,6 +298,7 @@ ORACLE = {
     "g3_chain_validation": f"""WITH {EV}, w AS (SELECT ev.*, lag(to_status) OVER o AS expected, row_number() OVER o AS place FROM ev WINDOW o AS (PARTITION BY entity_type, entity_id ORDER BY occurred_at, evt_id))
         SELECT entity_type, entity_id, evt_id, place, expected, from_status, CASE WHEN from_status IS DISTINCT FROM expected THEN 'discontinuous' ELSE 'invalid_first' END AS problem FROM w LEFT JOIN ent USING (entity_type, entity_id)
         WHERE from_status IS DISTINCT FROM expected OR (place = 1 AND initial_status IS NOT NULL AND to_status <> initial_status)""",
+    "g4_status_resumed": f"WITH {EV} SELECT entity_type, entity_id, status FROM st",
     "g4_status_by_replay": f"WITH {EV} SELECT entity_type, entity_id, status FROM st",
     "g5_status_by_type": f"WITH {EV} SELECT entity_type, status, count(*) AS n FROM st GROUP BY ALL",
     "g6_transition_legality": f"""WITH {EV}, {ALLOWED_SQL} SELECT evt_id, entity_type, entity_id, current, to_status, CASE WHEN (entity_type, current, to_status) NOT IN (FROM al) THEN 'illegal_transition'
@@ -315,3 +335,4 @@ ORACLE = {
     "j7_drain_counts": f"""WITH {EV}, {RESULTS} SELECT count(*) FILTER (to_status = 'ready' AND created_at < '2023-12-12') AS published, count(*) FILTER (to_status = 'needs_review') AS needs_review,
         count(*) FILTER (to_status = 'queued') AS requeued, count(*) FILTER (to_status = 'ready' AND created_at >= '2023-12-12') AS failed FROM routed JOIN ins USING (entity_id)""",
 }
+ORACLE["g3_chain_resumed"] = ORACLE["g3_chain_validation"]
