@@ -138,3 +138,20 @@ def test_a_resumed_replay_equals_the_whole_one(spark):
         standing = ledger.chain_violations(before, entities).join(late, ledger.ENTITY, "left_anti")
         assert flat(state) == flat(ledger.replayed(events))
         assert flat(standing.unionByName(violations)) == flat(ledger.chain_violations(events, entities))
+
+
+def test_digests_of_members_do_not_depend_on_their_number_in_a_task(spark):
+    import hashlib
+
+    rows = [(p, "claims", str(k), f"{{{k}}}") for p, n in (("a", 2500), ("b", 3), ("c", 1000)) for k in range(n)]
+    df = spark.createDataFrame(rows, "pack_id string, section string, id string, json string").repartition(7)
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    for each in (10, 1000):
+        want = {}
+        for p in "abc":
+            mine = sorted((i, j) for q, _, i, j in rows if q == p)
+            chunks = {}
+            for i, j in mine:
+                chunks.setdefault(int(hashlib.md5(i.encode()).hexdigest()[:8], 16) % -(-len(mine) // each), []).append(j)
+            want[p] = (len(mine), sha("\n".join(sha("\n".join(chunks[c])) for c in sorted(chunks))))
+        assert {x.pack_id: (x.n, x.sha256) for x in packs.digested(df, each).collect()} == want

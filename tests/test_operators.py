@@ -225,10 +225,12 @@ def test_packs_that_differ_in_a_late_decimal_have_other_hashes(spark):
         e = spark.createDataFrame([("p", "evi_1", "a:b", "2024-01", value, None, "EUR", "Office", True, [("2024-01", value)])], "pack_id string, evi_id string, metric_id string, observed_period string, value double, previous_value double, unit string, publisher string, official_primary boolean, history array<struct<period:string,value:double>>")
         none = lambda s: spark.createDataFrame([], s)
         items = spark.createDataFrame([("p", "rit_1", "q", "t", 1)], "pack_id string, item_id string, queue_source string, title string, priority int")
-        return packs.canonical(items, e, none("pack_id string, claim_id long, evidence_ids array<string>"), none("pack_id string, forecast_id long, claim_id long, status string"), none("pack_id string, id string, formula string, a double, b double, value double, unit string, note string"), none("pack_id string, flag string")).first()
+        held = packs.members(items, e, none("pack_id string, claim_id long, evidence_ids array<string>"), none("pack_id string, forecast_id long, claim_id long, status string"))
+        spreads = none("pack_id string, id string, formula string, a double, b double, value double, unit string, note string")
+        return packs.canonical(items, e, held, spreads, none("pack_id string, flag string")).first()
 
     a, b = packed(1.001), packed(1.002)
-    assert a.pack_sha256 != b.pack_sha256 and '"allowed_ids":["evi_1","rit_1"]' in a.pack_json and '"value":"1001e-3"' in a.pack_json and '"cross_book_signal_present":false' in a.pack_json
+    assert a.pack_sha256 != b.pack_sha256 and a.n_allowed == 2 and '"value":"1001e-3"' in a.pack_json and '"cross_book_signal_present":false' in a.pack_json
 
 
 @pytest.mark.parametrize(("ref", "want"), [

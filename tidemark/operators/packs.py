@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..sources.tables import salted_join
+from ..sources.tables import materialized, salted_join
 from .numbers import number_key, subtracted
 from .series import history
 
@@ -44,14 +44,14 @@ def related_claims(items: DataFrame, claims: DataFrame) -> DataFrame:
 
 
 def related_forecasts(pack_claims: DataFrame, forecasts: DataFrame, requested: DataFrame | None = None) -> DataFrame:
-    """(pack_id, forecast_id, status) of all forecasts of a pack's claims, and of the requested ones (pack_id, forecast_id) that there are.
+    """(pack_id, forecast_id, claim_id, status) of all forecasts of a pack's claims, and of the requested ones (pack_id, forecast_id) that there are.
 
     forecasts: forecast_id, claim_id, status.
     """
-    rows = salted_join(pack_claims.select("pack_id", "claim_id"), forecasts, ["claim_id"], F.col("pack_id")).select("pack_id", "forecast_id", "status")
+    rows = salted_join(pack_claims.select("pack_id", "claim_id"), forecasts, ["claim_id"], F.col("pack_id")).select("pack_id", "forecast_id", "claim_id", "status")
     if requested is not None:
         asked = salted_join(requested.select("pack_id", "forecast_id"), forecasts, ["forecast_id"], F.col("pack_id"))
-        rows = rows.unionByName(asked.select("pack_id", "forecast_id", "status"))
+        rows = rows.unionByName(asked.select("pack_id", "forecast_id", "claim_id", "status"))
     return rows.distinct()
 
 
@@ -89,39 +89,68 @@ def quality_gate(evidence: DataFrame, spreads: DataFrame, flags: DataFrame) -> D
 FRAMEWORKS = ("separate stocks from flows", "compare like periods", "look for the counter case")
 
 
-def canonical(items: DataFrame, evidence: DataFrame, claims: DataFrame, forecasts: DataFrame, spreads: DataFrame, flags: DataFrame, frameworks: tuple[str, ...] = FRAMEWORKS, version: int = 1) -> DataFrame:
-    """(pack_id, as_of, n_allowed, pack_json, pack_sha256): all sections of each pack as JSON with sorted keys and members.
+def members(items: DataFrame, evidence: DataFrame, claims: DataFrame, forecasts: DataFrame) -> DataFrame:
+    """(pack_id, section, id, json): the claims and forecasts of each pack, and (allowed) all ids that a document on it may name."""
+    text = lambda c: F.col(c).cast("string")
+    row = lambda section, key, body: F.struct(F.lit(section).alias("section"), text(key).alias("id"), body.alias("json"))
+    claim = F.to_json(F.struct(text("claim_id").alias("id"), F.array_sort("evidence_ids").alias("evidence_ids")))
+    forecast = F.to_json(F.struct(text("forecast_id").alias("id"), text("claim_id").alias("claim_id"), "status"), {"ignoreNullFields": "false"})
+    said = [
+        claims.select("pack_id", F.explode(F.array(row("claims", "claim_id", claim), row("allowed", "claim_id", text("claim_id"))))),
+        forecasts.select("pack_id", F.explode(F.array(row("forecasts", "forecast_id", forecast), row("allowed", "forecast_id", text("forecast_id"))))),
+        evidence.select("pack_id", row("allowed", "evi_id", F.col("evi_id")).alias("col")), items.select("pack_id", row("allowed", "item_id", text("item_id")).alias("col")),
+    ]
+    return reduce(DataFrame.unionByName, said).select("pack_id", "col.*").distinct()
+
+
+def digested(rows: DataFrame, each: int = 1000) -> DataFrame:
+    """(pack_id, section, n, sha256): one digest for the members (pack_id, section, id, json) of a section, however many.
 
-    items: pack_id, item_id, queue_source, title, priority (one research item a pack); claims: pack_id, claim_id, evidence_ids;
-    forecasts: pack_id, forecast_id, claim_id, status. Numbers are exact, as number_key writes them. Packs without evidence are left out.
+    Members are dealt over chunks of about `each` by a hash of their id; a chunk's digest is over
+    its members in order of id, and the section's over the digests of its chunks in order.
+    """
+    keys = ["pack_id", "section"]
+    rows = materialized(rows, "pack-members")
+    sizes = rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / each).alias("chunks_"))
+    chunk = F.conv(F.substring(F.md5("id"), 1, 8), 16, 10).cast("long") % F.col("chunks_")
+    dealt = salted_join(rows, sizes, keys, F.col("id")).withColumn("chunk", chunk)
+    in_order = lambda by, what: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(by, what))), lambda x: x[what]), "\n")
+    digests = dealt.groupBy(*keys, "chunk").agg(F.count(F.lit(1)).alias("c"), F.sha2(in_order("id", "json"), 256).alias("digest"))
+    return digests.groupBy(*keys).agg(F.sum("c").alias("n"), F.sha2(in_order("chunk", "digest"), 256).alias("sha256"))
+
+
+def canonical(items: DataFrame, evidence: DataFrame, held: DataFrame, spreads: DataFrame, flags: DataFrame, frameworks: tuple[str, ...] = FRAMEWORKS, version: int = 1) -> DataFrame:
+    """(pack_id, as_of, n_allowed, pack_json, pack_sha256): each pack as JSON with sorted keys and members.
+
+    items: pack_id, item_id, queue_source, title, priority (one research item a pack); held: the `members` of packs. As claims and
+    forecasts of a pack have no bound, it has their number and digest; so its hash covers them, and no task holds them together.
+    Numbers are exact, as number_key writes them. Packs without evidence are left out.
     """
     exact = lambda c: number_key(c.cast("string"))
-    text = lambda c: F.col(c).cast("string")
     past = F.transform("history", lambda x: F.struct(x["period"].alias("period"), exact(x["value"]).alias("value")))
     piece = F.struct(
         past.alias("history"), F.col("evi_id").alias("id"), "metric_id", F.col("official_primary").alias("official"), F.col("observed_period").alias("period"),
         exact(F.col("previous_value")).alias("previous_value"), "publisher", "unit", exact(F.col("value")).alias("value"),
     )
-    members = lambda df, of, out: df.groupBy("pack_id").agg(F.array_sort(F.collect_set(of)).alias(out))
+    listed = lambda df, of, out: df.groupBy("pack_id").agg(F.array_sort(F.collect_set(of)).alias(out))
     evi = evidence.groupBy("pack_id").agg(F.array_sort(F.collect_set(F.struct(F.col("evi_id").alias("id"), piece.alias("piece")))).alias("evidence"), F.max("observed_period").alias("as_of"))
-    parts = [
-        members(claims, F.struct(text("claim_id").alias("id"), F.array_sort("evidence_ids").alias("evidence_ids")), "claims"),
-        members(forecasts, F.struct(text("forecast_id").alias("id"), text("claim_id").alias("claim_id"), "status"), "forecasts"),
-        members(spreads, F.struct("id", "formula", exact(F.col("a")).alias("a"), exact(F.col("b")).alias("b"), exact(F.col("value")).alias("value"), "unit", "note"), "derived_values"),
-        members(flags, F.col("flag"), "flags"),
-    ]
+    digest = digested(held)
+    section = lambda name: digest.where(F.col("section") == name).select("pack_id", F.struct("n", "sha256").alias(name))
+    spread = F.struct("id", "formula", exact(F.col("a")).alias("a"), exact(F.col("b")).alias("b"), exact(F.col("value")).alias("value"), "unit", "note")
     gate = quality_gate(evidence, spreads, flags)
     gate = gate.select("pack_id", F.struct(*sorted(c for c in gate.columns if c != "pack_id")).alias("quality_gate"))
-    joined = reduce(lambda x, y: x.join(y, "pack_id", "left"), [*parts, gate], evi.join(items, "pack_id"))
-    listed = {c: F.coalesce(F.col(c), F.array().cast(joined.schema[c].dataType)) for c in ("claims", "forecasts", "derived_values", "flags")}
-    joined = joined.withColumns(listed).withColumns({"evidence": F.transform("evidence", lambda x: x["piece"]), "item_id": text("item_id")})
-    ids = F.concat(F.array("item_id"), *[F.transform(c, lambda x: x["id"]) for c in ("evidence", "claims", "forecasts")])
+    parts = [section("allowed"), section("claims"), section("forecasts"), listed(spreads, spread, "derived_values"), listed(flags, F.col("flag"), "flags"), gate]
+    joined = reduce(lambda x, y: x.join(y, "pack_id", "left"), parts, evi.join(items, "pack_id"))
+    none = F.struct(F.lit(0).cast("long").alias("n"), F.sha2(F.lit(""), 256).alias("sha256"))
+    joined = joined.withColumns({c: F.coalesce(F.col(c), none) for c in ("allowed", "claims", "forecasts")})
+    joined = joined.withColumns({c: F.coalesce(F.col(c), F.array().cast(joined.schema[c].dataType)) for c in ("derived_values", "flags")})
     joined = joined.withColumns({
-        "allowed_ids": F.array_sort(F.array_distinct(ids)), "frameworks": F.array(*map(F.lit, frameworks)), "version": F.lit(version),
-        "research_item": F.struct(F.col("item_id").alias("id"), "priority", "queue_source", "title"),
+        "evidence": F.transform("evidence", lambda x: x["piece"]), "frameworks": F.array(*map(F.lit, frameworks)), "version": F.lit(version),
+        "research_item": F.struct(F.col("item_id").cast("string").alias("id"), "priority", "queue_source", "title"),
     })
-    body = F.to_json(F.struct("allowed_ids", "as_of", "claims", "derived_values", "evidence", "flags", "forecasts", "frameworks", "quality_gate", "research_item", "version"), {"ignoreNullFields": "false"})
-    return joined.select("pack_id", "as_of", F.size("allowed_ids").alias("n_allowed"), body.alias("pack_json"), F.sha2(body, 256).alias("pack_sha256"))
+    names = ("allowed", "as_of", "claims", "derived_values", "evidence", "flags", "forecasts", "frameworks", "quality_gate", "research_item", "version")
+    body = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
+    return joined.select("pack_id", "as_of", F.col("allowed.n").alias("n_allowed"), body.alias("pack_json"), F.sha2(body, 256).alias("pack_sha256"))
 
 
 def missing_members(requested: DataFrame, known: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import gates, packs
-from ..sources.tables import table
+from ..sources.tables import materialized, table
 
 def key_sql(x: str) -> str:
     """number_key of a value with at most two decimals."""
@@ -93,12 +93,12 @@ def h4(spark, d):
 
 
 def h5(spark, d):
-    e = evidence(spark, d)
-    own = items(spark, d).select("pack_id", "claim_id")
+    e = materialized(evidence(spark, d), "pack-evidence")
+    related = packs.related_claims(items(spark, d), claims(spark, d))
     research = table(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("pack_id")).agg(F.min("o_orderkey").alias("item_id"), F.count(F.lit(1)).alias("priority"))
     research = research.select("pack_id", F.concat(F.lit("rit_"), "item_id").alias("item_id"), F.lit("orders").alias("queue_source"), F.concat(F.lit("Orders of "), "pack_id").alias("title"), "priority")
-    bodies = own.join(claims(spark, d), "claim_id")
-    return packs.canonical(research, e, bodies, own.join(forecasts(spark, d), "claim_id"), spreads(spark, d, e), flags(spark, d))
+    held = packs.members(research, e, related.join(claims(spark, d), "claim_id"), packs.related_forecasts(related, forecasts(spark, d), requested(spark, d)))
+    return packs.canonical(research, e, held, spreads(spark, d, e), flags(spark, d))
 
 
 def h6(spark, d):
@@ -162,7 +162,7 @@ def fenced(spark, d):
 QUERIES = {
     "h1_evidence_enrichment": h1,
     "h2_related_claims": lambda s, d: packs.related_claims(items(s, d), claims(s, d)),
-    "h3_related_forecasts": lambda s, d: packs.related_forecasts(items(s, d).select("pack_id", "claim_id"), forecasts(s, d), requested(s, d)),
+    "h3_related_forecasts": lambda s, d: packs.related_forecasts(items(s, d).select("pack_id", "claim_id"), forecasts(s, d), requested(s, d)).select("pack_id", "forecast_id", "status"),
     "h4_quality_gate": h4,
     "h5_canonical_pack": h5,
     "h6_missing_members": h6,
@@ -198,18 +198,28 @@ ORACLE = {
     "h3_related_forecasts": "WITH m AS (SELECT o_orderpriority AS pack_id, min(o_custkey) AS claim_id FROM orders GROUP BY 1) SELECT pack_id, o_orderkey AS forecast_id, o_orderstatus AS status FROM m JOIN orders ON o_custkey = claim_id UNION SELECT o_orderpriority, o_orderkey, o_orderstatus FROM orders QUALIFY o_orderkey = max(o_orderkey) OVER (PARTITION BY o_orderpriority)",
     "h4_quality_gate": f"{EV} SELECT * FROM qg",
     "h5_canonical_pack": f"""{EV}, m AS (SELECT o_orderpriority AS pack_id, min(o_custkey) AS claim_id, min(o_orderkey) AS item, count(*) AS priority FROM orders GROUP BY 1),
-        cl AS (SELECT pack_id, claim_id, (SELECT list_sort(list(DISTINCT 'evi_' || md5(CASE o_orderstatus WHEN 'P' THEN 'private:' ELSE 'orders:' END || o_orderpriority || '/' || o_orderstatus))) FROM orders WHERE o_custkey = claim_id) AS evidence_ids FROM m),
-        fc AS (SELECT pack_id, o_orderkey::VARCHAR AS id, claim_id::VARCHAR AS claim_id, o_orderstatus AS status FROM m JOIN orders ON o_custkey = claim_id),
-        ids AS (SELECT pack_id, evi_id AS id FROM ev UNION SELECT pack_id, claim_id::VARCHAR FROM m UNION SELECT pack_id, id FROM fc UNION SELECT pack_id, 'rit_' || item FROM m),
-        al AS (SELECT pack_id, list(id ORDER BY id) AS allowed FROM ids GROUP BY 1), seen AS (SELECT pack_id, max(observed_period) AS as_of FROM ev GROUP BY 1),
+        rel AS (SELECT DISTINCT o_orderpriority AS pack_id, o_custkey AS claim_id FROM orders),
+        cited AS (
+            SELECT o_custkey AS claim_id, list_sort(list(DISTINCT 'evi_' || md5(CASE o_orderstatus WHEN 'P' THEN 'private:' ELSE 'orders:' END || o_orderpriority || '/' || o_orderstatus))) AS evidence_ids
+            FROM orders GROUP BY 1),
+        fc AS (SELECT pack_id, o_orderkey, o_custkey, o_orderstatus FROM rel JOIN orders ON o_custkey = claim_id),
+        mem AS (
+            SELECT pack_id, 'claims' AS section, claim_id::VARCHAR AS id, to_json({{'id': claim_id::VARCHAR, 'evidence_ids': evidence_ids}})::VARCHAR AS json FROM rel JOIN cited USING (claim_id)
+            UNION ALL SELECT pack_id, 'forecasts', o_orderkey::VARCHAR, to_json({{'id': o_orderkey::VARCHAR, 'claim_id': o_custkey::VARCHAR, 'status': o_orderstatus}})::VARCHAR FROM fc
+            UNION ALL SELECT pack_id, 'allowed', id, id FROM (
+                SELECT pack_id, evi_id AS id FROM ev UNION SELECT pack_id, claim_id::VARCHAR FROM rel UNION SELECT pack_id, o_orderkey::VARCHAR FROM fc UNION SELECT pack_id, 'rit_' || item FROM m)),
+        chunked AS (SELECT *, ('0x' || left(md5(id), 8))::BIGINT % ((count(*) OVER (PARTITION BY pack_id, section) + 999) // 1000) AS chunk FROM mem),
+        chunks AS (SELECT pack_id, section, chunk, count(*) AS c, sha256(string_agg(json, chr(10) ORDER BY id)) AS digest FROM chunked GROUP BY ALL),
+        dig AS (SELECT pack_id, section, {{'n': sum(c)::BIGINT, 'sha256': sha256(string_agg(digest, chr(10) ORDER BY chunk))}} AS held FROM chunks GROUP BY ALL),
+        seen AS (SELECT pack_id, max(observed_period) AS as_of FROM ev GROUP BY 1),
         es AS (SELECT pack_id, list({{'history': history, 'id': evi_id, 'metric_id': metric_id, 'official': official_primary, 'period': observed_period, 'previous_value': {key_sql('previous_value')}, 'publisher': publisher, 'unit': unit, 'value': {key_sql('value')}}} ORDER BY evi_id) AS evidence FROM ev GROUP BY 1),
-        fs AS (SELECT pack_id, list({{'id': id, 'claim_id': claim_id, 'status': status}} ORDER BY id) AS forecasts FROM fc GROUP BY 1),
         ds AS (SELECT pack_id, list({{'id': id, 'formula': formula, 'a': {key_sql('a')}, 'b': {key_sql('b')}, 'value': {key_sql('value')}, 'unit': unit, 'note': note}}) AS derived_values FROM sp GROUP BY 1),
         gs AS (SELECT pack_id, list(flag ORDER BY flag) AS flags FROM fl GROUP BY 1),
-        j AS (SELECT m.pack_id, as_of, len(allowed) AS n_allowed, to_json({{'allowed_ids': allowed, 'as_of': as_of, 'claims': [{{'id': cl.claim_id::VARCHAR, 'evidence_ids': evidence_ids}}], 'derived_values': coalesce(derived_values, []), 'evidence': evidence,
-            'flags': coalesce(flags, []), 'forecasts': coalesce(forecasts, []), 'frameworks': {list(packs.FRAMEWORKS)}, 'quality_gate': {{{', '.join(f"'{c}': {c}" for c in sorted(("official_primary_only", "official_evidence_count", "independent_publisher_count", "original_tables_first", "period_scope_unit_explicit", "stock_flow_arithmetic_precomputed", "cross_book_signal_present", "trigger_flags_are_leads")))}}},
+        j AS (SELECT m.pack_id, as_of, al.held.n AS n_allowed, to_json({{'allowed': al.held, 'as_of': as_of, 'claims': cl.held, 'derived_values': coalesce(derived_values, []), 'evidence': evidence,
+            'flags': coalesce(flags, []), 'forecasts': fs.held, 'frameworks': {list(packs.FRAMEWORKS)}, 'quality_gate': {{{', '.join(f"'{c}': {c}" for c in sorted(("official_primary_only", "official_evidence_count", "independent_publisher_count", "original_tables_first", "period_scope_unit_explicit", "stock_flow_arithmetic_precomputed", "cross_book_signal_present", "trigger_flags_are_leads")))}}},
             'research_item': {{'id': 'rit_' || item, 'priority': priority, 'queue_source': 'orders', 'title': 'Orders of ' || m.pack_id}}, 'version': 1}})::VARCHAR AS pack_json
-            FROM m JOIN cl USING (pack_id) JOIN al USING (pack_id) JOIN seen USING (pack_id) JOIN es USING (pack_id) JOIN qg USING (pack_id) LEFT JOIN fs USING (pack_id) LEFT JOIN ds USING (pack_id) LEFT JOIN gs USING (pack_id))
+            FROM m JOIN (FROM dig WHERE section = 'claims') cl USING (pack_id) JOIN (FROM dig WHERE section = 'allowed') al USING (pack_id) JOIN (FROM dig WHERE section = 'forecasts') fs USING (pack_id)
+            JOIN seen USING (pack_id) JOIN es USING (pack_id) JOIN qg USING (pack_id) LEFT JOIN ds USING (pack_id) LEFT JOIN gs USING (pack_id))
         SELECT *, sha256(pack_json) AS pack_sha256 FROM j""",
     "h6_missing_members": "SELECT DISTINCT o_orderpriority AS pack_id, 'claim' AS kind, '-1' AS id FROM orders UNION ALL SELECT DISTINCT o_orderpriority, 'evidence', 'evi_' || o_orderpriority FROM orders UNION ALL SELECT DISTINCT o_orderpriority, 'forecast', '-2' FROM orders",
     "i1_shape_check": f"WITH f(k, location, error) AS (VALUES {', '.join(f'({k}, {quote(loc)}, {quote(e)})' for k, (loc, e) in SHAPE.items())}) SELECT o_orderkey AS doc_id, location, error FROM orders JOIN f ON k = o_orderkey % 16",
