@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from .arrays import WORD_BASE, Words, chunks, mix, prefix, rolled
 from .common import bounded, discard, salted_join, stage
 
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 FEW = 64
 IDS = 500_000  # rows of ids, labels or pairs that are broadcast at most
 SET = ["n", "k1", "k2"]
