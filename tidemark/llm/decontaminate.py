@@ -30,8 +30,6 @@ doc_id are one document. Empty tables give an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .common import bounded, stage
@@ -41,16 +39,19 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
 
 
-def places(df: DataFrame, keep: list[str], spans: Callable[[Column], Column]) -> DataFrame:
-    """A row for each shingle's place: the columns `keep`, words, and p (i from 1, length); spans gives the places of so many words."""
+def places(df: DataFrame, keep: list[str], lengths: list[int | Column]) -> DataFrame:
+    """A row for each shingle's place: the columns `keep`, words, i (from 1) and length, for each of the lengths."""
     cut = df.select(*keep, tokens(F.col("text")).alias("words")).where(F.size("words") > 0)
-    return cut.select(*keep, "words", F.explode(spans(F.size("words"))).alias("p"))
+    size = F.size("words")
+    if len(lengths) == 1:  # plain numbers are cheaper to take apart than pairs
+        n = F.lit(lengths[0]) if isinstance(lengths[0], int) else lengths[0]
+        return cut.where(size >= n).select(*keep, "words", n.alias("length"), F.explode(F.sequence(F.lit(1), size - (n - 1))).alias("i"))
 
+    def of_length(n: int) -> Column:
+        at = F.transform(F.sequence(F.lit(1), F.greatest(size - (n - 1), F.lit(1))), lambda i: F.struct(i.alias("i"), F.lit(n).alias("length")))
+        return F.when(size >= n, at).otherwise(F.array().cast("array<struct<i:int,length:int>>"))
 
-def spans_of(size: Column, length: Column) -> Column:
-    """All places of shingles of a length among `size` words."""
-    at = F.transform(F.sequence(F.lit(1), F.greatest(size - length + 1, F.lit(1))), lambda i: F.struct(i.alias("i"), length.alias("length")))
-    return F.when(size >= length, at).otherwise(F.array().cast("array<struct<i:int,length:int>>"))
+    return cut.select(*keep, "words", F.explode(F.flatten(F.array(*map(of_length, lengths)))).alias("p")).select(*keep, "words", "p.i", "p.length")
 
 
 def contained(docs: DataFrame, items: DataFrame, gram: int = 5, threshold: float = 0.8, rows_to_broadcast: int = 500_000) -> DataFrame:
@@ -59,9 +60,8 @@ def contained(docs: DataFrame, items: DataFrame, gram: int = 5, threshold: float
     items = items.where("item_id is not null and text is not null").select("item_id", "text")
     n_words = F.size(tokens(F.col("text")))
     short = [r.n for r in items.select(n_words.alias("n")).where(F.col("n").between(1, gram - 1)).distinct().collect()]
-    in_docs = lambda size: F.flatten(F.array(*[spans_of(size, F.lit(n)) for n in sorted({gram, *short})]))
-    in_items = lambda size: spans_of(size, F.least(size, F.lit(gram)))
-    shingle = F.slice("words", F.col("p.i"), F.col("p.length"))
+    in_docs, in_items = sorted({gram, *short}), [F.least(F.size("words"), F.lit(gram))]
+    shingle = F.slice("words", F.col("i"), F.col("length"))
     whole = F.array_join(shingle, " ")
     of_items = places(items, ["item_id"], in_items).select("item_id", whole.alias("shingle")).distinct()
     of_items = stage(of_items, "item-shingles")
