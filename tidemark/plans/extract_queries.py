@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import extract as ex, pages as pg, statements as st
@@ -143,9 +145,17 @@ def dated_urls(spark, d):
     return table(spark, d, "pages").select(k, F.concat(F.coalesce("url", F.lit("")), part).alias("u"))
 
 
-DATED = """u AS (SELECT page_id, length(url) AS n, url, length(url) % 14 + 1 AS mo FROM pages),
-    dt AS (SELECT *, CASE n % 6 WHEN 0 THEN CASE WHEN mo <= 12 THEN make_date(2019, mo, 1) ELSE DATE '2019-12-31' END WHEN 1 THEN CASE WHEN mo <= 12 THEN make_date(2020, mo, 1) END WHEN 2 THEN CASE WHEN mo <= 12 THEN make_date(2021, mo, 1) END WHEN 3 THEN DATE '2018-12-31' WHEN 4 THEN DATE '2010-12-31' END AS day,
-        CASE WHEN n % 6 IN (1, 2) AND NOT contains(url, '?') AND NOT contains(url, '#') THEN 'pdf' ELSE 'html' END AS kind FROM u)"""
+def dated_sql(*patterns: tuple[str, int]) -> str:
+    """The first pattern (year, month) that stands in u with a plausible month and year, else the last day of a year alone."""
+    part = lambda p, k: f"try_cast(regexp_extract(u, '{p}', {k}) AS INT)"
+    full = [f"CASE WHEN {part(p, 2)} BETWEEN 1 AND 12 AND {part(p, 1)} + {base} BETWEEN {YEAR_NOW - 5} AND {YEAR_NOW + 1} THEN make_date({part(p, 1)} + {base}, {part(p, 2)}, 1) END" for p, base in patterns]
+    return f"coalesce({', '.join(full)}, make_date({part('/(20[0-9]{2})/', 1)}, 12, 31))"
+
+
+DATED = f"""n AS (SELECT page_id, coalesce(url, '') AS url, length(url) AS n, lpad((length(url) % 14 + 1)::VARCHAR, 2, '0') AS mo FROM pages),
+    u AS (SELECT page_id, url || CASE n % 6 WHEN 0 THEN '/2019/' || mo || '/x.html' WHEN 1 THEN '/2020' || mo || '/y.PDF' WHEN 2 THEN '/k21' || mo || '31a.pdf?v=1' WHEN 3 THEN '/2018/' WHEN 4 THEN '/2010/05/' ELSE '/none' END AS u FROM n),
+    dt AS (SELECT page_id, {dated_sql(("/(20[0-9]{2})/([0-9]{2})/", 0), ("/(20[0-9]{2})([0-9]{2})/", 0), ("/(?:k|release_|release-|cgpi|mpr_)([0-9]{2})([0-9]{2})", 2000))} AS day,
+        CASE WHEN ends_with(lower(regexp_extract(u, '^[^?#]*', 0)), '.pdf') THEN 'pdf' ELSE 'html' END AS kind FROM u)"""
 
 
 def a8(spark, d):
@@ -196,7 +206,20 @@ QUERIES = {
     "b18_series_keys": lambda s, d: ex.observations_of(found(s, d)),
 }
 
-TEXT_SQL = r"trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', ''''), '&nbsp;', ' '), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '[ \t\r\n]+', ' ', 'g'))"
+sql_text = lambda x: "'" + x.replace("'", "''") + "'"
+WINDOWS = ", ".join(sql_text(bytes([k]).decode("cp1252", "ignore") or chr(k)) for k in range(0x80, 0xA0))
+#: A page's text without markup, then each piece after a & by itself: a numeric reference, a name with a semicolon, else the longest name that needs none.
+TEXT_SQL = rf"""names(name, said) AS (VALUES {', '.join(f"({sql_text(name)}, {sql_text(said)})" for name, said in html5.items())}),
+    bare AS (SELECT page_id, string_split(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), '&') AS pieces FROM pages WHERE html IS NOT NULL),
+    piece AS (SELECT page_id, unnest(pieces) AS x, unnest(range(0, len(pieces))) AS i FROM bare),
+    token AS (SELECT *, CASE WHEN i > 0 THEN regexp_extract(x, '^(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);?', 0) ELSE '' END AS t FROM piece),
+    digit AS (SELECT *, left(ltrim(regexp_extract(t, '^#[xX]?([0-9a-fA-F]+)', 1), '0'), 9) AS d, regexp_extract(t, '^(?:{'|'.join(pg.OPEN_NAMES)})', 0) AS open FROM token),
+    point AS (SELECT *, CASE WHEN d = '' THEN 0 WHEN t[2] IN ('x', 'X') THEN ('0x' || d)::BIGINT ELSE d::BIGINT END AS n FROM (SELECT *, starts_with(t, '#') AS numeric FROM digit) WHERE numeric),
+    char AS (SELECT page_id, i, CASE WHEN n BETWEEN 1 AND 8 OR n = 11 OR n BETWEEN 14 AND 31 OR n = 127 OR n BETWEEN 64976 AND 65007 OR (n % 65536 >= 65534 AND n <= 1114111) THEN ''
+        WHEN n BETWEEN 128 AND 159 THEN ([{WINDOWS}])[n - 127] WHEN n BETWEEN 1 AND 1114111 AND n NOT BETWEEN 55296 AND 57343 THEN chr(n::INT) ELSE chr(65533) END AS c FROM point),
+    decoded AS (SELECT page_id, string_agg(CASE WHEN i = 0 THEN x WHEN c IS NOT NULL THEN c || substr(x, len(t) + 1) WHEN whole.said IS NOT NULL THEN whole.said || substr(x, len(t) + 1)
+        WHEN start.said IS NOT NULL THEN start.said || substr(x, len(open) + 1) ELSE '&' || x END, '' ORDER BY i) AS said
+        FROM digit LEFT JOIN char USING (page_id, i) LEFT JOIN names whole ON whole.name = t AND ends_with(t, ';') LEFT JOIN names start ON start.name = open AND open <> '' GROUP BY page_id)"""
 JOINED = "'12 ,3 45. 6 ' || coalesce(text, '') || ' 7 8' || chr(10) || '9'"
 for _ in range(3):
     JOINED = rf"regexp_replace({JOINED}, '([0-9.,])[ \t\r\n]+([0-9.,])', '\1\2', 'g')"
@@ -214,7 +237,7 @@ ORACLE = {
         CASE WHEN length(url) % 5 = 0 THEN 'no_year_folder' END AS error_class FROM pages""",
     "a8_release_date_kind": f"WITH {DATED} SELECT page_id, day, kind FROM dt",
     "a9_staleness": f"WITH {DATED} SELECT page_id, coalesce(DATE '2021-02-01' - day > 60, false) AS is_stale FROM dt",
-    "b1_html_to_text": f"SELECT page_id, trim(coalesce(nullif({TEXT_SQL}, '') || ' ', '') || '{ODD_TEXT}') AS text FROM pages WHERE html IS NOT NULL UNION ALL SELECT page_id, NULL FROM pages WHERE html IS NULL",
+    "b1_html_to_text": rf"WITH {TEXT_SQL} SELECT page_id, trim(coalesce(nullif(trim(regexp_replace(replace(said, chr(160), ' '), '[ \t\r\n]+', ' ', 'g')), '') || ' ', '') || '{ODD_TEXT}') AS text FROM decoded UNION ALL SELECT page_id, NULL FROM pages WHERE html IS NULL",
     "b2_split_digit_rejoin": f"SELECT doc_id, sha256({JOINED}) AS sha256 FROM documents",
     "b3_lenient_number": "SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN round(o_totalprice, 2) END AS value FROM orders",
     "b4_signed_percent": "SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN -round(o_totalprice / 1000, 1) ELSE round(o_totalprice / 1000, 1) END AS pct FROM orders",
