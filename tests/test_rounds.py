@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as engine
-from tidemark.operators import gates
+from tidemark.operators import gates, transcripts
 
 
 def plan(df) -> str:
@@ -56,3 +56,9 @@ def test_odd_pages_match_their_sql(spark, tmp_path, name):
     want = duck.execute(engine.oracle_sql()[name])
     names = [c[0] for c in want.description]
     assert sorted(map(repr, map(tuple, got.select(*names).collect()))) == sorted(map(repr, want.fetchall()))
+
+
+def test_texts_are_not_searched_for_a_thousand_ranges(spark):
+    texts = spark.createDataFrame([("é ’ ά",)], "t string")
+    folded = texts.select(transcripts.fold(F.col("t")).alias("f"))
+    assert folded.first().f == "é ’ ά" and len(plan(folded)) < 2_000

@@ -23,7 +23,7 @@ TERMINATORS = "[。！？!?]$"
 TIMING = "^([0-9]{2,}):([0-9]{2}):([0-9]{2})\\.([0-9]{3})[ \\t]+-->[ \\t]+([0-9]{2,}):([0-9]{2}):([0-9]{2})\\.([0-9]{3})"
 
 
-#: Short form of where unsettled characters are: neither in Latin letters nor, but for a few marks, among ideographs and kana.
+#: Where all unsettled characters are, in few ranges: neither in Latin letters nor, but for a few marks, among ideographs and kana.
 ELSEWHERE = "[\\x{300}-\\x{2fff}\\x{302a}-\\x{302f}\\x{3099}\\x{309a}\\x{a000}-\\x{10ffff}]"
 
 
@@ -35,7 +35,10 @@ def nfc_in_python(texts: pd.Series) -> pd.Series:
 
 @cache
 def unsettled() -> str:
-    """Pattern of the characters that NFC may change or move: those it replaces, combining marks, and those that join with one before them."""
+    """Pattern of the characters that NFC may change or move: those it replaces, combining marks, and those that join with one before them.
+
+    It says what ELSEWHERE has to cover. On texts it is slow: a class of so many ranges tries them one by one for each character.
+    """
     second = {0x1161 + k for k in range(21)} | {0x11A8 + k for k in range(27)}  # vowels and finals of Hangul
     found = set()
     for c in map(chr, (*range(0xD800), *range(0xE000, 0x30000))):
@@ -51,8 +54,8 @@ def unsettled() -> str:
 
 
 def nfc(text: Column) -> Column:
-    """Text in NFC. Only texts with an unsettled character go to Python; for all others nothing is handed over."""
-    return F.coalesce(nfc_in_python(F.when(text.rlike(ELSEWHERE) & text.rlike(unsettled()), text)), text)
+    """Text in NFC. Only texts with a character where unsettled ones are go to Python; for all others nothing is handed over."""
+    return F.coalesce(nfc_in_python(F.when(text.rlike(ELSEWHERE), text)), text)
 
 
 def fold(text: Column) -> Column:
