@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as engine
-from tidemark.operators import gates, transcripts
+from tidemark.operators import extract, gates, transcripts
 
 
 def plan(df) -> str:
@@ -62,3 +62,10 @@ def test_texts_are_not_searched_for_a_thousand_ranges(spark):
     texts = spark.createDataFrame([("é ’ ά",)], "t string")
     folded = texts.select(transcripts.fold(F.col("t")).alias("f"))
     assert folded.first().f == "é ’ ά" and len(plan(folded)) < 2_000
+
+
+def test_releases_are_read_once_for_metrics_and_failures(spark):
+    releases = spark.createDataFrame([(1, "de_cpi", "Release for May, 2020", "Inflation rate at +1.5%", None), (2, "de_cpi", "none", "Inflation rate at +2.5%", None)], "release_id long, source string, title string, text string, url string")
+    good, failures = extract.parsed(releases)
+    assert [(r.release_id, r.period, r.yoy) for r in good.collect()] == [(1, "2020-05", 1.5)] and [r.release_id for r in failures.collect()] == [2]
+    assert "regexp_extract" not in plan(good) and "regexp_extract" not in plan(failures)

@@ -7,7 +7,7 @@ from html.entities import html5
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import extract as ex, pages as pg, statements as st
-from ..sources.tables import table
+from ..sources.tables import spread_out, table
 from .series_queries import sql_rows
 
 SOURCES = ["cn_mof", "cn_stats_inv", "cn_stats_cpi", "cn_stats_ppi", "cn_stats_pmi", "cn_pbc", "jp_ppi", "jp_cpi", "jp_unrate", "jp_policy", "jp_gdp", "de_cpi", "de_ppi", "de_unrate", "de_gdp"]
@@ -34,7 +34,9 @@ def releases(spark, d) -> DataFrame:
     Orders of status P and priority 5-LOW have no year, those of P and 4-NOT SPECIFIED no metric.
     """
     pct, m, y = F.col("pct"), F.col("m"), F.col("y")
-    o = table(spark, d, "orders").select(
+    # Reading a release takes its time, and the orders of a small table are one task.
+    orders = spread_out(table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate", "o_totalprice"), "o_orderkey")
+    o = orders.select(
         F.col("o_orderkey").alias("release_id"), F.element_at(F.array(*map(F.lit, SOURCES)), (F.col("o_orderkey") % 15 + 1).cast("int")).alias("source"), F.format_number("o_totalprice", 2).alias("amount"),
         ((F.col("o_custkey") % 199 - 99) / 10.0).alias("pct"), (F.year("o_orderdate") + 20).cast("string").alias("y"), F.month("o_orderdate").alias("m"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"),
     )
