@@ -155,3 +155,25 @@ def test_digests_of_members_do_not_depend_on_their_number_in_a_task(spark):
                 chunks.setdefault(int(hashlib.md5(i.encode()).hexdigest()[:8], 16) % -(-len(mine) // each), []).append(j)
             want[p] = (len(mine), sha("\n".join(sha("\n".join(chunks[c])) for c in sorted(chunks))))
         assert {x.pack_id: (x.n, x.sha256) for x in packs.digested(df, each).collect()} == want
+
+
+def test_members_and_forecasts_come_once_without_comparing_what_packs_make_of_them(spark):
+    own = spark.createDataFrame([("p", 1), ("q", 1), ("q", 2), ("q", 2)], "pack_id string, claim_id long")
+    rows = [(10, 1, "F"), (10, 1, "F"), (2, 2, "O"), (30, 3, None), (31, None, "O")]
+    forecasts = spark.createDataFrame(rows, "forecast_id long, claim_id long, status string")
+    asked = spark.createDataFrame([("p", 30), ("p", 30), ("p", 31), ("q", 10), ("q", -2)], "pack_id string, forecast_id long")
+    related = packs.related_forecasts(own, forecasts, asked)
+    assert sorted(map(tuple, related.collect()), key=repr) == [("p", 10, 1, "F"), ("p", 30, 3, None), ("p", 31, None, "O"), ("q", 10, 1, "F"), ("q", 2, 2, "O")]
+    # What packs share is made distinct before they meet it, not each pack's own copy after.
+    assert related._jdf.queryExecution().optimizedPlan().toString().startswith("Union")
+
+    claims = spark.createDataFrame([("p", 1, ["e2", "e1"]), ("q", 1, ["e2", "e1"]), ("q", 2, [])], "pack_id string, claim_id long, evidence_ids array<string>")
+    evidence = spark.createDataFrame([("p", "e1"), ("q", "e1")], "pack_id string, evi_id string")
+    items = spark.createDataFrame([("p", "rit_1"), ("q", "rit_2")], "pack_id string, item_id string")
+    held = packs.members(items, evidence, claims, related)
+    named = sorted((x.pack_id, x.id, x.json) for x in held.where("section = 'allowed'").collect())
+    assert named == [("p", "1", None), ("p", "10", None), ("p", "30", None), ("p", "31", None), ("p", "e1", None), ("p", "rit_1", None), ("q", "1", None), ("q", "10", None), ("q", "2", None), ("q", "e1", None), ("q", "rit_2", None)]
+    full = held.withColumn("json", F.coalesce("json", "id"))
+    flat = lambda df: sorted(map(tuple, df.collect()))
+    assert flat(packs.digested(held, 2)) == flat(packs.digested(full, 2))
+    assert sorted(x.json for x in held.where("section = 'forecasts' and pack_id = 'p'").collect()) == ['{"id":"10","claim_id":"1","status":"F"}', '{"id":"30","claim_id":"3","status":null}', '{"id":"31","claim_id":null,"status":"O"}']
