@@ -177,3 +177,21 @@ def test_members_and_forecasts_come_once_without_comparing_what_packs_make_of_th
     flat = lambda df: sorted(map(tuple, df.collect()))
     assert flat(packs.digested(held, 2)) == flat(packs.digested(full, 2))
     assert sorted(x.json for x in held.where("section = 'forecasts' and pack_id = 'p'").collect()) == ['{"id":"10","claim_id":"1","status":"F"}', '{"id":"30","claim_id":"3","status":null}', '{"id":"31","claim_id":null,"status":"O"}']
+
+
+def test_accepted_claims_are_those_that_no_rule_names_and_only_quotes_left_are_folded(spark):
+    good = dict(candidate=0, claim_text="grew", claim_type="fact", layer="fact", transcript_version_id=1, segment_start_ordinal=0, segment_end_ordinal=0, start_ms=0, end_ms=5, exact_quote="Prices rose", timestamp_url="u", raw_caption_sha256="h", speaker="A", from_model=True)
+    changes = [
+        {}, {"claim_type": ""}, {"timestamp_url": None}, {"transcript_version_id": None}, {"transcript_version_id": 9}, {"layer": "speaker_statement"}, {"layer": "speaker_statement", "from_model": None}, {"layer": "speaker_statement", "from_model": False, "speaker": " None"},
+        {"claim_text": "BUT rose; fell; rose!"}, {"claim_text": "ALTHOUGH it rose but fell"}, {"claim_text": "butter, thoughtful"}, {"claim_text": "因为 it rose, however"}, {"claim_text": "因为\n所以"}, {"claim_text": "a\n。b\n；c\n?"}, {"claim_text": "a。b?"}, {"claim_text": "été; été"},
+        {"segment_start_ordinal": -1}, {"segment_start_ordinal": 1}, {"segment_end_ordinal": 5}, {"end_ms": -1}, {"segment_start_ordinal": 4, "segment_end_ordinal": 4}, {"exact_quote": " \ufeff\t"}, {"exact_quote": "\u2003"}, {"exact_quote": "rose  fast"}, {"exact_quote": "fell"},
+        {"segment_start_ordinal": 2, "segment_end_ordinal": 2, "exact_quote": "cafe"}, {"segment_start_ordinal": 2, "segment_end_ordinal": 2, "exact_quote": "café"}, {"segment_start_ordinal": 3, "segment_end_ordinal": 3, "exact_quote": "Prices"},
+    ]
+    rows = [tuple((good | c | {"candidate": k}).values()) for k, c in enumerate(changes)]
+    schema = "candidate long, claim_text string, claim_type string, layer string, transcript_version_id long, segment_start_ordinal long, segment_end_ordinal long, start_ms long, end_ms long, exact_quote string, timestamp_url string, raw_caption_sha256 string, speaker string, from_model boolean"
+    df = spark.createDataFrame(rows, schema)
+    segments = spark.createDataFrame([(1, 0, "Prices rose fast"), (1, 1, "no"), (1, 2, "a cafe\u0301"), (1, 3, "Pri\ufeffces"), (1, 4, "")], "transcript_version_id long, ordinal int, text string")
+    want = sorted(x.candidate for x in claims.judged(df, segments).where("rule_id is null").collect())
+    got = claims.accepted(df, segments)
+    assert sorted(x.candidate for x in got.collect()) == want and {0, 10, 23, 26} <= set(want) and not {5, 8, 9, 12, 13, 21, 22, 24} & set(want)
+    assert sorted(got.columns) == sorted(df.columns)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources.tables import materialized, once
 from .ledger import content_id
-from .transcripts import fold
+from .transcripts import fold, unsettling
 
 #: The fields a claim needs, and those that are numbers.
 REQUIRED = ("claim_text", "claim_type", "layer", "transcript_version_id", "segment_start_ordinal", "segment_end_ordinal", "start_ms", "end_ms", "exact_quote", "timestamp_url", "raw_caption_sha256")
@@ -16,6 +16,9 @@ NUMBERS = ("transcript_version_id", "segment_start_ordinal", "segment_end_ordina
 #: Words that couple judgements, sentence ends, and speakers that are none.
 COUPLING_CN = "(因为|所以|然而|但是|尽管|虽然|并且|同时|此外)"
 COUPLING_EN, SENTENCE_ENDS = "(?i)\\b(because|therefore|however|but|although|though|and also|additionally|furthermore|moreover)\\b", "[。！？!?；;]"
+#: What a text has that any match of the two patterns is in, once in lower case ("although" has "though"), and the single sentence ends.
+COUPLING_WORDS = (*COUPLING_CN.strip("()").split("|"), "because", "therefore", "however", "but", "though", "and also", "additionally", "furthermore", "moreover")
+ENDS = SENTENCE_ENDS.strip("[]")
 NO_SPEAKER = ("", "unknown", "none", "n/a")
 RELATIONS = ("defines", "uses", "exemplifies", "qualifies", "relates")
 
@@ -34,8 +37,12 @@ def unknown_speaker() -> Column:
 
 
 def not_atomic() -> Column:
+    """Whether a claim couples judgements. The patterns, slow on long texts, are counted only where one of their words is at all."""
     text = F.coalesce("claim_text", F.lit(""))
-    return (F.regexp_count(text, F.lit(COUPLING_CN)) + F.regexp_count(text, F.lit(COUPLING_EN)) >= 2) | (F.regexp_count(text, F.lit(SENTENCE_ENDS)) >= 3)
+    ends = reduce(lambda a, b: a + b, [F.length(text) - F.length(F.replace(text, F.lit(c), F.lit(""))) for c in ENDS])
+    low = F.lower(text)
+    words = reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in COUPLING_WORDS])
+    return (ends >= 3) | F.when(words, F.regexp_count(text, F.lit(COUPLING_CN)) + F.regexp_count(text, F.lit(COUPLING_EN)) >= 2).otherwise(False)
 
 
 def bad_range() -> Column:
@@ -60,6 +67,24 @@ def judged(claims: DataFrame, segments: DataFrame) -> DataFrame:
     return rows.withColumn("rule_id", first).drop("q_", "t_", "total", "segment_text")
 
 
+def accepted(claims: DataFrame, segments: DataFrame) -> DataFrame:
+    """The claims that `judged` gives no rule_id, by the same rules, the cheaper ones first.
+
+    What a claim's own fields decide is decided before its transcript is looked up, and only quotes that are left are folded
+    and searched; so the texts of claims that fail early are neither moved nor read.
+    """
+    has = lambda f: F.col(f).isNotNull() & (F.col(f).cast("string") != "")
+    a, b, quote, text = map(F.col, ("segment_start_ordinal", "segment_end_ordinal", "exact_quote", "segment_text"))
+    own = claims.where(reduce(lambda x, y: x & y, map(has, REQUIRED)) & ~F.coalesce(model_statement(F.col("from_model")), F.lit(False)) & ~F.coalesce(unknown_speaker(), F.lit(False)))
+    own = own.where((a >= 0) & (b >= a) & (F.col("end_ms") >= F.col("start_ms"))).where(~not_atomic())
+    total = segments.groupBy("transcript_version_id").agg((F.max("ordinal") + 1).alias("total"))
+    start = segments.where("text <> ''").select("transcript_version_id", F.col("ordinal").alias("segment_start_ordinal"), F.col("text").alias("segment_text"))
+    rows = own.where(quote.rlike("(?U)[^\\s\ufeff]")).join(total, "transcript_version_id").where(b < F.col("total")).join(start, ["transcript_version_id", "segment_start_ordinal"])
+    # In a text that NFC leaves alone, what is in it as it stands is in it folded too.
+    as_it_stands = F.contains(text, quote) & ~unsettling(text)
+    return rows.where(as_it_stands | F.contains(fold(text), fold(quote))).select(*claims.columns)
+
+
 def edge_without_source() -> Column:
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) == ""
     return F.coalesce((F.col("layer") == "speaker_reasoning") & (blank("transcript_version_id") | blank("exact_quote")), F.lit(False))

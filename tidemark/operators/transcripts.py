@@ -53,9 +53,14 @@ def unsettled() -> str:
     return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in zip(starts, ends, strict=True)) + "]"
 
 
+def unsettling(text: Column) -> Column:
+    """Whether a text has a character where unsettled ones are. ASCII has none, and is told by its length in bytes."""
+    return (F.octet_length(text) > F.length(text)) & text.rlike(ELSEWHERE)
+
+
 def nfc(text: Column) -> Column:
     """Text in NFC. Only texts with a character where unsettled ones are go to Python; for all others nothing is handed over."""
-    return F.coalesce(nfc_in_python(F.when(text.rlike(ELSEWHERE), text)), text)
+    return F.coalesce(nfc_in_python(F.when(unsettling(text), text)), text)
 
 
 def fold(text: Column) -> Column:

@@ -55,7 +55,7 @@ def judged(spark, d):
 
 
 def accepted(spark, d):
-    return judged(spark, d).where("rule_id is null")
+    return cl.accepted(candidates(spark, d), segments(spark, d))
 
 
 def rule(column: str):
